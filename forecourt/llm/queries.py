@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from . import line_dedup, mixing
+from . import license_scan, line_dedup, mixing, token_counts
 
 QUERIES = {
     "op2_mix_sources": mixing.op2_mix_sources,
+    "op3_token_counts": token_counts.op3_token_counts,
+    "op9_license_scan": license_scan.op9_license_scan,
     "op10_line_dedup": line_dedup.op10_line_dedup,
 }
 ORACLES = {
