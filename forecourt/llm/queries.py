@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from . import license_scan, line_dedup, mixing, near_dedup, token_counts
+from . import ann, decontaminate, license_scan, line_dedup, mixing, near_dedup, token_counts
 
 QUERIES = {
     "op2_mix_sources": mixing.op2_mix_sources,
     "op3_token_counts": token_counts.op3_token_counts,
     "op6_near_duplicates": near_dedup.op6_near_duplicates,
+    "op7_decontaminate": decontaminate.op7_decontaminate,
+    "op8_nearest_vectors": ann.op8_nearest_vectors,
     "op9_license_scan": license_scan.op9_license_scan,
     "op10_line_dedup": line_dedup.op10_line_dedup,
 }
