@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from . import ann, decontaminate, license_scan, line_dedup, mixing, near_dedup, token_counts
+from . import ann, decontaminate, language_id, license_scan, line_dedup, mixing, near_dedup, token_counts
 
 QUERIES = {
+    "op1_language_id": language_id.op1_language_id,
     "op2_mix_sources": mixing.op2_mix_sources,
     "op3_token_counts": token_counts.op3_token_counts,
     "op6_near_duplicates": near_dedup.op6_near_duplicates,
