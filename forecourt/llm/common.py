@@ -78,3 +78,14 @@ def text_slices(texts, max_chars: int = 2_000_000):
         size += n
     if len(texts) > at:
         yield at, len(texts)
+
+
+def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, learned: Column, per_class: int) -> DataFrame:
+    """doc_id, text, label of at most ``per_class`` labels of each class 0 and 1, those with the smallest hashes of the id
+    among the labels that ``learned`` (a condition on doc_id) admits. Null labels and ids and other values take no part; of
+    several labels of one id the largest counts."""
+    rows = labels.filter(learned & F.col("doc_id").isNotNull() & F.col(label).isin(0, 1)).groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.max(label).cast("int").alias("label"))
+    ranked = rows.withColumn("h", F.xxhash64("doc_id"))
+    picked = [ranked.filter(F.col("label") == c).orderBy("h", "doc_id").limit(per_class).select("doc_id", "label") for c in (0, 1)]
+    few = F.broadcast(picked[0].union(picked[1]))  # 2 * per_class rows at most
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text")).join(few, "doc_id")
