@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from . import ann, decontaminate, language_id, license_scan, line_dedup, mixing, near_dedup, token_counts
+from . import ann, decontaminate, language_id, license_scan, line_dedup, mixing, near_dedup, quality, token_counts, toxicity
 
 QUERIES = {
     "op1_language_id": language_id.op1_language_id,
     "op2_mix_sources": mixing.op2_mix_sources,
     "op3_token_counts": token_counts.op3_token_counts,
+    "op4_line_quality": quality.op4_line_quality,
+    "op5_toxicity": toxicity.op5_toxicity,
     "op6_near_duplicates": near_dedup.op6_near_duplicates,
     "op7_decontaminate": decontaminate.op7_decontaminate,
     "op8_nearest_vectors": ann.op8_nearest_vectors,
