@@ -44,20 +44,13 @@ def source_targets(sizes: DataFrame, weights: Sequence[float], share: float, cap
     return ranked.select("source", "source_size", F.least(F.col("source_size") * F.lit(float(cap)), F.max("level").over(whole) * F.col("weight")).alias("target"))
 
 
-def mix_sources(docs: DataFrame, weights: Sequence[float] = (3, 1, 2), share: float = 1.5, cap: float = 2.0) -> DataFrame:
-    """docs(doc_id, text, source, ...) -> doc_id, size, source_size, target, copies, taken, h.
+def _place() -> Column:
+    identity = F.md5(F.concat_ws("\x1f", F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.coalesce(F.col("text"), F.lit(""))).cast("binary"))
+    return F.conv(F.substring(identity, 1, HASH_BITS // 4), 16, 10).cast("long")
 
-    size counts the words of the whole text; copies is how often the mix takes the document (0 up to the
-    least whole number >= cap) and taken = copies * size. Whole passes come first, the rest of the target by
-    threshold; the last hash cell is taken if that comes nearer to the target.
 
-    Null text: size 0. Null source: a source of its own, last in order. Null doc_id: hashed as empty text.
-    Repeated rows have one hash and are taken together. A source without words has target 0. An empty table
-    gives no rows. Other columns are ignored, whatever their names.
-    """
-    text = F.coalesce(F.col("text"), F.lit(""))
-    identity = F.md5(F.concat_ws("\x1f", F.coalesce(F.col("doc_id").cast("string"), F.lit("")), text).cast("binary"))
-    slim = materialize(docs.select("doc_id", F.col("source").cast("string").alias("source"), F.regexp_count(text, F.lit(WORD)).cast("long").alias("size"), F.conv(F.substring(identity, 1, HASH_BITS // 4), 16, 10).cast("long").alias("h")), "mix-sizes")
+def _thresholds(slim: DataFrame, weights: Sequence[float], share: float, cap: float) -> tuple[DataFrame, bool]:
+    """source, source_size, target, passes, cut of each source of slim(source, size, h); whether they are few enough to broadcast."""
     hist = materialize(slim.groupBy("source", _prefix(1).alias("cell")).agg(F.sum("size").alias("size")), "mix-hist")
     targets = source_targets(hist.groupBy("source").agg(F.sum("size").alias("source_size")), weights, share, cap)
     passes = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0)
@@ -77,14 +70,48 @@ def mix_sources(docs: DataFrame, weights: Sequence[float] = (3, 1, 2), share: fl
     nearer = F.col("upto") - F.col("e.rest") <= F.col("e.rest") - F.col("base")
     cut = F.coalesce(F.col("cell") + F.when(nearer, 1).otherwise(0), F.lit(0))
     state = state.alias("s").join(small(edge.alias("e")), F.col("s.source").eqNullSafe(F.col("e.source")), "left").select("s.source", "source_size", "target", "passes", cut.alias("cut"))
+    return state, few
+
+
+def _with_thresholds(rows: DataFrame, state: DataFrame, few: bool) -> DataFrame:
+    """rows(source, h, ...) joined with their source's threshold, as s; copies from the two."""
     on = F.col("d.source").eqNullSafe(F.col("s.source"))
     if few:
-        joined = slim.alias("d").join(F.broadcast(state.alias("s")), on)
+        joined = rows.alias("d").join(F.broadcast(state.alias("s")), on)
     else:
         state = state.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-        joined = slim.withColumn("salt", F.pmod("h", F.lit(SALTS))).alias("d").join(state.alias("s"), on & (F.col("d.salt") == F.col("s.salt")))
-    copies = F.col("passes") + F.when(_prefix(LEVELS) < F.col("cut"), 1).otherwise(0)
-    return joined.select("doc_id", "size", "source_size", "target", copies.cast("int").alias("copies"), (copies * F.col("size")).cast("long").alias("taken"), "h")
+        joined = rows.withColumn("salt", F.pmod("h", F.lit(SALTS))).alias("d").join(state.alias("s"), on & (F.col("d.salt") == F.col("s.salt")))
+    return joined.withColumn("copies", (F.col("passes") + F.when(_prefix(LEVELS) < F.col("cut"), 1).otherwise(0)).cast("int"))
+
+
+def _slim(docs: DataFrame) -> DataFrame:
+    size = F.regexp_count(F.coalesce(F.col("text"), F.lit("")), F.lit(WORD)).cast("long")
+    return materialize(docs.select("doc_id", F.col("source").cast("string").alias("source"), size.alias("size"), _place().alias("h")), "mix-sizes")
+
+
+def mix_sources(docs: DataFrame, weights: Sequence[float] = (3, 1, 2), share: float = 1.5, cap: float = 2.0) -> DataFrame:
+    """docs(doc_id, text, source, ...) -> doc_id, size, source_size, target, copies, taken, h.
+
+    size counts the words of the whole text; copies is how often the mix takes the document (0 up to the
+    least whole number >= cap) and taken = copies * size. Whole passes come first, the rest of the target by
+    threshold; the last hash cell is taken if that comes nearer to the target.
+
+    Null text: size 0. Null source: a source of its own, last in order. Null doc_id: hashed as empty text.
+    Repeated rows have one hash and are taken together. A source without words has target 0. An empty table
+    gives no rows. Other columns are ignored, whatever their names.
+    """
+    slim = _slim(docs)
+    joined = _with_thresholds(slim, *_thresholds(slim, weights, share, cap))
+    return joined.select("doc_id", "size", "source_size", "target", "copies", (F.col("copies") * F.col("size")).cast("long").alias("taken"), "h")
+
+
+def mixed_documents(docs: DataFrame, weights: Sequence[float] = (3, 1, 2), share: float = 1.5, cap: float = 2.0) -> DataFrame:
+    """The documents that mix_sources() takes: all columns of docs (one named copies is replaced), then copies, how often."""
+    names = [c for c in docs.columns if c != "copies"]
+    state, few = _thresholds(_slim(docs), weights, share, cap)
+    rows = docs.select(F.struct(*names).alias("row"), F.col("source").cast("string").alias("source"), _place().alias("h"))
+    taken = _with_thresholds(rows, state, few).filter("copies > 0")
+    return taken.select(*[F.col(f"row.`{c}`").alias(c) for c in names], "copies")
 
 
 def op2_mix_sources(spark, sf_dir):

@@ -212,5 +212,20 @@ def near_duplicates(docs: DataFrame, least: float = 0.8, bands: int = BANDS, row
     return whole.join(least_doc, "root").select(shown("doc").alias("doc_id"), shown("class").alias("class_id"))
 
 
+def drop_near_duplicates(docs: DataFrame, least: float = 0.8) -> DataFrame:
+    """docs with one row of each class of near_duplicates(): one that has the class's smallest doc_id. All columns pass."""
+    classes = near_duplicates(docs, least)
+    key = lambda c: F.coalesce(F.col(c), F.lit(LAST))
+    gone = materialize(classes.groupBy(key("doc_id").alias("doc")).agg(F.min(key("class_id")).alias("class"), F.count("*").alias("rows")).filter("doc != class or rows > 1"), "near-gone")
+    names = docs.columns
+    packed = docs.select(F.struct(*names).alias("row")).withColumn("doc", F.coalesce(F.col("row.doc_id").cast("long"), F.lit(LAST)))
+    kept = _only(packed, gone.select("doc"), "doc", "left_anti").select("row.*")
+    repeated = gone.filter("doc = class").select("doc")  # ids of several rows: one row of the smallest class each
+    if repeated.isEmpty():
+        return kept
+    some = _only(packed, repeated, "doc", "left_semi").dropDuplicates(["doc"]).select("row.*")
+    return kept.unionByName(some)
+
+
 def op6_near_duplicates(spark, sf_dir):
     return near_duplicates(spark.read.parquet(f"{sf_dir}/documents.parquet"))
