@@ -30,8 +30,8 @@ from .shingles import bags, mix, shingle_hashes, word_hashes
 BANDS, ROWS = 20, 4
 #: Id sets up to this many rows (16 bytes each) are broadcast; larger ones are joined by shuffle.
 BROADCAST_IDS = 1_000_000
-#: Leaders that a bucket may name in a round.
-SLOTS = 8
+#: Leaders that a bucket may name in the first round, and how many times more in each next one.
+SLOTS, MORE = 8, 16
 LAST = 2**63 - 1
 _U = np.uint64
 
@@ -181,12 +181,13 @@ def near_duplicates(docs: DataFrame, least: float = 0.8, bands: int = BANDS, row
     members = materialize(members.join(buckets, "bucket"), "near-members")
     pairs = materialize(members.filter("vertex != leader").select(F.col("leader").alias("a"), F.col("vertex").alias("b")).distinct(), "near-pairs")
     done = members.select("bucket", "leader").distinct()
-    members, tried, links, roots = members.select("bucket", "vertex"), pairs, None, None
+    members, tried, links, roots, slots = members.select("bucket", "vertex"), pairs, None, None, SLOTS
     while True:
         if not pairs.isEmpty():
             found = _verify(docs, pairs, vertices, least, shingle)
-            links = found if links is None else links.union(found)
-            roots = components(links)
+            if links is None or not found.isEmpty():
+                links = found if links is None else links.union(found)
+                roots = components(links)
         if links is None:
             break
         placed = members.join(roots, "vertex", "left").select("bucket", "vertex", F.coalesce("root", "vertex").alias("root"))
@@ -194,14 +195,16 @@ def near_duplicates(docs: DataFrame, least: float = 0.8, bands: int = BANDS, row
         placed = materialize(placed.join(mixed, "bucket"), "near-mixed")
         largest = placed.groupBy("bucket", "root").agg(F.count("*").alias("n")).groupBy("bucket").agg(F.max_by("root", F.struct("n", "root")).alias("largest"))
         minor = placed.join(largest, "bucket").filter("root != largest").join(done.withColumnRenamed("leader", "vertex"), ["bucket", "vertex"], "left_anti")
-        leaders = minor.groupBy("bucket", F.pmod(F.xxhash64("vertex"), F.lit(SLOTS)).alias("slot")).agg(F.min(F.struct("vertex", "root")).alias("l"))
+        leaders = minor.groupBy("bucket", F.pmod(F.xxhash64("vertex"), F.lit(slots)).alias("slot")).agg(F.min(F.struct("vertex", "root")).alias("l"))
         leaders = materialize(leaders.select("bucket", F.col("l.vertex").alias("leader"), F.col("l.root").alias("own")), "near-leaders")
         if leaders.isEmpty():
             break
         done = done.union(leaders.select("bucket", "leader"))
+        # a bucket without a leader left is done for good: components only grow together
+        members = materialize(placed.join(leaders.select("bucket").distinct(), "bucket", "left_semi").select("bucket", "vertex"), "near-members")
         met = placed.join(leaders, "bucket").filter("root != own").select(F.least("leader", "vertex").alias("a"), F.greatest("leader", "vertex").alias("b")).distinct()
         pairs = materialize(met.join(tried, ["a", "b"], "left_anti"), "near-pairs")
-        tried = tried.union(pairs)
+        tried, slots = tried.union(pairs), slots * MORE
     if links is None:
         whole = made.select("doc", F.col("bag").alias("root"), "bag")
     else:
