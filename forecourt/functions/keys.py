@@ -5,16 +5,16 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .text import as_column, clean_text
+from .text import as_column, clean_text, let
 
 MILEAGE_STEP = 5_000
 
 
 def vehicle_key(platform, source_id, fallback=None) -> Column:
     """Eight characters of the platform and the MD5 of platform and id; without an id, of the fallback."""
-    name = F.coalesce(clean_text(platform), F.lit("unknown"))
     own = clean_text(source_id) if fallback is None else F.coalesce(clean_text(source_id), clean_text(fallback))
-    return F.concat(F.substr(name, F.lit(1), F.lit(8)), F.lit("_"), F.md5(F.concat(name, F.lit("|"), F.coalesce(own, F.lit(""))).cast("binary")))
+    key = lambda name: F.concat(F.substr(name, F.lit(1), F.lit(8)), F.lit("_"), F.md5(F.concat(name, F.lit("|"), F.coalesce(own, F.lit(""))).cast("binary")))
+    return let(F.coalesce(clean_text(platform), F.lit("unknown")), key)
 
 
 def fingerprint(*parts) -> Column:
@@ -24,7 +24,7 @@ def fingerprint(*parts) -> Column:
 
 def match_key(brand, model, year, mileage, month) -> Column:
     """Same vehicle on several platforms: brand, model, year, month and mileage step; NULL without brand, model or year."""
-    brand, model, year, mileage, month = clean_text(brand), clean_text(model), *map(as_column, (year, mileage, month))
-    step = F.when(mileage >= 0, F.floor(mileage / MILEAGE_STEP).cast("string"))
-    parts = [brand, model, year.cast("string"), F.coalesce(F.lpad(month.cast("string"), 2, "0"), F.lit("na")), F.coalesce(step, F.lit("na"))]
-    return F.when(brand.isNotNull() & model.isNotNull() & year.isNotNull(), F.concat_ws("|", *parts))
+    year, month = as_column(year), as_column(month)
+    step = let(mileage, lambda km: F.when(km >= 0, F.floor(km / MILEAGE_STEP).cast("string")))
+    parts = F.array(clean_text(brand), clean_text(model), year.cast("string"), F.coalesce(F.lpad(month.cast("string"), 2, "0"), F.lit("na")), F.coalesce(step, F.lit("na")))
+    return let(parts, lambda p: F.when(~F.exists(p, lambda x: x.isNull()), F.array_join(p, "|")))

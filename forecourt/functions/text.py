@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -13,19 +15,25 @@ def as_column(c: str | Column) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def let(value: str | Column, body: Callable[[Column], Column]) -> Column:
+    """body(value) with the value computed once. Optimizer rules that move or merge projections copy what a Column stands
+    for at every place it is used, which for nested text rules grows without bound; a lambda's variable is never copied."""
+    return F.element_at(F.transform(F.array(as_column(value)), body), 1)
+
+
 def blank_to_null(c: str | Column) -> Column:
-    return F.nullif(as_column(c), F.lit(""))
+    return let(c, lambda t: F.when(t != "", t))
 
 
 def extract(c: str | Column, pattern: str, group: int = 0) -> Column:
     """A group of the first match, NULL where nothing matches (regexp_extract gives an empty text there)."""
-    return F.nullif(F.regexp_extract(as_column(c), pattern, group), F.lit(""))
+    return blank_to_null(F.regexp_extract(as_column(c), pattern, group))
 
 
 def clean_text(c: str | Column) -> Column:
     """Runs of white space (full-width blanks too) become one blank, ends are trimmed, null tokens become NULL."""
     text = F.trim(F.regexp_replace(as_column(c).cast("string"), r"(?U)[\s　]+", " "))
-    return F.when(~text.isin(*NULL_TOKENS), text)
+    return let(text, lambda t: F.when(~t.isin(*NULL_TOKENS), t))
 
 
 def is_missing(c: str | Column) -> Column:
@@ -39,6 +47,6 @@ def clean_city(c: str | Column) -> Column:
 
 def relative_url(base: str | Column, href: str | Column) -> Column:
     """Absolute links pass; others are joined to the base with one slash (without a base they pass too)."""
-    link, base = clean_text(href), blank_to_null(base)
-    joined = F.concat(F.rtrim(base, F.lit("/")), F.lit("/"), F.ltrim(link, F.lit("/")))
-    return F.when(link.rlike("^(https?|file|local)://") | base.isNull(), link).otherwise(joined)
+    base = blank_to_null(base)
+    joined = lambda link: F.concat(F.rtrim(base, F.lit("/")), F.lit("/"), F.ltrim(link, F.lit("/")))
+    return let(clean_text(href), lambda link: F.when(link.rlike("^(https?|file|local)://") | base.isNull(), link).otherwise(joined(link)))
