@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 
 from pyspark.sql import Column
@@ -9,6 +10,7 @@ from pyspark.sql import functions as F
 
 # Texts that stand for a missing value.
 NULL_TOKENS = ("", "-", "--", "暂无", "无", "面议", "待定", "null", "None", "nan", "NaN", "未披露")
+_NULL = "^(?:" + "|".join(map(re.escape, NULL_TOKENS)) + ")$"
 
 
 def as_column(c: str | Column) -> Column:
@@ -33,7 +35,7 @@ def extract(c: str | Column, pattern: str, group: int = 0) -> Column:
 def clean_text(c: str | Column) -> Column:
     """Runs of white space (full-width blanks too) become one blank, ends are trimmed, null tokens become NULL."""
     text = F.trim(F.regexp_replace(as_column(c).cast("string"), r"(?U)[\s　]+", " "))
-    return let(text, lambda t: F.when(~t.isin(*NULL_TOKENS), t))
+    return let(text, lambda t: F.when(~t.rlike(_NULL), t))
 
 
 def is_missing(c: str | Column) -> Column:
