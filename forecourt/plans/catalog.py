@@ -17,6 +17,8 @@ BASE_URL = "https://cars.example.org/"
 
 
 def normalized(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # the optimizer would derive constraints from every pair of these long expressions, for minutes
+    spark.conf.set("spark.sql.constraintPropagation.enabled", "false")
     return normalize.normalize(listings_raw(spark, sf_dir), AS_OF, BASE_URL, keep=LAST)
 
 
@@ -297,7 +299,7 @@ def brand_retention_rank(spark, sf_dir):
     return market.brand_retention_rank(market_table(spark, sf_dir))
 
 
-@query(f"SELECT {_bucket(f'({AGE_SQL})', market.AGE_EDGES)} AS age_bucket, {_bucket('mileage_km', market.MILEAGE_EDGES)} AS mileage_bucket, count(*) AS n FROM t GROUP BY ALL HAVING age_bucket IS NOT NULL AND mileage_bucket IS NOT NULL")
+@query(f"SELECT age_bucket, mileage_bucket, count(*) AS n FROM (SELECT {_bucket('age', market.AGE_EDGES)} AS age_bucket, {_bucket('mileage_km', market.MILEAGE_EDGES)} AS mileage_bucket FROM (SELECT {AGE_SQL} AS age, mileage_km FROM t)) WHERE age_bucket IS NOT NULL AND mileage_bucket IS NOT NULL GROUP BY 1, 2")
 def age_mileage_heat(spark, sf_dir):
     return market.age_mileage_heat(market_table(spark, sf_dir), AS_OF)
 
