@@ -11,6 +11,7 @@ from __future__ import annotations
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from .common import BLANKS, ascii_lower, materialize, new_path, text_or_empty
 
@@ -58,7 +59,7 @@ def _lines(batch: DataFrame, least: int) -> DataFrame:
     return bare.select("doc", "mark", "pos", F.unhex(F.md5(ascii_lower(F.col("bare")).cast("binary"))).alias("key"))
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def _without(texts: pd.Series, dropped: pd.Series) -> pd.Series:
     def kept(text, at):
         if at is None:
