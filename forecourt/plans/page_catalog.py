@@ -54,7 +54,7 @@ def _cards(spark, sf_dir):
     return cards.extract_cards(_pages(spark, sf_dir).withColumn("source", F.lit("menu")), _menu_sources(spark, sf_dir))
 
 
-@query(r"""SELECT page_id, CAST(o AS INTEGER) AS ord, regexp_extract(m, '>([^<]*)<', 1) AS title_raw, 'https://www.example.org' || regexp_extract(m, 'href="([^"]*)"', 1) AS detail_url
+@query(r"""SELECT page_id, CAST(o AS INTEGER) AS ord, regexp_extract(m, '">([^<]*)<', 1) AS title_raw, 'https://www.example.org' || regexp_extract(m, 'href="([^"]*)"', 1) AS detail_url
   FROM (SELECT page_id, unnest(l) AS m, unnest(range(len(l))) AS o FROM (SELECT page_id, regexp_extract_all(regexp_extract(html, '<nav><ul>(.*?)</ul></nav>', 1), '<li><a href="[^"]*">[^<]+</a></li>') AS l FROM pages))""", base=False)
 def card_extract(spark, sf_dir):
     return _cards(spark, sf_dir)[0].select("page_id", "ord", "title_raw", "detail_url")
