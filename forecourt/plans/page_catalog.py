@@ -138,7 +138,7 @@ def sitemap_walk(spark, sf_dir):
     return frontier.sitemap_walk(index, maps, child_limit=3)
 
 
-@query("WITH p AS (SELECT page_id, page_id // 50 AS map, row_number() OVER (PARTITION BY page_id // 50 ORDER BY page_id) - 1 AS at, count(*) OVER (PARTITION BY page_id // 50) AS n FROM pages) SELECT page_id, map FROM p WHERE n <= 7 OR at IN (SELECT CAST(floor(i * (p.n::DOUBLE / 7)) AS BIGINT) FROM range(7) r(i))", base=False)
+@query("WITH p AS (SELECT page_id, page_id // 50 AS map, row_number() OVER (PARTITION BY page_id // 50 ORDER BY page_id) - 1 AS pos, count(*) OVER (PARTITION BY page_id // 50) AS n FROM pages) SELECT page_id, map FROM p WHERE n <= 7 OR pos IN (SELECT CAST(floor(i * (p.n::DOUBLE / 7)) AS BIGINT) FROM range(7) r(i))", base=False)
 def even_sample(spark, sf_dir):
     rows = _pages(spark, sf_dir).select("page_id", F.expr("page_id div 50").alias("map"))
     return frontier.even_sample(rows, "map", "page_id", 7)
