@@ -34,10 +34,11 @@ def new_path(spark: SparkSession, what: str) -> str:
     return path
 
 
-def materialize(df: DataFrame, what: str) -> DataFrame:
-    """Writes df to the shared folder and reads it back: cuts the lineage, survives the loss of executors."""
+def materialize(df: DataFrame, what: str, compression: str = "snappy") -> DataFrame:
+    """Writes df to the shared folder and reads it back: cuts the lineage, survives the loss of executors. Hashes
+    don't compress: for tables of them "none" spares the codec's buffers, which lie outside the heap."""
     path = new_path(df.sparkSession, what)
-    df.write.parquet(path)
+    df.write.option("compression", compression).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

@@ -36,7 +36,7 @@ class LineRuns:
 
     def _write(self, rows: DataFrame, level: int) -> None:
         path = new_path(self.spark, f"line-run-level{level}")
-        rows.select("key", "owner").sortWithinPartitions("key").write.parquet(path)
+        rows.select("key", "owner").sortWithinPartitions("key").write.option("compression", "none").parquet(path)
         while len(self.levels) <= level:
             self.levels.append([])
         self.levels[level].append(path)
@@ -82,11 +82,11 @@ def dedup_batch(docs: DataFrame, runs: LineRuns, least: int = 10) -> DataFrame:
     """
     names = [c for c in docs.columns if c not in ("n_lines", "n_dropped")]
     batch = docs.select(F.struct(*names).alias("row")).select("row", F.coalesce(F.col("row.doc_id").cast("long"), F.lit(LAST)).alias("doc"), F.xxhash64(text_or_empty("row.text")).alias("mark"))
-    lines = materialize(_lines(batch, least), "line-keys")
+    lines = materialize(_lines(batch, least), "line-keys", "none")
     first = lines.groupBy("key").agg(F.min("doc").alias("owner"), (F.min("doc") < F.max("doc")).alias("many"))
     seen = runs.read().select("key", F.lit(True).alias("seen"))
-    first = materialize(first.join(seen.hint("merge"), "key", "left"), "line-owners")
-    runs.add(first.filter("seen is null").repartition("key"))
+    first = materialize(first.join(seen.hint("merge"), "key", "left"), "line-owners", "none")
+    runs.add(first.filter("seen is null"))  # its files are parts by key already
     shared = first.filter("many or seen").select("key", F.when(F.col("seen"), -1 - LAST).otherwise(F.col("owner")).alias("owner"))
     gone = lines.join(shared.hint("merge"), "key").filter("owner < doc").groupBy("doc", "mark").agg(F.collect_set("pos").alias("dropped"))
     kept = batch.join(gone, ["doc", "mark"], "left")
