@@ -42,6 +42,13 @@ def materialize(df: DataFrame, what: str, compression: str = "snappy") -> DataFr
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def discard(df: DataFrame) -> None:
+    """Deletes a table that materialize() wrote, once what was made of it is itself written."""
+    for path in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
+        at = df.sparkSession.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        at.getFileSystem(df.sparkSession.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
+
+
 def release(spark: SparkSession) -> None:
     """Deletes every table that this session's operators have written to the shared folder; their results
     can't be read afterwards."""

@@ -9,9 +9,10 @@ with the probability of the weighted Jaccard similarity.
 
 Classes: equal bags are one vertex. Vertices are banded; in each bucket the others are verified against one leader (exact
 multiset overlap). Only buckets whose vertices are still of several components need more pairs: there every vertex
-outside the bucket's largest component becomes a leader in turn, against the vertices of other components. A pair within
-one component can't change the classes and is never made, so copies aren't expanded into pairs, and no link between
-texts that share a bucket is lost.
+outside the bucket's largest component becomes a leader in turn, against vertices of other components: first against some of
+them, and only while it finds no link against more, in the end all. A pair within one component can't change the
+classes and is never made, nor is a pair whose sizes alone keep it under the threshold; so copies aren't expanded
+into pairs, and no link between texts that share a bucket is lost.
 """
 
 from __future__ import annotations
@@ -21,10 +22,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize, text_or_empty, text_slices
+from .common import discard, materialize, text_or_empty, text_slices
 from .shingles import bags, mix, shingle_hashes, word_hashes
 
 BANDS, ROWS = 20, 4
@@ -32,6 +33,8 @@ BANDS, ROWS = 20, 4
 BROADCAST_IDS = 1_000_000
 #: Leaders that a bucket may name in the first round, and how many times more in each next one.
 SLOTS, MORE = 8, 16
+#: Vertices of a bucket that a leader is compared with in the first round, about, and how many times more in each next one.
+REACH, FURTHER = 64, 8
 LAST = 2**63 - 1
 _U = np.uint64
 
@@ -100,20 +103,21 @@ def _digests(owner: np.ndarray, hashes: np.ndarray, weight: np.ndarray, texts: i
 
 
 def signatures(docs: DataFrame, bands: int = BANDS, rows: int = ROWS, shingle: int = 5) -> DataFrame:
-    """docs(doc_id, text, ...) -> doc, bag (digest of the multiset of shingles), bands (array; empty for empty bags)."""
+    """docs(doc_id, text, ...) -> doc, bag (digest of the multiset of shingles), size (shingles), bands (array; empty for empty bags)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            digests, keys = [], []
+            digests, keys, sizes = [], [], [np.zeros(0, np.int64)]
             for a, b, (words, counts) in _raw_slices(batch.column(1)):
                 owner, hashes, weight, _ = bags(*shingle_hashes(words, counts, shingle))
                 digests += _digests(owner, hashes, weight, b - a)
+                sizes.append(np.bincount(owner, weight, minlength=b - a).astype(np.int64))
                 found = band_keys(bag_minhash(owner, hashes, weight, b - a, bands * rows), rows).view(np.int64)
                 keys += [k if n else k[:0] for k, n in zip(found, counts)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(digests, pa.binary()), pa.array(keys, pa.list_(pa.int64()))], ["doc", "bag", "bands"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(digests, pa.binary()), pa.array(np.concatenate(sizes)), pa.array(keys, pa.list_(pa.int64()))], ["doc", "bag", "size", "bands"])
 
     doc = F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST)).alias("doc")
-    return docs.select(doc, text_or_empty().alias("text")).mapInArrow(run, "doc long, bag binary, bands array<long>")
+    return docs.select(doc, text_or_empty().alias("text")).mapInArrow(run, "doc long, bag binary, size long, bands array<long>")
 
 
 def _shingle_sets(docs: DataFrame, shingle: int) -> DataFrame:
@@ -148,7 +152,14 @@ def _verify(docs: DataFrame, pairs: DataFrame, vertices: DataFrame, least: float
     a, b = sets.select(F.col("bag").alias("a"), F.col("items").alias("x")), sets.select(F.col("bag").alias("b"), F.col("items").alias("y"))
     shared = F.size(F.array_intersect("x", "y"))
     found = pairs.join(b, "b").join(a, "a").select("a", "b", (shared / (F.size("x") + F.size("y") - shared)).alias("similarity"))
-    return materialize(found.filter(F.col("similarity") >= least).distinct(), "near-links")
+    links = materialize(found.filter(F.col("similarity") >= least).distinct(), "near-links")
+    discard(sets)
+    return links
+
+
+def _can_reach(a: str, b: str, least: float) -> Column:
+    """Whether bags of sizes a and b can be that similar: they share the smaller one's size at most."""
+    return F.least(a, b) >= F.greatest(a, b) * F.lit(least) - 1e-9
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -175,36 +186,38 @@ def near_duplicates(docs: DataFrame, least: float = 0.8, bands: int = BANDS, row
     the class_id only of a class of null ids. An empty table gives no rows; other columns are ignored.
     """
     made = materialize(signatures(docs, bands, rows, shingle), "near-signatures")
-    vertices = materialize(made.groupBy("bag").agg(F.min("doc").alias("doc"), F.first("bands").alias("bands")), "near-vertices")
-    members = vertices.select(F.col("bag").alias("vertex"), F.explode("bands").alias("bucket"))
-    buckets = members.groupBy("bucket").agg(F.min("vertex").alias("leader"), F.max("vertex").alias("most")).filter("leader != most").select("bucket", "leader")
+    vertices = materialize(made.groupBy("bag").agg(F.min("doc").alias("doc"), F.first("size").alias("size"), F.first("bands").alias("bands")), "near-vertices")
+    members = vertices.select(F.col("bag").alias("vertex"), "size", F.explode("bands").alias("bucket"))
+    first = F.min(F.struct("vertex", "size")).alias("l")
+    buckets = members.groupBy("bucket").agg(first, F.max("vertex").alias("most")).filter("l.vertex != most").select("bucket", F.col("l.vertex").alias("leader"), F.col("l.size").alias("leader_size"))
     members = materialize(members.join(buckets, "bucket"), "near-members")
-    pairs = materialize(members.filter("vertex != leader").select(F.col("leader").alias("a"), F.col("vertex").alias("b")).distinct(), "near-pairs")
+    pairs = materialize(members.filter("vertex != leader").filter(_can_reach("size", "leader_size", least)).select(F.col("leader").alias("a"), F.col("vertex").alias("b")).distinct(), "near-pairs")
     done = members.select("bucket", "leader").distinct()
-    members, tried, links, roots, slots = members.select("bucket", "vertex"), pairs, None, None, SLOTS
+    members, tried, links, roots, slots, reach = members.select("bucket", "vertex", "size"), pairs, None, None, SLOTS, REACH
     while True:
         if not pairs.isEmpty():
             found = _verify(docs, pairs, vertices, least, shingle)
             if links is None or not found.isEmpty():
                 links = found if links is None else links.union(found)
                 roots = components(links)
-        if links is None:
-            break
-        placed = members.join(roots, "vertex", "left").select("bucket", "vertex", F.coalesce("root", "vertex").alias("root"))
+        placed = members.withColumn("root", F.col("vertex")) if links is None else members.join(roots, "vertex", "left").select("bucket", "vertex", "size", F.coalesce("root", "vertex").alias("root"))
         mixed = placed.groupBy("bucket").agg(F.min("root").alias("r"), F.max("root").alias("s")).filter("r != s").select("bucket")
         placed = materialize(placed.join(mixed, "bucket"), "near-mixed")
-        largest = placed.groupBy("bucket", "root").agg(F.count("*").alias("n")).groupBy("bucket").agg(F.max_by("root", F.struct("n", "root")).alias("largest"))
+        # into how many parts a bucket's vertices fall, one of which is met: a power of two, so that parts of later rounds hold the earlier ones
+        parts = F.pow(F.lit(2), F.greatest(F.ceil(F.log2(F.sum("n") / reach)), F.lit(0))).cast("long")
+        largest = placed.groupBy("bucket", "root").agg(F.count("*").alias("n")).groupBy("bucket").agg(F.max_by("root", F.struct("n", "root")).alias("largest"), parts.alias("parts"))
         minor = placed.join(largest, "bucket").filter("root != largest").join(done.withColumnRenamed("leader", "vertex"), ["bucket", "vertex"], "left_anti")
-        leaders = minor.groupBy("bucket", F.pmod(F.xxhash64("vertex"), F.lit(slots)).alias("slot")).agg(F.min(F.struct("vertex", "root")).alias("l"))
-        leaders = materialize(leaders.select("bucket", F.col("l.vertex").alias("leader"), F.col("l.root").alias("own")), "near-leaders")
+        leaders = minor.groupBy("bucket", F.pmod(F.xxhash64("vertex"), F.lit(slots)).alias("slot")).agg(F.min(F.struct("vertex", "root", "size", "parts")).alias("l"))
+        leaders = materialize(leaders.select("bucket", F.col("l.vertex").alias("leader"), F.col("l.root").alias("own"), F.col("l.size").alias("leader_size"), F.col("l.parts").alias("parts")), "near-leaders")
         if leaders.isEmpty():
             break
-        done = done.union(leaders.select("bucket", "leader"))
+        done = done.union(leaders.filter("parts = 1").select("bucket", "leader"))
         # a bucket without a leader left is done for good: components only grow together
-        members = materialize(placed.join(leaders.select("bucket").distinct(), "bucket", "left_semi").select("bucket", "vertex"), "near-members")
-        met = placed.join(leaders, "bucket").filter("root != own").select(F.least("leader", "vertex").alias("a"), F.greatest("leader", "vertex").alias("b")).distinct()
-        pairs = materialize(met.join(tried, ["a", "b"], "left_anti"), "near-pairs")
-        tried, slots = tried.union(pairs), slots * MORE
+        members = materialize(placed.join(leaders.select("bucket").distinct(), "bucket", "left_semi").select("bucket", "vertex", "size"), "near-members")
+        a, b = F.least("leader", "vertex").alias("a"), F.greatest("leader", "vertex").alias("b")
+        met = placed.join(leaders, "bucket").filter("root != own").filter(_can_reach("size", "leader_size", least)).filter(F.pmod(F.xxhash64(a, b), F.col("parts")) == 0)
+        pairs = materialize(met.select(a, b).distinct().join(tried, ["a", "b"], "left_anti"), "near-pairs")
+        tried, slots, reach = tried.union(pairs), slots * MORE, reach * FURTHER
     if links is None:
         whole = made.select("doc", F.col("bag").alias("root"), "bag")
     else:
