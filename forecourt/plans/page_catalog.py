@@ -39,7 +39,7 @@ def page_store(spark, sf_dir):
     return pages.with_page_id(_pages(spark, sf_dir).select(F.col("page_id").alias("n"), "url", F.col("html").alias("body"))).select(F.col("n").alias("page_id"), F.col("page_id").alias("id"), "content_md5", "size")
 
 
-@query(r"SELECT page_id, coalesce(nullif(regexp_extract(url, '[?&](?:id|carid|infoId|car_id)=([A-Za-z0-9_-]{4,})', 1), ''), nullif(regexp_extract(url, '/(\d{6,})(?:\.html?|/)?$', 1), ''), nullif(regexp_extract(url, '-(\d{6,})(?:\.html?)?$', 1), ''), regexp_extract(rtrim(split_part(url, '?', 1), '/'), '([^/]*)$', 1)) AS source_id, regexp_extract(rtrim(regexp_replace(url, '[?#].*$', ''), '/'), '([^/]*)$', 1) AS detail_id FROM pages", base=False)
+@query(r"SELECT page_id, coalesce(nullif(regexp_extract(url, '[?&](?:id|carid|infoId|car_id)=([A-Za-z0-9_-]{4,})', 1), ''), nullif(regexp_extract(url, '/(\d{6,})(?:\.html?|/)?$', 1), ''), nullif(regexp_extract(url, '-(\d{6,})(?:\.html?)?$', 1), ''), regexp_extract(rtrim(split_part(url, '?', 1), '/'), '([^/]*)$', 1)) AS source_id, nullif(regexp_replace(regexp_extract(rtrim(regexp_replace(url, '[?#].*$', ''), '/'), '([^/]*)$', 1), '\.(md|html?)$', '', 'i'), '') AS detail_id FROM pages", base=False)
 def url_ids(spark, sf_dir):
     return _pages(spark, sf_dir).select("page_id", pages.source_id_of_url("url").alias("source_id"), pages.detail_id("url").alias("detail_id"))
 
