@@ -452,9 +452,19 @@ def volume_check(spark, sf_dir):
     return quality.volume_check(runs, "run", "source_platform")
 
 
-@query("SELECT 'year' AS field, count(*) AS n FROM v WHERE false GROUP BY 1")
+_YUAN = "TRY_CAST(nullif(regexp_extract(price_raw, '^([0-9]+)元', 1), '') AS BIGINT)"
+_SAID = {
+    "price": (f"coalesce(TRY_CAST(nullif(regexp_extract(price_raw, '^([0-9.]+)万', 1), '') AS DOUBLE), ({_YUAN} // 100 + CASE WHEN {_YUAN} % 100 > 50 OR ({_YUAN} % 100 = 50 AND {_YUAN} // 100 % 2 = 1) THEN 1 ELSE 0 END) / 100.0::DOUBLE)", "price_wan"),
+    "mileage": ("coalesce(CAST(trunc(TRY_CAST(nullif(regexp_extract(mileage_raw, '^([0-9.]+)万', 1), '') AS DOUBLE) * 10000) AS BIGINT), TRY_CAST(nullif(regexp_extract(mileage_raw, '^([0-9]+)公里', 1), '') AS BIGINT))", "mileage_km"),
+    "year": (r"TRY_CAST(nullif(regexp_extract(reg_date_raw, '^(\d{4})[年款]', 1), '') AS INTEGER)", "reg_year"),
+    "brand": (_brand(f"({_txt('brand_raw')})"), "brand"),
+}
+_SAID_SQL = ", said AS (SELECT source_platform, source_id, part_no, supp_no, asked, " + ", ".join(f"{e} AS said_{f}" for f, (e, _) in _SAID.items()) + " FROM lr), met AS (SELECT * FROM said JOIN m USING (source_platform, source_id, part_no, supp_no, asked)) "
+
+
+@query(_SAID_SQL + " UNION ALL ".join(f"SELECT '{f}' AS field, count(*) AS n FROM met WHERE said_{f} IS NOT NULL AND said_{f} IS DISTINCT FROM {c} HAVING count(*) > 0" for f, (_, c) in _SAID.items()))
 def reconcile(spark, sf_dir):
-    """Mismatches by field; none on these tables. Rows are matched on a key of all that tells them apart."""
+    """Mismatches by field: prices under 1000 yuan, which the price rule reads as 10 000 yuan, and 0万, which it drops. Rows are matched on a key of all that tells them apart."""
     raw = listings_raw(spark, sf_dir)
     key = F.md5(keys.fingerprint("source_platform", "source_id", "part_no", "supp_no", "asked").cast("binary"))
     return quality.reconcile(normalized(spark, sf_dir).withColumn("k", key), raw.withColumn("k", key), "k").groupBy("field").agg(F.count("*").alias("n"))
