@@ -2,8 +2,9 @@
 
 Centroids and codebooks are fitted on a bounded sample; every vector is indexed. A query probes its best cells, as many
 as held nearly all true neighbours when vectors of the sample were searched by brute force in it; within a
-cell, asymmetric tables (query against codewords) give approximate inner products, and the best of them are ranked
-again by the exact inner product of the original vectors. Cells are dealt out to shards of bounded size; a cell too large
+cell, asymmetric tables (query against codewords) give approximate inner products. A row's quantisation error is kept
+with its codes; with it every approximate product has a lower and an upper bound, and all rows whose upper bound reaches
+the k-th best lower bound are ranked again by the exact inner product of the original vectors, however many they are. Cells are dealt out to shards of bounded size; a cell too large
 for one (it may hold a third of all rows) is spread over all of them. Queries come to a shard in blocks.
 """
 
@@ -33,6 +34,8 @@ class Model:
     centroids: np.ndarray  # cells x dim
     codebooks: np.ndarray  # parts x codes x (dim / parts)
     probes: int = 0
+    reach: float = 1.0  # largest error of a product that was measured, as a part of the norms of query and row error
+    sample: np.ndarray | None = None  # distinct vectors; their k-th best product is a lower bound of a query's k-th best
 
     @property
     def parts(self) -> int:
@@ -43,6 +46,16 @@ class Model:
         rest = (x - self.centroids[cells]).reshape(len(x), self.parts, -1)
         return cells, np.stack([nearest(rest[:, p], self.codebooks[p]) for p in range(self.parts)], 1).astype(np.uint8)
 
+    def errors(self, x: np.ndarray, cells: np.ndarray, codes: np.ndarray) -> np.ndarray:
+        """What the codes leave out of each vector."""
+        return x - self.centroids[cells] - np.concatenate([book[codes[:, p]] for p, book in enumerate(self.codebooks)], 1)
+
+    def least(self, q: np.ndarray, k: int) -> np.ndarray:
+        """Of each query a product that k other vectors reach at least; -inf if the sample is too small."""
+        if len(self.sample) <= k:
+            return np.full(len(q), -np.inf)
+        return np.concatenate([np.zeros(0), *(np.partition(q[i : i + 256] @ self.sample.T, -k - 1, 1)[:, -k - 1] for i in range(0, len(q), 256))])
+
 
 def nearest(x: np.ndarray, centres: np.ndarray) -> np.ndarray:
     """Of each row of x the nearest centre by Euclidean distance, the first of equals."""
@@ -78,7 +91,19 @@ def fit(sample: np.ndarray, cells: int, parts: int, codes: int, k: int, seed: in
     centroids = kmeans(distinct, cells, 8, seed)
     rest = (distinct - centroids[nearest(distinct, centroids)]).reshape(len(distinct), parts, -1)
     books = [kmeans(rest[:, p], codes, 6, seed + 1 + p) for p in range(parts)]
-    return Model(centroids, np.stack(books), probes_needed(distinct, centroids, k, seed))
+    model = Model(centroids, np.stack(books), probes_needed(distinct, centroids, k, seed), sample=distinct)
+    model.reach = error_reach(model, distinct, seed)
+    return model
+
+
+def error_reach(model: Model, sample: np.ndarray, seed: int) -> float:
+    """The largest |query x error| / (|query| |error|) of TRIALS queries and all rows of the sample; 1 can't be exceeded."""
+    trial = sample[np.random.default_rng(seed).choice(len(sample), min(TRIALS, len(sample)), replace=False)]
+    trial = trial / np.linalg.norm(trial, axis=1, keepdims=True)
+    left = model.errors(sample, *model.encode(sample))
+    norms = np.linalg.norm(left, axis=1)
+    left = left[norms > 1e-9] / norms[norms > 1e-9, None]
+    return min(1.0, max((float(np.abs(left[i : i + 4096] @ trial.T).max()) for i in range(0, len(left), 4096)), default=1.0))
 
 
 def valid_vectors(vectors: DataFrame) -> DataFrame:
@@ -91,13 +116,15 @@ def valid_vectors(vectors: DataFrame) -> DataFrame:
     return v.filter(F.size("embedding") == (top or 0))
 
 
-def search(vectors: DataFrame, queries: DataFrame, k: int = 20, probes: int | None = None, parts: int = 16, rerank: int = 256) -> DataFrame:
+def search(vectors: DataFrame, queries: DataFrame, k: int = 20, probes: int | None = None, parts: int = 16) -> DataFrame:
     """vectors(vec_id, embedding, ...), queries (ids in a column query_id, a subset of vec_id) -> query_id, rank, vec_id,
     score: of each query that takes part its k nearest found, by largest inner product, the query's own id left out.
 
     score is the inner product of the original vectors in double precision; ties go to the smaller vec_id. Rows of one
     vec_id are one vector (its least row by value). Vectors null, zero, with null or non-finite components or of
     an odd dimension take no part. Fewer candidates than k: all that are found. Empty tables give no rows.
+    Every row of the probed cells that can be among the k nearest by the measured error of its approximate product is
+    ranked by its exact one; of equal vectors only the first k + 1 by vec_id can be, the others are not indexed.
     The number of cells is the root of the number of rows (1024 at most); probes: cells probed, measured on the sample if None.
     """
     spark = vectors.sparkSession
@@ -114,40 +141,44 @@ def search(vectors: DataFrame, queries: DataFrame, k: int = 20, probes: int | No
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            cells, codes = model.value.encode(_matrix(batch.column(1)))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(cells, pa.int32()), pa.array([c.tobytes() for c in codes], pa.binary())], ["vec_id", "cell", "codes"])
-
-    index = materialize(base.mapInArrow(encode, "vec_id long, cell int, codes binary"), "ann-index")
+            x = _matrix(batch.column(1))
+            cells, codes = model.value.encode(x)
+            off = np.linalg.norm(model.value.errors(x, cells, codes), axis=1)
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(cells, pa.int32()), pa.array([c.tobytes() for c in codes], pa.binary()), pa.array(off)], ["vec_id", "cell", "codes", "off"])
+
+    alike = Window.partitionBy("embedding").orderBy("vec_id")
+    needed = base.withColumn("copy", F.row_number().over(alike)).filter(F.col("copy") <= k + 1).select("vec_id", "embedding")
+    index = materialize(needed.mapInArrow(encode, "vec_id long, cell int, codes binary, off double"), "ann-index")
     large = np.zeros(len(model.value.centroids), bool)
     for row in index.groupBy("cell").agg(F.count("*").alias("n")).collect():  # one row a cell, 1024 at most
         large[row["cell"]] = row["n"] > SHARD
     shards, blocks = -(-n // SHARD), max(1, -(-queries.count() // BLOCK))
-    keep = min(rerank, max(k + 12, -(-4 * rerank // shards)))
 
     def probe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            near = np.argsort(-(_matrix(batch.column(1)) @ model.value.centroids.T), 1, kind="stable")[:, :probed]
+            q = _matrix(batch.column(1))
+            near, least = np.argsort(-(q @ model.value.centroids.T), 1, kind="stable")[:, :probed], model.value.least(q, k)
             for s in range(shards):
                 cells = [c[large[c] | (c % shards == s)].tolist() for c in near]
                 rows = pa.array([i for i, c in enumerate(cells) if c], pa.int64())
-                yield pa.RecordBatch.from_arrays([batch.column(0).take(rows), pa.array(np.full(len(rows), s), pa.int32()), batch.column(1).take(rows), pa.array([c for c in cells if c], pa.list_(pa.int32()))], ["query_id", "shard", "vector", "cells"])
+                yield pa.RecordBatch.from_arrays([batch.column(0).take(rows), pa.array(np.full(len(rows), s), pa.int32()), batch.column(1).take(rows), pa.array([c for c in cells if c], pa.list_(pa.int32())), pa.array(least[rows.to_numpy()])], ["query_id", "shard", "vector", "cells", "least"])
 
     spread = [int(c) for c in np.flatnonzero(large)]
     shard = F.when(F.col("cell").isin(spread), F.pmod(F.xxhash64("vec_id"), F.lit(shards))).otherwise(F.col("cell") % shards) if spread else F.col("cell") % shards
     rows = index.withColumn("shard", shard.cast("int")).withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
     asked = base.join(queries.select(F.col("query_id").cast("long").alias("vec_id")).distinct(), "vec_id", "left_semi").select(F.col("vec_id").alias("query_id"), "embedding")
-    asked = asked.mapInArrow(probe, "query_id long, shard int, vector array<double>, cells array<int>").withColumn("block", F.pmod(F.xxhash64("query_id"), F.lit(blocks)).cast("int"))
+    asked = asked.mapInArrow(probe, "query_id long, shard int, vector array<double>, cells array<int>, least double").withColumn("block", F.pmod(F.xxhash64("query_id"), F.lit(blocks)).cast("int"))
 
     def scan(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         if not len(left) or not len(right):
-            return pd.DataFrame({"query_id": np.zeros(0, np.int64), "vec_id": np.zeros(0, np.int64), "near": np.zeros(0)})
+            return pd.DataFrame({"query_id": np.zeros(0, np.int64), "vec_id": np.zeros(0, np.int64), "low": np.zeros(0), "high": np.zeros(0)})
         m = model.value
         right = right.sort_values(["cell", "vec_id"], kind="stable")
         ids, cells = right["vec_id"].to_numpy(), right["cell"].to_numpy()
         codes = np.frombuffer(b"".join(right["codes"]), np.uint8).reshape(len(right), m.parts)
         held, starts = np.unique(cells, return_index=True)
         ends = np.append(starts[1:], len(cells))
-        by_id = np.argsort(ids, kind="stable")
+        off = right["off"].to_numpy()
         found = []
         for a in range(0, len(left), 128):
             part = left.iloc[a : a + 128]
@@ -162,17 +193,21 @@ def search(vectors: DataFrame, queries: DataFrame, k: int = 20, probes: int | No
                 for p in range(m.parts):
                     total += tables[p][some][:, codes[i:j, p]]
                 near[some, i:j] = total
-            near = near[:, by_id]
-            near[own[:, None] == ids[by_id][None, :]] = -np.inf
-            top = np.argsort(-near, 1, kind="stable")[:, :keep]  # equals stay in order of vec_id
-            best = np.take_along_axis(near, top, 1)
-            fine = np.isfinite(best)
-            found.append(pd.DataFrame({"query_id": np.repeat(own, top.shape[1])[fine.ravel()], "vec_id": ids[by_id][top][fine], "near": best[fine]}))
+            near[own[:, None] == ids[None, :]] = -np.inf
+            slack = m.reach * np.linalg.norm(q, axis=1)[:, None] * off[None, :] + 1e-9 * np.abs(np.where(np.isfinite(near), near, 0))
+            low, high = near - slack, near + slack
+            few = min(k, low.shape[1])
+            best = -np.partition(-low, few - 1, 1)[:, few - 1]
+            # the k best of the shard stay in any case: the cells probed may hold fewer that reach the sample's k-th best
+            row, at = np.nonzero(np.isfinite(near) & ((high >= np.maximum(best, part["least"].to_numpy())[:, None]) | (low >= best[:, None])))
+            found.append(pd.DataFrame({"query_id": own[row], "vec_id": ids[at], "low": low[row, at], "high": high[row, at]}))
         return pd.concat(found)
 
-    met = asked.groupBy("shard", "block").cogroup(rows.groupBy("shard", "block")).applyInPandas(scan, "query_id long, vec_id long, near double")
-    by_query = Window.partitionBy("query_id")  # shards * keep rows a query at most
-    first = met.withColumn("place", F.row_number().over(by_query.orderBy(F.desc("near"), "vec_id"))).filter(F.col("place") <= rerank).select("query_id", "vec_id")
+    met = asked.groupBy("shard", "block").cogroup(rows.groupBy("shard", "block")).applyInPandas(scan, "query_id long, vec_id long, low double, high double")
+    met = materialize(met, "ann-met")
+    by_query = Window.partitionBy("query_id")
+    lows = met.withColumn("place", F.row_number().over(by_query.orderBy(F.desc("low"), "vec_id"))).filter(F.col("place") <= k).groupBy("query_id").agg(F.min("low").alias("least"))
+    first = met.join(lows, "query_id").filter("high >= least").select("query_id", "vec_id")
     q, c = base.select(F.col("vec_id").alias("query_id"), F.col("embedding").alias("q")), base.select("vec_id", F.col("embedding").alias("c"))
     exact = F.aggregate(F.zip_with("q", "c", lambda x, y: x * y), F.lit(0.0), lambda s, x: s + x)
     scored = first.join(c, "vec_id").join(q, "query_id").select("query_id", "vec_id", exact.alias("score"))

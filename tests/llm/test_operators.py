@@ -139,3 +139,29 @@ def test_empty_tables(spark):
 def test_hash_of_kept_lines(spark):
     row = line_dedup.op10_line_dedup(spark, SMALL).filter("n_dropped = 0").limit(1).join(spark.read.parquet(f"{SMALL}/documents.parquet").select("doc_id", "text"), "doc_id").first()
     assert row["kept_sha256"] == hashlib.sha256((row["text"] or "").encode()).hexdigest()
+
+
+def test_vector_search_of_clusters_in_many_shards(spark, monkeypatch):
+    monkeypatch.setattr(ann, "SHARD", 128)
+    rng = np.random.default_rng(5)
+    m = (np.repeat(rng.normal(size=(40, 64)), 150, 0) + 0.3 * rng.normal(size=(6000, 64))).astype(np.float64)
+    m /= np.linalg.norm(m, axis=1, keepdims=True)
+    vectors = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(m)], "vec_id long, embedding array<double>").repartition(8)
+    asked, found = list(range(0, 6000, 60)), {}
+    for r in ann.search(vectors, spark.createDataFrame([(i,) for i in asked], "query_id long"), probes=77).collect():
+        found.setdefault(r["query_id"], set()).add(r["vec_id"])
+    hits = 0
+    for q in asked:
+        s = m @ m[q]
+        s[q] = -np.inf
+        hits += len(found[q] & set(np.argsort(-s)[:20].tolist()))
+    assert hits >= 0.999 * 20 * len(asked)
+
+
+def test_vector_search_takes_equal_vectors_by_id(spark):
+    rows = [(i, [1.0, 0.0]) for i in range(60)] + [(i, [0.0, 1.0]) for i in range(60, 90)]
+    vectors = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(4)
+    found = {}
+    for r in ann.search(vectors, spark.createDataFrame([(3,), (50,)], "query_id long"), k=5, probes=4).collect():
+        found.setdefault(r["query_id"], {})[r["rank"]] = r["vec_id"]
+    assert {q: [v[i] for i in sorted(v)] for q, v in found.items()} == {3: [0, 1, 2, 4, 5], 50: [0, 1, 2, 3, 4]}
