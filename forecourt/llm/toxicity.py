@@ -1,15 +1,16 @@
-"""Toxicity by nearest labelled examples under exact TF-IDF cosine.
+"""Toxicity by nearest labelled examples under exact TF-IDF cosine over all terms of the examples.
 
-Examples lie in blocks of an inverted index: of every block, its terms, their postings within it, and each term's
-largest weight. Query weights times these maxima bound what a block can hold; blocks are met in order of their
-bounds until the k-th best similarity is above every bound left, so the k nearest are exact. They vote by squared similarity, classes weighed
-as they stand among all labels; isotonic regression on leave-one-out votes of the examples calibrates the votes.
+Examples lie in an inverted index: the postings of rare terms are added up one by one, those of the terms that most
+examples have lie in a dense table, so that a product of matrices adds them up. Every similarity is exact and every
+term counts; how much a term's presence says about the label adds to its weight but is never a reason to leave it out.
+The k nearest vote by squared similarity, classes weighed as they stand among all labels; isotonic regression on leave-one-out
+votes of the examples calibrates the votes.
 """
 
 from __future__ import annotations
 
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -20,18 +21,21 @@ from pyspark.sql import functions as F
 from .common import crc_rest, labelled_sample, materialize, text_or_empty
 from .license_scan import _WORD
 
-#: Labelled documents of each class among the examples at most; terms of the vocabulary at most.
-PER_CLASS, TERMS = 3_000, 512
-BLOCK, NEIGHBOURS, EVIDENCE = 64, 25, 5
+#: Labelled documents of each class among the examples at most.
+PER_CLASS = 3_000
+#: Terms kept as dense rows (the most frequent ones; layout only), and texts that are compared at once.
+DENSE, TEXTS = 512, 256
+NEIGHBOURS, EVIDENCE = 25, 5
+#: Weight of a term that says nothing about the label, where one that tells the classes apart without fail has 1 more.
+FLOOR = 0.02
 
 
 def terms_of(text: bytes) -> list[bytes]:
     return _WORD.findall(text.lower())
 
 
-def vocabulary(sample: DataFrame, terms: int, least_docs: int = 3, least_chi: float = 15.0) -> list[bytes]:
-    """The terms whose presence says most about the label by chi-square (one in ten thousand idle terms gets over 15), of
-    those in ``least_docs`` examples or more."""
+def vocabulary(sample: DataFrame) -> dict[bytes, float]:
+    """All terms of the examples, each with its relevance: the absolute correlation (0 to 1) of its presence with the label."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -42,102 +46,117 @@ def vocabulary(sample: DataFrame, terms: int, least_docs: int = 3, least_chi: fl
 
     sizes = {r["label"]: r["count"] for r in sample.groupBy("label").count().collect()}
     bad, fine = float(sizes.get(1, 0)), float(sizes.get(0, 0))
-    counts = sample.select("label", "text").mapInArrow(count, "term binary, label int, n long").groupBy("term").agg(F.sum(F.when(F.col("label") == 1, F.col("n")).otherwise(0)).alias("a"), F.sum(F.when(F.col("label") == 0, F.col("n")).otherwise(0)).alias("b"))
-    a, b = F.col("a"), F.col("b")
-    whole = bad + fine
-    chi = whole * F.pow(a * fine - b * bad, 2) / (F.greatest(F.lit(bad * fine), F.lit(1.0)) * (a + b) * (whole - a - b + 1e-9))
-    best = counts.filter(a + b >= least_docs).withColumn("chi", chi).filter(F.col("chi") >= least_chi).orderBy(F.desc("chi"), "term").limit(terms)
-    return sorted(bytes(r["term"]) for r in best.select("term").collect())
+    # one row for each term of the examples
+    found = sample.select("label", "text").mapInArrow(count, "term binary, label int, n long").groupBy("term").agg(F.sum(F.when(F.col("label") == 1, F.col("n")).otherwise(0)).alias("a"), F.sum(F.when(F.col("label") == 0, F.col("n")).otherwise(0)).alias("b")).orderBy("term").toArrow()
+    a, b = found["a"].to_numpy().astype(float), found["b"].to_numpy().astype(float)
+    phi = np.abs(a * fine - b * bad) / np.sqrt(np.maximum(bad * fine * (a + b) * (bad + fine - a - b), 1.0))
+    return dict(zip(found["term"].to_pylist(), np.minimum(phi, 1.0).tolist()))
 
 
-def document_counts(docs: DataFrame, terms: list[bytes]) -> tuple[dict[bytes, int], int]:
+def document_counts(docs: DataFrame, terms: Iterable[bytes]) -> tuple[dict[bytes, int], int]:
     """In how many of all documents each term stands, and how many documents there are."""
-    wanted = frozenset(terms)
+    wanted = docs.sparkSession.sparkContext.broadcast(frozenset(terms))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen, n = Counter(), 0
         for batch in batches:
             n += len(batch)
             for text in batch.column(0):
-                seen.update(wanted.intersection(terms_of(text.as_buffer().to_pybytes())))
+                seen.update(wanted.value.intersection(terms_of(text.as_buffer().to_pybytes())))
         yield pa.RecordBatch.from_arrays([pa.array([*seen, None], pa.binary()), pa.array([*seen.values(), n], pa.int64())], ["term", "n"])
 
-    rows = docs.select(text_or_empty().alias("text")).mapInArrow(count, "term binary, n long").groupBy("term").agg(F.sum("n").alias("n")).collect()
-    found = {None if r["term"] is None else bytes(r["term"]): r["n"] for r in rows}
+    rows = docs.select(text_or_empty().alias("text")).mapInArrow(count, "term binary, n long").groupBy("term").agg(F.sum("n").alias("n")).toArrow()
+    found = dict(zip(rows["term"].to_pylist(), rows["n"].to_pylist()))
     return {t: found.get(t, 0) for t in terms}, found.get(None, 0)
 
 
 @dataclass
 class Model:
-    idf: dict[bytes, float]
+    weights: dict[bytes, float]  # of every term of the examples: idf and relevance together
     ids: np.ndarray = field(default_factory=lambda: np.zeros(0, np.int64))  # of examples, in index order
     labels: np.ndarray = field(default_factory=lambda: np.zeros(0))
     class_weight: tuple[float, float] = (1.0, 1.0)
-    blocks: list = field(default_factory=list)  # (first example, terms, terms x examples)
-    bounds: np.ndarray | None = None  # terms x blocks
+    starts: np.ndarray = field(default_factory=lambda: np.zeros(1, np.int64))  # of the postings of each term that isn't dense
+    examples: np.ndarray = field(default_factory=lambda: np.zeros(0, np.int32))  # postings by term: example, weight
+    values: np.ndarray = field(default_factory=lambda: np.zeros(0))
+    row: np.ndarray = field(default_factory=lambda: np.zeros(0, np.int32))  # of each term: its row in dense, or -1
+    dense: np.ndarray = field(default_factory=lambda: np.zeros((0, 0)))  # frequent terms x examples
     base: float = 0.0  # share of toxic ones among the examples without a term
     steps: tuple[np.ndarray, np.ndarray] | None = None  # calibration
 
     def __post_init__(self):
-        self.number = {t: i for i, t in enumerate(self.idf)}
-        self.weight = np.array(list(self.idf.values()), float)
+        self.number = {t: i for i, t in enumerate(self.weights)}
+        self.weight = np.array(list(self.weights.values()), float)
 
-    def vectors(self, texts: list[bytes]) -> np.ndarray:
-        """TF-IDF, (1 + log tf) * idf, of unit length; zero where a text has no term."""
-        out, known = np.zeros((len(texts), len(self.idf))), self.number.__contains__
+    def vectors(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(text, term, value) of TF-IDF, (1 + log tf) * weight, of unit length; nothing where a text has no term. Terms
+        that no example has meet nothing; they are left out of the length as well, alike for all neighbours."""
+        owner, term, count = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
         for i, text in enumerate(texts):
-            for t, n in Counter(filter(known, terms_of(text))).items():
-                out[i, self.number[t]] = n
-        out = np.where(out > 0, 1 + np.log(np.maximum(out, 1)), 0) * self.weight
-        return out / np.maximum(np.linalg.norm(out, axis=1, keepdims=True), 1e-12)
-
-    def index(self, ids: np.ndarray, x: np.ndarray, labels: np.ndarray) -> None:
-        some = x.any(1)
+            seen = Counter(filter(self.number.__contains__, terms_of(text)))
+            owner.append(np.full(len(seen), i))
+            term.append(np.fromiter((self.number[t] for t in seen), np.int64, len(seen)))
+            count.append(np.fromiter(seen.values(), np.int64, len(seen)))
+        owner, term, count = np.concatenate(owner), np.concatenate(term), np.concatenate(count)
+        value = (1 + np.log(np.maximum(count, 1))) * self.weight[term]
+        norm = np.sqrt(np.bincount(owner, value**2, minlength=len(texts)))
+        return owner, term, value / np.maximum(norm[owner], 1e-12)
+
+    def index(self, ids: np.ndarray, x: tuple[np.ndarray, np.ndarray, np.ndarray], labels: np.ndarray) -> None:
+        owner, term, value = x
+        some = np.bincount(owner, minlength=len(ids)) > 0
         ratio = np.where(labels == 1, self.class_weight[1], self.class_weight[0])
         self.base = float((ratio * labels)[~some].sum() + self.share()) / float(ratio[~some].sum() + 1)
-        ids, x, labels = ids[some], x[some], labels[some]
-        order = np.lexsort((ids, x.max(1), x.argmax(1)))  # like with like: tight bounds
-        self.ids, x, self.labels = ids[order], x[order], labels[order]
-        self.bounds = np.zeros((x.shape[1], -(-len(x) // BLOCK)))
-        for b in range(self.bounds.shape[1]):
-            part = x[b * BLOCK : (b + 1) * BLOCK]
-            terms = np.flatnonzero(part.any(0))
-            self.blocks.append((b * BLOCK, terms, part[:, terms].T.copy()))
-            self.bounds[:, b] = part.max(0)
+        order = np.flatnonzero(some)[np.argsort(ids[some], kind="stable")]  # by id, which breaks ties
+        place = np.full(len(ids), -1)
+        place[order] = np.arange(len(order))
+        self.ids, self.labels, owner = ids[order], labels[order], place[owner]
+        held = np.bincount(term, minlength=len(self.weight))
+        often = np.argsort(-held, kind="stable")[:DENSE]
+        often = often[held[often] > len(order) / 32]
+        self.row = np.full(len(held), -1, np.int32)
+        self.row[often] = np.arange(len(often))
+        self.dense, full = np.zeros((len(often), len(order))), self.row[term] >= 0
+        self.dense[self.row[term[full]], owner[full]] = value[full]
+        owner, term, value = owner[~full], term[~full], value[~full]
+        by = np.argsort(term, kind="stable")
+        self.examples, self.values = owner[by].astype(np.int32), value[by]
+        self.starts = np.concatenate([[0], np.cumsum(np.bincount(term, minlength=len(held)))])
 
     def share(self) -> float:
         return self.class_weight[1] / (self.class_weight[0] + self.class_weight[1]) if sum(self.class_weight) else 0.0
 
-    def nearest(self, q: np.ndarray, k: int, skip: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
-        """(similarity, place in the index) of the k nearest of each query, best first, ties by id; -1 where there are fewer
-        with a similarity over 0. skip: an id that each query must not meet."""
-        best, place = np.full((len(q), k), -1.0), np.full((len(q), k), -1)
-        if not len(self.ids):
+    def nearest(self, texts: int, x: tuple[np.ndarray, np.ndarray, np.ndarray], k: int, skip: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """(similarity, place in the index) of the k nearest of each text, best first, ties by id; -1 where there are fewer
+        with a similarity over 0. skip: an id that each text must not meet."""
+        best, place, n = np.full((texts, k), -1.0), np.full((texts, k), -1), len(self.ids)
+        if not n:
             return best, place
-        bound = q @ self.bounds
-        order = np.argsort(-bound, 1, kind="stable")
-        live = np.flatnonzero(bound.max(1) > 0)
-        for r in range(order.shape[1]):
-            block = order[live, r]
-            top = bound[live, block]
-            going = (top > 0) & (top >= best[live, -1] - 1e-9)
-            live, block = live[going], block[going]
-            if not len(live):
-                break
-            by = np.argsort(block, kind="stable")
-            cuts = np.flatnonzero(np.diff(block[by])) + 1
-            for rows in np.split(by, cuts):
-                first, terms, posting = self.blocks[block[rows[0]]]
-                mine = live[rows]
-                sims = q[np.ix_(mine, terms)] @ posting
-                at = np.broadcast_to(np.arange(first, first + posting.shape[1]), sims.shape)
-                sims = np.where(sims > 0, sims, -1.0)
-                if skip is not None:
-                    sims = np.where(self.ids[at] == skip[mine][:, None], -1.0, sims)
-                s, p = np.concatenate([best[mine], np.round(sims, 12)], 1), np.concatenate([place[mine], at], 1)
-                keep = np.lexsort((np.where(p >= 0, self.ids[p], 0), -s), axis=1)[:, :k]
-                best[mine], place[mine] = np.take_along_axis(s, keep, 1), np.take_along_axis(p, keep, 1)
-        return best, np.where(best > 0, place, -1)
+        owner, term, value = x
+        frequent = self.row[term] >= 0
+        table = np.zeros((texts, len(self.dense)))
+        table[owner[frequent], self.row[term[frequent]]] = value[frequent]
+        sims = table @ self.dense
+        owner, term, value = owner[~frequent], term[~frequent], value[~frequent]
+        cuts = np.searchsorted(owner, np.arange(texts + 1))
+        first, size = self.starts[term], self.starts[term + 1] - self.starts[term]
+        for i, (a, b) in enumerate(zip(cuts, cuts[1:])):
+            many = size[a:b]
+            at = np.arange(many.sum()) + np.repeat(first[a:b] - np.cumsum(many) + many, many)
+            sims[i] += np.bincount(self.examples[at], self.values[at] * np.repeat(value[a:b], many), minlength=n)
+        sims = np.round(sims, 12)
+        if skip is not None:
+            sims[skip[:, None] == self.ids[None, :]] = -1.0
+        few = min(k, n)
+        least = np.maximum(np.partition(sims, n - few, 1)[:, n - few], 1e-12)
+        text, near = np.nonzero(sims >= least[:, None])
+        score = sims[text, near]
+        by = np.lexsort((near, -score, text))
+        text, near, score = text[by], near[by], score[by]
+        rank = np.arange(len(text)) - np.searchsorted(text, text)
+        text, near, score, rank = (v[rank < k] for v in (text, near, score, rank))
+        best[text, rank], place[text, rank] = score, near
+        return best, place
 
     def votes(self, best: np.ndarray, place: np.ndarray) -> np.ndarray:
         """Share of toxic neighbours by squared similarity, with one neighbour's weight of what holds without any."""
@@ -166,29 +185,28 @@ def isotonic(votes: np.ndarray, labels: np.ndarray, weights: np.ndarray) -> tupl
     return v / w, y / w
 
 
-def learn(docs: DataFrame, labels: DataFrame, learned, per_class: int = PER_CLASS, terms: int = TERMS, k: int = NEIGHBOURS) -> Model:
-    """Examples: at most ``per_class`` labelled documents of each class. The vocabulary is chosen on them; document
-    frequencies are counted over all documents."""
+def learn(docs: DataFrame, labels: DataFrame, learned, per_class: int = PER_CLASS, k: int = NEIGHBOURS) -> Model:
+    """Examples: at most ``per_class`` labelled documents of each class, with all their terms. Document frequencies are counted
+    over all documents."""
     sample = materialize(labelled_sample(docs, labels, "toxic", learned, per_class), "toxic-examples")
-    counts, n = document_counts(docs, vocabulary(sample, terms))
-    model = Model({t: float(np.log((1 + n) / (1 + c)) + 1) for t, c in counts.items()})
+    relevance = vocabulary(sample)
+    counts, n = document_counts(docs, relevance)
+    model = Model({t: float(np.log((1 + n) / (1 + c)) + 1) * (FLOOR + relevance[t]) for t, c in counts.items()})
     sizes = {r[0]: r[1] for r in labels.filter(learned & F.col("toxic").isin(0, 1)).groupBy(F.col("toxic").cast("int")).count().collect()}
     drawn = {r[0]: r[1] for r in sample.groupBy("label").count().collect()}
     whole = max(sum(sizes.values()), 1)
     model.class_weight = tuple(sizes.get(c, 0) / whole * (sum(drawn.values()) / drawn[c]) if drawn.get(c) else 0.0 for c in (0, 1))
-
-    def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            x = model.vectors([t.as_buffer().to_pybytes() for t in batch.column(2)])
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array([row.tobytes() for row in x], pa.binary())], ["doc_id", "label", "x"])
-
-    rows = sample.select("doc_id", "label", "text").mapInArrow(encode, "doc_id long, label int, x binary").toArrow().to_pydict()
-    ids, label = np.array(rows["doc_id"], np.int64), np.array(rows["label"], float)
-    x = np.frombuffer(b"".join(rows["x"])).reshape(len(ids), len(counts))
+    rows = sample.select("doc_id", "label", "text").toArrow()  # 2 * per_class rows, or as many more as ids are repeated
+    ids, label = rows["doc_id"].to_numpy(), rows["label"].to_numpy().astype(float)
+    x = model.vectors([t.as_buffer().to_pybytes() for t in rows["text"]])
     model.index(ids, x, label)
     if len(set(label)) == 2:
-        found = np.concatenate([model.votes(*model.nearest(x[i : i + 512], k, ids[i : i + 512])) for i in range(0, len(x), 512)])
-        model.steps = isotonic(found, label, np.where(label == 1, model.class_weight[1], model.class_weight[0]))
+        found = []
+        for i in range(0, len(ids), TEXTS):
+            a, b = np.searchsorted(x[0], [i, i + TEXTS])
+            part, number = (x[0][a:b] - i, x[1][a:b], x[2][a:b]), len(ids[i : i + TEXTS])
+            found.append(model.votes(*model.nearest(number, part, k, ids[i : i + TEXTS])))
+        model.steps = isotonic(np.concatenate(found), label, np.where(label == 1, model.class_weight[1], model.class_weight[0]))
     return model
 
 
@@ -198,7 +216,7 @@ EVIDENCE_TYPE = "array<struct<doc_id:long,similarity:double,toxic:int>>"
 def score_toxicity(docs: DataFrame, model: Model, k: int = NEIGHBOURS) -> DataFrame:
     """docs(doc_id, text, ...) -> doc_id, score (0 to 1), evidence (the EVIDENCE nearest examples); one row for each row.
 
-    Texts without a term of the vocabulary, null and empty ones among them, have no neighbours: their score is the share of toxic ones
+    Texts without a term of any example, null and empty ones among them, have no neighbours: their score is the share of toxic ones
     among such examples. Repeated rows and null ids pass; other columns are ignored. Without examples every score is 0.
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)
@@ -206,9 +224,9 @@ def score_toxicity(docs: DataFrame, model: Model, k: int = NEIGHBOURS) -> DataFr
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = shared.value
         for batch in batches:
-            for a in range(0, len(batch), 512):
-                part = batch.slice(a, 512)
-                best, place = m.nearest(m.vectors([t.as_buffer().to_pybytes() for t in part.column(1)]), k)
+            for a in range(0, len(batch), TEXTS):
+                part = batch.slice(a, TEXTS)
+                best, place = m.nearest(len(part), m.vectors([t.as_buffer().to_pybytes() for t in part.column(1)]), k)
                 score = m.calibrated(m.votes(best, place))
                 shown = place[:, :EVIDENCE] >= 0
                 at = place[:, :EVIDENCE][shown]

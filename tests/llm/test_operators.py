@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from forecourt.llm import ann, decontaminate, language_id, license_scan, line_dedup, mixing, near_dedup, queries, token_counts
+from forecourt.llm import ann, decontaminate, language_id, license_scan, line_dedup, mixing, near_dedup, queries, token_counts, toxicity
 
 from ..compare import spark_rows, sql_rows
 
@@ -165,3 +165,12 @@ def test_vector_search_takes_equal_vectors_by_id(spark):
     for r in ann.search(vectors, spark.createDataFrame([(3,), (50,)], "query_id long"), k=5, probes=4).collect():
         found.setdefault(r["query_id"], {})[r["rank"]] = r["vec_id"]
     assert {q: [v[i] for i in sorted(v)] for q, v in found.items()} == {3: [0, 1, 2, 4, 5], 50: [0, 1, 2, 3, 4]}
+
+
+def test_copy_of_a_toxic_example_meets_it(spark):
+    texts = [(i, f"plain{i} words{i} of{i} text{i} number{i}") for i in range(40)]  # no word tells the classes apart
+    docs = documents(spark, [*texts, (100, texts[3][1]), (101, "unseen")])
+    labels = spark.createDataFrame([(i, int(i % 8 == 3)) for i in range(40)], "doc_id long, toxic int")
+    rows = {r["doc_id"]: r for r in toxicity.score_toxicity(docs, toxicity.learn(docs, labels, F.lit(True))).collect()}
+    assert [(e["doc_id"], e["toxic"]) for e in rows[100]["evidence"]] == [(3, 1)] and rows[100]["evidence"][0]["similarity"] == pytest.approx(1)
+    assert rows[101]["evidence"] == []
