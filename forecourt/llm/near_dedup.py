@@ -103,7 +103,7 @@ def _digests(owner: np.ndarray, hashes: np.ndarray, weight: np.ndarray, texts: i
 
 
 def signatures(docs: DataFrame, bands: int = BANDS, rows: int = ROWS, shingle: int = 5) -> DataFrame:
-    """docs(doc_id, text, ...) -> doc, bag (digest of the multiset of shingles), size (shingles), bands (array; empty for empty bags)."""
+    """docs(doc_id, text, ...) -> doc, copy (hash of the text), bag (digest of the multiset of shingles), size (shingles), bands (array; empty for empty bags)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -114,10 +114,10 @@ def signatures(docs: DataFrame, bands: int = BANDS, rows: int = ROWS, shingle: i
                 sizes.append(np.bincount(owner, weight, minlength=b - a).astype(np.int64))
                 found = band_keys(bag_minhash(owner, hashes, weight, b - a, bands * rows), rows).view(np.int64)
                 keys += [k if n else k[:0] for k, n in zip(found, counts)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(digests, pa.binary()), pa.array(np.concatenate(sizes)), pa.array(keys, pa.list_(pa.int64()))], ["doc", "bag", "size", "bands"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(digests, pa.binary()), pa.array(np.concatenate(sizes)), pa.array(keys, pa.list_(pa.int64()))], ["doc", "copy", "bag", "size", "bands"])
 
     doc = F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST)).alias("doc")
-    return docs.select(doc, text_or_empty().alias("text")).mapInArrow(run, "doc long, bag binary, size long, bands array<long>")
+    return docs.select(doc, text_or_empty().alias("text"), F.xxhash64(text_or_empty()).alias("copy")).mapInArrow(run, "doc long, copy long, bag binary, size long, bands array<long>")
 
 
 def _shingle_sets(docs: DataFrame, shingle: int) -> DataFrame:
@@ -138,7 +138,7 @@ def _shingle_sets(docs: DataFrame, shingle: int) -> DataFrame:
     return docs.select(text_or_empty().alias("text")).mapInArrow(run, "bag binary, items array<long>")
 
 
-def _only(rows: DataFrame, ids: DataFrame, key: str, how: str) -> DataFrame:
+def _only(rows: DataFrame, ids: DataFrame, key: str | list[str], how: str) -> DataFrame:
     """Semi or anti join with a set of ids, which is broadcast only if it is small."""
     return rows.join(F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids, key, how)
 
@@ -177,14 +177,8 @@ def components(links: DataFrame) -> DataFrame:
         state = new.select("vertex", "root")
 
 
-def near_duplicates(docs: DataFrame, least: float = 0.8, bands: int = BANDS, rows: int = ROWS, shingle: int = 5) -> DataFrame:
-    """docs(doc_id, text, ...) -> doc_id, class_id: the smallest doc_id of the row's class, one row for each row.
-
-    Classes are the connected components of weighted Jaccard >= ``least`` over multisets of five-word shingles (words
-    between blanks, A-Z lower-cased; a text of fewer words is one shingle). Null and blank texts are one class. Repeated rows
-    are of one class. Rows of one id and different texts count as different texts. A null id counts as larger than any other and is
-    the class_id only of a class of null ids. An empty table gives no rows; other columns are ignored.
-    """
+def _classes(docs: DataFrame, least: float, bands: int = BANDS, rows: int = ROWS, shingle: int = 5) -> DataFrame:
+    """docs(doc_id, text, ...) -> doc (LAST for null), copy (hash of the text), root (one for each class), one row for each row."""
     made = materialize(signatures(docs, bands, rows, shingle), "near-signatures")
     vertices = materialize(made.groupBy("bag").agg(F.min("doc").alias("doc"), F.first("size").alias("size"), F.first("bands").alias("bands")), "near-vertices")
     members = vertices.select(F.col("bag").alias("vertex"), "size", F.explode("bands").alias("bucket"))
@@ -219,27 +213,41 @@ def near_duplicates(docs: DataFrame, least: float = 0.8, bands: int = BANDS, row
         pairs = materialize(met.select(a, b).distinct().join(tried, ["a", "b"], "left_anti"), "near-pairs")
         tried, slots, reach = tried.union(pairs), slots * MORE, reach * FURTHER
     if links is None:
-        whole = made.select("doc", F.col("bag").alias("root"), "bag")
+        whole = made.select("doc", "copy", F.col("bag").alias("root"))
     else:
-        whole = made.select("doc", "bag").join(roots.withColumnRenamed("vertex", "bag"), "bag", "left").select("doc", "bag", F.coalesce("root", "bag").alias("root"))
-    whole = materialize(whole.select("doc", "root"), "near-classes")
+        whole = made.select("doc", "copy", "bag").join(roots.withColumnRenamed("vertex", "bag"), "bag", "left").select("doc", "copy", F.coalesce("root", "bag").alias("root"))
+    return materialize(whole, "near-classes")
+
+
+def near_duplicates(docs: DataFrame, least: float = 0.8, bands: int = BANDS, rows: int = ROWS, shingle: int = 5) -> DataFrame:
+    """docs(doc_id, text, ...) -> doc_id, class_id: the smallest doc_id of the row's class, one row for each row.
+
+    Classes are the connected components of weighted Jaccard >= ``least`` over multisets of five-word shingles (words
+    between blanks, A-Z lower-cased; a text of fewer words is one shingle). Null and blank texts are one class. Repeated rows
+    are of one class. Rows of one id and different texts count as different texts. A null id counts as larger than any other and is
+    the class_id only of a class of null ids. An empty table gives no rows; other columns are ignored.
+    """
+    whole = _classes(docs, least, bands, rows, shingle)
     least_doc = whole.groupBy("root").agg(F.min("doc").alias("class"))
     shown = lambda c: F.when(F.col(c) < LAST, F.col(c))
     return whole.join(least_doc, "root").select(shown("doc").alias("doc_id"), shown("class").alias("class_id"))
 
 
 def drop_near_duplicates(docs: DataFrame, least: float = 0.8) -> DataFrame:
-    """docs with one row of each class of near_duplicates(): one that has the class's smallest doc_id. All columns pass."""
-    classes = near_duplicates(docs, least)
-    key = lambda c: F.coalesce(F.col(c), F.lit(LAST))
-    gone = materialize(classes.groupBy(key("doc_id").alias("doc")).agg(F.min(key("class_id")).alias("class"), F.count("*").alias("rows")).filter("doc != class or rows > 1"), "near-gone")
-    names = docs.columns
-    packed = docs.select(F.struct(*names).alias("row")).withColumn("doc", F.coalesce(F.col("row.doc_id").cast("long"), F.lit(LAST)))
-    kept = _only(packed, gone.select("doc"), "doc", "left_anti").select("row.*")
-    repeated = gone.filter("doc = class").select("doc")  # ids of several rows: one row of the smallest class each
+    """docs with one row of each class of near_duplicates(): one that has the class's smallest doc_id. Rows of one id, or of
+    none, and different texts are judged each by itself. All columns pass."""
+    each = _classes(docs, least).groupBy("doc", "copy").agg(F.first("root").alias("root"), F.count("*").alias("rows"))
+    first = each.groupBy("root").agg(F.min(F.struct("doc", "copy")).alias("first"))
+    stays = F.struct("doc", "copy") == F.col("first")
+    gone = materialize(each.join(first, "root").select("doc", "copy", stays.alias("stays"), "rows").filter("not stays or rows > 1"), "near-gone")
+    names, key = docs.columns, ["doc", "copy"]
+    packed = docs.select(F.struct(*names).alias("row"))
+    packed = packed.select("row", F.coalesce(F.col("row.doc_id").cast("long"), F.lit(LAST)).alias("doc"), F.xxhash64(text_or_empty("row.text")).alias("copy"))
+    kept = _only(packed, gone.select(*key), key, "left_anti").select("row.*")
+    repeated = gone.filter("stays").select(*key)  # several rows of one id and text: one of them
     if repeated.isEmpty():
         return kept
-    some = _only(packed, repeated, "doc", "left_semi").dropDuplicates(["doc"]).select("row.*")
+    some = _only(packed, repeated, key, "left_semi").dropDuplicates(key).select("row.*")
     return kept.unionByName(some)
 
 

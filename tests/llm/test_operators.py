@@ -174,3 +174,10 @@ def test_copy_of_a_toxic_example_meets_it(spark):
     rows = {r["doc_id"]: r for r in toxicity.score_toxicity(docs, toxicity.learn(docs, labels, F.lit(True))).collect()}
     assert [(e["doc_id"], e["toxic"]) for e in rows[100]["evidence"]] == [(3, 1)] and rows[100]["evidence"][0]["similarity"] == pytest.approx(1)
     assert rows[101]["evidence"] == []
+
+
+def test_rows_without_or_with_one_id_are_dropped_each_by_itself(spark):
+    text = lambda n: " ".join(f"w{n}x{i}" for i in range(30))
+    rows = [(1, text(1)), (7, text(2)), (7, text(3)), (7, text(1)), (7, text(3)), (None, text(1)), (None, text(4)), (None, text(5)), (None, text(4)), (8, text(5))]
+    kept = near_dedup.drop_near_duplicates(documents(spark, rows)).select("doc_id", "text").collect()
+    assert sorted(((r[0] or 0, r[1]) for r in kept)) == sorted([(1, text(1)), (7, text(2)), (7, text(3)), (0, text(4)), (8, text(5))])
