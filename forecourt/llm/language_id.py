@@ -185,15 +185,45 @@ def predict(docs: DataFrame, model: Model) -> DataFrame:
     return found.withColumn("ambiguous", (F.col("lang_pred") != UNKNOWN) & (F.col("gap") < AMBIGUOUS))
 
 
-def keep_identified(docs: DataFrame, model: Model) -> DataFrame:
-    """docs without the rows of which no language is known (null or no letter); ambiguous ones stay. All columns pass."""
+def loss_limit(docs: DataFrame, model: Model, learned) -> float:
+    """The least loss up to which a text counts as of a learned language: half way between the largest one of learned documents
+    that decode to their own language, and 1, the loss of a text whose n-grams say nothing. Measured on WEIGHT_ROWS of
+    them at most."""
+    if not model.labels:
+        return float("inf")
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        m, worst = shared.value, 0.0
+        for batch in batches:
+            langs, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
+            for a, b in text_slices(texts, 500_000):
+                counts, letters = ngram_counts(texts[a:b])
+                loss = m.losses(counts)
+                right = (letters > 0) & (np.array([m.labels[i] for i in loss.argmin(1)], object) == np.array(langs[a:b], object))
+                worst = max(worst, float(loss.min(1)[right].max(initial=0.0)))
+        yield pa.RecordBatch.from_arrays([pa.array([worst])], ["worst"])
+
+    known = docs.filter(learned & F.col("lang").isNotNull()).select(F.col("lang").cast("string").alias("lang"), text_or_empty().alias("text"), F.xxhash64("doc_id", "text").alias("h"))
+    worst = known.orderBy("h").limit(WEIGHT_ROWS).select("lang", "text").mapInArrow(run, "worst double").agg(F.max("worst")).first()[0]
+    return (min(worst or 0.0, 1.0) + 1.0) / 2
+
+
+def keep_identified(docs: DataFrame, model: Model, limit: float = float("inf")) -> DataFrame:
+    """docs without the rows of which no language is known: null, no letter, or a least loss over ``limit``; ambiguous ones
+    stay, for they are near to a learned language. Where one language was learned, whose loss tells nothing, all rows with a
+    letter stay; where none was, all rows. All columns pass."""
+    if not model.labels:
+        return docs
+    limit = limit if len(model.labels) > 1 else float("inf")
     at, shared = docs.columns.index("text"), docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts, keep = [t or "" for t in batch.column(at).to_pylist()], []
             for a, b in text_slices(texts, 500_000):
-                keep += [x != UNKNOWN for x in shared.value.decode(*ngram_counts(texts[a:b]))[0]]
+                counts, letters = ngram_counts(texts[a:b])
+                keep += ((letters > 0) & (shared.value.losses(counts).min(1) <= limit)).tolist()
             yield batch.filter(pa.array(keep, pa.bool_()))
 
     return docs.mapInArrow(run, docs.schema)

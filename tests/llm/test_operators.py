@@ -6,6 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from forecourt.llm import ann, decontaminate, language_id, license_scan, line_dedup, mixing, near_dedup, queries, token_counts, toxicity
 
 from ..compare import spark_rows, sql_rows
@@ -181,3 +182,14 @@ def test_rows_without_or_with_one_id_are_dropped_each_by_itself(spark):
     rows = [(1, text(1)), (7, text(2)), (7, text(3)), (7, text(1)), (7, text(3)), (None, text(1)), (None, text(4)), (None, text(5)), (None, text(4)), (8, text(5))]
     kept = near_dedup.drop_near_duplicates(documents(spark, rows)).select("doc_id", "text").collect()
     assert sorted(((r[0] or 0, r[1]) for r in kept)) == sorted([(1, text(1)), (7, text(2)), (7, text(3)), (0, text(4)), (8, text(5))])
+
+
+def test_texts_of_no_learned_language_are_rejected(spark):
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet")
+    lang = dict(docs.dtypes)["lang"]
+    other = ["Съешь же ещё этих мягких французских булок да выпей чаю вместе со всеми", "これは日本語の文章です。今日は天気がいいですね"]
+    more = docs.limit(2).withColumn("text", F.when(F.monotonically_increasing_id() == 0, other[0]).otherwise(other[1])).withColumn("lang", F.lit(None).cast(lang))
+    lettered = docs.filter(F.col("text").rlike(r"\p{L}")).count()
+    kept = corpus_pipeline.identify(spark, docs.unionByName(more), SMALL)
+    assert kept.filter(F.col("text").isin(other)).count() == 0 and kept.count() == lettered
+    assert corpus_pipeline.identify(spark, more, SMALL).count() == 2
