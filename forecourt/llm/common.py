@@ -13,6 +13,7 @@ BLANKS = " \t\n\x0b\x0c\r"
 WORD = r"[^\x20\x09-\x0D]+"
 
 _written: dict[str, list[str]] = {}
+_local: dict[str, str] = {}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -20,11 +21,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share; a local one is set only where the session names none (local mode)."""
+    """The folder all executors share: spark.checkpoint.dir. A local one is made only in local mode, once an application."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
-        folder = tempfile.mkdtemp(prefix="forecourt-")
-        spark.conf.set("spark.checkpoint.dir", folder)
+        if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        app = spark.sparkContext.applicationId
+        if app not in _local:
+            _local[app] = tempfile.mkdtemp(prefix="forecourt-")
+        folder = _local[app]
     return folder.rstrip("/")
 
 
@@ -42,11 +47,12 @@ def materialize(df: DataFrame, what: str, compression: str = "snappy") -> DataFr
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def discard(df: DataFrame) -> None:
-    """Deletes a table that materialize() wrote, once what was made of it is itself written."""
-    for path in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
-        at = df.sparkSession.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-        at.getFileSystem(df.sparkSession.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
+def discard(*tables: DataFrame) -> None:
+    """Deletes tables that materialize() wrote, once what was made of them is itself written."""
+    for df in tables:
+        for path in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
+            at = df.sparkSession.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+            at.getFileSystem(df.sparkSession.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
 
 
 def release(spark: SparkSession) -> None:

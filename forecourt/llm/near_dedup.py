@@ -7,12 +7,13 @@ before the current maximum of a signature are ever made, and texts with differen
 the same points. Component k of the signature is the first point that fell to k; two signatures agree in a component
 with the probability of the weighted Jaccard similarity.
 
-Classes: equal bags are one vertex. Vertices are banded; in each bucket the others are verified against one leader (exact
-multiset overlap). Only buckets whose vertices are still of several components need more pairs: there every vertex
-outside the bucket's largest component becomes a leader in turn, against vertices of other components: first against some of
-them, and only while it finds no link against more, in the end all. A pair within one component can't change the
-classes and is never made, nor is a pair whose sizes alone keep it under the threshold; so copies aren't expanded
-into pairs, and no link between texts that share a bucket is lost.
+Classes: equal bags are one vertex. Vertices are banded; in each bucket the others are verified (exact multiset overlap)
+against the vertex that meets most others, which in a group of copies lies near its middle. Where a bucket's vertices are still of
+several components, every vertex outside the bucket's largest component is then compared with all vertices of other
+components. A pair within one component can't change the classes and is never made, so copies aren't expanded into pairs;
+nor is a pair that sizes and item sketches (one bit for each of SKETCH cells that an item hashes to: a bit that one side
+has alone is an item that the other side lacks) prove to be under the threshold. No link between texts that share a
+bucket is lost.
 """
 
 from __future__ import annotations
@@ -28,13 +29,13 @@ from pyspark.sql import functions as F
 from .common import discard, materialize, text_or_empty, text_slices
 from .shingles import bags, mix, shingle_hashes, word_hashes
 
-BANDS, ROWS = 20, 4
+BANDS, ROWS = 20, 6
 #: Id sets up to this many rows (16 bytes each) are broadcast; larger ones are joined by shuffle.
 BROADCAST_IDS = 1_000_000
-#: Leaders that a bucket may name in the first round, and how many times more in each next one.
-SLOTS, MORE = 8, 16
-#: Vertices of a bucket that a leader is compared with in the first round, about, and how many times more in each next one.
-REACH, FURTHER = 64, 8
+#: Bits of an item sketch.
+SKETCH = 2048
+#: Rows of one key that a task joins at most, about: a key with more is dealt out over several.
+SPLIT = 4096
 LAST = 2**63 - 1
 _U = np.uint64
 
@@ -93,7 +94,7 @@ def band_keys(signatures: np.ndarray, rows: int = ROWS) -> np.ndarray:
 
 def _raw_slices(column: pa.Array):
     texts = [t.as_buffer().to_pybytes() for t in column]
-    for a, b in text_slices(texts):
+    for a, b in text_slices(texts, 500_000):
         yield a, b, word_hashes(texts[a:b])
 
 
@@ -120,22 +121,26 @@ def signatures(docs: DataFrame, bands: int = BANDS, rows: int = ROWS, shingle: i
     return docs.select(doc, text_or_empty().alias("text"), F.xxhash64(text_or_empty()).alias("copy")).mapInArrow(run, "doc long, copy long, bag binary, size long, bands array<long>")
 
 
-def _shingle_sets(docs: DataFrame, shingle: int) -> DataFrame:
-    """docs(text) -> bag, items: the multiset as a set, each occurrence hashed with its number among equals."""
+def _item_sets(docs: DataFrame, shingle: int) -> DataFrame:
+    """docs(text) -> bag, items, bits: the multiset as a set, each occurrence hashed with its number among equals, and its sketch."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            digests, items = [], []
+            digests, items, bits = [], [], []
             for a, b, (words, counts) in _raw_slices(batch.column(0)):
                 owner, hashes, weight, number = bags(*shingle_hashes(words, counts, shingle))
                 digests += _digests(owner, hashes, weight, b - a)
                 with np.errstate(over="ignore"):
-                    each = mix(np.repeat(hashes, weight) + number.astype(np.uint64) * _U(0x9E3779B97F4A7C15)).view(np.int64)
-                at = np.searchsorted(np.repeat(owner, weight), np.arange(b - a + 1))
-                items += [each[x:y] for x, y in zip(at, at[1:])]
-            yield pa.RecordBatch.from_arrays([pa.array(digests, pa.binary()), pa.array(items, pa.list_(pa.int64()))], ["bag", "items"])
+                    each = mix(np.repeat(hashes, weight) + number.astype(np.uint64) * _U(0x9E3779B97F4A7C15))
+                owner, cell = np.repeat(owner, weight), (each % _U(SKETCH)).astype(np.int64)
+                sketch = np.zeros((b - a) * SKETCH // 64, np.uint64)
+                np.bitwise_or.at(sketch, owner * (SKETCH // 64) + cell // 64, _U(1) << (cell % 64).astype(np.uint64))
+                bits += list(sketch.view(np.int64).reshape(b - a, -1))
+                at = np.searchsorted(owner, np.arange(b - a + 1))
+                items += [each[x:y].view(np.int64) for x, y in zip(at, at[1:])]
+            yield pa.RecordBatch.from_arrays([pa.array(digests, pa.binary()), pa.array(items, pa.list_(pa.int64())), pa.array(bits, pa.list_(pa.int64()))], ["bag", "items", "bits"])
 
-    return docs.select(text_or_empty().alias("text")).mapInArrow(run, "bag binary, items array<long>")
+    return docs.select(text_or_empty().alias("text")).mapInArrow(run, "bag binary, items array<long>, bits array<long>")
 
 
 def _only(rows: DataFrame, ids: DataFrame, key: str | list[str], how: str) -> DataFrame:
@@ -143,23 +148,29 @@ def _only(rows: DataFrame, ids: DataFrame, key: str | list[str], how: str) -> Da
     return rows.join(F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids, key, how)
 
 
-def _verify(docs: DataFrame, pairs: DataFrame, vertices: DataFrame, least: float, shingle: int) -> DataFrame:
-    """pairs(a, b) -> those whose weighted Jaccard similarity is at least ``least``."""
-    bags_needed = pairs.select(F.col("a").alias("bag")).union(pairs.select(F.col("b").alias("bag"))).distinct()
-    needed = materialize(bags_needed.join(vertices.select("bag", "doc"), "bag").select("doc").distinct(), "near-needed")
-    texts = _only(docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST)).alias("doc"), "text"), needed, "doc", "left_semi")
-    sets = materialize(_shingle_sets(texts, shingle), "near-sets")
-    a, b = sets.select(F.col("bag").alias("a"), F.col("items").alias("x")), sets.select(F.col("bag").alias("b"), F.col("items").alias("y"))
+def _verify(pairs: DataFrame, sets: DataFrame, least: float) -> DataFrame:
+    """pairs(a, b), each once -> those whose weighted Jaccard similarity is at least ``least``. An a of more than SPLIT pairs is dealt
+    out over several tasks."""
+    hot = materialize(pairs.groupBy("a").agg(F.ceil(F.count("*") / SPLIT).alias("parts")).filter("parts > 1"), "near-hot")
+    parts = F.coalesce("parts", F.lit(1))
+    left = sets.select(F.col("bag").alias("a"), F.col("items").alias("x")).join(hot, "a", "left").select("a", "x", F.explode(F.sequence(F.lit(0), parts - 1)).alias("part"))
+    right = pairs.join(hot, "a", "left").select("a", "b", F.pmod(F.xxhash64("b"), parts).alias("part")).join(sets.select(F.col("bag").alias("b"), F.col("items").alias("y")), "b")
     shared = F.size(F.array_intersect("x", "y"))
-    found = pairs.join(b, "b").join(a, "a").select("a", "b", (shared / (F.size("x") + F.size("y") - shared)).alias("similarity"))
-    links = materialize(found.filter(F.col("similarity") >= least).distinct(), "near-links")
-    discard(sets)
-    return links
+    found = right.join(left, ["a", "part"]).select("a", "b", (shared / (F.size("x") + F.size("y") - shared)).alias("similarity"))
+    return materialize(found.filter(F.col("similarity") >= least), "near-links")
 
 
-def _can_reach(a: str, b: str, least: float) -> Column:
-    """Whether bags of sizes a and b can be that similar: they share the smaller one's size at most."""
-    return F.least(a, b) >= F.greatest(a, b) * F.lit(least) - 1e-9
+def _can_reach(x: str, y: str, least: float) -> Column:
+    """Whether the bags of rows x and y can be that similar: neither holds what the other's sketch lacks."""
+    lacks = lambda a, b: " + ".join(f"bit_count({a}.bits[{i}] & ~{b}.bits[{i}])" for i in range(SKETCH // 64))
+    enough = lambda a, b: f"({a}.size - ({lacks(a, b)})) * {1 + least}D >= ({a}.size + {b}.size) * {least}D - 1e-9D"
+    return F.expr(f"least({x}.size, {y}.size) >= greatest({x}.size, {y}.size) * {least}D - 1e-9D AND {enough(x, y)} AND {enough(y, x)}")
+
+
+def _pairs(met: DataFrame) -> DataFrame:
+    """Each pair of rows x and y once, the one that meets more others as a."""
+    first = "struct(x.weight, x.vertex) > struct(y.weight, y.vertex)"
+    return met.select(F.expr(f"if({first}, x.vertex, y.vertex)").alias("a"), F.expr(f"if({first}, y.vertex, x.vertex)").alias("b")).distinct()
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -172,7 +183,9 @@ def components(links: DataFrame) -> DataFrame:
         lower = state.join(near, "vertex").select("vertex", F.least("root", "near").alias("root"), F.col("root").alias("old"))
         jump = state.select(F.col("vertex").alias("root"), F.col("root").alias("up"))
         new = materialize(lower.join(jump, "root", "left").select("vertex", F.least("root", "up").alias("root"), "old"), "near-roots")
+        discard(state)
         if new.filter("root != old").isEmpty():
+            discard(both)
             return new.select("vertex", "root")
         state = new.select("vertex", "root")
 
@@ -180,43 +193,37 @@ def components(links: DataFrame) -> DataFrame:
 def _classes(docs: DataFrame, least: float, bands: int = BANDS, rows: int = ROWS, shingle: int = 5) -> DataFrame:
     """docs(doc_id, text, ...) -> doc (LAST for null), copy (hash of the text), root (one for each class), one row for each row."""
     made = materialize(signatures(docs, bands, rows, shingle), "near-signatures")
-    vertices = materialize(made.groupBy("bag").agg(F.min("doc").alias("doc"), F.first("size").alias("size"), F.first("bands").alias("bands")), "near-vertices")
-    members = vertices.select(F.col("bag").alias("vertex"), "size", F.explode("bands").alias("bucket"))
-    first = F.min(F.struct("vertex", "size")).alias("l")
-    buckets = members.groupBy("bucket").agg(first, F.max("vertex").alias("most")).filter("l.vertex != most").select("bucket", F.col("l.vertex").alias("leader"), F.col("l.size").alias("leader_size"))
-    members = materialize(members.join(buckets, "bucket"), "near-members")
-    pairs = materialize(members.filter("vertex != leader").filter(_can_reach("size", "leader_size", least)).select(F.col("leader").alias("a"), F.col("vertex").alias("b")).distinct(), "near-pairs")
-    done = members.select("bucket", "leader").distinct()
-    members, tried, links, roots, slots, reach = members.select("bucket", "vertex", "size"), pairs, None, None, SLOTS, REACH
-    while True:
-        if not pairs.isEmpty():
-            found = _verify(docs, pairs, vertices, least, shingle)
-            if links is None or not found.isEmpty():
-                links = found if links is None else links.union(found)
-                roots = components(links)
-        placed = members.withColumn("root", F.col("vertex")) if links is None else members.join(roots, "vertex", "left").select("bucket", "vertex", "size", F.coalesce("root", "vertex").alias("root"))
-        mixed = placed.groupBy("bucket").agg(F.min("root").alias("r"), F.max("root").alias("s")).filter("r != s").select("bucket")
-        placed = materialize(placed.join(mixed, "bucket"), "near-mixed")
-        # into how many parts a bucket's vertices fall, one of which is met: a power of two, so that parts of later rounds hold the earlier ones
-        parts = F.pow(F.lit(2), F.greatest(F.ceil(F.log2(F.sum("n") / reach)), F.lit(0))).cast("long")
-        largest = placed.groupBy("bucket", "root").agg(F.count("*").alias("n")).groupBy("bucket").agg(F.max_by("root", F.struct("n", "root")).alias("largest"), parts.alias("parts"))
-        minor = placed.join(largest, "bucket").filter("root != largest").join(done.withColumnRenamed("leader", "vertex"), ["bucket", "vertex"], "left_anti")
-        leaders = minor.groupBy("bucket", F.pmod(F.xxhash64("vertex"), F.lit(slots)).alias("slot")).agg(F.min(F.struct("vertex", "root", "size", "parts")).alias("l"))
-        leaders = materialize(leaders.select("bucket", F.col("l.vertex").alias("leader"), F.col("l.root").alias("own"), F.col("l.size").alias("leader_size"), F.col("l.parts").alias("parts")), "near-leaders")
-        if leaders.isEmpty():
-            break
-        done = done.union(leaders.filter("parts = 1").select("bucket", "leader"))
-        # a bucket without a leader left is done for good: components only grow together
-        members = materialize(placed.join(leaders.select("bucket").distinct(), "bucket", "left_semi").select("bucket", "vertex", "size"), "near-members")
-        a, b = F.least("leader", "vertex").alias("a"), F.greatest("leader", "vertex").alias("b")
-        met = placed.join(leaders, "bucket").filter("root != own").filter(_can_reach("size", "leader_size", least)).filter(F.pmod(F.xxhash64(a, b), F.col("parts")) == 0)
-        pairs = materialize(met.select(a, b).distinct().join(tried, ["a", "b"], "left_anti"), "near-pairs")
-        tried, slots, reach = tried.union(pairs), slots * MORE, reach * FURTHER
-    if links is None:
-        whole = made.select("doc", "copy", F.col("bag").alias("root"))
-    else:
-        whole = made.select("doc", "copy", "bag").join(roots.withColumnRenamed("vertex", "bag"), "bag", "left").select("doc", "copy", F.coalesce("root", "bag").alias("root"))
-    return materialize(whole, "near-classes")
+    vertices = materialize(made.groupBy("bag").agg(F.min(F.struct("doc", "copy")).alias("at"), F.first("size").alias("size"), F.first("bands").alias("bands")), "near-vertices")
+    placed = vertices.select(F.col("bag").alias("vertex"), F.explode("bands").alias("bucket"))
+    shared = placed.groupBy("bucket").agg(F.count("*").alias("n")).filter("n > 1")
+    buckets = materialize(placed.join(shared, "bucket"), "near-buckets")
+    # what a vertex meets in all its buckets: largest near the middle of a group
+    weights = materialize(buckets.groupBy("vertex").agg(F.sum("n").alias("weight")).join(vertices.select(F.col("bag").alias("vertex"), "at", "size"), "vertex"), "near-weights")
+    texts = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST)).alias("doc"), F.xxhash64(text_or_empty()).alias("copy"), "text")
+    sets = materialize(_item_sets(_only(texts, weights.select("at.doc", "at.copy"), ["doc", "copy"], "left_semi"), shingle).dropDuplicates(["bag"]), "near-sets")
+    discard(vertices)
+    known = weights.select("vertex", "weight", "size").join(sets.select(F.col("bag").alias("vertex"), "bits"), "vertex")
+    members = materialize(buckets.select("bucket", "vertex").join(known, "vertex"), "near-members")
+    discard(buckets, weights)
+    leaders = members.groupBy("bucket").agg(F.max(F.struct("weight", "vertex", "size", "bits")).alias("l")).select("bucket", "l.*")
+    met = members.alias("x").join(leaders.alias("y"), F.expr("x.bucket = y.bucket AND x.vertex != y.vertex") & _can_reach("x", "y", least))
+    pairs = materialize(_pairs(met), "near-pairs")
+    links = _verify(pairs, sets, least)
+    roots = components(links)
+    own = members.join(roots, "vertex", "left").withColumn("root", F.coalesce("root", "vertex"))
+    mixed = own.groupBy("bucket", "root").agg(F.count("*").alias("n")).groupBy("bucket").agg(F.max_by("root", F.struct("n", "root")).alias("largest"), F.sum("n").alias("n"), F.count("*").alias("roots")).filter("roots > 1")
+    own = materialize(own.join(mixed.select("bucket", "largest", F.ceil(F.col("n") / SPLIT).alias("parts")), "bucket"), "near-mixed")
+    discard(members)
+    minor = own.filter("root != largest").withColumn("part", F.pmod(F.xxhash64("vertex"), "parts"))
+    others = own.withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+    met = minor.alias("x").join(others.alias("y"), F.expr("x.bucket = y.bucket AND x.part = y.part AND x.root != y.root") & _can_reach("x", "y", least))
+    rest = materialize(_pairs(met).join(pairs, ["a", "b"], "left_anti"), "near-pairs")
+    if not rest.isEmpty():
+        more = _verify(rest, sets, least)
+        roots = roots if more.isEmpty() else components(links.union(more))
+    whole = materialize(made.select("doc", "copy", "bag").join(roots.withColumnRenamed("vertex", "bag"), "bag", "left").select("doc", "copy", F.coalesce("root", "bag").alias("root")), "near-classes")
+    discard(made, sets, own, pairs, rest)
+    return whole
 
 
 def near_duplicates(docs: DataFrame, least: float = 0.8, bands: int = BANDS, rows: int = ROWS, shingle: int = 5) -> DataFrame:
