@@ -80,13 +80,13 @@ def ascii_lower(col: Column) -> Column:
     return F.when(F.octet_length(col) == F.char_length(col), F.lower(col)).otherwise(F.translate(col, upper, upper.lower()))
 
 
-def text_slices(texts, max_chars: int = 2_000_000):
-    """Runs of positions whose texts hold max_chars characters together at most, a longer text alone: bounds
-    what numpy holds at once while texts stay whole."""
-    at, size, end = 0, 0, 0
+def text_slices(texts, max_chars: int = 2_000_000, max_texts: int = 1024):
+    """Runs of positions whose texts hold max_chars characters together at most, a longer text alone, and of max_texts at most:
+    bounds what numpy holds at once while texts stay whole."""
+    at, size = 0, 0
     for end, text in enumerate(texts):
         n = len(text) if text is not None else 0
-        if size and size + n > max_chars:
+        if end > at and (size + n > max_chars or end - at >= max_texts):
             yield at, end
             at, size = end, 0
         size += n

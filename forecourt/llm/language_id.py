@@ -21,10 +21,12 @@ from .common import crc_rest, text_or_empty, text_slices
 UNKNOWN = "und"
 #: Hash cells for n-grams of length 1 to 3 together.
 CELLS = 8192
-#: Labels that a model may learn at most; the counts of one are CELLS numbers.
+#: Labels that a model may learn at most unless the caller allows more; the counts of one are CELLS numbers on the driver.
 LANGUAGES = 1024
-#: Learned documents that measure the bits' weights at most.
+#: Learned documents that measure the bits' weights, about.
 WEIGHT_ROWS = 2_000
+#: Texts and characters that are counted at once: bounds the counts (texts x CELLS) and the arrays of characters.
+TEXTS, CHARS = 128, 400_000
 _FOLD = None
 
 
@@ -43,7 +45,7 @@ def _fold() -> np.ndarray:
 def ngram_counts(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     """Counts (texts x CELLS) and the number of letters of each text."""
     counts, letters = np.zeros((len(texts), CELLS), np.float32), np.zeros(len(texts), np.int64)
-    for a, b in text_slices(texts, 500_000):
+    for a, b in text_slices(texts, CHARS, TEXTS):
         raw = np.frombuffer("\0".join(["", *texts[a:b], ""]).encode("utf-32-le"), np.uint32)
         sizes = np.array([len(t) + 1 for t in texts[a:b]])
         owner = np.concatenate([[0], np.repeat(np.arange(b - a), sizes)])
@@ -105,13 +107,21 @@ class Model:
         return [self.labels[i] if n else UNKNOWN for i, n in zip(best, letters)], score, np.where(letters > 0, gap, 0.0)
 
 
-def learn(docs: DataFrame, learned) -> Model:
+def _known(docs: DataFrame, learned) -> tuple[DataFrame, DataFrame]:
+    """lang and text of the rows to learn from, and some WEIGHT_ROWS of them, drawn by a hash of id and text where they lie."""
+    known = docs.filter(learned & F.col("lang").isNotNull()).select(F.col("lang").cast("string").alias("lang"), text_or_empty().alias("text"), "doc_id")
+    share = WEIGHT_ROWS / max(known.count(), 1)
+    few = known if share >= 1 else known.filter(F.pmod(F.xxhash64("doc_id", "text"), F.lit(2**31)) < int(share * 2**31))
+    return known.select("lang", "text"), few.select("lang", "text")
+
+
+def learn(docs: DataFrame, learned, languages: int = LANGUAGES) -> Model:
     """docs(doc_id, text, lang, ...); ``learned`` is the condition on rows to learn from. All of them are counted; the bits' weights
-    are measured on WEIGHT_ROWS of them at most (those with the smallest hashes)."""
-    known = docs.filter(learned & F.col("lang").isNotNull()).select(F.col("lang").cast("string").alias("lang"), text_or_empty().alias("text"), F.xxhash64("doc_id", "text").alias("h"))
-    labels = sorted(r[0] for r in known.select("lang").distinct().limit(LANGUAGES + 1).collect())
-    if len(labels) > LANGUAGES:
-        raise ValueError(f"more than {LANGUAGES} languages")
+    are measured on WEIGHT_ROWS of them, about. More than ``languages`` labels are refused, for their counts meet on the driver."""
+    known, sample = _known(docs, learned)
+    labels = sorted(r[0] for r in known.select("lang").distinct().limit(languages + 1).collect())
+    if len(labels) > languages:
+        raise ValueError(f"more than {languages} languages")
     if not labels:
         return Model([], np.zeros((0, 0)))
     number = {label: i for i, label in enumerate(labels)}
@@ -120,7 +130,7 @@ def learn(docs: DataFrame, learned) -> Model:
         sums: dict[str, np.ndarray] = {}
         for batch in batches:
             langs, texts = np.array(batch.column(0).to_pylist(), dtype=object), batch.column(1).to_pylist()
-            for a, b in text_slices(texts, 500_000):
+            for a, b in text_slices(texts, CHARS, TEXTS):
                 counts, _ = ngram_counts(texts[a:b])
                 for lang in set(langs[a:b]):
                     sums[lang] = sums.get(lang, 0) + counts[langs[a:b] == lang].sum(0, dtype=np.float64)
@@ -128,7 +138,7 @@ def learn(docs: DataFrame, learned) -> Model:
         yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.string()), pa.array([r[1] for r in rows], pa.int32()), pa.array([r[2] for r in rows], pa.float64())], ["lang", "cell", "n"])
 
     # one row for each language and cell: LANGUAGES * CELLS at most
-    totals = known.select("lang", "text").mapInArrow(count, "lang string, cell int, n double").groupBy("lang", "cell").agg(F.sum("n").alias("n")).toArrow()
+    totals = known.mapInArrow(count, "lang string, cell int, n double").groupBy("lang", "cell").agg(F.sum("n").alias("n")).toArrow()
     by = np.zeros((len(labels), CELLS))
     by[[number[x] for x in totals["lang"].to_pylist()], totals["cell"].to_numpy()] = totals["n"].to_numpy()
     share = (by + 0.05) / (by + 0.05).sum(1, keepdims=True)  # every language counts alike, however many documents it has
@@ -136,14 +146,12 @@ def learn(docs: DataFrame, learned) -> Model:
     model = Model(labels, codes)
     one, zero = (codes > 0).astype(float), (codes < 0).astype(float)
     model.odds = (np.log(share.T @ one / np.maximum(one.sum(0), 1) + 1e-12) - np.log(share.T @ zero / np.maximum(zero.sum(0), 1) + 1e-12)).astype(np.float32)
-    sample = known.orderBy("h").limit(WEIGHT_ROWS).select("lang", "text")
-
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         right, seen = np.zeros(codes.shape), np.zeros(len(labels))
         for batch in batches:
             own = np.array([number[x] for x in batch.column(0).to_pylist()], int)
             texts = batch.column(1).to_pylist()
-            for a, b in text_slices(texts, 500_000):
+            for a, b in text_slices(texts, CHARS, TEXTS):
                 m = model.margins(ngram_counts(texts[a:b])[0])
                 np.add.at(right, own[a:b], m * codes[own[a:b]] > 0)
                 np.add.at(seen, own[a:b], 1)
@@ -173,7 +181,7 @@ def predict(docs: DataFrame, model: Model) -> DataFrame:
         for batch in batches:
             texts = batch.column(1).to_pylist()
             labels, scores, gaps = [], [], []
-            for a, b in text_slices(texts, 500_000):
+            for a, b in text_slices(texts, CHARS, TEXTS):
                 found = shared.value.decode(*ngram_counts(texts[a:b]))
                 labels += found[0]
                 scores.append(found[1])
@@ -188,7 +196,7 @@ def predict(docs: DataFrame, model: Model) -> DataFrame:
 def loss_limit(docs: DataFrame, model: Model, learned) -> float:
     """The least loss up to which a text counts as of a learned language: half way between the largest one of learned documents
     that decode to their own language, and 1, the loss of a text whose n-grams say nothing. Measured on WEIGHT_ROWS of
-    them at most."""
+    them, about."""
     if not model.labels:
         return float("inf")
     shared = docs.sparkSession.sparkContext.broadcast(model)
@@ -197,15 +205,15 @@ def loss_limit(docs: DataFrame, model: Model, learned) -> float:
         m, worst = shared.value, 0.0
         for batch in batches:
             langs, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            for a, b in text_slices(texts, 500_000):
+            for a, b in text_slices(texts, CHARS, TEXTS):
                 counts, letters = ngram_counts(texts[a:b])
                 loss = m.losses(counts)
                 right = (letters > 0) & (np.array([m.labels[i] for i in loss.argmin(1)], object) == np.array(langs[a:b], object))
                 worst = max(worst, float(loss.min(1)[right].max(initial=0.0)))
         yield pa.RecordBatch.from_arrays([pa.array([worst])], ["worst"])
 
-    known = docs.filter(learned & F.col("lang").isNotNull()).select(F.col("lang").cast("string").alias("lang"), text_or_empty().alias("text"), F.xxhash64("doc_id", "text").alias("h"))
-    worst = known.orderBy("h").limit(WEIGHT_ROWS).select("lang", "text").mapInArrow(run, "worst double").agg(F.max("worst")).first()[0]
+    worst = _known(docs, learned)[1].mapInArrow(run, "worst double").agg(F.max("worst")).first()[0]
+    shared.destroy()
     return (min(worst or 0.0, 1.0) + 1.0) / 2
 
 
@@ -221,7 +229,7 @@ def keep_identified(docs: DataFrame, model: Model, limit: float = float("inf"))
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts, keep = [t or "" for t in batch.column(at).to_pylist()], []
-            for a, b in text_slices(texts, 500_000):
+            for a, b in text_slices(texts, CHARS, TEXTS):
                 counts, letters = ngram_counts(texts[a:b])
                 keep += ((letters > 0) & (shared.value.losses(counts).min(1) <= limit)).tolist()
             yield batch.filter(pa.array(keep, pa.bool_()))
