@@ -7,6 +7,13 @@ holds a line feed. A merge therefore never crosses the start of a space run or e
 
 holds exactly. The table of a text stores the count at every cut; the second term depends on one segment (a word with
 its leading blanks) only. Segments recur, so each is encoded once a task while it stays in the memo.
+
+Within a segment the same holds from token to token: every run of tokens of an encoding is itself an encoding, so
+
+    count(s[:i]) = count(s[:k]) + 1, where s[k:i] is the last token of s[:i]
+
+and s[k:i] is that token if and only if it stays apart from the last token of s[:k] when both are encoded together. One pass gives the
+count at every character; no prefix is encoded.
 """
 
 from __future__ import annotations
@@ -24,8 +31,9 @@ from .common import text_or_empty
 
 MARK = "▁"
 _SEGMENT = re.compile(f"\n[^ {MARK}\n]*|[ {MARK}]+[^ {MARK}\n]*|[^ {MARK}\n]+")
-#: Segments remembered by a task; at this many the memo starts anew (some 60 MB).
-MEMO = 400_000
+#: Segments, and pairs of tokens, remembered by a task; at this many the memo starts anew. Segments of more characters aren't
+#: remembered, so the memo stays under some 100 MB.
+MEMO, MEMO_CHARS = 300_000, 48
 
 
 def _model_can_be_cut(sp: sentencepiece.SentencePieceProcessor) -> bool:
@@ -48,6 +56,9 @@ class PrefixCounter:
         if not _model_can_be_cut(self.sp):
             raise ValueError("this model's pieces can reach across blanks or line feeds; its prefixes can't be cut there")
         self.memo = _Memo(self.sp)
+        self.scores = {self.sp.id_to_piece(i): self.sp.get_score(i) for i in range(self.sp.get_piece_size()) if not (self.sp.is_control(i) or self.sp.is_unknown(i) or self.sp.is_byte(i) or self.sp.is_unused(i))}
+        self.longest_piece = max(map(len, self.scores), default=1)
+        self.apart: dict[tuple[str, str], bool] = {}
 
     @staticmethod
     def segments(text: str) -> list[str]:
@@ -71,11 +82,37 @@ class PrefixCounter:
     def total(self, text: str) -> int:
         return int(self.table(text)[1][-1])
 
+    def merged(self, text: str) -> list[str]:
+        """The tokens of a short text: of all neighbours that make a piece, those with the best score are joined, the first of equals."""
+        parts = list(text)
+        while len(parts) > 1:
+            joins = [(self.scores.get(a + b), i) for i, (a, b) in enumerate(zip(parts, parts[1:]))]
+            score, i = max(((s, -i) for s, i in joins if s is not None), default=(None, 0))
+            if score is None:
+                break
+            parts[-i : -i + 2] = [parts[-i] + parts[-i + 1]]
+        return parts
+
+    def _stay_apart(self, a: str, b: str) -> bool:
+        key = (a, b)
+        if key not in self.apart:
+            if len(self.apart) >= MEMO:
+                self.apart.clear()
+            self.apart[key] = self.merged(a + b) == ([a, b] if a else [b])
+        return self.apart[key]
+
     def within(self, segment: str, first: bool) -> np.ndarray:
         """Counts of every prefix of one segment, lengths 1 to len(segment), as it stands in a text."""
-        if first:
-            return np.array([len(self.sp.encode(segment[:j])) for j in range(1, len(segment) + 1)])
-        return np.array([self.memo[segment[:j]] for j in range(1, len(segment) + 1)])
+        s = MARK * first + segment.replace(" ", MARK)
+        count, last = np.zeros(len(s) + 1, np.int64), [""] * (len(s) + 1)
+        for i in range(1, len(s) + 1):
+            for k in range(max(0, i - self.longest_piece), i):
+                token = s[k:i]
+                if (token in self.scores or k == i - 1) and self._stay_apart(last[k], token):
+                    last[i] = token
+                    count[i] = count[k] + (1 if token in self.scores else len(token.encode()))  # unknown characters are bytes
+                    break
+        return count[1 + first :]
 
     def every_prefix(self, text: str) -> np.ndarray:
         """The count of text[:j] for every j from 0 to len(text)."""
@@ -106,7 +143,8 @@ class _Memo(dict):
             n = len(self.encode(segment)) - 1
         else:
             n = len(self.encode(segment[1:])) or 1
-        self[segment] = n
+        if len(segment) <= MEMO_CHARS:
+            self[segment] = n
         return n
 
 
