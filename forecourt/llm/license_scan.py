@@ -1,15 +1,18 @@
 """License scan: an exact set-similarity join of text blocks with license templates.
 
-Tokens are ordered by how many documents hold them, rarest first, counted over the whole corpus. A block can reach the
-containment |block & template| / |template| >= t only if it holds a token of the template's prefix, its first
-|T| - ceil(t|T|) + 1 tokens in that order; candidates from the prefix index pass the length filter and, token by token,
-the positional filter (what still can be shared) before the overlap is counted in full.
+Blocks are windows of words over the whole document, whatever its lines: for templates of at most L words, 2L words every
+L words, so that a notice lies whole in a window wherever it stands and however it is wrapped. Tokens are ordered by how many
+documents hold them, rarest first, counted over the whole corpus. A block can reach the containment |block & template| /
+|template| >= t only if it holds a token of the template's prefix, its first |T| - ceil(t|T|) + 1 tokens in that order;
+candidates from the prefix index pass the length filter and, token by token, the positional filter (what still can be shared)
+before the overlap is counted in full. Of templates that nearly contain each other the best one in overlapping blocks stands.
 """
 
 from __future__ import annotations
 
 import math
 import re
+from bisect import bisect_left
 from collections import Counter, defaultdict
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
@@ -27,7 +30,7 @@ _WORD = re.compile(rb"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 @dataclass(frozen=True)
 class Template:
     """kind "phrase": the words must stand consecutively, anywhere in the document (block: the whole document, containment 1).
-    kind "notice": a line that holds at least ``least`` of the distinct words."""
+    kind "notice": a window that holds at least ``least`` of the distinct words."""
 
     label: str
     text: str
@@ -97,11 +100,31 @@ class SimilarityIndex:
             for i, token in enumerate(s[: len(s) - self.need[k] + 1]):
                 self.prefix[token].append((k, i))
         self.vocabulary = frozenset(self.place)
+        self.width = [1 << max(3, (len(t.words) - 1).bit_length()) for t in self.templates]
+        self.widths = {token: sorted({self.width[k] for k, _ in of if self.templates[k].kind == "notice"}) for token, of in self.prefix.items()}
+        near = lambda a, b: len({*a} & {*b}) >= 0.8 * min(len(a), len(b))
+        self.rivals = [[j for j, b in enumerate(self.sets) if j != k and self.templates[j].kind == "notice" and near(a, b)] for k, a in enumerate(self.sets)]
+
+    def notices(self, words: list[bytes]) -> list[tuple[int, int, int, float]]:
+        """(template, block number, first word, containment) of the blocks of a document's words that meet a notice. A template is looked
+        for only in the blocks around words of its prefix."""
+        spots = [(i, self.place[w]) for i, w in enumerate(words) if w in self.vocabulary]
+        starts, found = [i for i, _ in spots], []
+        blocks = sorted({(width, b) for i, token in spots for width in self.widths.get(token, ()) for b in (i // width, i // width - 1) if b >= 0})
+        for width, b in blocks:
+            held = {t for _, t in spots[bisect_left(starts, b * width) : bisect_left(starts, (b + 2) * width)]}
+            found += [(k, b, b * width, c) for k, c in self.join_places(held, "notice") if self.width[k] == width]
+        best = lambda m: (m[3], len(self.sets[m[0]]), -m[0])
+        meet = lambda m, o: m[2] < o[2] + 2 * self.width[o[0]] and o[2] < m[2] + 2 * self.width[m[0]]
+        return [m for m in found if not any(o[0] in self.rivals[m[0]] and meet(m, o) and best(o) > best(m) for o in found)]
 
     def join(self, words: frozenset[bytes] | set[bytes], kind: str) -> list[tuple[int, float]]:
         """words: those of a block that are in the vocabulary (others can't be shared). All templates of the kind
         that reach their threshold, with their containment."""
-        block, found, tried = sorted(map(self.place.__getitem__, words)), [], set()
+        return self.join_places({self.place[w] for w in words}, kind)
+
+    def join_places(self, places: set[int], kind: str) -> list[tuple[int, float]]:
+        block, found, tried = sorted(places), [], set()
         for j, token in enumerate(block):
             for k, i in self.prefix.get(token, ()):
                 if k in tried or self.templates[k].kind != kind:
@@ -144,10 +167,11 @@ MATCH = "struct<label:string,kind:string,block:int,start:long,containment:double
 
 def scan_licenses(docs: DataFrame, templates: Sequence[Template] = PHRASES + NOTICES) -> DataFrame:
     """docs(doc_id, text, ...) -> doc_id, n_words, matches: one entry for each place of a phrase (block -1, start in
-    words) and for each line that meets a notice (block: the line's number, start: its first word).
+    words) and for each window that meets a notice (block: its number among those of its width, start: its first word).
+    A notice that stands in the half that two windows share is found in both.
 
     Null text counts as empty: no words, no match. Repeated rows each get their row; null ids pass; other columns are
-    ignored. Two scans, no shuffle of texts; a task holds one text.
+    ignored. Without templates nothing matches. Two scans, no shuffle of texts; a task holds one text and its words.
     """
     index = SimilarityIndex(templates, token_counts(docs, templates))
     phrases = {k: t.words for k, t in enumerate(index.templates) if t.kind == "phrase"}
@@ -158,18 +182,14 @@ def scan_licenses(docs: DataFrame, templates: Sequence[Template] = PHRASES + NOT
         for batch in batches:
             n_words, matches = [], []
             for text in batch.column(1):
-                n, found, held = 0, [], set()
-                low = text.as_buffer().to_pybytes().lower()
-                for block, line in enumerate(low.split(b"\n")):
-                    words = _WORD.findall(line)
-                    if some := vocabulary.intersection(words):
-                        held |= some
-                        found += [(index.templates[k].label, "notice", block, n, c) for k, c in index.join(some, "notice")]
-                    n += len(words)
+                words, found = _WORD.findall(text.as_buffer().to_pybytes().lower()), []
+                held = vocabulary.intersection(words)
+                # no block can hold what the document doesn't
+                if held and index.join(held, "notice"):
+                    found += [(index.templates[k].label, "notice", block, at, c) for k, block, at, c in index.notices(words)]
                 if held and (candidates := index.join(held, "phrase")):
-                    words = _WORD.findall(low)
                     found += [(index.templates[k].label, "phrase", -1, at, 1.0) for k, _ in candidates for at in _places(words, phrases[k], rare[k])]
-                n_words.append(n)
+                n_words.append(len(words))
                 matches.append([dict(zip(("label", "kind", "block", "start", "containment"), m)) for m in found])
             kind = pa.list_(pa.struct([("label", pa.string()), ("kind", pa.string()), ("block", pa.int32()), ("start", pa.int64()), ("containment", pa.float64())]))
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n_words, pa.int64()), pa.array(matches, kind)], ["doc_id", "n_words", "matches"])
