@@ -13,14 +13,20 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import text_or_empty
+from .common import materialize, text_or_empty
 from .license_scan import _WORD
 
-#: Words of benchmark text that one pass carries to the tasks (some 10 MB); a larger benchmark is met in several passes.
-PASS_WORDS = 200_000
+#: Words of benchmark text that one pass carries to the tasks (some 50 MB). A larger benchmark is met in several passes, over those
+#: documents only that hold a seed by a filter of FILTER_BITS bits (64 MB) at most, 16 for each word of the benchmark otherwise.
+PASS_WORDS, FILTER_BITS = 1_000_000, 2**29
+#: So many words of an item in tiles are a leak, whatever part of a long item they are.
+LEAK_WORDS = 50
+#: Pairs of equal seeds that are listed at once; where a text and an item have more, their diagonals are compared one by one.
+PAIRS = 1_000_000
 _U = np.uint64
 _MULTIPLIER = _U(0x9E3779B97F4A7C15)
 
@@ -40,17 +46,34 @@ def rolling(numbers: np.ndarray, k: int) -> np.ndarray:
     return total
 
 
-def greedy_tiles(item: np.ndarray, text: np.ndarray, seeds: tuple[np.ndarray, np.ndarray], least: int) -> list[tuple[int, int, int]]:
+def diagonal_matches(item: np.ndarray, text: np.ndarray, least: int) -> Iterator[tuple[int, int, int]]:
+    """(-words, start in item, start in text) of all maximal matches of at least ``least`` known words, a diagonal at a time:
+    memory for one diagonal, however often words repeat."""
+    for d in range(least - len(item), len(text) - least + 1):
+        a, b = max(0, -d), max(0, d)
+        n = min(len(item) - a, len(text) - b)
+        same = np.zeros(n + 2, bool)
+        same[1:-1] = item[a : a + n] == text[b : b + n]
+        edges = np.flatnonzero(same[1:] != same[:-1])
+        for start, end in zip(edges[::2], edges[1::2]):
+            if end - start >= least:
+                yield int(start - end), int(a + start), int(b + start)
+
+
+def greedy_tiles(item: np.ndarray, text: np.ndarray, seeds: tuple[np.ndarray, np.ndarray] | None, least: int) -> list[tuple[int, int, int]]:
     """Tiles (start in item, start in text, words), longest first, ties by start in item, then in text. seeds: starts
-    in item and text of all equal runs of ``least`` words."""
-    p, j = seeds
-    order = np.lexsort((p, j - p))
-    p, j = p[order], j[order]
-    new = np.ones(len(p), bool)
-    new[1:] = (np.diff(j - p) != 0) | (np.diff(p) != 1)
-    at = np.flatnonzero(new)
-    lengths = np.diff(np.append(at, len(p))) + least - 1
-    heap = [(-int(n), int(a), int(b)) for n, a, b in zip(lengths, p[at], j[at]) if np.array_equal(item[a : a + n], text[b : b + n])]
+    in item and text of all equal runs of ``least`` words; None: they are too many to list."""
+    if seeds is None:
+        heap = list(diagonal_matches(item, text, least))
+    else:
+        p, j = seeds
+        order = np.lexsort((p, j - p))
+        p, j = p[order], j[order]
+        new = np.ones(len(p), bool)
+        new[1:] = (np.diff(j - p) != 0) | (np.diff(p) != 1)
+        at = np.flatnonzero(new)
+        lengths = np.diff(np.append(at, len(p))) + least - 1
+        heap = [(-int(n), int(a), int(b)) for n, a, b in zip(lengths, p[at], j[at]) if np.array_equal(item[a : a + n], text[b : b + n])]
     heapq.heapify(heap)
     taken_item, taken_text, tiles = np.zeros(len(item), bool), {}, []
     while heap:
@@ -112,45 +135,94 @@ class SeedIndex:
         at, low, high = at[some], low[some], high[some]
         if not len(at):
             return []
-        each = high - low
-        row = np.repeat(low - np.cumsum(each) + each, each) + np.arange(each.sum())
-        owner, start, place = self.owners[row], self.starts[row], np.repeat(at, each)
-        found = []
-        for k in np.unique(owner):
-            mine = owner == k
-            tiles = greedy_tiles(self.items[k], numbers, (start[mine], place[mine]), self.least)
+        found, each = [], high - low
+        if each.sum() <= PAIRS:
+            row = np.repeat(low - np.cumsum(each) + each, each) + np.arange(each.sum())
+            owner, start, place = self.owners[row], self.starts[row], np.repeat(at, each)
+            order = np.argsort(owner, kind="stable")
+            cuts = np.flatnonzero(np.diff(owner[order], prepend=-1))
+            met = [(int(owner[mine[0]]), (start[mine], place[mine])) for mine in np.split(order, cuts[1:])]
+        else:
+            met = [(k, None) for k in sorted({int(k) for a, b in {*zip(low.tolist(), high.tolist())} for k in self.owners[a:b]})]
+        for k, seeds in met:
+            tiles = greedy_tiles(self.items[k], numbers, seeds, self.least)
             covered, whole = sum(t[2] for t in tiles), len(self.items[k])
-            if covered >= self.coverage * whole:
+            if covered >= min(self.coverage * whole, LEAK_WORDS):
                 found.append((self.ids[k], covered, whole, covered / whole, tiles))
         return found
 
 
-def _passes(benchmark: DataFrame, least_tile: int, coverage: float) -> Iterator[SeedIndex]:
-    """The benchmark in parts of PASS_WORDS words, about; only one part at a time is on the driver."""
+class SeedFilter:
+    """A Bloom filter of the seeds of a whole benchmark: tells the documents that hold none of them, which are nearly all."""
+
+    def __init__(self, words: int, least_tile: int):
+        self.least, self.size = least_tile, 1 << max(10, min(FILTER_BITS, 16 * words).bit_length() - 1)
+        self.bits = np.zeros(self.size // 8, np.uint8)
+
+    def _seeds(self, text: bytes) -> np.ndarray:
+        h = rolling(np.fromiter(map(xxhash.xxh3_64_intdigest, words_of(text)), np.uint64), self.least)
+        with np.errstate(over="ignore"):
+            return np.stack([h * _MULTIPLIER >> _U(20), (h ^ (h >> _U(31))) * _U(0xD1342543DE82EF95) >> _U(20)]) % _U(self.size)
+
+    def add(self, text: bytes) -> None:
+        at = self._seeds(text).ravel()
+        np.bitwise_or.at(self.bits, (at >> _U(3)).astype(np.int64), np.left_shift(1, (at & _U(7)).astype(np.int64)).astype(np.uint8))
+
+    def holds(self, text: bytes) -> bool:
+        at = self._seeds(text)
+        return bool((self.bits[(at >> _U(3)).astype(np.int64)] >> (at & _U(7)).astype(np.uint8) & 1).all(0).any())
+
+
+def _parts(benchmark: DataFrame) -> list[DataFrame]:
+    """The benchmark in parts of PASS_WORDS words, about."""
     items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), text_or_empty().alias("text"))
     chars = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     parts = max(1, -(-chars // (5 * PASS_WORDS)))
-    for part in range(parts):
-        rows = items if parts == 1 else items.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(parts)) == part)
+    return [items] if parts == 1 else [items.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(parts)) == part) for part in range(parts)]
+
+
+def _passes(parts: list[DataFrame], least_tile: int, coverage: float) -> Iterator[SeedIndex]:
+    """An index of each part; only one is on the driver at a time."""
+    for rows in parts:
         yield SeedIndex(sorted(((r["item_id"], r["text"].encode()) for r in rows.collect()), key=lambda r: (r[0] is None, r)), least_tile, coverage)
 
 
+def _with_seeds(docs: DataFrame, parts: list[DataFrame], least_tile: int) -> DataFrame:
+    """The rows of docs whose text may hold a seed of the benchmark, written."""
+    seeds = SeedFilter(len(parts) * PASS_WORDS, least_tile)
+    for rows in parts:
+        for r in rows.toLocalIterator():
+            seeds.add(r["text"].encode())
+    at, shared = docs.columns.index("text"), docs.sparkSession.sparkContext.broadcast(seeds)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield batch.filter(pa.array([t.is_valid and shared.value.holds(t.as_buffer().to_pybytes()) for t in batch.column(at)], pa.bool_()))
+
+    found = materialize(docs.mapInArrow(run, docs.schema), "tiles-candidates")
+    shared.destroy()
+    return found
+
+
 TILES = "array<struct<item_start:int,text_start:int,words:int>>"
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, least_tile: int = 5, coverage: float = 0.5) -> DataFrame:
     """docs(doc_id, text, ...), benchmark(item_id, text, ...) -> doc_id, item_id, covered, item_words, coverage, tiles: one
-    row for each document and item of which tiles of at least ``least_tile`` words cover at least ``coverage``.
+    row for each document and item of which tiles of at least ``least_tile`` words cover at least ``coverage`` or LEAK_WORDS words.
 
     Null text counts as empty and holds nothing; items of fewer than ``least_tile`` words can hold no tile and match
     nothing. Repeated rows (of either table) each give their rows; null ids pass; other columns are ignored. Empty tables give no
-    rows. One scan of the documents for each part of the benchmark, no shuffle.
+    rows. No shuffle: one scan of the documents; if the benchmark is of several parts, one scan of those that hold a seed for each part
+    more. A text is held whole, with some 50 bytes a word; matches take memory for PAIRS pairs of equal seeds at most.
     """
     kind = pa.list_(pa.struct([("item_start", pa.int32()), ("text_start", pa.int32()), ("words", pa.int32())]))
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text"))
+    texts, parts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text")), _parts(benchmark)
+    if len(parts) > 1:
+        texts = _with_seeds(texts, parts, least_tile)
     schema = f"doc_id long, item_id long, covered long, item_words long, coverage double, tiles {TILES}"
     whole = None
-    for index in _passes(benchmark, least_tile, coverage):
+    for index in _passes(parts, least_tile, coverage):
         shared = docs.sparkSession.sparkContext.broadcast(index)
 
         def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
@@ -167,8 +239,16 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, least_tile: int = 5, cov
 
 def remove_contaminated(docs: DataFrame, benchmark: DataFrame, least_tile: int = 5, coverage: float = 0.5) -> DataFrame:
     """docs without the documents that contaminated() finds; all columns pass as they are, whatever their names."""
-    at = docs.columns.index("text")
-    for index in _passes(benchmark, least_tile, coverage):
+    at, parts = docs.columns.index("text"), _parts(benchmark)
+    if len(parts) > 1:
+        # documents without a seed stay; those found among the others go, by id and text
+        ids = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+        seen = contaminated(_with_seeds(ids, parts, least_tile).select(F.xxhash64("doc_id", "text").alias("doc_id"), "text"), benchmark, least_tile, coverage)
+        gone = materialize(seen.select("doc_id").distinct(), "tiles-found")
+        names = docs.columns
+        packed = docs.select(F.struct(*names).alias("row")).withColumn("doc_id", F.xxhash64(F.col("row.doc_id").cast("long"), "row.text"))
+        return packed.join(gone, "doc_id", "left_anti").select("row.*")
+    for index in _passes(parts, least_tile, coverage):
         shared = docs.sparkSession.sparkContext.broadcast(index)
 
         def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
