@@ -1,8 +1,11 @@
 """Toxicity by nearest labelled examples under exact TF-IDF cosine over all terms of the examples.
 
-Examples lie in an inverted index: the postings of rare terms are added up one by one, those of the terms that most
-examples have lie in a dense table, so that a product of matrices adds them up. Every similarity is exact and every
-term counts; how much a term's presence says about the label adds to its weight but is never a reason to leave it out.
+Examples lie in a block-max inverted index: blocks of similar examples, and for every term and block the largest weight.
+The sum over a text's terms of weight times block maximum bounds the similarity to any example of a block; the blocks
+with the best bounds are scored first, and then only those whose bound reaches the k-th best similarity found. Terms that most
+examples have lie in dense tables (of weights and of block maxima), so that products of matrices add them up. Every similarity
+that decides is exact and every term counts; how much a term's presence says about the label adds to its weight but is never a
+reason to leave it out.
 The k nearest vote by squared similarity, classes weighed as they stand among all labels; isotonic regression on leave-one-out
 votes of the examples calibrates the votes.
 """
@@ -24,7 +27,9 @@ from .license_scan import _WORD
 #: Labelled documents of each class among the examples at most.
 PER_CLASS = 3_000
 #: Terms kept as dense rows (the most frequent ones; layout only), and texts that are compared at once.
-DENSE, TEXTS = 512, 256
+DENSE, TEXTS = 512, 128
+#: Examples in a block, about, and blocks that are scored before bounds are compared.
+BLOCK, FIRST = 64, 8
 NEIGHBOURS, EVIDENCE = 25, 5
 #: Weight of a term that says nothing about the label, where one that tells the classes apart without fail has 1 more.
 FLOOR = 0.02
@@ -76,11 +81,17 @@ class Model:
     ids: np.ndarray = field(default_factory=lambda: np.zeros(0, np.int64))  # of examples, in index order
     labels: np.ndarray = field(default_factory=lambda: np.zeros(0))
     class_weight: tuple[float, float] = (1.0, 1.0)
-    starts: np.ndarray = field(default_factory=lambda: np.zeros(1, np.int64))  # of the postings of each term that isn't dense
-    examples: np.ndarray = field(default_factory=lambda: np.zeros(0, np.int32))  # postings by term: example, weight
+    block: np.ndarray = field(default_factory=lambda: np.zeros(0, np.int64))  # of each example
+    # postings of the terms that aren't dense, by term and block: where a term's entries begin, an entry's block, largest weight and postings
+    entries: np.ndarray = field(default_factory=lambda: np.zeros(1, np.int64))
+    entry_block: np.ndarray = field(default_factory=lambda: np.zeros(0, np.int64))
+    entry_most: np.ndarray = field(default_factory=lambda: np.zeros(0))
+    starts: np.ndarray = field(default_factory=lambda: np.zeros(1, np.int64))
+    examples: np.ndarray = field(default_factory=lambda: np.zeros(0, np.int32))
     values: np.ndarray = field(default_factory=lambda: np.zeros(0))
     row: np.ndarray = field(default_factory=lambda: np.zeros(0, np.int32))  # of each term: its row in dense, or -1
     dense: np.ndarray = field(default_factory=lambda: np.zeros((0, 0)))  # frequent terms x examples
+    dense_most: np.ndarray = field(default_factory=lambda: np.zeros((0, 0)))  # frequent terms x blocks
     base: float = 0.0  # share of toxic ones among the examples without a term
     steps: tuple[np.ndarray, np.ndarray] | None = None  # calibration
 
@@ -107,10 +118,15 @@ class Model:
         some = np.bincount(owner, minlength=len(ids)) > 0
         ratio = np.where(labels == 1, self.class_weight[1], self.class_weight[0])
         self.base = float((ratio * labels)[~some].sum() + self.share()) / float(ratio[~some].sum() + 1)
-        order = np.flatnonzero(some)[np.argsort(ids[some], kind="stable")]  # by id, which breaks ties
+        keys = (owner, term, value)
+        order = np.flatnonzero(some)
+        if len(order):
+            order = order[np.lexsort((ids[order], _alike(keys, len(ids))[order]))]  # similar ones together: layout only
         place = np.full(len(ids), -1)
         place[order] = np.arange(len(order))
         self.ids, self.labels, owner = ids[order], labels[order], place[owner]
+        self.block = np.arange(len(order)) // BLOCK
+        blocks = int(self.block[-1]) + 1 if len(order) else 0
         held = np.bincount(term, minlength=len(self.weight))
         often = np.argsort(-held, kind="stable")[:DENSE]
         often = often[held[often] > len(order) / 32]
@@ -118,10 +134,17 @@ class Model:
         self.row[often] = np.arange(len(often))
         self.dense, full = np.zeros((len(often), len(order))), self.row[term] >= 0
         self.dense[self.row[term[full]], owner[full]] = value[full]
+        self.dense_most = np.zeros((len(often), blocks))
+        np.maximum.at(self.dense_most, (self.row[term[full]], self.block[owner[full]]), value[full])
         owner, term, value = owner[~full], term[~full], value[~full]
-        by = np.argsort(term, kind="stable")
-        self.examples, self.values = owner[by].astype(np.int32), value[by]
-        self.starts = np.concatenate([[0], np.cumsum(np.bincount(term, minlength=len(held)))])
+        by = np.lexsort((owner, term))
+        owner, term, value = owner[by], term[by], value[by]
+        self.examples, self.values = owner.astype(np.int32), value
+        key = term * max(blocks, 1) + self.block[owner]
+        at = np.flatnonzero(np.diff(key, prepend=-1))
+        self.starts, self.entry_block = np.append(at, len(key)), self.block[owner[at]]
+        self.entry_most = np.maximum.reduceat(value, at) if len(at) else np.zeros(0)
+        self.entries = np.searchsorted(term[at], np.arange(len(held) + 1))
 
     def share(self) -> float:
         return self.class_weight[1] / (self.class_weight[0] + self.class_weight[1]) if sum(self.class_weight) else 0.0
@@ -136,22 +159,35 @@ class Model:
         frequent = self.row[term] >= 0
         table = np.zeros((texts, len(self.dense)))
         table[owner[frequent], self.row[term[frequent]]] = value[frequent]
-        sims = table @ self.dense
         owner, term, value = owner[~frequent], term[~frequent], value[~frequent]
-        cuts = np.searchsorted(owner, np.arange(texts + 1))
-        first, size = self.starts[term], self.starts[term + 1] - self.starts[term]
-        for i, (a, b) in enumerate(zip(cuts, cuts[1:])):
-            many = size[a:b]
-            at = np.arange(many.sum()) + np.repeat(first[a:b] - np.cumsum(many) + many, many)
-            sims[i] += np.bincount(self.examples[at], self.values[at] * np.repeat(value[a:b], many), minlength=n)
-        sims = np.round(sims, 12)
+        blocks = self.dense_most.shape[1]
+        # one row for each text, term and block that has it
+        of, entry = _expanded(self.entries[term], self.entries[term + 1])
+        text, weight, block = owner[of], value[of], self.entry_block[entry]
+        bound = table @ self.dense_most + np.bincount(text * blocks + block, weight * self.entry_most[entry], texts * blocks).reshape(texts, blocks)
+        bound = bound * (1 + 1e-9) + 1e-9
+        sims, done = np.full((texts, n), -1.0), np.zeros((texts, blocks), bool)
+        few = min(k + (skip is not None), n)
+        wanted = np.zeros((texts, blocks), bool)
+        np.put_along_axis(wanted, np.argpartition(-bound, min(FIRST, blocks) - 1, 1)[:, : min(FIRST, blocks)], True, 1)
+        for _ in range(2):
+            mine = wanted[text, block]
+            of, posting = _expanded(self.starts[entry[mine]], self.starts[entry[mine] + 1])
+            rare = np.bincount(text[mine][of] * n + self.examples[posting], self.values[posting] * weight[mine][of], texts * n).reshape(texts, n)
+            for b in np.flatnonzero(wanted.any(0)):
+                rows, part = np.flatnonzero(wanted[:, b]), slice(b * BLOCK, min((b + 1) * BLOCK, n))
+                sims[rows, part] = np.round(table[rows] @ self.dense[:, part] + rare[rows, part], 12)
+            done |= wanted
+            wanted = ~done & (bound >= np.maximum(np.partition(sims, n - few, 1)[:, n - few], 1e-12)[:, None])
+            if not wanted.any():
+                break
         if skip is not None:
             sims[skip[:, None] == self.ids[None, :]] = -1.0
         few = min(k, n)
         least = np.maximum(np.partition(sims, n - few, 1)[:, n - few], 1e-12)
         text, near = np.nonzero(sims >= least[:, None])
         score = sims[text, near]
-        by = np.lexsort((near, -score, text))
+        by = np.lexsort((self.ids[near], -score, text))
         text, near, score = text[by], near[by], score[by]
         rank = np.arange(len(text)) - np.searchsorted(text, text)
         text, near, score, rank = (v[rank < k] for v in (text, near, score, rank))
@@ -172,6 +208,29 @@ class Model:
         return np.clip(np.interp(votes, *self.steps), 0, 1)
 
 
+def _expanded(start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """All numbers of the ranges start[i] to end[i], with i."""
+    size = end - start
+    return np.repeat(np.arange(len(size)), size), np.arange(size.sum()) + np.repeat(start - np.cumsum(size) + size, size)
+
+
+def _alike(x: tuple[np.ndarray, np.ndarray, np.ndarray], texts: int) -> np.ndarray:
+    """A cluster of each text, by spherical k-means over hashed random projections to 32 dimensions."""
+    rng = np.random.default_rng(3)
+    owner, term, value = x
+    signs = rng.choice([-1.0, 1.0], (4093, 32))
+    low = np.stack([np.bincount(owner, value * signs[term % 4093, d], minlength=texts) for d in range(32)], 1)
+    low /= np.maximum(np.linalg.norm(low, axis=1, keepdims=True), 1e-12)
+    k = max(1, texts // BLOCK)
+    centres = low[rng.choice(texts, k, replace=False)]
+    own = np.zeros(texts, np.int64)
+    for _ in range(6):
+        own = np.argmax(low @ centres.T, 1)
+        centres = np.stack([np.bincount(own, low[:, d], minlength=k) for d in range(32)], 1)
+        centres /= np.maximum(np.linalg.norm(centres, axis=1, keepdims=True), 1e-12)
+    return own
+
+
 def isotonic(votes: np.ndarray, labels: np.ndarray, weights: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Points of the best non-decreasing fit of label on vote (pool adjacent violators), to be joined by lines."""
     order = np.argsort(votes, kind="stable")
@@ -217,7 +276,9 @@ def score_toxicity(docs: DataFrame, model: Model, k: int = NEIGHBOURS) -> DataFr
     """docs(doc_id, text, ...) -> doc_id, score (0 to 1), evidence (the EVIDENCE nearest examples); one row for each row.
 
     Texts without a term of any example, null and empty ones among them, have no neighbours: their score is the share of toxic ones
-    among such examples. Repeated rows and null ids pass; other columns are ignored. Without examples every score is 0.
+    among such examples. Equally similar examples count in order of their ids. Repeated rows and null ids pass; other columns are
+    ignored. Without examples every score is 0; with those of one class, it is that class's share of the votes, uncalibrated.
+    TEXTS texts at once, each of them whole.
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
