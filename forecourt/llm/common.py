@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+import ctypes
 import tempfile
 import uuid
+from collections.abc import Callable, Iterator, Sequence
 
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -83,15 +87,36 @@ def ascii_lower(col: Column) -> Column:
 def text_slices(texts, max_chars: int = 2_000_000, max_texts: int = 1024):
     """Runs of positions whose texts hold max_chars characters together at most, a longer text alone, and of max_texts at most:
     bounds what numpy holds at once while texts stay whole."""
-    at, size = 0, 0
-    for end, text in enumerate(texts):
-        n = len(text) if text is not None else 0
-        if end > at and (size + n > max_chars or end - at >= max_texts):
+    return _cuts([len(text) if text is not None else 0 for text in texts], max_chars, max_texts)
+
+
+def _cuts(sizes: Sequence[int], most: int, number: int) -> Iterator[tuple[int, int]]:
+    at, held = 0, 0
+    for end, n in enumerate(sizes):
+        if end > at and (held + n > most or end - at >= number):
             yield at, end
-            at, size = end, 0
-        size += n
-    if len(texts) > at:
-        yield at, len(texts)
+            at, held = end, 0
+        held += n
+    if len(sizes) > at:
+        yield at, len(sizes)
+
+
+def in_slices(step: Callable[[pa.RecordBatch], pa.RecordBatch], at: int, max_chars: int = 500_000, max_texts: int = 1024):
+    """A function for mapInArrow() that applies step to slices of the batches, cut by the texts of column ``at``: what a task holds is
+    bounded by a slice, not by a batch (thousands of texts, however long). Afterwards the worker, which later tasks use
+    again, gives back the memory it has freed."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sizes = pc.fill_null(pc.binary_length(batch.column(at)), 0).to_pylist()
+            for a, b in _cuts(sizes, max_chars, max_texts):
+                yield step(batch.slice(a, b - a))
+        pa.default_memory_pool().release_unused()
+        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc only
+        if trim:
+            trim(0)
+
+    return run
 
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, learned: Column, per_class: int) -> DataFrame:

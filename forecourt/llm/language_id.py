@@ -8,6 +8,7 @@ weight * exp(-agreement), where the weights are how well a bit's classifier reco
 
 from __future__ import annotations
 
+from collections import deque
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -16,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import crc_rest, text_or_empty, text_slices
+from .common import crc_rest, in_slices, text_or_empty, text_slices
 
 UNKNOWN = "und"
 #: Hash cells for n-grams of length 1 to 3 together.
@@ -60,9 +61,12 @@ def ngram_counts(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
             h = np.zeros(len(c), np.uint64)
             for n in range(3):
                 h = h[: len(c) - n] * np.uint64(0x9E3779B97F4A7C15) + c[n:] + np.uint64(n + 1)
-                inside = (c[: len(h)] > 0) | (c[n:] > 0) if n else c > 0
+                starts, ends = c[: len(h)] > 0, c[n:] > 0
+                # gaps are no one's: a run of characters belongs to its letters, and none reaches from one text into the next
+                own = np.where(starts, owner[: len(h)], owner[n:])
+                inside = (starts | ends) & ~(starts & ends & (owner[: len(h)] != owner[n:]))
                 cell = ((h ^ (h >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)) >> np.uint64(51)
-                flat += np.bincount((owner[: len(h)] * CELLS + cell.astype(np.int64))[inside], minlength=len(flat))
+                flat += np.bincount((own * CELLS + cell.astype(np.int64))[inside], minlength=len(flat))
         counts[a:b] = flat.reshape(b - a, CELLS)
     return counts, letters
 
@@ -128,12 +132,13 @@ def learn(docs: DataFrame, learned, languages: int = LANGUAGES) -> Model:
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[str, np.ndarray] = {}
-        for batch in batches:
-            langs, texts = np.array(batch.column(0).to_pylist(), dtype=object), batch.column(1).to_pylist()
-            for a, b in text_slices(texts, CHARS, TEXTS):
-                counts, _ = ngram_counts(texts[a:b])
-                for lang in set(langs[a:b]):
-                    sums[lang] = sums.get(lang, 0) + counts[langs[a:b] == lang].sum(0, dtype=np.float64)
+
+        def step(batch: pa.RecordBatch) -> None:
+            langs, (counts, _) = np.array(batch.column(0).to_pylist(), dtype=object), ngram_counts(batch.column(1).to_pylist())
+            for lang in set(langs):
+                sums[lang] = sums.get(lang, 0) + counts[langs == lang].sum(0, dtype=np.float64)
+
+        deque(in_slices(step, 1, CHARS, TEXTS)(batches), 0)
         rows = [(lang, c, v[c]) for lang, v in sums.items() for c in np.flatnonzero(v)]
         yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.string()), pa.array([r[1] for r in rows], pa.int32()), pa.array([r[2] for r in rows], pa.float64())], ["lang", "cell", "n"])
 
@@ -148,13 +153,13 @@ def learn(docs: DataFrame, learned, languages: int = LANGUAGES) -> Model:
     model.odds = (np.log(share.T @ one / np.maximum(one.sum(0), 1) + 1e-12) - np.log(share.T @ zero / np.maximum(zero.sum(0), 1) + 1e-12)).astype(np.float32)
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         right, seen = np.zeros(codes.shape), np.zeros(len(labels))
-        for batch in batches:
+
+        def step(batch: pa.RecordBatch) -> None:
             own = np.array([number[x] for x in batch.column(0).to_pylist()], int)
-            texts = batch.column(1).to_pylist()
-            for a, b in text_slices(texts, CHARS, TEXTS):
-                m = model.margins(ngram_counts(texts[a:b])[0])
-                np.add.at(right, own[a:b], m * codes[own[a:b]] > 0)
-                np.add.at(seen, own[a:b], 1)
+            np.add.at(right, own, model.margins(ngram_counts(batch.column(1).to_pylist())[0]) * codes[own] > 0)
+            np.add.at(seen, own, 1)
+
+        deque(in_slices(step, 1, CHARS, TEXTS)(batches), 0)
         yield pa.RecordBatch.from_arrays([pa.array(range(len(labels)), pa.int32()), pa.array(list(right), pa.list_(pa.float64())), pa.array(seen, pa.float64())], ["language", "right", "seen"])
 
     right, seen = np.zeros(codes.shape), np.zeros(len(labels))
@@ -177,19 +182,11 @@ def predict(docs: DataFrame, model: Model) -> DataFrame:
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            texts = batch.column(1).to_pylist()
-            labels, scores, gaps = [], [], []
-            for a, b in text_slices(texts, CHARS, TEXTS):
-                found = shared.value.decode(*ngram_counts(texts[a:b]))
-                labels += found[0]
-                scores.append(found[1])
-                gaps.append(found[2])
-            flat = lambda x: np.concatenate([np.zeros(0), *x])
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(labels, pa.string()), pa.array(flat(scores)), pa.array(flat(gaps))], ["doc_id", "lang_pred", "score", "gap"])
-
-    found = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text")).mapInArrow(run, "doc_id long, lang_pred string, score double, gap double")
+    def step(batch: pa.RecordBatch) -> pa.RecordBatch:
+        labels, scores, gaps = shared.value.decode(*ngram_counts(batch.column(1).to_pylist()))
+        return pa.RecordBatch.from_arrays([batch.column(0), pa.array(labels, pa.string()), pa.array(scores), pa.array(gaps)], ["doc_id", "lang_pred", "score", "gap"])
+
+    found = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text")).mapInArrow(in_slices(step, 1, CHARS, TEXTS), "doc_id long, lang_pred string, score double, gap double")
     return found.withColumn("ambiguous", (F.col("lang_pred") != UNKNOWN) & (F.col("gap") < AMBIGUOUS))
 
 
@@ -201,18 +198,13 @@ def loss_limit(docs: DataFrame, model: Model, learned) -> float:
         return float("inf")
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        m, worst = shared.value, 0.0
-        for batch in batches:
-            langs, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            for a, b in text_slices(texts, CHARS, TEXTS):
-                counts, letters = ngram_counts(texts[a:b])
-                loss = m.losses(counts)
-                right = (letters > 0) & (np.array([m.labels[i] for i in loss.argmin(1)], object) == np.array(langs[a:b], object))
-                worst = max(worst, float(loss.min(1)[right].max(initial=0.0)))
-        yield pa.RecordBatch.from_arrays([pa.array([worst])], ["worst"])
-
-    worst = _known(docs, learned)[1].mapInArrow(run, "worst double").agg(F.max("worst")).first()[0]
+    def step(batch: pa.RecordBatch) -> pa.RecordBatch:
+        m, (counts, letters) = shared.value, ngram_counts(batch.column(1).to_pylist())
+        loss = m.losses(counts)
+        right = (letters > 0) & (np.array([m.labels[i] for i in loss.argmin(1)], object) == np.array(batch.column(0).to_pylist(), object))
+        return pa.RecordBatch.from_arrays([pa.array([float(loss.min(1)[right].max(initial=0.0))])], ["worst"])
+
+    worst = _known(docs, learned)[1].mapInArrow(in_slices(step, 1, CHARS, TEXTS), "worst double").agg(F.max("worst")).first()[0]
     shared.destroy()
     return (min(worst or 0.0, 1.0) + 1.0) / 2
 
@@ -226,15 +218,11 @@ def keep_identified(docs: DataFrame, model: Model, limit: float = float("inf"))
     limit = limit if len(model.labels) > 1 else float("inf")
     at, shared = docs.columns.index("text"), docs.sparkSession.sparkContext.broadcast(model)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            texts, keep = [t or "" for t in batch.column(at).to_pylist()], []
-            for a, b in text_slices(texts, CHARS, TEXTS):
-                counts, letters = ngram_counts(texts[a:b])
-                keep += ((letters > 0) & (shared.value.losses(counts).min(1) <= limit)).tolist()
-            yield batch.filter(pa.array(keep, pa.bool_()))
+    def step(batch: pa.RecordBatch) -> pa.RecordBatch:
+        counts, letters = ngram_counts([t or "" for t in batch.column(at).to_pylist()])
+        return batch.filter(pa.array((letters > 0) & (shared.value.losses(counts).min(1) <= limit)))
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(in_slices(step, at, CHARS, TEXTS), docs.schema)
 
 
 def op1_language_id(spark, sf_dir):

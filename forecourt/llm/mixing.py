@@ -98,7 +98,8 @@ def mix_sources(docs: DataFrame, weights: Sequence[float] = (3, 1, 2), share: fl
 
     Null text: size 0. Null source: a source of its own, last in order. Null doc_id: hashed as empty text.
     Repeated rows have one hash and are taken together. A source without words has target 0. An empty table
-    gives no rows. Other columns are ignored, whatever their names.
+    gives no rows. Other columns are ignored, whatever their names. The list of sources (one row each) passes one task; a document
+    that is most of its source can't be taken in part, and neither can the repeats of one row: then the mix is as near as it gets.
     """
     slim = _slim(docs)
     joined = _with_thresholds(slim, *_thresholds(slim, weights, share, cap))

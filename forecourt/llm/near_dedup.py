@@ -19,14 +19,12 @@ bucket is lost.
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import discard, materialize, text_or_empty, text_slices
+from .common import discard, in_slices, materialize, text_or_empty
 from .shingles import bags, mix, shingle_hashes, word_hashes
 
 BANDS, ROWS = 20, 6
@@ -92,10 +90,8 @@ def band_keys(signatures: np.ndarray, rows: int = ROWS) -> np.ndarray:
         return mix(keys + np.arange(1, keys.shape[1] + 1, dtype=np.uint64) * _U(0xD1342543DE82EF95))
 
 
-def _raw_slices(column: pa.Array):
-    texts = [t.as_buffer().to_pybytes() for t in column]
-    for a, b in text_slices(texts, 500_000):
-        yield a, b, word_hashes(texts[a:b])
+def _words(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    return word_hashes([t.as_buffer().to_pybytes() for t in column])
 
 
 def _digests(owner: np.ndarray, hashes: np.ndarray, weight: np.ndarray, texts: int) -> list[bytes]:
@@ -106,41 +102,34 @@ def _digests(owner: np.ndarray, hashes: np.ndarray, weight: np.ndarray, texts: i
 def signatures(docs: DataFrame, bands: int = BANDS, rows: int = ROWS, shingle: int = 5) -> DataFrame:
     """docs(doc_id, text, ...) -> doc, copy (hash of the text), bag (digest of the multiset of shingles), size (shingles), bands (array; empty for empty bags)."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            digests, keys, sizes = [], [], [np.zeros(0, np.int64)]
-            for a, b, (words, counts) in _raw_slices(batch.column(1)):
-                owner, hashes, weight, _ = bags(*shingle_hashes(words, counts, shingle))
-                digests += _digests(owner, hashes, weight, b - a)
-                sizes.append(np.bincount(owner, weight, minlength=b - a).astype(np.int64))
-                found = band_keys(bag_minhash(owner, hashes, weight, b - a, bands * rows), rows).view(np.int64)
-                keys += [k if n else k[:0] for k, n in zip(found, counts)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(digests, pa.binary()), pa.array(np.concatenate(sizes)), pa.array(keys, pa.list_(pa.int64()))], ["doc", "copy", "bag", "size", "bands"])
+    def step(batch: pa.RecordBatch) -> pa.RecordBatch:
+        words, counts = _words(batch.column(1))
+        owner, hashes, weight, _ = bags(*shingle_hashes(words, counts, shingle))
+        sizes = np.bincount(owner, weight, minlength=len(batch)).astype(np.int64)
+        found = band_keys(bag_minhash(owner, hashes, weight, len(batch), bands * rows), rows).view(np.int64)
+        keys = [k if n else k[:0] for k, n in zip(found, counts)]
+        return pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(_digests(owner, hashes, weight, len(batch)), pa.binary()), pa.array(sizes), pa.array(keys, pa.list_(pa.int64()))], ["doc", "copy", "bag", "size", "bands"])
 
     doc = F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST)).alias("doc")
-    return docs.select(doc, text_or_empty().alias("text"), F.xxhash64(text_or_empty()).alias("copy")).mapInArrow(run, "doc long, copy long, bag binary, size long, bands array<long>")
+    return docs.select(doc, text_or_empty().alias("text"), F.xxhash64(text_or_empty()).alias("copy")).mapInArrow(in_slices(step, 1), "doc long, copy long, bag binary, size long, bands array<long>")
 
 
 def _item_sets(docs: DataFrame, shingle: int) -> DataFrame:
     """docs(text) -> bag, items, bits: the multiset as a set, each occurrence hashed with its number among equals, and its sketch."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            digests, items, bits = [], [], []
-            for a, b, (words, counts) in _raw_slices(batch.column(0)):
-                owner, hashes, weight, number = bags(*shingle_hashes(words, counts, shingle))
-                digests += _digests(owner, hashes, weight, b - a)
-                with np.errstate(over="ignore"):
-                    each = mix(np.repeat(hashes, weight) + number.astype(np.uint64) * _U(0x9E3779B97F4A7C15))
-                owner, cell = np.repeat(owner, weight), (each % _U(SKETCH)).astype(np.int64)
-                sketch = np.zeros((b - a) * SKETCH // 64, np.uint64)
-                np.bitwise_or.at(sketch, owner * (SKETCH // 64) + cell // 64, _U(1) << (cell % 64).astype(np.uint64))
-                bits += list(sketch.view(np.int64).reshape(b - a, -1))
-                at = np.searchsorted(owner, np.arange(b - a + 1))
-                items += [each[x:y].view(np.int64) for x, y in zip(at, at[1:])]
-            yield pa.RecordBatch.from_arrays([pa.array(digests, pa.binary()), pa.array(items, pa.list_(pa.int64())), pa.array(bits, pa.list_(pa.int64()))], ["bag", "items", "bits"])
-
-    return docs.select(text_or_empty().alias("text")).mapInArrow(run, "bag binary, items array<long>, bits array<long>")
+    def step(batch: pa.RecordBatch) -> pa.RecordBatch:
+        owner, hashes, weight, number = bags(*shingle_hashes(*_words(batch.column(0)), shingle))
+        digests = _digests(owner, hashes, weight, len(batch))
+        with np.errstate(over="ignore"):
+            each = mix(np.repeat(hashes, weight) + number.astype(np.uint64) * _U(0x9E3779B97F4A7C15))
+        owner, cell = np.repeat(owner, weight), (each % _U(SKETCH)).astype(np.int64)
+        sketch = np.zeros(len(batch) * SKETCH // 64, np.uint64)
+        np.bitwise_or.at(sketch, owner * (SKETCH // 64) + cell // 64, _U(1) << (cell % 64).astype(np.uint64))
+        at = np.searchsorted(owner, np.arange(len(batch) + 1))
+        items = [each[x:y].view(np.int64) for x, y in zip(at, at[1:])]
+        return pa.RecordBatch.from_arrays([pa.array(digests, pa.binary()), pa.array(items, pa.list_(pa.int64())), pa.array(list(sketch.view(np.int64).reshape(len(batch), -1)), pa.list_(pa.int64()))], ["bag", "items", "bits"])
+
+    return docs.select(text_or_empty().alias("text")).mapInArrow(in_slices(step, 0), "bag binary, items array<long>, bits array<long>")
 
 
 def _only(rows: DataFrame, ids: DataFrame, key: str | list[str], how: str) -> DataFrame:

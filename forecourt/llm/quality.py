@@ -2,11 +2,13 @@
 
 Every line is good or bad. A line's features are its own and, once more, those of the lines before and after it; forward-backward
 gives each line's probability of being good within its document, and a document's score is their mean, weighted by length.
+
+Labels are of documents: while learning, all lines of a document have its label. Changes from good to bad within one are thus never
+seen, only that they are rarer than staying, which the regularised transition scores express.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -14,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import crc_rest, labelled_sample, text_or_empty, text_slices
+from .common import crc_rest, in_slices, labelled_sample, text_or_empty
 from .shingles import mix
 
 #: Labelled documents of each class that the field is fitted on at most, and lines that one of them may have.
@@ -191,15 +193,12 @@ def learn(docs: DataFrame, labels: DataFrame, learned, per_class: int = PER_CLAS
     where a class has no example."""
     sample = labelled_sample(docs, labels, "quality", learned, per_class).filter(F.regexp_count("text", F.lit("\n")) < FIT_LINES)
 
-    def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            texts = batch.column(0).to_pylist()
-            for a, b in text_slices(texts, 500_000):
-                f, _, n = line_features(texts[a:b])
-                at = np.cumsum(n)
-                yield pa.RecordBatch.from_arrays([batch.column(1)[a:b], pa.array([f[j - k : j].astype(np.float32).tobytes() for j, k in zip(at, n)], pa.binary()), pa.array(n, pa.int64())], ["label", "lines", "n"])
+    def features(batch: pa.RecordBatch) -> pa.RecordBatch:
+        f, _, n = line_features(batch.column(0).to_pylist())
+        at = np.cumsum(n)
+        return pa.RecordBatch.from_arrays([batch.column(1), pa.array([f[j - k : j].astype(np.float32).tobytes() for j, k in zip(at, n)], pa.binary()), pa.array(n, pa.int64())], ["label", "lines", "n"])
 
-    rows = sample.select("text", "label").mapInArrow(features, "label int, lines binary, n long").toArrow().to_pydict()
+    rows = sample.select("text", "label").mapInArrow(in_slices(features, 0), "label int, lines binary, n long").toArrow().to_pydict()
     label = np.array(rows["label"])
     if len(set(label)) < 2:
         return None
@@ -210,24 +209,20 @@ def score_quality(docs: DataFrame, model: Field | None) -> DataFrame:
     """docs(doc_id, text, ...) -> doc_id, score (0 to 1), n_lines, n_bad_lines (P(good) < 0.5); one row for each row.
 
     Null and empty texts have one empty line and the score of that line. Repeated rows and null ids pass; other columns are ignored.
-    Without a fitted model every line is 0.5.
+    Without a fitted model every line is 0.5. A task holds the texts of some 500,000 characters at once, or one longer text whole,
+    with arrays of some 80 bytes a character and 600 a line.
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            texts, scores, lines, bad = batch.column(1).to_pylist(), [np.zeros(0)], [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
-            for a, b in text_slices(texts, 500_000):
-                f, chars, n = line_features(texts[a:b])
-                good = shared.value.good(f, n) if shared.value else np.full(len(f), 0.5)
-                owner, weight = np.repeat(np.arange(b - a), n), chars + 1
-                total = np.bincount(owner, good * weight, minlength=b - a) / np.bincount(owner, weight, minlength=b - a)
-                scores.append(np.clip(total, 0, 1))
-                lines.append(n)
-                bad.append(np.bincount(owner, good < 0.5, minlength=b - a).astype(np.int64))
-            yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(np.concatenate(x)) for x in (scores, lines, bad))], ["doc_id", "score", "n_lines", "n_bad_lines"])
-
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text")).mapInArrow(run, "doc_id long, score double, n_lines long, n_bad_lines long")
+    def step(batch: pa.RecordBatch) -> pa.RecordBatch:
+        f, chars, n = line_features(batch.column(1).to_pylist())
+        good = shared.value.good(f, n) if shared.value else np.full(len(f), 0.5)
+        owner, weight = np.repeat(np.arange(len(n)), n), chars + 1
+        total = np.bincount(owner, good * weight, minlength=len(n)) / np.bincount(owner, weight, minlength=len(n))
+        bad = np.bincount(owner, good < 0.5, minlength=len(n)).astype(np.int64)
+        return pa.RecordBatch.from_arrays([batch.column(0), pa.array(np.clip(total, 0, 1)), pa.array(n), pa.array(bad)], ["doc_id", "score", "n_lines", "n_bad_lines"])
+
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text")).mapInArrow(in_slices(step, 1), "doc_id long, score double, n_lines long, n_bad_lines long")
 
 
 def op4_line_quality(spark, sf_dir):
