@@ -1,11 +1,11 @@
 """Toxicity by nearest labelled examples under exact TF-IDF cosine over all terms of the examples.
 
-Examples lie in a block-max inverted index: blocks of similar examples, and for every term and block the largest weight.
-The sum over a text's terms of weight times block maximum bounds the similarity to any example of a block; the blocks
-with the best bounds are scored first, and then only those whose bound reaches the k-th best similarity found. Terms that most
-examples have lie in dense tables (of weights and of block maxima), so that products of matrices add them up. Every similarity
-that decides is exact and every term counts; how much a term's presence says about the label adds to its weight but is never a
-reason to leave it out.
+Examples lie in a block-max inverted index: blocks of similar examples, and for every term that many examples have the
+largest weight in each block. Postings of the other terms are added up exactly; what they give an example of a block at most, and the
+sum over the frequent terms of weight times block maximum, together bound the similarity to any example of the block.
+Blocks with the best bounds are scored first, and then only those whose bound reaches the k-th best similarity found. Every
+similarity that decides is exact and every term counts; how much a term's presence says about the label adds to its weight
+but is never a reason to leave it out.
 The k nearest vote by squared similarity, classes weighed as they stand among all labels; isotonic regression on leave-one-out
 votes of the examples calibrates the votes.
 """
@@ -27,9 +27,9 @@ from .license_scan import _WORD
 #: Labelled documents of each class among the examples at most.
 PER_CLASS = 3_000
 #: Terms kept as dense rows (the most frequent ones; layout only), and texts that are compared at once.
-DENSE, TEXTS = 512, 128
+DENSE, TEXTS = 512, 256
 #: Examples in a block, about, and blocks that are scored before bounds are compared.
-BLOCK, FIRST = 64, 8
+BLOCK, FIRST = 128, 4
 NEIGHBOURS, EVIDENCE = 25, 5
 #: Weight of a term that says nothing about the label, where one that tells the classes apart without fail has 1 more.
 FLOOR = 0.02
@@ -82,10 +82,7 @@ class Model:
     labels: np.ndarray = field(default_factory=lambda: np.zeros(0))
     class_weight: tuple[float, float] = (1.0, 1.0)
     block: np.ndarray = field(default_factory=lambda: np.zeros(0, np.int64))  # of each example
-    # postings of the terms that aren't dense, by term and block: where a term's entries begin, an entry's block, largest weight and postings
-    entries: np.ndarray = field(default_factory=lambda: np.zeros(1, np.int64))
-    entry_block: np.ndarray = field(default_factory=lambda: np.zeros(0, np.int64))
-    entry_most: np.ndarray = field(default_factory=lambda: np.zeros(0))
+    # postings of the terms that aren't dense: where a term's begin, example, weight
     starts: np.ndarray = field(default_factory=lambda: np.zeros(1, np.int64))
     examples: np.ndarray = field(default_factory=lambda: np.zeros(0, np.int32))
     values: np.ndarray = field(default_factory=lambda: np.zeros(0))
@@ -137,14 +134,9 @@ class Model:
         self.dense_most = np.zeros((len(often), blocks))
         np.maximum.at(self.dense_most, (self.row[term[full]], self.block[owner[full]]), value[full])
         owner, term, value = owner[~full], term[~full], value[~full]
-        by = np.lexsort((owner, term))
-        owner, term, value = owner[by], term[by], value[by]
-        self.examples, self.values = owner.astype(np.int32), value
-        key = term * max(blocks, 1) + self.block[owner]
-        at = np.flatnonzero(np.diff(key, prepend=-1))
-        self.starts, self.entry_block = np.append(at, len(key)), self.block[owner[at]]
-        self.entry_most = np.maximum.reduceat(value, at) if len(at) else np.zeros(0)
-        self.entries = np.searchsorted(term[at], np.arange(len(held) + 1))
+        by = np.argsort(term, kind="stable")
+        self.examples, self.values = owner[by].astype(np.int32), value[by]
+        self.starts = np.concatenate([[0], np.cumsum(np.bincount(term, minlength=len(held)))])
 
     def share(self) -> float:
         return self.class_weight[1] / (self.class_weight[0] + self.class_weight[1]) if sum(self.class_weight) else 0.0
@@ -160,27 +152,20 @@ class Model:
         table = np.zeros((texts, len(self.dense)))
         table[owner[frequent], self.row[term[frequent]]] = value[frequent]
         owner, term, value = owner[~frequent], term[~frequent], value[~frequent]
+        of, posting = _expanded(self.starts[term], self.starts[term + 1])
+        rare = np.bincount(owner[of] * n + self.examples[posting], self.values[posting] * value[of], texts * n).reshape(texts, n)
         blocks = self.dense_most.shape[1]
-        # one row for each text, term and block that has it
-        of, entry = _expanded(self.entries[term], self.entries[term + 1])
-        text, weight, block = owner[of], value[of], self.entry_block[entry]
-        bound = table @ self.dense_most + np.bincount(text * blocks + block, weight * self.entry_most[entry], texts * blocks).reshape(texts, blocks)
+        bound = table @ self.dense_most + np.maximum.reduceat(rare, np.arange(blocks) * BLOCK, axis=1)
         bound = bound * (1 + 1e-9) + 1e-9
-        sims, done = np.full((texts, n), -1.0), np.zeros((texts, blocks), bool)
-        few = min(k + (skip is not None), n)
+        sims, few = np.full((texts, n), -1.0), min(k + (skip is not None), n)
         wanted = np.zeros((texts, blocks), bool)
         np.put_along_axis(wanted, np.argpartition(-bound, min(FIRST, blocks) - 1, 1)[:, : min(FIRST, blocks)], True, 1)
-        for _ in range(2):
-            mine = wanted[text, block]
-            of, posting = _expanded(self.starts[entry[mine]], self.starts[entry[mine] + 1])
-            rare = np.bincount(text[mine][of] * n + self.examples[posting], self.values[posting] * weight[mine][of], texts * n).reshape(texts, n)
+        for again in (False, True):
             for b in np.flatnonzero(wanted.any(0)):
                 rows, part = np.flatnonzero(wanted[:, b]), slice(b * BLOCK, min((b + 1) * BLOCK, n))
                 sims[rows, part] = np.round(table[rows] @ self.dense[:, part] + rare[rows, part], 12)
-            done |= wanted
-            wanted = ~done & (bound >= np.maximum(np.partition(sims, n - few, 1)[:, n - few], 1e-12)[:, None])
-            if not wanted.any():
-                break
+            if not again:
+                wanted = ~wanted & (bound >= np.maximum(np.partition(sims, n - few, 1)[:, n - few], 1e-12)[:, None])
         if skip is not None:
             sims[skip[:, None] == self.ids[None, :]] = -1.0
         few = min(k, n)
