@@ -13,8 +13,13 @@ MILEAGE_STEP = 5_000
 def vehicle_key(platform, source_id, fallback=None) -> Column:
     """Eight characters of the platform and the MD5 of platform and id; without an id, of the fallback."""
     own = clean_text(source_id) if fallback is None else F.coalesce(clean_text(source_id), clean_text(fallback))
-    key = lambda name: F.concat(F.substr(name, F.lit(1), F.lit(8)), F.lit("_"), F.md5(F.concat(name, F.lit("|"), F.coalesce(own, F.lit(""))).cast("binary")))
-    return let(F.coalesce(clean_text(platform), F.lit("unknown")), key)
+    return let(clean_text(platform), lambda name: key_of(name, own))
+
+
+def key_of(platform: Column, own: Column) -> Column:
+    """vehicle_key() of a cleaned platform and id."""
+    name = F.coalesce(platform, F.lit("unknown"))
+    return F.concat(F.substr(name, F.lit(1), F.lit(8)), F.lit("_"), F.md5(F.concat(name, F.lit("|"), F.coalesce(own, F.lit(""))).cast("binary")))
 
 
 def fingerprint(*parts) -> Column:
@@ -24,7 +29,7 @@ def fingerprint(*parts) -> Column:
 
 def match_key(brand, model, year, mileage, month) -> Column:
     """Same vehicle on several platforms: brand, model, year, month and mileage step; NULL without brand, model or year."""
-    year, month = as_column(year), as_column(month)
-    step = let(mileage, lambda km: F.when(km >= 0, F.floor(km / MILEAGE_STEP).cast("string")))
-    parts = F.array(clean_text(brand), clean_text(model), year.cast("string"), F.coalesce(F.lpad(month.cast("string"), 2, "0"), F.lit("na")), F.coalesce(step, F.lit("na")))
-    return let(parts, lambda p: F.when(~F.exists(p, lambda x: x.isNull()), F.array_join(p, "|")))
+    year, month, km = as_column(year), as_column(month), as_column(mileage)
+    step = F.when(km >= 0, F.floor(km / MILEAGE_STEP).cast("string"))
+    bar = F.lit("|")
+    return F.concat(clean_text(brand), bar, clean_text(model), bar, year.cast("string"), bar, F.coalesce(F.lpad(month.cast("string"), 2, "0"), F.lit("na")), bar, F.coalesce(step, F.lit("na")))

@@ -18,13 +18,14 @@ def as_column(c: str | Column) -> Column:
 
 
 def let(value: str | Column, body: Callable[[Column], Column]) -> Column:
-    """body(value) with the value computed once. Optimizer rules that move or merge projections copy what a Column stands
-    for at every place it is used, which for nested text rules grows without bound; a lambda's variable is never copied."""
+    """body(value) with the value computed once, for rules used by themselves: a lambda's variable is never copied, at the price of an
+    evaluation outside generated code. Jobs over many fields put shared parts into columns of an earlier projection instead,
+    as normalize() does; the optimizer keeps those apart where they are used more than once."""
     return F.element_at(F.transform(F.array(as_column(value)), body), 1)
 
 
 def blank_to_null(c: str | Column) -> Column:
-    return let(c, lambda t: F.when(t != "", t))
+    return F.nullif(as_column(c), F.lit(""))
 
 
 def extract(c: str | Column, pattern: str, group: int = 0) -> Column:
@@ -35,20 +36,29 @@ def extract(c: str | Column, pattern: str, group: int = 0) -> Column:
 def clean_text(c: str | Column) -> Column:
     """Runs of white space (full-width blanks too) become one blank, ends are trimmed, null tokens become NULL."""
     text = F.trim(F.regexp_replace(as_column(c).cast("string"), r"(?U)[\s　]+", " "))
-    return let(text, lambda t: F.when(~t.rlike(_NULL), t))
+    return blank_to_null(F.regexp_replace(text, _NULL, ""))
 
 
 def is_missing(c: str | Column) -> Column:
     return clean_text(c).isNull()
 
 
+def city_of(t: Column) -> Column:
+    """A cleaned text without one trailing 市, 区 or 县."""
+    return blank_to_null(F.regexp_replace(t, "[市区县]$", ""))
+
+
 def clean_city(c: str | Column) -> Column:
-    """Without one trailing 市, 区 or 县."""
-    return blank_to_null(F.regexp_replace(clean_text(c), "[市区县]$", ""))
+    return city_of(clean_text(c))
 
 
 def relative_url(base: str | Column, href: str | Column) -> Column:
     """Absolute links pass; others are joined to the base with one slash (without a base they pass too)."""
-    base = blank_to_null(base)
-    joined = lambda link: F.concat(F.rtrim(base, F.lit("/")), F.lit("/"), F.ltrim(link, F.lit("/")))
-    return let(clean_text(href), lambda link: F.when(link.rlike("^(https?|file|local)://") | base.isNull(), link).otherwise(joined(link)))
+    return let(clean_text(href), lambda link: absolute(base, link))
+
+
+def absolute(base: str | Column, link: Column) -> Column:
+    """relative_url() of a cleaned link."""
+    base = as_column(base)
+    joined = F.concat(F.rtrim(base, F.lit("/")), F.lit("/"), F.ltrim(link, F.lit("/")))
+    return F.when(link.rlike("^(https?|file|local)://") | base.isNull() | (base == ""), link).otherwise(joined)

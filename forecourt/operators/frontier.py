@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 
@@ -17,6 +17,12 @@ def _unescape(c: Column) -> Column:
     return c
 
 
+def read_sitemaps(spark: SparkSession, path: str) -> DataFrame:
+    """map_url (the file's path), xml of every file under path; those that end in .gz are opened."""
+    files = spark.read.option("wholetext", True).option("recursiveFileLookup", True).text(path)
+    return files.select(F.col("_metadata.file_path").alias("map_url"), F.col("value").alias("xml"))
+
+
 def sitemap_urls(sitemaps: DataFrame) -> DataFrame:
     """sitemaps(map_url, xml) -> map_url, is_index, ord, url of every <loc>; a map without one has url NULL (an error row)."""
     locs = F.regexp_extract_all("xml", F.lit(r"(?s)<(?:\w+:)?loc>\s*(.*?)\s*</(?:\w+:)?loc>"), 1)
@@ -89,5 +95,12 @@ def select_sources(sources: DataFrame, line: str = "all", keys: list[str] | None
     return rows if line == "all" else rows.filter(F.col("line").isin(line, "both"))
 
 
+def target_lines(task="task", line="line") -> Column:
+    """The lines of a task: the task's own if it names one, else the source's, else both."""
+    lines = F.array(F.lit("ev"), F.lit("fuel"))
+    named = lambda c: F.when(F.array_contains(lines, F.col(c)), F.array(F.col(c)))
+    return F.coalesce(named(task), named(line), lines)
+
+
 def verdict(enabled="enabled", status="robots_status", live="live_allowed") -> Column:
     return F.when(~F.col(enabled), "disabled").when(F.col(status) == "disallowed", "disallowed").when(~F.col(live), "live_denied").when(F.col(live), "live_allowed").otherwise("pending")

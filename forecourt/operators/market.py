@@ -27,8 +27,19 @@ def _filled(name: str) -> Column:
     return F.nullif(F.col(name), F.lit(""))
 
 
-def mean(c: Column | str, digits: int = 4) -> Column:
-    return F.round(F.avg((F.col(c) if isinstance(c, str) else c).cast("double")), digits)
+def _quotient(a: Column, b: Column) -> Column:
+    """Whole part of a / b for whole decimals from 0 on."""
+    return (a - a % b) / b
+
+
+def mean(c: Column | str, scale: int, digits: int = 4) -> Column:
+    """The mean of values from 0 on with ``scale`` decimals, rounded half up to ``digits``. Sums and the division are of whole
+    numbers, so the result doesn't depend on the order of the rows; NULL without a value."""
+    c = F.col(c) if isinstance(c, str) else c
+    whole = lambda x: x.cast("decimal(38,0)")
+    total, n = F.sum(F.round(c.cast(f"decimal(18,{scale})") * 10**scale).cast("decimal(18,0)")), F.count(c)
+    up, down = 10 ** max(digits - scale, 0), 10 ** max(scale - digits, 0)
+    return (_quotient(whole(total * 2 * up + n * down), whole(n * 2 * down)) / 10**digits).cast("double")
 
 
 def priced() -> Column:
@@ -40,7 +51,7 @@ def line_stats(table: DataFrame) -> DataFrame:
     """One row a line: counts of all, live and deleted rows; price and retention of the live ones."""
     live = ~F.col("is_deleted")
     of = lambda c: F.when(live, _d(c))
-    return table.groupBy("line").agg(F.count("*").alias("total"), F.count_if(live).alias("active"), F.count_if(~live).alias("deleted"), mean(of("price_wan"), 2).alias("avg_price"), F.min(of("price_wan")).alias("min_price"), F.max(of("price_wan")).alias("max_price"), mean(of("retention_rate")).alias("avg_retention"))
+    return table.groupBy("line").agg(F.count("*").alias("total"), F.count_if(live).alias("active"), F.count_if(~live).alias("deleted"), mean(of("price_wan"), 2, 2).alias("avg_price"), F.min(of("price_wan")).alias("min_price"), F.max(of("price_wan")).alias("max_price"), mean(of("retention_rate"), 4).alias("avg_retention"))
 
 
 def platform_counts(table: DataFrame) -> DataFrame:
@@ -55,8 +66,8 @@ def line_scalars(table: DataFrame, as_of: str, exact: bool = True) -> DataFrame:
     """exact=False counts brands and cities by sketches."""
     distinct = F.countDistinct if exact else F.approx_count_distinct
     return table.groupBy("line").agg(
-        F.count("*").alias("n"), distinct(_filled("brand")).alias("brands"), distinct(_filled("location_city")).alias("cities"), mean("price_wan").alias("avg_price"), mean("retention_rate").alias("avg_retention"),
-        mean(age_years("reg_year", "reg_month", as_of)).alias("avg_age"), F.bround(F.avg("mileage_km")).cast("long").alias("avg_mileage"), F.min(priced()).alias("min_price"), F.max(priced()).alias("max_price"))
+        F.count("*").alias("n"), distinct(_filled("brand")).alias("brands"), distinct(_filled("location_city")).alias("cities"), mean("price_wan", 2).alias("avg_price"), mean("retention_rate", 4).alias("avg_retention"),
+        mean(age_years("reg_year", "reg_month", as_of), 1).alias("avg_age"), mean("mileage_km", 0, 0).cast("long").alias("avg_mileage"), F.min(priced()).alias("min_price"), F.max(priced()).alias("max_price"))
 
 
 def upper_median(table: DataFrame, exact: bool = True) -> DataFrame:
@@ -81,12 +92,12 @@ def distribution(table: DataFrame, value: Column, edges: Sequence[tuple[float, f
 
 def brand_price_rank(table: DataFrame, least: int = 3, n: int = 10) -> DataFrame:
     rows = table.select("brand", priced().alias("p")).filter("brand is not null and brand != '' and p is not null")
-    return rows.groupBy("brand").agg(mean("p", 2).alias("avg_price"), F.count("*").alias("n")).filter(F.col("n") >= least).orderBy(F.desc("avg_price"), "brand").limit(n)
+    return rows.groupBy("brand").agg(mean("p", 2, 2).alias("avg_price"), F.count("*").alias("n")).filter(F.col("n") >= least).orderBy(F.desc("avg_price"), "brand").limit(n)
 
 
 def brand_retention_rank(table: DataFrame, least: int = 2, n: int = 10) -> DataFrame:
     rows = table.filter("brand is not null and brand != '' and retention_rate is not null")
-    return rows.groupBy("brand").agg(F.round(F.avg(_d("retention_rate")) * 100, 1).alias("retention_pct"), F.count("*").alias("n")).filter(F.col("n") >= least).orderBy(F.desc("retention_pct"), "brand").limit(n)
+    return rows.groupBy("brand").agg(mean(F.col("retention_rate") * 100, 2, 1).alias("retention_pct"), F.count("*").alias("n")).filter(F.col("n") >= least).orderBy(F.desc("retention_pct"), "brand").limit(n)
 
 
 def age_mileage_heat(table: DataFrame, as_of: str) -> DataFrame:
@@ -96,8 +107,8 @@ def age_mileage_heat(table: DataFrame, as_of: str) -> DataFrame:
 
 def age_retention(table: DataFrame, as_of: str) -> DataFrame:
     """Retention by whole years of age, 12 and more together."""
-    rows = table.select(F.least(age_years("reg_year", "reg_month", as_of).cast("int"), F.lit(12)).alias("age"), _d("retention_rate").alias("r")).filter("age is not null and r is not null")
-    return rows.groupBy("age").agg(F.round(F.avg("r") * 100, 1).alias("retention_pct"), F.count("*").alias("n"))
+    rows = table.select(F.least(age_years("reg_year", "reg_month", as_of).cast("int"), F.lit(12)).alias("age"), (F.col("retention_rate") * 100).alias("r")).filter("age is not null and r is not null")
+    return rows.groupBy("age").agg(mean("r", 2, 1).alias("retention_pct"), F.count("*").alias("n"))
 
 
 def field_completeness(table: DataFrame, fields: Sequence[str]) -> DataFrame:
@@ -108,7 +119,7 @@ def field_completeness(table: DataFrame, fields: Sequence[str]) -> DataFrame:
 
 def price_by_class(table: DataFrame, column: str) -> DataFrame:
     """Count and average of prices that are not zero by class, a missing class as unknown."""
-    return table.filter(priced().isNotNull()).groupBy(F.coalesce(F.col(column), F.lit(UNKNOWN)).alias("name")).agg(F.count("*").alias("n"), mean("price_wan", 2).alias("avg_price"))
+    return table.filter(priced().isNotNull()).groupBy(F.coalesce(F.col(column), F.lit(UNKNOWN)).alias("name")).agg(F.count("*").alias("n"), mean("price_wan", 2, 2).alias("avg_price"))
 
 
 def class_counts(table: DataFrame, column: str) -> DataFrame:
@@ -119,17 +130,18 @@ def range_price_points(ev: DataFrame) -> DataFrame:
     return ev.filter("range_km is not null and price_wan is not null").select("vehicle_key", "range_km", _d("price_wan").alias("price"), "brand")
 
 
-def mean_and_count(table: DataFrame, column: str, digits: int) -> DataFrame:
-    return table.agg(mean(column, digits).alias("avg"), F.count(column).alias("n"))
+def mean_and_count(table: DataFrame, column: str, scale: int, digits: int) -> DataFrame:
+    return table.agg(mean(column, scale, digits).alias("avg"), F.count(column).alias("n"))
 
 
 def line_compare(table: DataFrame) -> DataFrame:
     """The lines and both together, side by side."""
-    return table.select(F.col("line"), _d("price_wan").alias("p"), _d("retention_rate").alias("r"), "mileage_km", "brand").groupingSets([["line"], []], "line").agg(F.count("*").alias("n"), mean("p").alias("avg_price"), mean("r").alias("avg_retention"), F.round(F.avg("mileage_km"), 1).alias("avg_mileage"), F.countDistinct("brand").alias("brands")).withColumn("line", F.coalesce("line", F.lit("all")))
+    return table.select("line", "price_wan", "retention_rate", "mileage_km", "brand").groupingSets([["line"], []], "line").agg(F.count("*").alias("n"), mean("price_wan", 2).alias("avg_price"), mean("retention_rate", 4).alias("avg_retention"), mean("mileage_km", 0, 1).alias("avg_mileage"), F.countDistinct("brand").alias("brands")).withColumn("line", F.coalesce("line", F.lit("all")))
 
 
 def cross_source_gap(table: DataFrame, n: int = 20) -> DataFrame:
-    rows = table.filter("match_key is not null").groupBy("match_key").agg(F.countDistinct("source_platform").alias("platforms"), F.min(_d("price_wan")).alias("low"), F.max(_d("price_wan")).alias("high"))
+    """Live vehicles offered on several platforms, the widest price gaps first."""
+    rows = table.filter("match_key is not null and not is_deleted").groupBy("match_key").agg(F.countDistinct("source_platform").alias("platforms"), F.min(_d("price_wan")).alias("low"), F.max(_d("price_wan")).alias("high"))
     return rows.filter("platforms > 1").withColumn("gap", F.round(F.col("high") - F.col("low"), 2)).orderBy(F.desc("gap"), "match_key").limit(n)
 
 
@@ -141,14 +153,18 @@ def same_vehicle_pairs(table: DataFrame) -> DataFrame:
     return a.join(b, (F.col("a.match_key") == F.col("b.match_key")) & (F.col("a.source_platform") < F.col("b.source_platform"))).select("a.match_key", F.col("a.source_platform").alias("platform_a"), F.col("b.source_platform").alias("platform_b"), F.col("a.low").alias("low_a"), F.col("b.low").alias("low_b"), (F.col("a.n") * F.col("b.n")).alias("pairs"))
 
 
-def recent_averages(table: DataFrame, as_of: str, days: int = 30) -> DataFrame:
+def recent_averages(table: DataFrame, as_of: str, days: int = 30, brand: str | None = None) -> DataFrame:
+    """Live rows of the last days, of one brand or of all, by brand and model."""
     recent = table.filter(~F.col("is_deleted") & (F.col("captured_at") >= F.to_timestamp(F.lit(as_of)) - F.expr(f"INTERVAL {days} DAYS")))
-    return recent.groupBy("brand", "model").agg(F.count("*").alias("n"), mean("price_wan", 2).alias("avg_price"))
+    if brand is not None:
+        recent = recent.filter(F.col("brand") == brand)
+    return recent.groupBy("brand", "model").agg(F.count("*").alias("n"), mean("price_wan", 2, 2).alias("avg_price"))
 
 
 def battery_range_bands(ev: DataFrame) -> DataFrame:
+    """Live rows by battery and range; a missing range is in the last band."""
     band = F.when(F.col("range_km") < 400, "<400").when(F.col("range_km") < 600, "400-600").otherwise("600+")
-    return ev.groupBy("battery_type", band.alias("band")).agg(F.count("*").alias("n"), mean("price_wan", 2).alias("avg_price"))
+    return ev.filter(~F.col("is_deleted")).groupBy("battery_type", band.alias("band")).agg(F.count("*").alias("n"), mean("price_wan", 2, 2).alias("avg_price"), mean("retention_rate", 4).alias("avg_retention"))
 
 
 def duplicate_ids(table: DataFrame) -> DataFrame:

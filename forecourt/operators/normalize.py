@@ -17,27 +17,32 @@ FUEL = ["displacement_l", "gearbox", "emission_standard"]
 
 def normalize(raw: DataFrame, as_of: str, base_url: str | None = None, keep: Sequence[str] = ("fetched_at",)) -> DataFrame:
     """raw listings (texts) -> the clean columns of both lines (those of the other line NULL) and ``keep``. A NULL
-    anywhere stays NULL. One projection, no shuffle."""
-    ev, fuel = F.col("line") == "ev", F.col("line") == "fuel"
-    guessed = classify.split_title("title_raw")
-    told = text.clean_text("brand_raw").isNotNull() & text.clean_text("model_raw").isNotNull()
+    anywhere stays NULL. No shuffle. Three projections: each raw text is cleaned once, then cut into values, then the values are
+    combined; what several rules share is a column, so that no rule is written out twice in the plan."""
+    texts = ["source_platform", "source_id", "title_raw", "brand_raw", "model_raw", "price_raw", "new_car_price_raw", "mileage_raw", "reg_date_raw", "transfer_raw", "city_raw", "detail_url",
+        "battery_raw", "range_raw", "battery_health_raw", "fast_charge_raw", "displacement_raw", "gearbox_raw", "emission_raw"]
     fallback = keys.fingerprint("title_raw", "price_raw", "mileage_raw")
-    row = raw.select(
-        "line", text.clean_text("source_platform").alias("source_platform"), text.clean_text("source_id").alias("source_id"), text.clean_text("title_raw").alias("title_raw"),
-        keys.vehicle_key("source_platform", "source_id", fallback).alias("vehicle_key"),
-        F.when(told, F.struct(classify.normalize_brand("brand_raw").alias("brand"), text.clean_text("model_raw").alias("model"))).otherwise(guessed).alias("bm"),
-        numbers.price_wan("price_raw").alias("price_wan"), numbers.price_wan("new_car_price_raw").alias("new_car_price_wan"),
-        numbers.mileage_km("mileage_raw").alias("mileage_km"), numbers.sane_year(numbers.reg_year("reg_date_raw"), as_of).alias("reg_year"), numbers.reg_month("reg_date_raw").alias("reg_month"),
-        numbers.first_int("transfer_raw").alias("transfer_count"), text.clean_city("city_raw").alias("location_city"), text.relative_url(F.lit(base_url), "detail_url").alias("detail_url"),
-        F.when(ev, classify.battery_type("battery_raw")).alias("battery_type"), F.when(ev, numbers.range_km("range_raw")).alias("range_km"), F.when(ev, numbers.range_standard("range_raw")).alias("range_standard"),
-        F.when(ev, numbers.percent("battery_health_raw")).cast("decimal(5,1)").alias("battery_health"), F.when(ev, F.bround(numbers.first_float("fast_charge_raw"), 1)).cast("decimal(6,1)").alias("fast_charge_kw"),
-        F.when(fuel, numbers.displacement("displacement_raw")).cast("decimal(4,1)").alias("displacement_l"), F.when(fuel, classify.gearbox("gearbox_raw")).alias("gearbox"), F.when(fuel, classify.emission("emission_raw")).alias("emission_standard"),
-        *keep)
-    row = row.select("*", "bm.brand", "bm.model").drop("bm")
+    row = raw.select("line", *keep, fallback.alias("_print"), *[text.clean_text(c).alias(f"_{c}") for c in texts])
+    of = lambda c: F.col(f"_{c}")
     row = row.withColumns({
+        "_upper_brand": F.upper(of("brand_raw")), "_upper_battery": F.upper(of("battery_raw")), "_upper_range": F.upper(of("range_raw")), "_upper_gearbox": F.upper(of("gearbox_raw")),
+        "_upper_emission": F.upper(F.replace(of("emission_raw"), F.lit(" "), F.lit(""))), "_told": of("brand_raw").isNotNull() & of("model_raw").isNotNull(),
+        "price_wan": numbers.price_of(of("price_raw")), "new_car_price_wan": numbers.price_of(of("new_car_price_raw")), "mileage_km": numbers.mileage_of(of("mileage_raw")),
+        "_year": numbers.year_of(of("reg_date_raw")), "reg_month": numbers.month_of(of("reg_date_raw")), "transfer_count": numbers.int_of(of("transfer_raw")), "location_city": text.city_of(of("city_raw")),
+        "_health": numbers.float_of(of("battery_health_raw")), "_charge": numbers.float_of(of("fast_charge_raw")), "_own": F.coalesce(of("source_id"), text.clean_text("_print")),
+    })
+    row = row.withColumns({"_guess": F.when(~F.col("_told"), classify.split_title("_title_raw")), "reg_year": numbers.sane_year("_year", as_of)})
+    ev, fuel = F.col("line") == "ev", F.col("line") == "fuel"
+    row = row.withColumns({
+        "brand": F.when(F.col("_told"), classify.brand_of(of("brand_raw"), of("upper_brand"))).otherwise(F.col("_guess.brand")), "model": F.when(F.col("_told"), of("model_raw")).otherwise(F.col("_guess.model")),
+        "vehicle_key": keys.key_of(of("source_platform"), of("own")), "source_platform": of("source_platform"), "source_id": of("source_id"), "title_raw": of("title_raw"), "detail_url": text.absolute(F.lit(base_url), of("detail_url")),
         "retention_rate": numbers.safe_ratio("price_wan", "new_car_price_wan").cast("decimal(8,4)"),
-        "match_key": keys.match_key("brand", "model", "reg_year", "mileage_km", "reg_month"),
+        "battery_type": F.when(ev, classify.class_of(of("upper_battery"), classify.BATTERY)), "range_km": F.when(ev, numbers.range_of(of("range_raw"))), "range_standard": F.when(ev, numbers.standard_of(of("upper_range"))),
+        "battery_health": F.when(ev & (of("health") > 0) & (of("health") <= 100), F.bround(of("health"), 1)).try_cast("decimal(5,1)"), "fast_charge_kw": F.when(ev, F.bround(of("charge"), 1)).try_cast("decimal(6,1)"),
+        "displacement_l": F.when(fuel, numbers.litres_of(of("displacement_raw"))).cast("decimal(4,1)"), "gearbox": F.when(fuel, classify.class_of(of("upper_gearbox"), classify.GEARBOX)),
+        "emission_standard": F.when(fuel, classify.class_of(of("upper_emission"), classify.EMISSION_CLASSES)),
     })
+    row = row.withColumn("match_key", keys.match_key("brand", "model", "reg_year", "mileage_km", "reg_month"))
     return row.select(*COMMON, *EV, *FUEL, *keep)
 
 
@@ -58,8 +63,13 @@ def rules() -> dict[str, Column]:
 
 
 def validate(rows: DataFrame) -> DataFrame:
-    """rows with ``violations``: the names of the rules a row breaks, empty if none (a NULL breaks only rules that ask for a value)."""
-    return rows.withColumn("violations", F.array_compact(F.array(*[F.when(F.coalesce(bad, F.lit(False)), F.lit(name)) for name, bad in rules().items()])))
+    """rows with ``violations``: the names of the rules a row breaks, empty if none (a NULL breaks only rules that ask for a value).
+
+    The condition on the partition's number always holds. It makes the column one that the optimizer may not copy, so that a
+    filter on it stays above: pushed below, it would spell out every cleaning rule once more, in an expression that takes minutes to plan.
+    """
+    broken = F.array_compact(F.array(*[F.when(F.coalesce(bad, F.lit(False)), F.lit(name)) for name, bad in rules().items()]))
+    return rows.withColumn("violations", F.when(F.spark_partition_id() >= 0, broken))
 
 
 def accepted(validated: DataFrame) -> DataFrame:
@@ -76,8 +86,9 @@ def reject_samples(validated: DataFrame, by: Sequence[str], order: Sequence[str]
     return rejected(validated).withColumn("place", F.row_number().over(w.orderBy(*order))).withColumn("rejects", F.count("*").over(w)).filter(F.col("place") <= n).select(*by, "place", "rejects", F.concat_ws(" -> ", "title_raw", F.array_join("violations", ",")).alias("sample"))
 
 
-def dedupe_last(rows: DataFrame, key: str, order: Sequence[str]) -> DataFrame:
-    """The last row of each key by ``order``; rows without a key are dropped. Partial aggregation, no window."""
-    names = rows.columns
+def dedupe_last(rows: DataFrame, key: str, order: Sequence[str], columns: Sequence[str] | None = None) -> DataFrame:
+    """The last row of each key by ``order``; rows without a key are dropped. Partial aggregation, so a very frequent key meets
+    as one row a task. Only ``columns`` (default: all) go through the shuffle."""
+    names = list(columns or rows.columns)
     last = rows.filter(F.col(key).isNotNull()).groupBy(key).agg(F.max_by(F.struct(*names), F.struct(*order)).alias("row"))
     return last.select("row.*")

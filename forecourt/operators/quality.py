@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions import classify
+from ..functions import classify, numbers
 
 DRIFT = 0.3
 
@@ -24,15 +24,15 @@ def worst_field(missing: DataFrame, by: Sequence[str]) -> DataFrame:
     return missing.groupBy(*by).agg(F.max("missing").alias("worst"), F.round(F.avg("missing"), 4).alias("overall"), F.max_by("field", F.struct("missing", "field")).alias("worst_field"))
 
 
-def drift_gate(missing: DataFrame, fail: bool = False) -> DataFrame:
-    """Drifting fields; with ``fail`` the job stops at the first."""
-    found = missing.filter("drift")
+def drift_gate(missing: DataFrame, fail: bool = False, threshold: float = DRIFT) -> DataFrame:
+    """Drifting fields; with ``fail`` the job stops if there is one."""
+    found = missing.filter(F.col("missing") > threshold)
     if fail and not found.isEmpty():
         raise ValueError("fields drift: " + ", ".join(sorted(r["field"] for r in found.select("field").distinct().limit(50).collect())))
     return found
 
 
-def run_counters(raw: DataFrame, validated: DataFrame, by: Sequence[str], key: str = "vehicle_key") -> DataFrame:
+def run_counters(validated: DataFrame, by: Sequence[str], key: str = "vehicle_key") -> DataFrame:
     """parsed, accepted, rejected and duplicate rows of each group."""
     ok = F.size("violations") == 0
     return validated.groupBy(*by).agg(F.count("*").alias("parsed"), F.count_if(ok).alias("accepted"), F.count_if(~ok).alias("rejected"), (F.count_if(ok) - F.countDistinct(F.when(ok, F.col(key)))).alias("duplicates"))
@@ -45,6 +45,25 @@ def run_status(counters: DataFrame, threshold: float = DRIFT) -> DataFrame:
     return counters.withColumn("status", status)
 
 
+def merge_counters(merged: DataFrame, by: Sequence[str]) -> DataFrame:
+    """inserted and updated rows of upsert.merge() by group."""
+    return merged.groupBy(*by).agg(F.count_if(F.col("action") == "insert").alias("inserted"), F.count_if(F.col("action") == "update").alias("updated"))
+
+
+def list_run_status(counters: DataFrame, threshold: float = DRIFT) -> DataFrame:
+    """The rule of list pages, counters(pages_ok, errors, missing_ratio): no page read is failed, errors or drift partial, else success."""
+    return counters.withColumn("status", F.when(F.col("pages_ok") == 0, "failed").when((F.col("errors") > 0) | (F.col("missing_ratio") > threshold), "partial").otherwise("success"))
+
+
+def log_rows(log: DataFrame) -> DataFrame:
+    """The run log as it is shown: seconds and percent to one digit, details cut to 300 characters."""
+    return log.select(
+        F.coalesce(F.date_format("started_at", "yyyy-MM-dd HH:mm:ss"), F.lit("-")).alias("time"), F.col("business_line").alias("line"), F.col("source_platform").alias("source"), "status",
+        F.col("pages_fetched").alias("maps"), F.col("fetched_count").alias("fetched"), F.col("parsed_count").alias("parsed"), F.col("inserted_count").alias("new"), F.col("updated_count").alias("updated"),
+        F.col("dup_count").alias("dup"), F.col("error_count").alias("err"), F.round(F.coalesce("missing_ratio", F.lit(0.0)) * 100, 1).cast("double").alias("missing"),
+        numbers.seconds_between("started_at", "finished_at", 1).alias("seconds"), F.substring(F.coalesce("error_detail", F.lit("")), 1, 300).alias("detail"))
+
+
 def alerts(runs: DataFrame, kinds: Sequence[str] = ("schema_drift", "source_failed", "compliance_blocked"), threshold: float = DRIFT) -> DataFrame:
     """One row for each alert a run raises, of the kinds asked for."""
     raised = F.array_compact(F.array(F.when(F.col("missing_ratio") > threshold, "schema_drift"), F.when(F.col("status") == "failed", "source_failed"), F.when(F.col("blocked"), "compliance_blocked")))
@@ -64,11 +83,35 @@ def reconcile(clean: DataFrame, raw: DataFrame, key: str) -> DataFrame:
     Raw texts that say nothing are passed over; a clean NULL against a raw value is a mismatch. These patterns are
     kept apart from the cleaning functions on purpose.
     """
-    first = lambda c, p, g=1: F.nullif(F.regexp_extract(c, p, g), F.lit(""))
-    wan = F.coalesce(first("price_raw", r"^([0-9.]+)万").try_cast("decimal(12,2)"), F.bround(first("price_raw", r"^([0-9]+)元").try_cast("decimal(12,2)") / 10000, 2))
-    km = F.coalesce((first("mileage_raw", r"^([0-9.]+)万").try_cast("double") * 10000).cast("long"), first("mileage_raw", r"^([0-9]+)公里").try_cast("long"))
-    said = raw.select(key, wan.cast("double").cast("string").alias("price"), km.cast("string").alias("mileage"), first("reg_date_raw", r"^(\d{4})[年款]").alias("year"), classify.normalize_brand("brand_raw").alias("brand"))
-    has = clean.select(key, F.col("price_wan").cast("double").cast("string").alias("price"), F.col("mileage_km").cast("string").alias("mileage"), F.col("reg_year").cast("string").alias("year"), "brand")
-    turn = lambda df, name: df.unpivot([key], ["price", "mileage", "year", "brand"], "field", name)
-    met = turn(said, "expected").filter("expected is not null").join(turn(has, "actual"), [key, "field"])
+    fields = ["price", "guide", "mileage", "year", "month", "brand"]
+    met = _turned(_said(raw, key), key, fields, "expected").filter("expected is not null").join(_turned(_stored(clean, key), key, fields, "actual"), [key, "field"])
     return met.filter(~F.col("expected").eqNullSafe(F.col("actual")))
+
+
+def _turned(rows: DataFrame, key: str, fields: list[str], name: str) -> DataFrame:
+    return rows.unpivot([key], fields, "field", name)
+
+
+def _said(raw: DataFrame, key: str) -> DataFrame:
+    first = lambda c, p: F.nullif(F.regexp_extract(c, p, 1), F.lit(""))
+    yuan = lambda c: F.bround(first(c, r"^([0-9]+)元").try_cast("decimal(12,2)") / 10000, 2)
+    shown = lambda c: c.cast("double").cast("string")
+    price = F.coalesce(first("price_raw", r"^([0-9.]+)万").try_cast("decimal(12,2)"), yuan("price_raw"))
+    km = F.coalesce((first("mileage_raw", r"^([0-9.]+)万").try_cast("double") * 10000).cast("long"), first("mileage_raw", r"^([0-9]+)公里").try_cast("long"))
+    return raw.select(key, shown(price).alias("price"), shown(yuan("new_car_price_raw")).alias("guide"), km.cast("string").alias("mileage"), first("reg_date_raw", r"^(\d{4})[年款]").alias("year"),
+        first("reg_date_raw", r"^\d{4}年(\d{1,2})月").try_cast("int").cast("string").alias("month"), classify.normalize_brand("brand_raw").alias("brand"))
+
+
+def _stored(clean: DataFrame, key: str) -> DataFrame:
+    shown = lambda c: F.col(c).cast("double").cast("string")
+    return clean.select(key, shown("price_wan").alias("price"), shown("new_car_price_wan").alias("guide"), F.col("mileage_km").cast("string").alias("mileage"), F.col("reg_year").cast("string").alias("year"), F.col("reg_month").cast("string").alias("month"), "brand")
+
+
+def reconcile_counts(clean: DataFrame, raw: DataFrame, key: str) -> DataFrame:
+    """One row: clean rows checked, those without a raw text, and mismatching fields. key is unique in both."""
+    fields = ["price", "guide", "mileage", "year", "month", "brand"]
+    said = _said(raw, key).select(F.col(key).alias("_key"), *[F.col(f).alias(f"_{f}") for f in fields])
+    both = _stored(clean, key).join(said, F.col(key) == F.col("_key"), "left")
+    wrong = sum((F.when(F.col(f"_{f}").isNotNull() & ~F.col(f"_{f}").eqNullSafe(F.col(f)), 1).otherwise(0) for f in fields), F.lit(0))
+    there = F.col("_key").isNotNull()
+    return both.agg(F.count_if(there).alias("checked"), F.count_if(~there).alias("missing_raw"), F.sum(F.when(there, wrong).otherwise(0)).alias("mismatches"))

@@ -21,19 +21,22 @@ def prepare(clean: DataFrame, run_start) -> DataFrame:
     })
 
 
-def merge(current: DataFrame, batch: DataFrame, key: str = "vehicle_key", delete_after: int = 3, scope: Sequence[str] = ()) -> DataFrame:
+def merge(current: DataFrame, batch: DataFrame, key: str = "vehicle_key", delete_after: int = 3, scope: Sequence[str] = (), ran: bool | None = None) -> DataFrame:
     """current snapshot and prepared batch (one row a key each) -> new snapshot with ``action``: insert, update, keep, delete.
 
     Rows of the batch replace those of the snapshot. Every other row has been missed once more, and is marked
     deleted from ``delete_after`` on; with ``scope`` (say, source_platform) only where the batch holds the same values.
-    An empty batch changes nothing. One full outer join on the key, both sides hash-partitioned alike.
+    An empty batch changes nothing; whether it is empty is asked of the batch unless the caller says so (``ran``). One full outer
+    join on the key, both sides hash-partitioned alike.
     """
     names = current.columns
     old, new = current.select(F.col(key).alias("_k"), F.struct(*names).alias("old")), batch.select(F.col(key).alias("_k"), F.struct(*names).alias("new"))
-    seen = batch.select(*(F.col(c).alias(f"_{c}") for c in scope), F.lit(True).alias("_run")).distinct() if scope else batch.limit(1).select(F.lit(True).alias("_run"))
     both = old.join(new, "_k", "full_outer")
-    on = [F.col(f"old.{c}").eqNullSafe(F.col(f"_{c}")) for c in scope]
-    both = both.join(seen, on, "left") if scope else both.join(F.broadcast(seen), how="left")
+    if scope:
+        seen = batch.select(*(F.col(c).alias(f"_{c}") for c in scope), F.lit(True).alias("_run")).distinct()
+        both = both.join(seen, [F.col(f"old.{c}").eqNullSafe(F.col(f"_{c}")) for c in scope], "left")
+    else:
+        both = both.withColumn("_run", F.lit(not batch.isEmpty() if ran is None else ran))
     missed = F.col("old.missing_count") + F.when(F.col("_run"), 1).otherwise(0)
     kept = [missed.cast("int").alias(c) if c == "missing_count" else (F.col("old.is_deleted") | (F.coalesce(F.col("_run"), F.lit(False)) & (missed >= delete_after))).alias(c) if c == "is_deleted" else F.col(f"old.{c}").alias(c) for c in names]
     action = F.when(F.col("old").isNull(), "insert").when(F.col("new").isNotNull(), "update").when(~F.col("old.is_deleted") & F.coalesce(F.col("_run"), F.lit(False)) & (missed >= delete_after), "delete").otherwise("keep")
@@ -48,10 +51,11 @@ def split_upsert(batch: DataFrame, current: DataFrame, key: str = "vehicle_key")
 class Snapshots:
     """Versions of one table under a folder: version=N of Parquet files, each written whole under a new number and never
     overwritten while it is read. The newest complete version (it has its _SUCCESS file) is current; a run's id is stored with it, so
-    doing a run again changes nothing."""
+    doing a run again changes nothing. Every run ages the rows it does not see, so a version is written whole; the ``keep`` newest
+    ones stay, older ones go once a newer one is complete."""
 
-    def __init__(self, spark: SparkSession, path: str, schema):
-        self.spark, self.path, self.schema = spark, path.rstrip("/"), schema
+    def __init__(self, spark: SparkSession, path: str, schema, keep: int = 5):
+        self.spark, self.path, self.schema, self.keep = spark, path.rstrip("/"), schema, keep
 
     def _versions(self) -> list[tuple[int, str]]:
         jvm = self.spark.sparkContext._jvm
@@ -75,12 +79,27 @@ class Snapshots:
         found = self._versions()
         number = found[-1][0] + 1 if found else 1
         merge(self.read(), batch, **options).drop("action").sortWithinPartitions("vehicle_key").write.mode("overwrite").parquet(f"{self.path}/version={number:06d}-run={run_id}")
+        for _, name in found[: max(0, len(found) + 1 - self.keep)]:
+            old = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{self.path}/{name}")
+            old.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(old, True)
 
 
-def append_run_log(rows: DataFrame, columns: Sequence[str], path: str) -> None:
-    """Known columns only."""
-    rows.select(*[c for c in columns if c in rows.columns]).write.mode("append").parquet(path)
+RUN_LOG = ("run_id string, business_line string, source_platform string, task_type string, status string, pages_fetched int, fetched_count int, parsed_count int, inserted_count int, updated_count int, dup_count int, "
+    "error_count int, missing_ratio decimal(6,4), error_detail string, started_at timestamp, finished_at timestamp")
+
+
+def append_run_log(rows: DataFrame, path: str) -> None:
+    """The log's columns only, in its types; those that rows lack are NULL; error_detail is cut to 2000 characters."""
+    columns = [c.strip().rsplit(" ", 1) for c in RUN_LOG.replace("decimal(6,4)", "decimal(6;4)").split(",")]
+    columns = [(c, t.replace(";", ",")) for c, t in columns]
+    value = lambda c: F.substring(c, 1, 2000) if c == "error_detail" else F.col(c)
+    rows.select(*[(value(c) if c in rows.columns else F.lit(None)).cast(t).alias(c) for c, t in columns]).write.mode("append").parquet(path)
+
+
+def read_run_log(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.schema(RUN_LOG).parquet(path)
 
 
 def recent_runs(log: DataFrame, n: int = 20) -> DataFrame:
-    return log.orderBy(F.desc("started_at"), "source").limit(n)
+    """The newest runs first."""
+    return log.orderBy(F.desc("started_at"), "source_platform").limit(n)

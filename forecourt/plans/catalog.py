@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from ..functions import classify, keys, numbers, text
 from ..operators import market, normalize, quality, read, upsert
-from .listings import LAST, LISTINGS_SQL, listings_raw
+from .listings import LAST, LISTINGS_SQL, TABLES, listings_raw
+from .store import new_path, written
 
 AS_OF = "2002-01-01"
 BASE_URL = "https://cars.example.org/"
@@ -17,21 +18,33 @@ BASE_URL = "https://cars.example.org/"
 
 
 def normalized(spark: SparkSession, sf_dir: str) -> DataFrame:
-    # the optimizer would derive constraints from every pair of these long expressions, for minutes
-    spark.conf.set("spark.sql.constraintPropagation.enabled", "false")
     return normalize.normalize(listings_raw(spark, sf_dir), AS_OF, BASE_URL, keep=LAST)
 
 
+def _inputs(sf_dir: str) -> list[str]:
+    return [f"{sf_dir}/{t}.parquet" for t in TABLES]
+
+
+def validated_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The job that normalises and validates, as the table it writes: all rows with the rules they break."""
+    return written(spark, "validated", _inputs(sf_dir), lambda: normalize.validate(normalized(spark, sf_dir)))
+
+
 def accepted(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return normalize.accepted(normalize.validate(normalized(spark, sf_dir)))
+    return normalize.accepted(validated_table(spark, sf_dir))
 
 
-def market_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The last accepted row of each vehicle; what was last seen in 1995 counts as deleted."""
+def _last(spark: SparkSession, sf_dir: str) -> DataFrame:
     last = normalize.dedupe_last(accepted(spark, sf_dir), "vehicle_key", LAST)
     return last.withColumns({"captured_at": F.col("fetched_at"), "is_deleted": F.year("fetched_at") == 1995})
 
 
+def market_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The snapshot that market queries read, as the table a job writes: the last accepted row of each vehicle; what was last seen in
+    1995 counts as deleted."""
+    return written(spark, "listings", _inputs(sf_dir), lambda: _last(spark, sf_dir))
+
+
 def of_line(table: DataFrame, line: str) -> DataFrame:
     return table.filter(F.col("line") == line)
 
@@ -75,6 +88,13 @@ def _bucket(c: str, edges) -> str:
     return f"CASE WHEN {c} IS NULL THEN NULL " + " ".join(f"WHEN {c} >= {low} AND {c} < {high} THEN {_quoted(label)}" for low, high, label in edges) + f" ELSE {_quoted(edges[-1][2])} END"
 
 
+def _mean(c: str, scale: int, digits: int = 4, where: str = "true") -> str:
+    """The mean of values with ``scale`` decimals, half up to ``digits``, in whole numbers."""
+    up, down = 10 ** max(digits - scale, 0), 10 ** max(scale - digits, 0)
+    total, n = f"sum(CAST(round(({c}) * {10**scale}) AS HUGEINT)) FILTER ({where})", f"CAST(count({c}) FILTER ({where}) AS HUGEINT)"
+    return f"CAST(CASE WHEN {n} > 0 THEN ({total} * {2 * up} + {n} * {down}) // ({n} * {2 * down}) END AS DOUBLE) / {10**digits}"
+
+
 _NUM = r"-?\d+(?:\.\d+)?"
 _FIRST = lambda c: f"TRY_CAST(nullif(regexp_extract({_txt(c)}, '{_NUM}'), '') AS DOUBLE)"
 _KM = rf"coalesce(TRY_CAST(nullif(regexp_extract({_txt('range_raw')}, '(\d{{2,4}})\s*(?:km|KM|公里|千米)', 1), '') AS INTEGER), CAST(trunc({_FIRST('range_raw')}) AS INTEGER))"
@@ -171,13 +191,14 @@ def validated(spark, sf_dir):
 
 @query("SELECT * FROM (SELECT line, source_platform, row_number() OVER w AS place, count(*) OVER (PARTITION BY line, source_platform) AS rejects, title_raw || ' -> ' || violations AS sample FROM v WHERE violations != '' WINDOW w AS (PARTITION BY line, source_platform ORDER BY source_id, fetched_at, part_no, supp_no, asked)) WHERE place <= 5")
 def reject_summary(spark, sf_dir):
-    rows = normalize.validate(normalized(spark, sf_dir))
+    rows = validated_table(spark, sf_dir)
     return normalize.reject_samples(rows, ["line", "source_platform"], ["source_id", *LAST])
 
 
 @query("SELECT vehicle_key, part_no, asked, price_wan, CAST(fetched_at AS DATE) AS day FROM t")
 def dedupe_last(spark, sf_dir):
-    return doubles(market_table(spark, sf_dir).select("vehicle_key", "part_no", "asked", "price_wan", F.to_date("fetched_at").alias("day")))
+    last = normalize.dedupe_last(accepted(spark, sf_dir), "vehicle_key", LAST, ["vehicle_key", "part_no", "asked", "price_wan", "fetched_at"])
+    return doubles(last.select("vehicle_key", "part_no", "asked", "price_wan", F.to_date("fetched_at").alias("day")))
 
 
 @query("SELECT event_id, user_id, event_type, value FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS place FROM events WHERE user_id IS NOT NULL) WHERE place = 1", base=False)
@@ -186,47 +207,93 @@ def dedupe_last_events(spark, sf_dir):
     return normalize.dedupe_last(events, "user_id", ["ts", "event_id"]).select("event_id", "user_id", "event_type", "value")
 
 
-# ---- upsert and lifecycle: runs are years --------------------------------------------------------------------------------
+# ---- upsert and lifecycle: runs are the years of the listings ---------------------------------------------------------------
+
 
-RUNS = (1996, 1997, 1998, 1999)
+def _years(rows: DataFrame) -> list[int]:
+    return sorted(r[0] for r in rows.select(F.year("fetched_at")).distinct().collect())  # a few years
 
 
 def _batch(rows: DataFrame, year: int) -> DataFrame:
-    last = normalize.dedupe_last(rows.filter(F.year("fetched_at") == year), "vehicle_key", LAST)
-    return upsert.prepare(last, f"{year}-12-31").drop(*LAST)
+    last = normalize.dedupe_last(rows, "vehicle_key", LAST)
+    return upsert.prepare(last, f"{year}-12-31").drop(*LAST[1:])  # when a page was fetched stays beside when it was merged
+
+
+def _in(rows: DataFrame, year: int) -> DataFrame:
+    return rows.filter(F.year("fetched_at") == year)
+
+
+def _before_and_last(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """The snapshot before the last run, and the last run."""
+    rows = accepted(spark, sf_dir)
+    last = max(_years(rows), default=0)
+    return _batch(rows.filter(F.year("fetched_at") < last), last - 1), _batch(_in(rows, last), last)
 
 
-def _merged(spark: SparkSession, sf_dir: str, runs=RUNS, delete_after: int = 3) -> DataFrame:
+def _lifecycle(spark: SparkSession, sf_dir: str, delete_after: int) -> DataFrame:
+    """All runs one after the other, each a version of the snapshot."""
     rows = accepted(spark, sf_dir)
-    table = _batch(rows, runs[0]).withColumn("action", F.lit("insert"))
-    for year in runs[1:]:
-        table = upsert.merge(table.drop("action"), _batch(rows, year), delete_after=delete_after)
-    return table
+    table = upsert.Snapshots(spark, new_path(spark, "lifecycle"), _batch(rows, 0).schema, keep=2)
+    for year in _years(rows):
+        table.apply(_batch(_in(rows, year), year), str(year), delete_after=delete_after, ran=True)
+    return table.read()
 
 
-_RUN_SQL = """, b AS (SELECT *, year(fetched_at) AS run FROM (SELECT *, row_number() OVER (PARTITION BY vehicle_key, year(fetched_at) ORDER BY fetched_at DESC, part_no DESC, supp_no DESC, asked DESC) AS place FROM a) WHERE place = 1 AND year(fetched_at) BETWEEN 1996 AND 1999)
+_LAST_FIRST = "ORDER BY fetched_at DESC, part_no DESC, supp_no DESC, asked DESC"
+_RUN_SQL = f""", b AS (SELECT *, year(fetched_at) AS run FROM (SELECT *, row_number() OVER (PARTITION BY vehicle_key, year(fetched_at) {_LAST_FIRST}) AS place FROM a) WHERE place = 1),
+o AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY vehicle_key ORDER BY run DESC) AS nth FROM b WHERE run < (SELECT max(run) FROM b)) WHERE nth = 1), w AS (SELECT * FROM b WHERE run = (SELECT max(run) FROM b))
 """
+_ACTION_SQL = "CASE WHEN o.vehicle_key IS NULL THEN 'insert' WHEN n.vehicle_key IS NULL THEN 'keep' ELSE 'update' END AS action"
 
 
-@query(_RUN_SQL + "SELECT coalesce(n.vehicle_key, o.vehicle_key) AS vehicle_key, coalesce(n.price_wan, o.price_wan) AS price_wan, CASE WHEN o.vehicle_key IS NULL THEN 'insert' WHEN n.vehicle_key IS NULL THEN 'keep' ELSE 'update' END AS action, CAST(CASE WHEN n.vehicle_key IS NULL THEN 1 ELSE 0 END AS INTEGER) AS missing_count FROM (SELECT * FROM b WHERE run = 1996) o FULL JOIN (SELECT * FROM b WHERE run = 1997) n ON o.vehicle_key = n.vehicle_key")
+@query(_RUN_SQL + f"SELECT coalesce(n.vehicle_key, o.vehicle_key) AS vehicle_key, CASE WHEN n.vehicle_key IS NULL THEN o.price_wan ELSE n.price_wan END AS price_wan, {_ACTION_SQL}, CAST(CASE WHEN n.vehicle_key IS NULL THEN 1 ELSE 0 END AS INTEGER) AS missing_count FROM o FULL JOIN w n ON o.vehicle_key = n.vehicle_key")
 def upsert_merge(spark, sf_dir):
-    return doubles(_merged(spark, sf_dir, RUNS[:2]).select("vehicle_key", "price_wan", "action", "missing_count"))
+    return doubles(upsert.merge(*_before_and_last(spark, sf_dir)).select("vehicle_key", "price_wan", "action", "missing_count"))
+
+
+@query(_RUN_SQL + "SELECT coalesce(n.vehicle_key, o.vehicle_key) AS vehicle_key, strftime(CASE WHEN n.vehicle_key IS NULL THEN o.fetched_at ELSE n.fetched_at END, '%Y-%m-%d') AS fetched, CASE WHEN n.vehicle_key IS NULL THEN (SELECT max(run) - 1 FROM b) ELSE n.run END || '-12-31' AS merged FROM o FULL JOIN w n ON o.vehicle_key = n.vehicle_key")
+def upsert_times(spark, sf_dir):
+    """Both time columns: when a row's page was fetched, and when the row was last merged."""
+    merged = upsert.merge(*_before_and_last(spark, sf_dir))
+    return merged.select("vehicle_key", F.date_format("fetched_at", "yyyy-MM-dd").alias("fetched"), F.date_format("last_seen_at", "yyyy-MM-dd").alias("merged"))
 
 
-@query(_RUN_SQL + "SELECT CASE WHEN o.vehicle_key IS NULL THEN 'insert' WHEN n.vehicle_key IS NULL THEN 'keep' ELSE 'update' END AS action, count(*) AS n FROM (SELECT * FROM b WHERE run = 1996) o FULL JOIN (SELECT * FROM b WHERE run = 1997) n ON o.vehicle_key = n.vehicle_key GROUP BY 1")
+@query(_RUN_SQL + f"SELECT {_ACTION_SQL}, count(*) AS n FROM o FULL JOIN w n ON o.vehicle_key = n.vehicle_key GROUP BY 1")
 def upsert_counts(spark, sf_dir):
-    return _merged(spark, sf_dir, RUNS[:2]).groupBy("action").agg(F.count("*").alias("n"))
+    return upsert.merge(*_before_and_last(spark, sf_dir)).groupBy("action").agg(F.count("*").alias("n"))
+
+
+@query(_RUN_SQL + "SELECT coalesce(n.vehicle_key, o.vehicle_key) AS vehicle_key, CASE WHEN n.vehicle_key IS NULL THEN 1 ELSE 0 END AS missing_count FROM o FULL JOIN w n ON o.vehicle_key = n.vehicle_key WHERE coalesce(n.source_platform, o.source_platform) = 'src_1' UNION ALL SELECT o.vehicle_key, 0 FROM o WHERE source_platform != 'src_1'")
+def upsert_scoped(spark, sf_dir):
+    """A run of one platform ages only that platform's rows."""
+    before, last = _before_and_last(spark, sf_dir)
+    merged = upsert.merge(before, last.filter("source_platform = 'src_1'"), scope=["source_platform"])
+    return merged.select("vehicle_key", "missing_count")
+
 
+@query(_RUN_SQL + "SELECT action, count(*) AS n FROM (SELECT CASE WHEN o.vehicle_key IS NULL THEN 'update' WHEN n.vehicle_key IS NULL THEN 'keep' ELSE 'update' END AS action FROM o FULL JOIN w n ON o.vehicle_key = n.vehicle_key) GROUP BY 1")
+def upsert_twice(spark, sf_dir):
+    """The actions of a run done a second time: nothing is inserted."""
+    before, last = _before_and_last(spark, sf_dir)
+    return upsert.merge(upsert.merge(before, last).drop("action"), last).groupBy("action").agg(F.count("*").alias("n"))
 
-@query(_RUN_SQL + "SELECT vehicle_key, CAST(1999 - max(run) AS INTEGER) AS missing_count, 1999 - max(run) >= 2 OR false AS is_deleted, arg_max(price_wan, run) AS price_wan FROM b GROUP BY vehicle_key")
+
+@query(_RUN_SQL + "SELECT vehicle_key, CAST(0 AS INTEGER) AS missing_count, false AS is_deleted FROM o")
+def upsert_nothing(spark, sf_dir):
+    """A run of which every row was rejected changes nothing, ages included."""
+    before, last = _before_and_last(spark, sf_dir)
+    return upsert.merge(before, last.filter("price_wan < 0")).select("vehicle_key", "missing_count", "is_deleted")
+
+
+@query(_RUN_SQL + ", k AS (SELECT vehicle_key, max(run) AS run, arg_max(price_wan, run) AS price_wan FROM (SELECT vehicle_key, run, coalesce(price_wan, 0) AS price_wan FROM b) GROUP BY 1), g AS (SELECT k.*, (SELECT count(DISTINCT run) FROM b WHERE b.run > k.run) AS missed FROM k) SELECT vehicle_key, CAST(missed AS INTEGER) AS missing_count, missed >= 2 AS is_deleted, price_wan FROM g")
 def lifecycle(spark, sf_dir):
-    return doubles(_merged(spark, sf_dir, delete_after=2).select("vehicle_key", "missing_count", "is_deleted", "price_wan"))
+    return doubles(_lifecycle(spark, sf_dir, 2).select("vehicle_key", "missing_count", "is_deleted", "price_wan"))
 
 
-@query(_RUN_SQL + "SELECT n.vehicle_key, CASE WHEN EXISTS (SELECT 1 FROM b o WHERE o.run = 1996 AND o.vehicle_key = n.vehicle_key) THEN 'update' ELSE 'insert' END AS goes FROM b n WHERE n.run = 1997")
+@query(_RUN_SQL + "SELECT n.vehicle_key, CASE WHEN o.vehicle_key IS NULL THEN 'insert' ELSE 'update' END AS goes FROM w n LEFT JOIN o ON o.vehicle_key = n.vehicle_key")
 def upsert_split(spark, sf_dir):
-    rows = accepted(spark, sf_dir)
-    insert, update = upsert.split_upsert(_batch(rows, 1997), _batch(rows, 1996))
+    before, last = _before_and_last(spark, sf_dir)
+    insert, update = upsert.split_upsert(last, before)
     return insert.select("vehicle_key", F.lit("insert").alias("goes")).unionByName(update.select("vehicle_key", F.lit("update").alias("goes")))
 
 
@@ -244,7 +311,7 @@ def top_listings(spark, sf_dir):
     return doubles(read.read_listings(market_table(spark, sf_dir), "fuel", include_deleted=True, order_by="price_wan", limit=20, offset=5).select("vehicle_key", "price_wan"))
 
 
-@query("SELECT line, count(*) AS total, count(*) FILTER (NOT is_deleted) AS active, count(*) FILTER (is_deleted) AS deleted, round(avg(price_wan) FILTER (NOT is_deleted), 2) AS avg_price, min(price_wan) FILTER (NOT is_deleted) AS min_price, max(price_wan) FILTER (NOT is_deleted) AS max_price, round(avg(retention_rate) FILTER (NOT is_deleted), 4) AS avg_retention FROM t GROUP BY line")
+@query(f"SELECT line, count(*) AS total, count(*) FILTER (NOT is_deleted) AS active, count(*) FILTER (is_deleted) AS deleted, {_mean("price_wan", 2, 2, "NOT is_deleted")} AS avg_price, min(price_wan) FILTER (NOT is_deleted) AS min_price, max(price_wan) FILTER (NOT is_deleted) AS max_price, {_mean("retention_rate", 4, 4, "NOT is_deleted")} AS avg_retention FROM t GROUP BY line")
 def line_stats(spark, sf_dir):
     return market.line_stats(market_table(spark, sf_dir))
 
@@ -254,7 +321,7 @@ def platform_counts(spark, sf_dir):
     return market.platform_counts(market_table(spark, sf_dir))
 
 
-@query(f"SELECT line, count(*) AS n, count(DISTINCT brand) AS brands, count(DISTINCT location_city) AS cities, round(avg(price_wan), 4) AS avg_price, round(avg(retention_rate), 4) AS avg_retention, round(avg({AGE_SQL}), 4) AS avg_age, CAST(round_even(avg(mileage_km), 0) AS BIGINT) AS avg_mileage, min(price_wan) AS min_price, max(price_wan) AS max_price FROM t GROUP BY line")
+@query(f"SELECT line, count(*) AS n, count(DISTINCT brand) AS brands, count(DISTINCT location_city) AS cities, {_mean("price_wan", 2)} AS avg_price, {_mean("retention_rate", 4)} AS avg_retention, {_mean(AGE_SQL, 1)} AS avg_age, CAST({_mean("mileage_km", 0, 0)} AS BIGINT) AS avg_mileage, min(price_wan) AS min_price, max(price_wan) AS max_price FROM t GROUP BY line")
 def line_scalars(spark, sf_dir):
     return market.line_scalars(market_table(spark, sf_dir), AS_OF)
 
@@ -289,12 +356,12 @@ def age_distribution(spark, sf_dir):
     return market.distribution(market_table(spark, sf_dir), numbers.age_years("reg_year", "reg_month", AS_OF), market.AGE_EDGES)
 
 
-@query("SELECT brand, round(avg(price_wan), 2) AS avg_price, count(*) AS n FROM t WHERE brand != '' AND price_wan > 0 GROUP BY brand HAVING count(*) >= 3 ORDER BY avg_price DESC, brand LIMIT 10")
+@query(f"SELECT brand, {_mean("price_wan", 2, 2)} AS avg_price, count(*) AS n FROM t WHERE brand != '' AND price_wan > 0 GROUP BY brand HAVING count(*) >= 3 ORDER BY avg_price DESC, brand LIMIT 10")
 def brand_price_rank(spark, sf_dir):
     return market.brand_price_rank(market_table(spark, sf_dir))
 
 
-@query("SELECT brand, round(avg(retention_rate) * 100, 1) AS retention_pct, count(*) AS n FROM t WHERE brand != '' AND retention_rate IS NOT NULL GROUP BY brand HAVING count(*) >= 2 ORDER BY retention_pct DESC, brand LIMIT 10")
+@query(f"SELECT brand, {_mean("retention_rate * 100", 2, 1)} AS retention_pct, count(*) AS n FROM t WHERE brand != '' AND retention_rate IS NOT NULL GROUP BY brand HAVING count(*) >= 2 ORDER BY retention_pct DESC, brand LIMIT 10")
 def brand_retention_rank(spark, sf_dir):
     return market.brand_retention_rank(market_table(spark, sf_dir))
 
@@ -304,7 +371,7 @@ def age_mileage_heat(spark, sf_dir):
     return market.age_mileage_heat(market_table(spark, sf_dir), AS_OF)
 
 
-@query(f"SELECT CAST(least(trunc({AGE_SQL}), 12) AS INTEGER) AS age, round(avg(retention_rate) * 100, 1) AS retention_pct, count(*) AS n FROM t WHERE {AGE_SQL} IS NOT NULL AND retention_rate IS NOT NULL GROUP BY 1")
+@query(f"SELECT CAST(least(trunc({AGE_SQL}), 12) AS INTEGER) AS age, {_mean("retention_rate * 100", 2, 1)} AS retention_pct, count(*) AS n FROM t WHERE {AGE_SQL} IS NOT NULL AND retention_rate IS NOT NULL GROUP BY 1")
 def age_retention(spark, sf_dir):
     return market.age_retention(market_table(spark, sf_dir), AS_OF)
 
@@ -317,7 +384,7 @@ def field_completeness(spark, sf_dir):
     return market.field_completeness(of_line(market_table(spark, sf_dir), "ev"), _FIELDS)
 
 
-@query("SELECT coalesce(battery_type, '未知') AS name, count(*) AS n, round(avg(price_wan), 2) AS avg_price FROM t WHERE line = 'ev' AND price_wan > 0 GROUP BY 1")
+@query(f"SELECT coalesce(battery_type, '未知') AS name, count(*) AS n, {_mean("price_wan", 2, 2)} AS avg_price FROM t WHERE line = 'ev' AND price_wan > 0 GROUP BY 1")
 def ev_battery_prices(spark, sf_dir):
     return market.price_by_class(of_line(market_table(spark, sf_dir), "ev"), "battery_type")
 
@@ -338,9 +405,9 @@ def ev_health_distribution(spark, sf_dir):
     return market.distribution(of_line(market_table(spark, sf_dir), "ev"), F.col("battery_health").cast("double"), market.SOH_EDGES)
 
 
-@query("SELECT round(avg(battery_health), 4) AS avg, count(battery_health) AS n FROM t WHERE line = 'ev'")
+@query(f"SELECT {_mean("battery_health", 1)} AS avg, count(battery_health) AS n FROM t WHERE line = 'ev'")
 def ev_health_average(spark, sf_dir):
-    return market.mean_and_count(of_line(market_table(spark, sf_dir), "ev"), "battery_health", 4)
+    return market.mean_and_count(of_line(market_table(spark, sf_dir), "ev"), "battery_health", 1, 4)
 
 
 @query("SELECT emission_standard AS name, count(*) AS n FROM t WHERE line = 'fuel' AND emission_standard != '未知' GROUP BY 1")
@@ -358,12 +425,17 @@ def fuel_displacements(spark, sf_dir):
     return market.distribution(of_line(market_table(spark, sf_dir), "fuel"), F.col("displacement_l").cast("double"), market.LITRE_EDGES)
 
 
-@query("SELECT coalesce(line, 'all') AS line, count(*) AS n, round(avg(price_wan), 4) AS avg_price, round(avg(retention_rate), 4) AS avg_retention, round(avg(mileage_km), 1) AS avg_mileage, count(DISTINCT brand) AS brands FROM t GROUP BY GROUPING SETS ((line), ())")
+@query(f"SELECT {_mean("displacement_l", 1)} AS avg, count(displacement_l) AS n FROM t WHERE line = 'fuel'")
+def fuel_displacement_average(spark, sf_dir):
+    return market.mean_and_count(of_line(market_table(spark, sf_dir), "fuel"), "displacement_l", 1, 4)
+
+
+@query(f"SELECT coalesce(line, 'all') AS line, count(*) AS n, {_mean("price_wan", 2)} AS avg_price, {_mean("retention_rate", 4)} AS avg_retention, {_mean("mileage_km", 0, 1)} AS avg_mileage, count(DISTINCT brand) AS brands FROM t GROUP BY GROUPING SETS ((line), ())")
 def line_compare(spark, sf_dir):
     return market.line_compare(market_table(spark, sf_dir))
 
 
-@query("SELECT match_key, count(DISTINCT source_platform) AS platforms, min(price_wan) AS low, max(price_wan) AS high, round(max(price_wan) - min(price_wan), 2) AS gap FROM t WHERE match_key IS NOT NULL GROUP BY match_key HAVING count(DISTINCT source_platform) > 1 ORDER BY gap DESC, match_key LIMIT 20")
+@query("SELECT match_key, count(DISTINCT source_platform) AS platforms, min(price_wan) AS low, max(price_wan) AS high, round(max(price_wan) - min(price_wan), 2) AS gap FROM t WHERE match_key IS NOT NULL AND NOT is_deleted GROUP BY match_key HAVING count(DISTINCT source_platform) > 1 ORDER BY gap DESC, match_key LIMIT 20")
 def cross_source_gap(spark, sf_dir):
     return market.cross_source_gap(market_table(spark, sf_dir))
 
@@ -373,12 +445,20 @@ def same_vehicle_pairs(spark, sf_dir):
     return market.same_vehicle_pairs(market_table(spark, sf_dir))
 
 
-@query("SELECT brand, model, count(*) AS n, round(avg(price_wan), 2) AS avg_price FROM t WHERE NOT is_deleted AND captured_at >= TIMESTAMP '2001-09-01' - INTERVAL 30 DAY GROUP BY ALL")
+_RECENT_SQL = f"SELECT brand, model, count(*) AS n, {_mean("price_wan", 2, 2)} AS avg_price FROM t WHERE NOT is_deleted AND captured_at >= TIMESTAMP '2001-09-01' - INTERVAL 30 DAY"
+
+
+@query(_RECENT_SQL + " GROUP BY ALL")
 def recent_brand_avg(spark, sf_dir):
     return market.recent_averages(market_table(spark, sf_dir), "2001-09-01")
 
 
-@query("SELECT battery_type, CASE WHEN range_km < 400 THEN '<400' WHEN range_km < 600 THEN '400-600' ELSE '600+' END AS band, count(*) AS n, round(avg(price_wan), 2) AS avg_price FROM t WHERE line = 'ev' GROUP BY ALL")
+@query(_RECENT_SQL + " AND brand = '比亚迪' GROUP BY ALL")
+def recent_avg_of_brand(spark, sf_dir):
+    return market.recent_averages(market_table(spark, sf_dir), "2001-09-01", brand="比亚迪")
+
+
+@query(f"SELECT battery_type, CASE WHEN range_km < 400 THEN '<400' WHEN range_km < 600 THEN '400-600' ELSE '600+' END AS band, count(*) AS n, {_mean("price_wan", 2, 2)} AS avg_price, {_mean("retention_rate", 4)} AS avg_retention FROM t WHERE line = 'ev' AND NOT is_deleted GROUP BY ALL")
 def range_band_price(spark, sf_dir):
     return market.battery_range_bands(of_line(market_table(spark, sf_dir), "ev"))
 
@@ -388,12 +468,33 @@ def duplicate_ids(spark, sf_dir):
     return market.duplicate_ids(market_table(spark, sf_dir))
 
 
+_EXPORTED = {"ev": [c for c in read.LABELS if c not in normalize.FUEL], "fuel": [c for c in read.LABELS if c not in normalize.EV]}
+
+
+def _export_sql(line: str) -> str:
+    shown = [f"strftime(captured_at, '%Y-%m-%d %H:%M:%S') AS \"{read.LABELS[c]}\"" if c == "captured_at" else f"{c} AS \"{read.LABELS[c]}\"" for c in _EXPORTED[line]]
+    return f"SELECT {', '.join(shown)} FROM t WHERE line = '{line}'"
+
+
+@query(_export_sql("ev"))
+def export_ev(spark, sf_dir):
+    return read.export_frame(market_table(spark, sf_dir), "ev")
+
+
+@query(_export_sql("fuel"))
+def export_fuel(spark, sf_dir):
+    return read.export_frame(market_table(spark, sf_dir), "fuel")
+
+
 @query("SELECT line, price_wan, count(*) AS n FROM t GROUP BY ALL")
 def export_rows(spark, sf_dir):
-    """The exported frames of both lines, counted by price (headers are the export's)."""
-    table = market_table(spark, sf_dir)
-    price = F.col(read.LABELS["price_wan"])
-    return read.export_frame(table, "ev").select(F.lit("ev").alias("line"), price.alias("price_wan")).unionByName(read.export_frame(table, "fuel").select(F.lit("fuel").alias("line"), price.alias("price_wan"))).groupBy("line", "price_wan").agg(F.count("*").alias("n"))
+    """Both lines as written to CSV and read again, counted by price."""
+    table, found = market_table(spark, sf_dir), []
+    for line in read.LINES:
+        path = new_path(spark, f"export-{line}")
+        read.export_csv(table, line, path)
+        found.append(spark.read.option("header", True).csv(path).select(F.lit(line).alias("line"), F.col(f"`{read.LABELS['price_wan']}`").cast("double").alias("price_wan")))
+    return found[0].unionByName(found[1]).groupBy("line", "price_wan").agg(F.count("*").alias("n"))
 
 
 # ---- quality ------------------------------------------------------------------------------------------------------------------
@@ -412,9 +513,9 @@ def field_missing(spark, sf_dir):
     return _missing(spark, sf_dir)
 
 
-@query(_MISSING_SQL + " SELECT *, missing > 0.3 AS drift FROM f WHERE missing > 0.3")
+@query(_MISSING_SQL + " SELECT *, missing > 0.3 AS drift FROM f WHERE missing > 0.15")
 def drift_gate(spark, sf_dir):
-    return quality.drift_gate(_missing(spark, sf_dir))
+    return quality.drift_gate(_missing(spark, sf_dir), threshold=0.15)
 
 
 @query(_MISSING_SQL + " SELECT source_platform, run, max(missing) AS worst, round(avg(missing), 4) AS overall, arg_max(field, (missing, field)) AS worst_field FROM f GROUP BY ALL")
@@ -423,8 +524,8 @@ def worst_field(spark, sf_dir):
 
 
 def _runs(spark, sf_dir):
-    rows = normalize.validate(normalized(spark, sf_dir)).withColumn("run", F.date_format("fetched_at", "yyyy-MM"))
-    counters = quality.run_counters(rows, rows, ["source_platform", "run"])
+    rows = validated_table(spark, sf_dir).withColumn("run", F.date_format("fetched_at", "yyyy-MM"))
+    counters = quality.run_counters(rows, ["source_platform", "run"])
     worst = quality.worst_field(_missing(spark, sf_dir), ["source_platform", "run"])
     runs = counters.join(worst, ["source_platform", "run"]).select("source_platform", "run", "parsed", "accepted", "rejected", "duplicates", F.col("worst").alias("missing_ratio"), F.when(F.col("rejected") > F.col("parsed") * 0.17, F.col("rejected")).otherwise(0).alias("errors"), (F.col("parsed") % 97 == 0).alias("circuit_broken"), (F.col("parsed") % 50 == 0).alias("blocked"))
     return quality.run_status(runs)
@@ -441,6 +542,45 @@ def run_status(spark, sf_dir):
     return _runs(spark, sf_dir)
 
 
+@query(_RUNS_SQL + " SELECT source_platform, run, CASE WHEN accepted % 5 = 0 THEN 'failed' WHEN errors > 0 OR missing_ratio > 0.3 THEN 'partial' ELSE 'success' END AS list_status FROM s")
+def list_run_status(spark, sf_dir):
+    """The rule of list pages, with a made-up number of pages that were read."""
+    return quality.list_run_status(_runs(spark, sf_dir).withColumn("pages_ok", F.col("accepted") % 5)).select("source_platform", "run", F.col("status").alias("list_status"))
+
+
+_LOG_SQL = _RUNS_SQL + """, l AS (SELECT source_platform, run, status, parsed, rejected, missing_ratio, CAST(run || '-01' AS TIMESTAMP) AS started_at, CASE WHEN parsed % 10 != 9 THEN CAST(run || '-01' AS TIMESTAMP) + to_milliseconds(parsed * 1370) END AS finished_at FROM s)"""
+
+
+def _log(spark, sf_dir):
+    """A run log written in two appends and read again; a column that the log doesn't have is left out."""
+    start = F.to_timestamp(F.concat("run", F.lit("-01")))
+    ended = F.when(F.col("parsed") % 10 != 9, F.timestamp_micros(F.unix_micros(start) + F.col("parsed") * 1_370_000))
+    rows = _runs(spark, sf_dir).select(F.lit("both").alias("business_line"), "source_platform", "run", "status", F.col("parsed").alias("parsed_count"), F.col("rejected").alias("error_count"), F.col("duplicates").alias("dup_count"), "missing_ratio", start.alias("started_at"), ended.alias("finished_at"), F.repeat(F.lit("detail "), F.lit(60)).alias("error_detail"), F.lit(1).alias("unknown_column"))
+    path = new_path(spark, "run-log")
+    for part in (F.col("source_platform") == "src_0", F.col("source_platform") != "src_0"):
+        upsert.append_run_log(rows.filter(part), path)
+    return upsert.read_run_log(spark, path)
+
+
+@query(_LOG_SQL + " SELECT source_platform, strftime(started_at, '%Y-%m-%d %H:%M:%S') AS time, status, parsed, rejected AS err, round(missing_ratio * 100, 1) AS missing, round((epoch_ms(finished_at) - epoch_ms(started_at)) / 1000.0::DOUBLE, 1) AS seconds, 300 AS detail_length FROM l")
+def run_log_rows(spark, sf_dir):
+    """Every run as the log shows it."""
+    return quality.log_rows(_log(spark, sf_dir)).select(F.col("source").alias("source_platform"), "time", "status", "parsed", "err", "missing", "seconds", F.char_length("detail").alias("detail_length"))
+
+
+@query(_LOG_SQL + " SELECT source_platform, run, round((epoch_ms(finished_at) - epoch_ms(started_at)) / 1000.0::DOUBLE, 2) AS elapsed FROM l ORDER BY started_at DESC, source_platform LIMIT 20")
+def recent_runs(spark, sf_dir):
+    """The newest 20 runs with their elapsed seconds."""
+    found = upsert.recent_runs(_log(spark, sf_dir))
+    return found.select("source_platform", F.date_format("started_at", "yyyy-MM").alias("run"), numbers.seconds_between("started_at", "finished_at").alias("elapsed"))
+
+
+@query(_RUN_SQL + f"SELECT source_platform, count(*) FILTER (action = 'insert') AS inserted, count(*) FILTER (action = 'update') AS updated FROM (SELECT coalesce(n.source_platform, o.source_platform) AS source_platform, {_ACTION_SQL} FROM o FULL JOIN w n ON o.vehicle_key = n.vehicle_key) GROUP BY 1")
+def merge_counters(spark, sf_dir):
+    """What the last run did to each platform's rows."""
+    return quality.merge_counters(upsert.merge(*_before_and_last(spark, sf_dir)), ["source_platform"])
+
+
 @query(_RUNS_SQL + " SELECT source_platform, run, e.event FROM s, (VALUES ('schema_drift'), ('source_failed'), ('compliance_blocked')) e(event) WHERE (event = 'schema_drift' AND missing_ratio > 0.3) OR (event = 'source_failed' AND status = 'failed') OR (event = 'compliance_blocked' AND blocked)")
 def alerts(spark, sf_dir):
     return quality.alerts(_runs(spark, sf_dir)).select("source_platform", "run", "event")
@@ -456,6 +596,8 @@ _YUAN = "TRY_CAST(nullif(regexp_extract(price_raw, '^([0-9]+)元', 1), '') AS BI
 _SAID = {
     "price": (f"coalesce(TRY_CAST(nullif(regexp_extract(price_raw, '^([0-9.]+)万', 1), '') AS DOUBLE), ({_YUAN} // 100 + CASE WHEN {_YUAN} % 100 > 50 OR ({_YUAN} % 100 = 50 AND {_YUAN} // 100 % 2 = 1) THEN 1 ELSE 0 END) / 100.0::DOUBLE)", "price_wan"),
     "mileage": ("coalesce(CAST(trunc(TRY_CAST(nullif(regexp_extract(mileage_raw, '^([0-9.]+)万', 1), '') AS DOUBLE) * 10000) AS BIGINT), TRY_CAST(nullif(regexp_extract(mileage_raw, '^([0-9]+)公里', 1), '') AS BIGINT))", "mileage_km"),
+    "guide": ("(" + _YUAN.replace("price_raw", "new_car_price_raw") + " // 100 + CASE WHEN " + _YUAN.replace("price_raw", "new_car_price_raw") + " % 100 > 50 OR (" + _YUAN.replace("price_raw", "new_car_price_raw") + " % 100 = 50 AND " + _YUAN.replace("price_raw", "new_car_price_raw") + " // 100 % 2 = 1) THEN 1 ELSE 0 END) / 100.0::DOUBLE", "new_car_price_wan"),
+    "month": (r"TRY_CAST(nullif(regexp_extract(reg_date_raw, '^\d{4}年(\d{1,2})月', 1), '') AS INTEGER)", "reg_month"),
     "year": (r"TRY_CAST(nullif(regexp_extract(reg_date_raw, '^(\d{4})[年款]', 1), '') AS INTEGER)", "reg_year"),
     "brand": (_brand(f"({_txt('brand_raw')})"), "brand"),
 }
@@ -465,9 +607,19 @@ _SAID_SQL = ", said AS (SELECT source_platform, source_id, part_no, supp_no, ask
 @query(_SAID_SQL + " UNION ALL ".join(f"SELECT '{f}' AS field, count(*) AS n FROM met WHERE said_{f} IS NOT NULL AND said_{f} IS DISTINCT FROM {c} HAVING count(*) > 0" for f, (_, c) in _SAID.items()))
 def reconcile(spark, sf_dir):
     """Mismatches by field: prices under 1000 yuan, which the price rule reads as 10 000 yuan, and 0万, which it drops. Rows are matched on a key of all that tells them apart."""
-    raw = listings_raw(spark, sf_dir)
+    return quality.reconcile(*_clean_and_raw(spark, sf_dir), "k").groupBy("field").agg(F.count("*").alias("n"))
+
+
+def _clean_and_raw(spark, sf_dir):
     key = F.md5(keys.fingerprint("source_platform", "source_id", "part_no", "supp_no", "asked").cast("binary"))
-    return quality.reconcile(normalized(spark, sf_dir).withColumn("k", key), raw.withColumn("k", key), "k").groupBy("field").agg(F.count("*").alias("n"))
+    return validated_table(spark, sf_dir).withColumn("k", key), listings_raw(spark, sf_dir).withColumn("k", key)
+
+
+@query(_SAID_SQL + f", bad AS (SELECT {' + '.join(f'CAST(said_{f} IS NOT NULL AND said_{f} IS DISTINCT FROM {c} AS INTEGER)' for f, (_, c) in _SAID.items())} AS n FROM met WHERE asked < 50000) SELECT (SELECT count(*) FROM bad) AS checked, (SELECT count(*) FROM m WHERE asked >= 50000) AS missing_raw, CAST((SELECT sum(n) FROM bad) AS BIGINT) AS mismatches")
+def reconcile_counts(spark, sf_dir):
+    """Clean rows checked, those whose raw text is not there (here: of the dearest), and mismatches."""
+    clean, raw = _clean_and_raw(spark, sf_dir)
+    return quality.reconcile_counts(clean, raw.filter("asked < 50000"), "k")
 
 
 @query("SELECT line, status AS last_status, strftime(started_at, '%Y-%m') AS last_run FROM (SELECT source_platform AS line, CASE WHEN count(*) % 2 = 0 THEN 'success' ELSE 'partial' END AS status, date_trunc('month', fetched_at) AS started_at, row_number() OVER (PARTITION BY source_platform ORDER BY date_trunc('month', fetched_at) DESC) AS place FROM lr GROUP BY source_platform, date_trunc('month', fetched_at)) WHERE place = 1")

@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
+
+from .store import spread
 
 #: One SELECT that Spark and DuckDB read alike;
 LISTINGS_SQL = """
@@ -39,8 +40,16 @@ FROM lineitem JOIN part ON l_partkey = p_partkey JOIN supplier ON l_suppkey = s_
 LAST = ["fetched_at", "part_no", "supp_no", "asked"]
 
 
+TABLES = ("lineitem", "part", "supplier", "nation")
+
+
 def listings_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
-    tables = {t: spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in ("lineitem", "part", "supplier", "nation")}
+    tables = {t: spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in TABLES}
+    return listings_of(spark, **tables | {"lineitem": spread(tables["lineitem"])})
+
+
+def listings_of(spark: SparkSession, **tables: DataFrame) -> DataFrame:
+    """The listings of tables under these names (one may be a stream)."""
     text = LISTINGS_SQL
     for t in tables:
         text = text.replace(f"FROM {t} ", f"FROM {{{t}}} ").replace(f"JOIN {t} ", f"JOIN {{{t}}} ")

@@ -2,9 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -12,7 +9,8 @@ from ..operators import frontier, normalize, upsert
 from ..sources import cards, detail, pages
 from ..streaming import jobs
 from .catalog import AS_OF, doubles, query
-from .listings import LAST, LISTINGS_SQL, listings_raw
+from .listings import LAST, TABLES, listings_of, listings_raw
+from .store import new_path
 
 
 def _pages(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -34,6 +32,25 @@ def page_classes(spark, sf_dir):
     return p.select("page_id", pages.response_class("status").alias("class"), pages.is_blocked("status", "html").alias("blocked"), pages.is_shell("html").alias("shell"), pages.is_detail_page("html").alias("detail"))
 
 
+#: Pages of every kind made of one table: a detail page, one too short, one with a shell's head, one without front matter, one without a price.
+_KINDS = """concat(CASE k % 5 WHEN 2 THEN '---\n<html lang=x>\n' WHEN 3 THEN 'title: x\n' ELSE '---\n' END, 'title: t', CAST(k AS string), '\nsource: https://cars.example.org/', CAST(k AS string), '\n---\nid:', CAST(k AS string), '\n', CASE WHEN k % 5 = 4 THEN 'price' ELSE 'full_payment' END, CASE WHEN k % 7 = 0 THEN ':-\n' ELSE ':9万\n' END, CASE WHEN k % 5 = 1 THEN '' ELSE repeat('filler words ', 20) END)"""
+
+
+@query("SELECT p_partkey AS k, p_partkey % 5 = 0 AS detail FROM part", base=False)
+def detail_contract(spark, sf_dir):
+    """Which pages are detail pages."""
+    made = spark.read.parquet(f"{sf_dir}/part.parquet").select(F.col("p_partkey").alias("k"))
+    return made.withColumn("body", F.expr(_KINDS)).select("k", pages.is_detail_page("body").alias("detail"))
+
+
+@query("SELECT p_partkey AS k, 'https://cars.example.org/' || p_partkey AS url, 'parse' AS stage, CASE WHEN p_partkey % 5 != 0 THEN 'not a detail page' ELSE 'no price_raw' END AS reason FROM part WHERE p_partkey % 5 != 0 OR p_partkey % 7 = 0", base=False)
+def detail_errors(spark, sf_dir):
+    """The error table of detail pages: contract first, then the shape of the record."""
+    made = spark.read.parquet(f"{sf_dir}/part.parquet").select(F.col("p_partkey").alias("k"))
+    _, errors = detail.parse_detail_pages(made.select(F.col("k").cast("string").alias("raw_ref"), F.expr(_KINDS).alias("body")), "src")
+    return errors.select(F.col("raw_ref").cast("bigint").alias("k"), "url", "stage", "reason")
+
+
 @query("SELECT page_id, substr(md5(url || substr(html, 1, 2048)), 1, 16) AS id, md5(html) AS content_md5, CAST(length(html) AS INTEGER) AS size FROM pages", base=False)
 def page_store(spark, sf_dir):
     return pages.with_page_id(_pages(spark, sf_dir).select(F.col("page_id").alias("n"), "url", F.col("html").alias("body"))).select(F.col("n").alias("page_id"), F.col("page_id").alias("id"), "content_md5", "size")
@@ -44,14 +61,13 @@ def url_ids(spark, sf_dir):
     return _pages(spark, sf_dir).select("page_id", pages.source_id_of_url("url").alias("source_id"), pages.detail_id("url").alias("detail_id"))
 
 
-def _menu_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _menu_sources(spark: SparkSession) -> DataFrame:
     """A description of how menus on the pages read as cards."""
-    found = spark.read.parquet(f"{sf_dir}/region.parquet").filter("r_regionkey = 0")
-    return found.select(F.lit("menu").alias("key"), F.lit("https://www.example.org").alias("base_url"), F.create_map(*map(F.lit, ("card", "nav > ul > li", "title", "a", "link", "a::attr(href)", "mileage", "li > a"))).alias("selectors"))
+    return spark.range(1).select(F.lit("menu").alias("key"), F.lit("https://www.example.org").alias("base_url"), F.create_map(*map(F.lit, ("card", "nav > ul > li", "title", "a", "link", "a::attr(href)", "mileage", "li > a"))).alias("selectors"))
 
 
 def _cards(spark, sf_dir):
-    return cards.extract_cards(_pages(spark, sf_dir).withColumn("source", F.lit("menu")), _menu_sources(spark, sf_dir))
+    return cards.extract_cards(_pages(spark, sf_dir).withColumn("source", F.lit("menu")), _menu_sources(spark))
 
 
 @query(r"""SELECT page_id, CAST(o AS INTEGER) AS ord, regexp_extract(m, '">([^<]*)<', 1) AS title_raw, 'https://www.example.org' || regexp_extract(m, 'href="([^"]*)"', 1) AS detail_url
@@ -65,7 +81,9 @@ def card_errors(spark, sf_dir):
     return _cards(spark, sf_dir)[1].agg(F.count("*").alias("n"))
 
 
-@query()
+@query(r"""WITH c AS (SELECT sum(len(regexp_extract_all(regexp_extract(html, '<nav><ul>(.*?)</ul></nav>', 1), '<li><a href="[^"]*">[^<]+</a></li>'))) AS n FROM pages)
+  SELECT 'menu' AS source, field, CAST(CASE WHEN field IN ('title_raw', 'mileage_raw') THEN n ELSE 0 END AS BIGINT) AS hits, field = 'price_raw' AS missing
+  FROM c, (VALUES ('title_raw'), ('price_raw'), ('new_car_price_raw'), ('reg_date_raw'), ('mileage_raw'), ('city_raw'), ('battery_raw'), ('battery_health_raw'), ('fast_charge_raw'), ('displacement_raw'), ('gearbox_raw'), ('emission_raw'), ('range_raw')) f(field)""", base=False)
 def card_hits(spark, sf_dir):
     return cards.card_hits(_cards(spark, sf_dir)[0], ["title_raw", "price_raw"])
 
@@ -130,12 +148,14 @@ def sitemap_urls(spark, sf_dir):
     return frontier.sitemap_urls(_maps(_pages(spark, sf_dir)))
 
 
-@query("SELECT 'https://m.example.org/' || page_id // 50 AS child, CAST(page_id // 50 AS INTEGER) AS place, CAST(row_number() OVER (PARTITION BY page_id // 50 ORDER BY page_id) - 1 AS INTEGER) AS ord, url, '2024-01-0' || (page_id % 9 + 1) AS lastmod FROM pages WHERE page_id // 50 < 3", base=False)
+@query("SELECT 'https://m.example.org/' || page_id // 50 AS child, CAST(page_id // 50 % 50000 AS INTEGER) AS place, CAST(row_number() OVER (PARTITION BY page_id // 50 ORDER BY page_id) - 1 AS INTEGER) AS ord, url, '2024-01-0' || (page_id % 9 + 1) AS lastmod FROM pages", base=False)
 def sitemap_walk(spark, sf_dir):
     maps = _maps(_pages(spark, sf_dir))
-    names = maps.agg(F.array_sort(F.collect_list(F.regexp_extract("map_url", r"(\d+)$", 1).cast("int"))).alias("n"))  # the index itself: one text
-    index = names.select(F.lit("https://m.example.org/index").alias("map_url"), F.concat(F.lit("<sitemapindex>"), F.array_join(F.transform("n", lambda i: F.concat(F.lit("<sitemap><loc>https://m.example.org/"), i.cast("string"), F.lit("</loc></sitemap>"))), ""), F.lit("</sitemapindex>")).alias("xml"))
-    return frontier.sitemap_walk(index, maps, child_limit=3)
+    number = F.regexp_extract("map_url", r"(\d+)$", 1).cast("int")
+    # index maps hold at most as many maps as their standard allows
+    names = maps.groupBy(F.expr("cast(regexp_extract(map_url, '(\\\\d+)$', 1) as int) div 50000").alias("no")).agg(F.array_sort(F.collect_list(number)).alias("n"))
+    index = names.select(F.concat(F.lit("https://m.example.org/index"), F.col("no").cast("string")).alias("map_url"), F.concat(F.lit("<sitemapindex>"), F.array_join(F.transform("n", lambda i: F.concat(F.lit("<sitemap><loc>https://m.example.org/"), i.cast("string"), F.lit("</loc></sitemap>"))), ""), F.lit("</sitemapindex>")).alias("xml"))
+    return frontier.sitemap_walk(index, maps, child_limit=None)
 
 
 @query("WITH p AS (SELECT page_id, page_id // 50 AS map, row_number() OVER (PARTITION BY page_id // 50 ORDER BY page_id) - 1 AS pos, count(*) OVER (PARTITION BY page_id // 50) AS n FROM pages) SELECT page_id, map FROM p WHERE n <= 7 OR pos IN (SELECT CAST(floor(i * (p.n::DOUBLE / 7)) AS BIGINT) FROM range(7) r(i))", base=False)
@@ -185,6 +205,13 @@ def compliance_verdict(spark, sf_dir):
     return _sources(spark, sf_dir).select("key", frontier.verdict().alias("verdict"))
 
 
+@query("SELECT s_name AS key, t.task, l.line FROM supplier, (VALUES ('ev'), ('all'), ('fuel')) t(task), (VALUES ('ev'), ('fuel')) l(line) WHERE CASE WHEN t.task IN ('ev', 'fuel') THEN t.task ELSE ['ev', 'fuel', 'both'][s_suppkey % 3 + 1] END IN (l.line, 'both')", base=False)
+def target_lines(spark, sf_dir):
+    """The lines that a task works on, by source."""
+    tasks = _sources(spark, sf_dir).select("key", "line", F.explode(F.array(*map(F.lit, ("ev", "all", "fuel")))).alias("task"))
+    return tasks.select("key", "task", F.explode(frontier.target_lines("task", "line")).alias("line"))
+
+
 @query("SELECT s_name AS key FROM supplier WHERE s_suppkey % 7 != 0 AND s_suppkey % 5 != 0 AND s_suppkey % 4 != 0 AND s_suppkey % 3 != 1", base=False)
 def source_selection(spark, sf_dir):
     return frontier.select_sources(_sources(spark, sf_dir), "ev").select("key")
@@ -198,14 +225,6 @@ def page_urls(spark, sf_dir):
 # ---- streams -------------------------------------------------------------------------------------------------------------------
 
 
-def _scratch(spark: SparkSession) -> str:
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if not folder:
-        folder = tempfile.mkdtemp(prefix="forecourt-")
-        spark.conf.set("spark.checkpoint.dir", folder)
-    return f"{folder.rstrip('/')}/forecourt/stream-{uuid.uuid4().hex}"
-
-
 def _stream(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     schema = spark.read.parquet(f"{sf_dir}/{table}.parquet").schema
     return spark.readStream.schema(schema).option("pathGlobFilter", f"{table}.parquet").parquet(sf_dir)
@@ -213,16 +232,12 @@ def _stream(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
 
 def _listings_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The listings with their order lines as a stream, other tables as they are."""
-    tables = {t: spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in ("part", "supplier", "nation")} | {"lineitem": _stream(spark, sf_dir, "lineitem")}
-    sql = LISTINGS_SQL
-    for t in tables:
-        sql = sql.replace(f"FROM {t} ", f"FROM {{{t}}} ").replace(f"JOIN {t} ", f"JOIN {{{t}}} ")
-    return spark.sql(sql, **tables)
+    return listings_of(spark, **{t: _stream(spark, sf_dir, t) if t == "lineitem" else spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in TABLES})
 
 
 @query("SELECT vehicle_key, price_wan, CAST(0 AS INTEGER) AS missing_count, false AS is_deleted FROM t")
 def stream_replay(spark, sf_dir):
-    base, stream = _scratch(spark), _listings_stream(spark, sf_dir)
+    base, stream = new_path(spark, "stream"), _listings_stream(spark, sf_dir)
     sample = upsert.prepare(normalize.normalize(stream, AS_OF, keep=LAST), F.col("fetched_at")).drop(*LAST)
     snapshots = upsert.Snapshots(spark, f"{base}/table", sample.schema)
     jobs.replay(stream, snapshots, f"{base}/checkpoint", AS_OF, LAST).awaitTermination()
@@ -231,15 +246,21 @@ def stream_replay(spark, sf_dir):
 
 @query("SELECT DISTINCT user_id FROM events WHERE user_id IS NOT NULL", base=False)
 def stream_dedupe(spark, sf_dir):
-    base = _scratch(spark)
+    base = new_path(spark, "stream")
     first = jobs.first_seen(_stream(spark, sf_dir, "events").filter("user_id is not null"), "user_id", "ts", "3650 days").select("user_id", "ts")
     jobs.write_each(first, lambda n: f"{base}/out/batch={n}", f"{base}/checkpoint", "append").awaitTermination()
     return spark.read.schema("user_id long").option("recursiveFileLookup", True).parquet(f"{base}/out").select("user_id")
 
 
-@query("SELECT strftime(fetched_at, '%Y-%m-%d') AS day, source_platform, count(*) AS n, round(avg(CASE WHEN mileage_raw IS NULL OR mileage_raw = '' THEN 1.0::DOUBLE ELSE 0 END), 4) AS mileage_raw, round(avg(CASE WHEN emission_raw IS NULL OR emission_raw = '' THEN 1.0::DOUBLE ELSE 0 END), 4) AS emission_raw, CASE WHEN round(avg(CASE WHEN mileage_raw IS NULL OR mileage_raw = '' THEN 1.0::DOUBLE ELSE 0 END), 4) > 0.3 THEN 'mileage_raw' ELSE '' END AS drifting FROM lr GROUP BY 1, 2")
+_SHARE = "round(avg(CASE WHEN {0} IS NULL OR {0} = '' THEN 1.0::DOUBLE ELSE 0 END), 4)"
+_DRIFT_SQL = f"SELECT strftime(fetched_at, '%Y-%m-%d') AS day, source_platform, count(*) AS n, {_SHARE.format('mileage_raw')} AS mileage_raw, {_SHARE.format('emission_raw')} AS emission_raw, CASE WHEN {_SHARE.format('mileage_raw')} > 0.3 THEN 'mileage_raw' ELSE '' END AS drifting FROM lr"
+
+
+@query(_DRIFT_SQL + " WHERE fetched_at < (SELECT max(fetched_at) FROM lr) - INTERVAL 2 DAY GROUP BY 1, 2")
 def stream_drift(spark, sf_dir):
-    base = _scratch(spark)
+    """Windows that the watermark has closed, each once; state of closed windows goes."""
+    base = new_path(spark, "stream")
     found = jobs.drift(_listings_stream(spark, sf_dir), ["mileage_raw", "emission_raw"], "source_platform", "fetched_at", "1 day", "2 days")
-    jobs.write_each(found, lambda n: f"{base}/out", f"{base}/checkpoint", "complete").awaitTermination()
-    return spark.read.schema(found.schema).parquet(f"{base}/out").select(F.date_format("start", "yyyy-MM-dd").alias("day"), "source_platform", "n", "mileage_raw", "emission_raw", "drifting")
+    jobs.write_each(found, lambda n: f"{base}/out/batch={n}", f"{base}/checkpoint", "append").awaitTermination()
+    rows = spark.read.schema(found.schema).option("recursiveFileLookup", True).parquet(f"{base}/out")
+    return rows.select(F.date_format("start", "yyyy-MM-dd").alias("day"), "source_platform", "n", "mileage_raw", "emission_raw", "drifting")

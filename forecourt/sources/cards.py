@@ -15,6 +15,9 @@ from ..functions.text import relative_url
 from .pages import source_id_of_url
 
 _VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
+_BLOCKS = "address article aside blockquote div dl fieldset footer form h1 h2 h3 h4 h5 h6 header hr main nav ol p pre section table ul".split()
+#: Start tag -> open elements that it ends.
+_CLOSED_BY = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"), "th": ("td", "th"), "option": ("option",)} | {b: ("p",) for b in _BLOCKS}
 _PART = re.compile(r"""([\w*]+)?((?:\.[\w-]+|\[class\*=['"]?[^'"\]]+['"]?\])*)""")
 
 
@@ -25,14 +28,22 @@ class _Node:
         self.tag, self.attrs, self.parent, self.children, self.texts = tag, attrs, parent, [], []
 
     def walk(self):
-        for child in self.children:
-            if isinstance(child, _Node):
-                yield child
-                yield from child.walk()
+        """Descendants in document order; a stack instead of recursion, as broken pages nest without bound."""
+        left = [c for c in reversed(self.children) if isinstance(c, _Node)]
+        while left:
+            node = left.pop()
+            yield node
+            left.extend(c for c in reversed(node.children) if isinstance(c, _Node))
 
     def text(self) -> str:
-        parts = [c.text() if isinstance(c, _Node) else c for c in self.children]
-        return re.sub(r"\s+", " ", " ".join(parts) if len(parts) > 1 else "".join(parts)).strip()
+        left, parts = list(reversed(self.children)), []
+        while left:
+            part = left.pop()
+            if isinstance(part, _Node):
+                left.extend(reversed(part.children))
+            else:
+                parts.append(part)
+        return re.sub(r"\s+", " ", " ".join(parts)).strip()
 
 
 class _Tree(HTMLParser):
@@ -41,6 +52,8 @@ class _Tree(HTMLParser):
         self.root = self.at = _Node("", {}, None)
 
     def handle_starttag(self, tag, attrs):
+        if self.at.tag in _CLOSED_BY.get(tag, ()):  # an end tag that HTML lets out
+            self.at = self.at.parent
         node = _Node(tag, dict(attrs), self.at)
         self.at.children.append(node)
         if tag not in _VOID:
@@ -106,10 +119,13 @@ def extract_cards(pages: DataFrame, sources: DataFrame) -> tuple[DataFrame, Data
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         import json
 
+        parsed: dict[str, dict] = {}  # one entry for each source
         for batch in batches:
             rows = []
             for page_id, source, base, selectors, html in batch.itertuples(index=False):
-                by, tree = json.loads(selectors), _Tree()
+                if selectors not in parsed:
+                    parsed[selectors] = json.loads(selectors)
+                by, tree = parsed[selectors], _Tree()
                 tree.feed(html or "")
                 cards = [c for c in select(tree.root, by.get("card") or "") if first_text(c, by.get("title"))] if by.get("card") else []
                 for ord_, card in enumerate(cards):
