@@ -19,7 +19,7 @@ def _unescape(c: Column) -> Column:
 
 def read_sitemaps(spark: SparkSession, path: str) -> DataFrame:
     """map_url (the file's path), xml of every file under path; those that end in .gz are opened."""
-    files = spark.read.option("wholetext", True).option("recursiveFileLookup", True).text(path)
+    files = spark.read.text(path, wholetext=True, recursiveFileLookup=True)
     return files.select(F.col("_metadata.file_path").alias("map_url"), F.col("value").alias("xml"))
 
 
