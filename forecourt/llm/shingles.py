@@ -53,7 +53,7 @@ def shingle_hashes(words: np.ndarray, counts: np.ndarray, n: int = 5) -> tuple[n
     whole = (left >= n) | (np.arange(len(words)) == np.repeat(first, counts))
     with np.errstate(over="ignore"):
         total, power = np.zeros(len(words), np.uint64), _Q
-        for k in range(n):
+        for k in range(min(n, len(words))):
             part = words[k:] * power
             total[: len(words) - k] += np.where(left[: len(words) - k] > k, part, _U(0))
             power = power * _Q
