@@ -95,6 +95,7 @@ class Model:
     def __post_init__(self):
         self.number = {t: i for i, t in enumerate(self.weights)}
         self.weight = np.array(list(self.weights.values()), float)
+        self.weights = {}  # held once
 
     def vectors(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(text, term, value) of TF-IDF, (1 + log tf) * weight, of unit length; nothing where a text has no term. Terms
@@ -236,6 +237,7 @@ def learn(docs: DataFrame, labels: DataFrame, learned, per_class: int = PER_CLAS
     relevance = vocabulary(sample)
     counts, n = document_counts(docs, relevance)
     model = Model({t: float(np.log((1 + n) / (1 + c)) + 1) * (FLOOR + relevance[t]) for t, c in counts.items()})
+    del counts, relevance
     sizes = {r[0]: r[1] for r in labels.filter(learned & F.col("toxic").isin(0, 1)).groupBy(F.col("toxic").cast("int")).count().collect()}
     drawn = {r[0]: r[1] for r in sample.groupBy("label").count().collect()}
     whole = max(sum(sizes.values()), 1)
