@@ -16,9 +16,14 @@ def replay(raw: DataFrame, snapshots: upsert.Snapshots, checkpoint: str, as_of:
     its own run id, so a batch done again after a failure changes nothing. Unseen rows age by batch."""
 
     def step(batch: DataFrame, number: int) -> None:
+        cores = batch.sparkSession.sparkContext.defaultParallelism
+        if batch.rdd.getNumPartitions() < cores:  # a few new files: deal their rows out
+            batch = batch.repartition(cores)
         clean = normalize.accepted(normalize.validate(normalize.normalize(batch, as_of, keep=list(order))))
-        last = normalize.dedupe_last(clean, "vehicle_key", order)
-        snapshots.apply(upsert.prepare(last, F.col("fetched_at")).select(snapshots.schema.names), f"batch{number:09d}", **options)
+        # asked for its emptiness and then merged: cleaned once
+        last = upsert.prepare(normalize.dedupe_last(clean, "vehicle_key", order), F.col("fetched_at")).select(snapshots.schema.names).persist()
+        snapshots.apply(last, f"batch{number:09d}", **options)
+        last.unpersist()
 
     return raw.writeStream.foreachBatch(step).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
