@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import ann, decontaminate, language_id, license_scan, line_dedup, mixing, near_dedup, quality, token_counts, toxicity
+from . import ann, decontaminate, language_id, license_scan, line_dedup, mixing, near_dedup, piece_codec, quality, token_counts, toxicity
 
 QUERIES = {
     "op1_language_id": language_id.op1_language_id,
@@ -15,6 +15,7 @@ QUERIES = {
     "op8_nearest_vectors": ann.op8_nearest_vectors,
     "op9_license_scan": license_scan.op9_license_scan,
     "op10_line_dedup": line_dedup.op10_line_dedup,
+    "op11_pieces": piece_codec.op11_pieces,
 }
 ORACLES = {
     "op2_mix_sources": mixing.ORACLE_SQL,
