@@ -235,8 +235,8 @@ def codec(path: str) -> PieceCodec:
 
 
 def _lists(arrays: list[np.ndarray]) -> pa.Array:
-    ends = np.cumsum([0, *map(len, arrays)])
-    return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate([*arrays, []]).astype(np.int32), pa.int32()))
+    ends = np.cumsum([0, *map(len, arrays)], dtype=np.int32)
+    return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate([np.zeros(0, np.int32), *arrays]), pa.int32()))
 
 
 def encode_documents(docs: DataFrame, model_path: str, end: bool = True, decoded: bool = False) -> DataFrame:
