@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import ann, decontaminate, language_id, license_scan, line_dedup, mixing, near_dedup, piece_codec, quality, token_counts, toxicity
+from . import ann, decontaminate, filter_audit, language_id, license_scan, line_dedup, merkle, mixing, near_dedup, piece_codec, quality, token_counts, toxicity
 
 QUERIES = {
     "op1_language_id": language_id.op1_language_id,
@@ -16,8 +16,12 @@ QUERIES = {
     "op9_license_scan": license_scan.op9_license_scan,
     "op10_line_dedup": line_dedup.op10_line_dedup,
     "op11_pieces": piece_codec.op11_pieces,
+    "op12_filter_audit": filter_audit.op12_filter_audit,
+    "op13_merkle": merkle.op13_merkle,
 }
 ORACLES = {
     "op2_mix_sources": mixing.ORACLE_SQL,
     "op10_line_dedup": line_dedup.ORACLE_SQL,
+    "op12_filter_audit": filter_audit.ORACLE_SQL,
+    "op13_merkle": merkle.ORACLE_SQL,
 }
