@@ -62,14 +62,22 @@ def dedupe_urls(rows: DataFrame, order: list[str]) -> DataFrame:
 
 def apply_rules(urls: DataFrame, rules: DataFrame, agent: str = "*", open_without_rules: bool = True) -> DataFrame:
     """urls(url, ...) with ``allowed``: the first rule (by ord) of the URL's host whose prefix starts its path decides. No such rule: allowed;
-    a host without rules at all: as ``open_without_rules`` says; other schemes than HTTP pass. The rules are joined by host and
-    pre-aggregated to one array a host."""
-    by_host = rules.filter(F.col("agent") == agent).groupBy("host").agg(F.array_sort(F.collect_list(F.struct("ord", "prefix", "allow"))).alias("_rules"))
-    path = F.coalesce(F.nullif(F.regexp_extract("url", r"^[a-z]+://[^/?#]*([^?#]*)", 1), F.lit("")), F.lit("/"))
-    rows = urls.withColumn("host", F.nullif(F.regexp_extract("url", r"^https?://([^/?#]+)", 1), F.lit(""))).join(by_host, "host", "left")
-    first = F.get(F.filter("_rules", lambda r: path.startswith(r.prefix)), F.lit(0))
-    verdict = F.when(F.col("host").isNull(), True).when(F.col("_rules").isNull(), open_without_rules).otherwise(F.coalesce(first.allow, F.lit(True)))
-    return rows.withColumn("allowed", verdict).drop("_rules")
+    a host without rules at all: as ``open_without_rules`` says; other schemes than HTTP pass.
+
+    A URL's path is cut into its prefixes of the lengths that its host's rules have, and these meet the rules by host and prefix: a host of many
+    rules is many keys, and a URL meets only those that apply to it. The URLs' hosts and paths are judged once each.
+    """
+    own = rules.filter(F.col("agent") == agent)
+    # of one prefix the first rule decides; a host has at most as many lengths as its longest prefix has characters
+    by_prefix = own.groupBy("host", "prefix").agg(F.min(F.struct("ord", "allow")).alias("rule"))
+    lengths = own.groupBy("host").agg(F.collect_set(F.char_length("prefix")).alias("_lengths"))
+    rows = urls.withColumns({"host": F.nullif(F.regexp_extract("url", r"^https?://([^/?#]+)", 1), F.lit("")), "_path": F.coalesce(F.nullif(F.regexp_extract("url", r"^[a-z]+://[^/?#]*([^?#]*)", 1), F.lit("")), F.lit("/"))})
+    met = rows.filter("host is not null").select("host", "_path").distinct().join(lengths, "host")
+    cut = met.select("host", "_path", F.explode(F.filter("_lengths", lambda n: n <= F.char_length("_path"))).alias("_n")).select("host", "_path", F.expr("substring(_path, 1, _n)").alias("prefix"))
+    first = cut.join(by_prefix, ["host", "prefix"]).groupBy("host", "_path").agg(F.min("rule").alias("_rule"))
+    judged = rows.join(lengths.select("host", F.lit(True).alias("_known")), "host", "left").join(first, ["host", "_path"], "left")
+    verdict = F.when(F.col("host").isNull(), True).when(F.col("_known").isNull(), open_without_rules).otherwise(F.coalesce("_rule.allow", F.lit(True)))
+    return judged.withColumn("allowed", verdict).drop("_path", "_known", "_rule")
 
 
 def query_allowed(url: str, allow_query: str) -> Column:

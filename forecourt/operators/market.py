@@ -96,7 +96,7 @@ def brand_price_rank(table: DataFrame, least: int = 3, n: int = 10) -> DataFrame
 
 
 def brand_retention_rank(table: DataFrame, least: int = 2, n: int = 10) -> DataFrame:
-    rows = table.filter("brand is not null and brand != '' and retention_rate is not null")
+    rows = table.filter("brand is not null and brand != '' and retention_rate > 0")
     return rows.groupBy("brand").agg(mean(F.col("retention_rate") * 100, 2, 1).alias("retention_pct"), F.count("*").alias("n")).filter(F.col("n") >= least).orderBy(F.desc("retention_pct"), "brand").limit(n)
 
 
@@ -127,16 +127,19 @@ def class_counts(table: DataFrame, column: str) -> DataFrame:
 
 
 def range_price_points(ev: DataFrame) -> DataFrame:
-    return ev.filter("range_km is not null and price_wan is not null").select("vehicle_key", "range_km", _d("price_wan").alias("price"), "brand")
+    return ev.filter("range_km is not null and price_wan is not null").select("vehicle_key", "range_km", _d("price_wan").alias("price"), "brand", "model")
 
 
 def mean_and_count(table: DataFrame, column: str, scale: int, digits: int) -> DataFrame:
     return table.agg(mean(column, scale, digits).alias("avg"), F.count(column).alias("n"))
 
 
-def line_compare(table: DataFrame) -> DataFrame:
+def line_compare(table: DataFrame, as_of: str) -> DataFrame:
     """The lines and both together, side by side."""
-    return table.select("line", "price_wan", "retention_rate", "mileage_km", "brand").groupingSets([["line"], []], "line").agg(F.count("*").alias("n"), mean("price_wan", 2).alias("avg_price"), mean("retention_rate", 4).alias("avg_retention"), mean("mileage_km", 0, 1).alias("avg_mileage"), F.countDistinct("brand").alias("brands")).withColumn("line", F.coalesce("line", F.lit("all")))
+    rows = table.select("line", "price_wan", "retention_rate", "mileage_km", age_years("reg_year", "reg_month", as_of).alias("age"), _filled("brand").alias("brand"), _filled("location_city").alias("city"))
+    return rows.groupingSets([["line"], []], "line").agg(
+        F.count("*").alias("n"), mean("price_wan", 2).alias("avg_price"), mean("retention_rate", 4).alias("avg_retention"), mean("age", 1).alias("avg_age"), mean("mileage_km", 0, 1).alias("avg_mileage"),
+        F.countDistinct("brand").alias("brands"), F.countDistinct("city").alias("cities")).withColumn("line", F.coalesce("line", F.lit("all")))
 
 
 def cross_source_gap(table: DataFrame, n: int = 20) -> DataFrame:

@@ -81,9 +81,14 @@ def rejected(validated: DataFrame) -> DataFrame:
 
 
 def reject_samples(validated: DataFrame, by: Sequence[str], order: Sequence[str], n: int = 5) -> DataFrame:
-    """The first n rejects of each group with title and reason, and how many there are."""
-    w = Window.partitionBy(*by)
-    return rejected(validated).withColumn("place", F.row_number().over(w.orderBy(*order))).withColumn("rejects", F.count("*").over(w)).filter(F.col("place") <= n).select(*by, "place", "rejects", F.concat_ws(" -> ", "title_raw", F.array_join("violations", ",")).alias("sample"))
+    """The first n rejects of each group with title and reason, and how many there are. Each task keeps the first n of what it has of a
+    group before the shuffle, and the counts are added up apart, so no group is held anywhere."""
+    found = rejected(validated)
+    first = found.withColumn("place", F.row_number().over(Window.partitionBy(*by).orderBy(*order))).filter(F.col("place") <= n)
+    shown = first.select(*by, "place", F.concat_ws(" -> ", "title_raw", F.array_join("violations", ",")).alias("sample")).alias("s")
+    counts = found.groupBy(*by).agg(F.count("*").alias("rejects")).alias("c")
+    same = [F.col(f"s.{c}").eqNullSafe(F.col(f"c.{c}")) for c in by]
+    return shown.join(counts, same).select(*[f"s.{c}" for c in by], "place", "rejects", "sample")
 
 
 def dedupe_last(rows: DataFrame, key: str, order: Sequence[str], columns: Sequence[str] | None = None) -> DataFrame:

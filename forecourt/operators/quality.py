@@ -70,11 +70,22 @@ def alerts(runs: DataFrame, kinds: Sequence[str] = ("schema_drift", "source_fail
     return runs.withColumn("event", F.explode(raised)).filter(F.col("event").isin(*kinds))
 
 
-def volume_check(runs: DataFrame, day: str, by: str, jump: float = 0.3, dominance: float = 0.8) -> DataFrame:
-    """runs(day, by, n): change against the day before of the same group, share of the day's rows, and the flags of both."""
-    before = F.lag("n").over(Window.partitionBy(by).orderBy(day))
-    rows = runs.withColumn("change", F.round((F.col("n") - before) / before, 4)).withColumn("share", F.round(F.col("n") / F.sum("n").over(Window.partitionBy(day)), 4))
-    return rows.withColumn("jumped", F.coalesce(F.abs("change") > jump, F.lit(False))).withColumn("dominant", F.col("share") > dominance)
+def volume_check(counts: DataFrame, day: str, by: str, jump: float = 0.3, dominance: float = 0.8, failing: float = 0.1) -> DataFrame:
+    """counts(day, by, n, errors) -> for every day of the calendar between the first and the last, and every group: change against the day
+    before, share of the day's rows, share of errors, and the flags of the three. A day on which a group has no row counts as none,
+    so it is a drop; after such a day there is no change to give."""
+    bounds = counts.agg(F.min(day).alias("first"), F.max(day).alias("last")).filter(F.col("first").isNotNull())
+    # one row, the calendar's ends, goes to every group: as many rows come out as there are groups and days
+    groups = counts.select(by).distinct().withColumn("_one", F.lit(1)).join(F.broadcast(bounds.withColumn("_one", F.lit(1))), "_one")
+    spine = groups.select(by, F.explode(F.sequence("first", "last")).alias(day))
+    rows = spine.join(counts, [day, by], "left").select(day, by, *[F.coalesce(c, F.lit(0)).alias(c) for c in ("n", "errors")])
+    none = F.lit(0)
+    before = F.nullif(F.lag("n").over(Window.partitionBy(by).orderBy(day)), none)
+    rows = rows.withColumns({
+        "change": F.round((F.col("n") - before) / before, 4), "share": F.round(F.col("n") / F.nullif(F.sum("n").over(Window.partitionBy(day)), none), 4), "error_share": F.round(F.col("errors") / F.nullif(F.col("n"), none), 4),
+    })
+    flag = lambda c: F.coalesce(c, F.lit(False))
+    return rows.withColumns({"jumped": flag(F.abs("change") > jump), "dominant": flag(F.col("share") > dominance), "failing": flag(F.col("error_share") > failing)})
 
 
 def reconcile(clean: DataFrame, raw: DataFrame, key: str) -> DataFrame:

@@ -1,4 +1,4 @@
-"""Snapshots of the listing table: merge of a run, lifecycle of what a run did not see, versions on disk."""
+"""Merge of a run into a snapshot, lifecycle of what a run did not see, and the run log."""
 
 from __future__ import annotations
 
@@ -21,11 +21,12 @@ def prepare(clean: DataFrame, run_start) -> DataFrame:
     })
 
 
-def merge(current: DataFrame, batch: DataFrame, key: str = "vehicle_key", delete_after: int = 3, scope: Sequence[str] = (), ran: bool | None = None) -> DataFrame:
+def merge(current: DataFrame, batch: DataFrame, key: str = "vehicle_key", delete_after: int = 3, scope: Sequence[str] = ("line",), ran: bool | None = None) -> DataFrame:
     """current snapshot and prepared batch (one row a key each) -> new snapshot with ``action``: insert, update, keep, delete.
 
     Rows of the batch replace those of the snapshot. Every other row has been missed once more, and is marked
-    deleted from ``delete_after`` on; with ``scope`` (say, source_platform) only where the batch holds the same values.
+    deleted from ``delete_after`` on, if the batch holds a row with the same values of ``scope``: a run of one line leaves the other as it is.
+    Without a scope every row not seen is aged.
     An empty batch changes nothing; whether it is empty is asked of the batch unless the caller says so (``ran``). One full outer
     join on the key, both sides hash-partitioned alike.
     """
@@ -48,42 +49,6 @@ def split_upsert(batch: DataFrame, current: DataFrame, key: str = "vehicle_key")
     return batch.join(current.select(key), key, "left_anti"), batch.join(current.select(key), key, "left_semi")
 
 
-class Snapshots:
-    """Versions of one table under a folder: version=N of Parquet files, each written whole under a new number and never
-    overwritten while it is read. The newest complete version (it has its _SUCCESS file) is current; a run's id is stored with it, so
-    doing a run again changes nothing. Every run ages the rows it does not see, so a version is written whole; the ``keep`` newest
-    ones stay, older ones go once a newer one is complete."""
-
-    def __init__(self, spark: SparkSession, path: str, schema, keep: int = 5):
-        self.spark, self.path, self.schema, self.keep = spark, path.rstrip("/"), schema, keep
-
-    def _versions(self) -> list[tuple[int, str]]:
-        jvm = self.spark.sparkContext._jvm
-        root = jvm.org.apache.hadoop.fs.Path(self.path)
-        fs = root.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
-        if not fs.exists(root):
-            return []
-        names = [s.getPath().getName() for s in fs.listStatus(root) if fs.exists(jvm.org.apache.hadoop.fs.Path(s.getPath(), "_SUCCESS"))]
-        return sorted((int(n.split("-")[0].removeprefix("version=")), n) for n in names)
-
-    def read(self) -> DataFrame:
-        found = self._versions()
-        return self.spark.read.schema(self.schema).parquet(f"{self.path}/{found[-1][1]}") if found else self.spark.createDataFrame([], self.schema)
-
-    def has_run(self, run_id: str) -> bool:
-        return any(n.endswith(f"-run={run_id}") for _, n in self._versions())
-
-    def apply(self, batch: DataFrame, run_id: str, **options) -> None:
-        if self.has_run(run_id):
-            return
-        found = self._versions()
-        number = found[-1][0] + 1 if found else 1
-        merge(self.read(), batch, **options).drop("action").sortWithinPartitions("vehicle_key").write.mode("overwrite").parquet(f"{self.path}/version={number:06d}-run={run_id}")
-        for _, name in found[: max(0, len(found) + 1 - self.keep)]:
-            old = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{self.path}/{name}")
-            old.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(old, True)
-
-
 RUN_LOG = ("run_id string, business_line string, source_platform string, task_type string, status string, pages_fetched int, fetched_count int, parsed_count int, inserted_count int, updated_count int, dup_count int, "
     "error_count int, missing_ratio decimal(6,4), error_detail string, started_at timestamp, finished_at timestamp")
 

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import classify, keys, numbers, text
-from ..operators import market, normalize, quality, read, upsert
+from ..operators import ledger, market, normalize, quality, read, upsert
 from .listings import LAST, LISTINGS_SQL, TABLES, listings_raw
 from .store import new_path, written
 
@@ -45,6 +45,11 @@ def market_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     return written(spark, "listings", _inputs(sf_dir), lambda: _last(spark, sf_dir))
 
 
+def live_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rows that market figures are made of: those not deleted."""
+    return market_table(spark, sf_dir).filter("not is_deleted")
+
+
 def of_line(table: DataFrame, line: str) -> DataFrame:
     return table.filter(F.col("line") == line)
 
@@ -120,7 +125,8 @@ v AS (SELECT *, concat_ws(',', CASE WHEN price_wan IS NULL OR price_wan <= 0 THE
   CASE WHEN transfer_count NOT BETWEEN 0 AND 30 THEN 'transfer_count' END, CASE WHEN reg_month NOT BETWEEN 1 AND 12 THEN 'reg_month' END, CASE WHEN fast_charge_kw NOT BETWEEN 0 AND 1000 THEN 'fast_charge_kw' END, CASE WHEN range_km NOT BETWEEN 0 AND 2000 THEN 'range_km' END,
   CASE WHEN NOT (battery_health > 0 AND battery_health <= 100) THEN 'battery_health' END, CASE WHEN displacement_l NOT BETWEEN 0.6 AND 8.0 THEN 'displacement_l' END) AS violations FROM m),
 a AS (SELECT * FROM v WHERE violations = ''),
-t AS (SELECT *, fetched_at AS captured_at, year(fetched_at) = 1995 AS is_deleted FROM (SELECT *, row_number() OVER (PARTITION BY vehicle_key ORDER BY fetched_at DESC, part_no DESC, supp_no DESC, asked DESC) AS place FROM a WHERE vehicle_key IS NOT NULL) WHERE place = 1)
+t AS (SELECT *, fetched_at AS captured_at, year(fetched_at) = 1995 AS is_deleted FROM (SELECT *, row_number() OVER (PARTITION BY vehicle_key ORDER BY fetched_at DESC, part_no DESC, supp_no DESC, asked DESC) AS place FROM a WHERE vehicle_key IS NOT NULL) WHERE place = 1),
+live AS (SELECT * FROM t WHERE NOT is_deleted)
 """
 
 QUERIES: dict = {}
@@ -230,13 +236,25 @@ def _before_and_last(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataF
     return _batch(rows.filter(F.year("fetched_at") < last), last - 1), _batch(_in(rows, last), last)
 
 
-def _lifecycle(spark: SparkSession, sf_dir: str, delete_after: int) -> DataFrame:
-    """All runs one after the other, each a version of the snapshot."""
+def _run_table(spark: SparkSession, sf_dir: str, name: str, runs) -> ledger.RunTable:
+    """A new table with these runs: pairs of an id and prepared rows."""
+    table = ledger.RunTable(spark, new_path(spark, name), _batch(accepted(spark, sf_dir), 0).schema)
+    for run_id, batch in runs:
+        table.apply(batch, run_id)
+    return table
+
+
+def _lifecycle(spark: SparkSession, sf_dir: str) -> ledger.RunTable:
+    """All runs one after the other."""
     rows = accepted(spark, sf_dir)
-    table = upsert.Snapshots(spark, new_path(spark, "lifecycle"), _batch(rows, 0).schema, keep=2)
-    for year in _years(rows):
-        table.apply(_batch(_in(rows, year), year), str(year), delete_after=delete_after, ran=True)
-    return table.read()
+    return _run_table(spark, sf_dir, "lifecycle", ((str(y), _batch(_in(rows, y), y)) for y in _years(rows)))
+
+
+def _merged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The last run merged into the table of those before, which lies dealt out by key: only the run is shuffled."""
+    before, last = _before_and_last(spark, sf_dir)
+    table = _run_table(spark, sf_dir, "merged", [("before", before)])
+    return upsert.merge(table.read(), last)
 
 
 _LAST_FIRST = "ORDER BY fetched_at DESC, part_no DESC, supp_no DESC, asked DESC"
@@ -248,7 +266,7 @@ _ACTION_SQL = "CASE WHEN o.vehicle_key IS NULL THEN 'insert' WHEN n.vehicle_key
 
 @query(_RUN_SQL + f"SELECT coalesce(n.vehicle_key, o.vehicle_key) AS vehicle_key, CASE WHEN n.vehicle_key IS NULL THEN o.price_wan ELSE n.price_wan END AS price_wan, {_ACTION_SQL}, CAST(CASE WHEN n.vehicle_key IS NULL THEN 1 ELSE 0 END AS INTEGER) AS missing_count FROM o FULL JOIN w n ON o.vehicle_key = n.vehicle_key")
 def upsert_merge(spark, sf_dir):
-    return doubles(upsert.merge(*_before_and_last(spark, sf_dir)).select("vehicle_key", "price_wan", "action", "missing_count"))
+    return doubles(_merged(spark, sf_dir).select("vehicle_key", "price_wan", "action", "missing_count"))
 
 
 @query(_RUN_SQL + "SELECT coalesce(n.vehicle_key, o.vehicle_key) AS vehicle_key, strftime(CASE WHEN n.vehicle_key IS NULL THEN o.fetched_at ELSE n.fetched_at END, '%Y-%m-%d') AS fetched, CASE WHEN n.vehicle_key IS NULL THEN (SELECT max(run) - 1 FROM b) ELSE n.run END || '-12-31' AS merged FROM o FULL JOIN w n ON o.vehicle_key = n.vehicle_key")
@@ -287,7 +305,24 @@ def upsert_nothing(spark, sf_dir):
 
 @query(_RUN_SQL + ", k AS (SELECT vehicle_key, max(run) AS run, arg_max(price_wan, run) AS price_wan FROM (SELECT vehicle_key, run, coalesce(price_wan, 0) AS price_wan FROM b) GROUP BY 1), g AS (SELECT k.*, (SELECT count(DISTINCT run) FROM b WHERE b.run > k.run) AS missed FROM k) SELECT vehicle_key, CAST(missed AS INTEGER) AS missing_count, missed >= 2 AS is_deleted, price_wan FROM g")
 def lifecycle(spark, sf_dir):
-    return doubles(_lifecycle(spark, sf_dir, 2).select("vehicle_key", "missing_count", "is_deleted", "price_wan"))
+    return doubles(_lifecycle(spark, sf_dir).read(delete_after=2).select("vehicle_key", "missing_count", "is_deleted", "price_wan"))
+
+
+_LINE_RUNS_SQL = f""", b AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY vehicle_key, run {_LAST_FIRST}) AS place FROM (SELECT *, 2 * year(fetched_at) + CASE line WHEN 'ev' THEN 0 ELSE 1 END AS run FROM a WHERE line = 'ev' OR year(fetched_at) % 2 = 0)) WHERE place = 1),
+k AS (SELECT vehicle_key, max(run) AS run, arg_max(line, run) AS line, arg_max(coalesce(price_wan, 0), run) AS price_wan FROM b GROUP BY 1),
+g AS (SELECT k.*, (SELECT count(DISTINCT run) FROM b WHERE b.run > k.run AND b.line = k.line) AS missed FROM k) SELECT vehicle_key, line, CAST(missed AS INTEGER) AS missing_count, missed >= 3 AS is_deleted, price_wan FROM g"""
+
+
+@query(_LINE_RUNS_SQL)
+def line_lifecycle(spark, sf_dir):
+    """Runs of one line each, the fuel line's every second year: a run ages its own line only. Compacted half way."""
+    rows = accepted(spark, sf_dir).filter("line = 'ev' OR year(fetched_at) % 2 = 0")
+    runs = [(f"{y}-{line}", _batch(_in(rows, y).filter(F.col("line") == line), y)) for y in _years(rows) for line in read.LINES]
+    table = _run_table(spark, sf_dir, "line-lifecycle", runs[: len(runs) // 2])
+    table.compact()
+    for run_id, batch in runs[len(runs) // 2 :]:
+        table.apply(batch, run_id)
+    return doubles(table.read().select("vehicle_key", "line", "missing_count", "is_deleted", "price_wan"))
 
 
 @query(_RUN_SQL + "SELECT n.vehicle_key, CASE WHEN o.vehicle_key IS NULL THEN 'insert' ELSE 'update' END AS goes FROM w n LEFT JOIN o ON o.vehicle_key = n.vehicle_key")
@@ -321,118 +356,118 @@ def platform_counts(spark, sf_dir):
     return market.platform_counts(market_table(spark, sf_dir))
 
 
-@query(f"SELECT line, count(*) AS n, count(DISTINCT brand) AS brands, count(DISTINCT location_city) AS cities, {_mean("price_wan", 2)} AS avg_price, {_mean("retention_rate", 4)} AS avg_retention, {_mean(AGE_SQL, 1)} AS avg_age, CAST({_mean("mileage_km", 0, 0)} AS BIGINT) AS avg_mileage, min(price_wan) AS min_price, max(price_wan) AS max_price FROM t GROUP BY line")
+@query(f"SELECT line, count(*) AS n, count(DISTINCT brand) AS brands, count(DISTINCT location_city) AS cities, {_mean("price_wan", 2)} AS avg_price, {_mean("retention_rate", 4)} AS avg_retention, {_mean(AGE_SQL, 1)} AS avg_age, CAST({_mean("mileage_km", 0, 0)} AS BIGINT) AS avg_mileage, min(price_wan) AS min_price, max(price_wan) AS max_price FROM live GROUP BY line")
 def line_scalars(spark, sf_dir):
-    return market.line_scalars(market_table(spark, sf_dir), AS_OF)
+    return market.line_scalars(live_table(spark, sf_dir), AS_OF)
 
 
-@query("SELECT line, list_sort(list(price_wan))[len(list(price_wan)) // 2 + 1] AS median_price FROM t WHERE price_wan > 0 GROUP BY line")
+@query("SELECT line, list_sort(list(price_wan))[len(list(price_wan)) // 2 + 1] AS median_price FROM live WHERE price_wan > 0 GROUP BY line")
 def upper_median(spark, sf_dir):
-    return market.upper_median(market_table(spark, sf_dir))
+    return market.upper_median(live_table(spark, sf_dir))
 
 
-@query("SELECT brand AS name, n FROM (SELECT brand, count(*) AS n FROM t WHERE line = 'fuel' GROUP BY brand ORDER BY n DESC, brand NULLS LAST LIMIT 10) WHERE brand != '' AND brand != '未知'")
+@query("SELECT brand AS name, n FROM (SELECT brand, count(*) AS n FROM live WHERE line = 'fuel' GROUP BY brand ORDER BY n DESC, brand NULLS LAST LIMIT 10) WHERE brand != '' AND brand != '未知'")
 def top_brands(spark, sf_dir):
-    return market.top_counts(of_line(market_table(spark, sf_dir), "fuel"), "brand")
+    return market.top_counts(of_line(live_table(spark, sf_dir), "fuel"), "brand")
 
 
-@query("SELECT location_city AS name, n FROM (SELECT location_city, count(*) AS n FROM t WHERE line = 'ev' GROUP BY location_city ORDER BY n DESC, location_city NULLS LAST LIMIT 10) WHERE location_city != ''")
+@query("SELECT location_city AS name, n FROM (SELECT location_city, count(*) AS n FROM live WHERE line = 'ev' GROUP BY location_city ORDER BY n DESC, location_city NULLS LAST LIMIT 10) WHERE location_city != ''")
 def top_cities(spark, sf_dir):
-    return market.top_counts(of_line(market_table(spark, sf_dir), "ev"), "location_city")
+    return market.top_counts(of_line(live_table(spark, sf_dir), "ev"), "location_city")
 
 
 def _distribution_sql(value: str, edges, where: str = "true") -> str:
     labels = ", ".join(f"({i}, {_quoted(e[2])})" for i, e in enumerate(edges))
-    return f"SELECT CAST(l.place AS INTEGER) AS place, l.label, count(q.b) AS n FROM (VALUES {labels}) l(place, label) LEFT JOIN (SELECT {_bucket(value, edges)} AS b FROM t WHERE {where}) q ON q.b = l.label GROUP BY ALL"
+    return f"SELECT CAST(l.place AS INTEGER) AS place, l.label, count(q.b) AS n FROM (VALUES {labels}) l(place, label) LEFT JOIN (SELECT {_bucket(value, edges)} AS b FROM live WHERE {where}) q ON q.b = l.label GROUP BY ALL"
 
 
 @query(_distribution_sql("price_wan", market.PRICE_EDGES))
 def price_distribution(spark, sf_dir):
-    return market.distribution(market_table(spark, sf_dir), F.col("price_wan").cast("double"), market.PRICE_EDGES)
+    return market.distribution(live_table(spark, sf_dir), F.col("price_wan").cast("double"), market.PRICE_EDGES)
 
 
 @query(_distribution_sql(f"({AGE_SQL})", market.AGE_EDGES))
 def age_distribution(spark, sf_dir):
-    return market.distribution(market_table(spark, sf_dir), numbers.age_years("reg_year", "reg_month", AS_OF), market.AGE_EDGES)
+    return market.distribution(live_table(spark, sf_dir), numbers.age_years("reg_year", "reg_month", AS_OF), market.AGE_EDGES)
 
 
-@query(f"SELECT brand, {_mean("price_wan", 2, 2)} AS avg_price, count(*) AS n FROM t WHERE brand != '' AND price_wan > 0 GROUP BY brand HAVING count(*) >= 3 ORDER BY avg_price DESC, brand LIMIT 10")
+@query(f"SELECT brand, {_mean("price_wan", 2, 2)} AS avg_price, count(*) AS n FROM live WHERE brand != '' AND price_wan > 0 GROUP BY brand HAVING count(*) >= 3 ORDER BY avg_price DESC, brand LIMIT 10")
 def brand_price_rank(spark, sf_dir):
-    return market.brand_price_rank(market_table(spark, sf_dir))
+    return market.brand_price_rank(live_table(spark, sf_dir))
 
 
-@query(f"SELECT brand, {_mean("retention_rate * 100", 2, 1)} AS retention_pct, count(*) AS n FROM t WHERE brand != '' AND retention_rate IS NOT NULL GROUP BY brand HAVING count(*) >= 2 ORDER BY retention_pct DESC, brand LIMIT 10")
+@query(f"SELECT brand, {_mean("retention_rate * 100", 2, 1)} AS retention_pct, count(*) AS n FROM live WHERE brand != '' AND retention_rate > 0 GROUP BY brand HAVING count(*) >= 2 ORDER BY retention_pct DESC, brand LIMIT 10")
 def brand_retention_rank(spark, sf_dir):
-    return market.brand_retention_rank(market_table(spark, sf_dir))
+    return market.brand_retention_rank(live_table(spark, sf_dir))
 
 
-@query(f"SELECT age_bucket, mileage_bucket, count(*) AS n FROM (SELECT {_bucket('age', market.AGE_EDGES)} AS age_bucket, {_bucket('mileage_km', market.MILEAGE_EDGES)} AS mileage_bucket FROM (SELECT {AGE_SQL} AS age, mileage_km FROM t)) WHERE age_bucket IS NOT NULL AND mileage_bucket IS NOT NULL GROUP BY 1, 2")
+@query(f"SELECT age_bucket, mileage_bucket, count(*) AS n FROM (SELECT {_bucket('age', market.AGE_EDGES)} AS age_bucket, {_bucket('mileage_km', market.MILEAGE_EDGES)} AS mileage_bucket FROM (SELECT {AGE_SQL} AS age, mileage_km FROM live)) WHERE age_bucket IS NOT NULL AND mileage_bucket IS NOT NULL GROUP BY 1, 2")
 def age_mileage_heat(spark, sf_dir):
-    return market.age_mileage_heat(market_table(spark, sf_dir), AS_OF)
+    return market.age_mileage_heat(live_table(spark, sf_dir), AS_OF)
 
 
-@query(f"SELECT CAST(least(trunc({AGE_SQL}), 12) AS INTEGER) AS age, {_mean("retention_rate * 100", 2, 1)} AS retention_pct, count(*) AS n FROM t WHERE {AGE_SQL} IS NOT NULL AND retention_rate IS NOT NULL GROUP BY 1")
+@query(f"SELECT CAST(least(trunc({AGE_SQL}), 12) AS INTEGER) AS age, {_mean("retention_rate * 100", 2, 1)} AS retention_pct, count(*) AS n FROM live WHERE {AGE_SQL} IS NOT NULL AND retention_rate IS NOT NULL GROUP BY 1")
 def age_retention(spark, sf_dir):
-    return market.age_retention(market_table(spark, sf_dir), AS_OF)
+    return market.age_retention(live_table(spark, sf_dir), AS_OF)
 
 
 _FIELDS = ("brand", "model", "price_wan", "new_car_price_wan", "retention_rate", "mileage_km", "reg_year", "transfer_count", "location_city", "battery_type", "range_km", "battery_health")
 
 
-@query(" UNION ALL ".join(f"SELECT '{f}' AS field, coalesce(round(avg(CASE WHEN {f} IS NOT NULL AND CAST({f} AS VARCHAR) != '' THEN 100.0::DOUBLE ELSE 0 END), 1), 0) AS filled_pct FROM t WHERE line = 'ev'" for f in _FIELDS))
+@query(" UNION ALL ".join(f"SELECT '{f}' AS field, coalesce(round(avg(CASE WHEN {f} IS NOT NULL AND CAST({f} AS VARCHAR) != '' THEN 100.0::DOUBLE ELSE 0 END), 1), 0) AS filled_pct FROM live WHERE line = 'ev'" for f in _FIELDS))
 def field_completeness(spark, sf_dir):
-    return market.field_completeness(of_line(market_table(spark, sf_dir), "ev"), _FIELDS)
+    return market.field_completeness(of_line(live_table(spark, sf_dir), "ev"), _FIELDS)
 
 
-@query(f"SELECT coalesce(battery_type, '未知') AS name, count(*) AS n, {_mean("price_wan", 2, 2)} AS avg_price FROM t WHERE line = 'ev' AND price_wan > 0 GROUP BY 1")
+@query(f"SELECT coalesce(battery_type, '未知') AS name, count(*) AS n, {_mean("price_wan", 2, 2)} AS avg_price FROM live WHERE line = 'ev' AND price_wan > 0 GROUP BY 1")
 def ev_battery_prices(spark, sf_dir):
-    return market.price_by_class(of_line(market_table(spark, sf_dir), "ev"), "battery_type")
+    return market.price_by_class(of_line(live_table(spark, sf_dir), "ev"), "battery_type")
 
 
-@query("SELECT vehicle_key, range_km, price_wan AS price, brand FROM t WHERE line = 'ev' AND range_km IS NOT NULL")
+@query("SELECT vehicle_key, range_km, price_wan AS price, brand, model FROM live WHERE line = 'ev' AND range_km IS NOT NULL")
 def ev_range_prices(spark, sf_dir):
-    return market.range_price_points(of_line(market_table(spark, sf_dir), "ev"))
+    return market.range_price_points(of_line(live_table(spark, sf_dir), "ev"))
 
 
-@query("SELECT coalesce(range_standard, '未标注') AS name, count(*) AS n FROM t WHERE line = 'ev' AND range_km IS NOT NULL GROUP BY 1")
+@query("SELECT coalesce(range_standard, '未标注') AS name, count(*) AS n FROM live WHERE line = 'ev' AND range_km IS NOT NULL GROUP BY 1")
 def ev_range_standards(spark, sf_dir):
-    rows = of_line(market_table(spark, sf_dir), "ev").filter("range_km is not null")
+    rows = of_line(live_table(spark, sf_dir), "ev").filter("range_km is not null")
     return market.class_counts(rows.withColumn("range_standard", F.coalesce("range_standard", F.lit("未标注"))), "range_standard")
 
 
 @query(_distribution_sql("battery_health", market.SOH_EDGES, "line = 'ev'"))
 def ev_health_distribution(spark, sf_dir):
-    return market.distribution(of_line(market_table(spark, sf_dir), "ev"), F.col("battery_health").cast("double"), market.SOH_EDGES)
+    return market.distribution(of_line(live_table(spark, sf_dir), "ev"), F.col("battery_health").cast("double"), market.SOH_EDGES)
 
 
-@query(f"SELECT {_mean("battery_health", 1)} AS avg, count(battery_health) AS n FROM t WHERE line = 'ev'")
+@query(f"SELECT {_mean("battery_health", 1)} AS avg, count(battery_health) AS n FROM live WHERE line = 'ev'")
 def ev_health_average(spark, sf_dir):
-    return market.mean_and_count(of_line(market_table(spark, sf_dir), "ev"), "battery_health", 1, 4)
+    return market.mean_and_count(of_line(live_table(spark, sf_dir), "ev"), "battery_health", 1, 4)
 
 
-@query("SELECT emission_standard AS name, count(*) AS n FROM t WHERE line = 'fuel' AND emission_standard != '未知' GROUP BY 1")
+@query("SELECT emission_standard AS name, count(*) AS n FROM live WHERE line = 'fuel' AND emission_standard != '未知' GROUP BY 1")
 def fuel_emissions(spark, sf_dir):
-    return market.class_counts(of_line(market_table(spark, sf_dir), "fuel"), "emission_standard")
+    return market.class_counts(of_line(live_table(spark, sf_dir), "fuel"), "emission_standard")
 
 
-@query("SELECT gearbox AS name, count(*) AS n FROM t WHERE line = 'fuel' AND gearbox != '未知' GROUP BY 1")
+@query("SELECT gearbox AS name, count(*) AS n FROM live WHERE line = 'fuel' AND gearbox != '未知' GROUP BY 1")
 def fuel_gearboxes(spark, sf_dir):
-    return market.class_counts(of_line(market_table(spark, sf_dir), "fuel"), "gearbox")
+    return market.class_counts(of_line(live_table(spark, sf_dir), "fuel"), "gearbox")
 
 
 @query(_distribution_sql("displacement_l", market.LITRE_EDGES, "line = 'fuel'"))
 def fuel_displacements(spark, sf_dir):
-    return market.distribution(of_line(market_table(spark, sf_dir), "fuel"), F.col("displacement_l").cast("double"), market.LITRE_EDGES)
+    return market.distribution(of_line(live_table(spark, sf_dir), "fuel"), F.col("displacement_l").cast("double"), market.LITRE_EDGES)
 
 
-@query(f"SELECT {_mean("displacement_l", 1)} AS avg, count(displacement_l) AS n FROM t WHERE line = 'fuel'")
+@query(f"SELECT {_mean("displacement_l", 1)} AS avg, count(displacement_l) AS n FROM live WHERE line = 'fuel'")
 def fuel_displacement_average(spark, sf_dir):
-    return market.mean_and_count(of_line(market_table(spark, sf_dir), "fuel"), "displacement_l", 1, 4)
+    return market.mean_and_count(of_line(live_table(spark, sf_dir), "fuel"), "displacement_l", 1, 4)
 
 
-@query(f"SELECT coalesce(line, 'all') AS line, count(*) AS n, {_mean("price_wan", 2)} AS avg_price, {_mean("retention_rate", 4)} AS avg_retention, {_mean("mileage_km", 0, 1)} AS avg_mileage, count(DISTINCT brand) AS brands FROM t GROUP BY GROUPING SETS ((line), ())")
+@query(f"SELECT coalesce(line, 'all') AS line, count(*) AS n, {_mean("price_wan", 2)} AS avg_price, {_mean("retention_rate", 4)} AS avg_retention, {_mean(AGE_SQL, 1)} AS avg_age, {_mean("mileage_km", 0, 1)} AS avg_mileage, count(DISTINCT nullif(brand, '')) AS brands, count(DISTINCT nullif(location_city, '')) AS cities FROM live GROUP BY GROUPING SETS ((line), ())")
 def line_compare(spark, sf_dir):
-    return market.line_compare(market_table(spark, sf_dir))
+    return market.line_compare(live_table(spark, sf_dir), AS_OF)
 
 
 @query("SELECT match_key, count(DISTINCT source_platform) AS platforms, min(price_wan) AS low, max(price_wan) AS high, round(max(price_wan) - min(price_wan), 2) AS gap FROM t WHERE match_key IS NOT NULL AND NOT is_deleted GROUP BY match_key HAVING count(DISTINCT source_platform) > 1 ORDER BY gap DESC, match_key LIMIT 20")
@@ -586,10 +621,32 @@ def alerts(spark, sf_dir):
     return quality.alerts(_runs(spark, sf_dir)).select("source_platform", "run", "event")
 
 
-@query(", d AS (SELECT strftime(fetched_at, '%Y-%m') AS run, source_platform, count(*) AS n FROM lr GROUP BY ALL), g AS (SELECT *, round((n - lag(n) OVER w) / (lag(n) OVER w)::DOUBLE, 4) AS change, round(n / CAST(sum(n) OVER (PARTITION BY run) AS DOUBLE), 4) AS share FROM d WINDOW w AS (PARTITION BY source_platform ORDER BY run)) SELECT *, coalesce(abs(change) > 0.3, false) AS jumped, share > 0.8 AS dominant FROM g")
+_VOLUME_SQL = """, d AS (SELECT CAST(fetched_at AS DATE) AS day, source_platform, count(*) AS n, count(*) FILTER (violations != '') AS errors FROM v {where} GROUP BY ALL),
+c AS (SELECT CAST(day AS DATE) AS day, p.source_platform FROM (SELECT unnest(generate_series((SELECT min(day) FROM d), (SELECT max(day) FROM d), INTERVAL 1 DAY)) AS day) s, (SELECT DISTINCT source_platform FROM d) p),
+f AS (SELECT day, source_platform, coalesce(n, 0) AS n, coalesce(errors, 0) AS errors FROM c LEFT JOIN d USING (day, source_platform)),
+g AS (SELECT *, round((n - lag(n) OVER w) / nullif(lag(n) OVER w, 0)::DOUBLE, 4) AS change, round(n / nullif(CAST(sum(n) OVER (PARTITION BY day) AS DOUBLE), 0), 4) AS share, round(errors / nullif(n, 0)::DOUBLE, 4) AS error_share FROM f WINDOW w AS (PARTITION BY source_platform ORDER BY day))
+SELECT strftime(day, '%Y-%m-%d') AS day, source_platform, n, errors, change, share, error_share, coalesce(abs(change) > 0.3, false) AS jumped, coalesce(share > 0.8, false) AS dominant, coalesce(error_share > 0.1, false) AS failing FROM g"""
+
+
+def _volumes(spark, sf_dir):
+    rows = validated_table(spark, sf_dir)
+    return rows.groupBy(F.to_date("fetched_at").alias("day"), "source_platform").agg(F.count("*").alias("n"), F.count_if(F.size("violations") > 0).alias("errors"))
+
+
+def _shown_day(checked: DataFrame) -> DataFrame:
+    return checked.withColumn("day", F.date_format("day", "yyyy-MM-dd"))
+
+
+@query(_VOLUME_SQL.format(where=""))
 def volume_check(spark, sf_dir):
-    runs = listings_raw(spark, sf_dir).groupBy(F.date_format("fetched_at", "yyyy-MM").alias("run"), "source_platform").agg(F.count("*").alias("n"))
-    return quality.volume_check(runs, "run", "source_platform")
+    return _shown_day(quality.volume_check(_volumes(spark, sf_dir), "day", "source_platform"))
+
+
+@query(_VOLUME_SQL.format(where="WHERE NOT (source_platform = 'src_1' AND (dayofmonth(fetched_at) = 5 OR month(fetched_at) = 3))"))
+def volume_gaps(spark, sf_dir):
+    """One source misses a day of each month and one month of each year."""
+    there = ~((F.col("source_platform") == "src_1") & ((F.dayofmonth("day") == 5) | (F.month("day") == 3)))
+    return _shown_day(quality.volume_check(_volumes(spark, sf_dir).filter(there), "day", "source_platform"))
 
 
 _YUAN = "TRY_CAST(nullif(regexp_extract(price_raw, '^([0-9]+)元', 1), '') AS BIGINT)"

@@ -8,22 +8,19 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from ..operators import normalize, upsert
+from ..operators import ledger, normalize, upsert
 
 
-def replay(raw: DataFrame, snapshots: upsert.Snapshots, checkpoint: str, as_of: str, order: Sequence[str], **options) -> StreamingQuery:
-    """Raw listings as they come -> versions of the listing table. Each micro-batch is cleaned, validated, deduplicated and merged under
-    its own run id, so a batch done again after a failure changes nothing. Unseen rows age by batch."""
+def replay(raw: DataFrame, table: ledger.RunTable, checkpoint: str, as_of: str, order: Sequence[str]) -> StreamingQuery:
+    """Raw listings as they come -> runs of the listing table. Each micro-batch is cleaned, validated and deduplicated, and its rows are
+    written under its own run id, so a batch done again after a failure changes nothing. Rows of the lines that a batch holds age by batch."""
 
     def step(batch: DataFrame, number: int) -> None:
         cores = batch.sparkSession.sparkContext.defaultParallelism
         if batch.rdd.getNumPartitions() < cores:  # a few new files: deal their rows out
             batch = batch.repartition(cores)
         clean = normalize.accepted(normalize.validate(normalize.normalize(batch, as_of, keep=list(order))))
-        # asked for its emptiness and then merged: cleaned once
-        last = upsert.prepare(normalize.dedupe_last(clean, "vehicle_key", order), F.col("fetched_at")).select(snapshots.schema.names).persist()
-        snapshots.apply(last, f"batch{number:09d}", **options)
-        last.unpersist()
+        table.apply(upsert.prepare(normalize.dedupe_last(clean, "vehicle_key", order), F.col("fetched_at")), f"batch{number:09d}")
 
     return raw.writeStream.foreachBatch(step).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from forecourt.functions import classify, keys, numbers
-from forecourt.operators import frontier, market, normalize, quality, read, upsert
+from forecourt.operators import frontier, ledger, market, normalize, quality, read, upsert
 from forecourt.plans import store
 from forecourt.sources import cards, detail, pages
 
@@ -49,22 +49,56 @@ def test_exact_means(spark):
     assert found == {"a": 1.02, "b": 0.01, "c": None}  # 1.015 goes up
 
 
-def test_snapshots_are_idempotent_and_old_ones_go(spark, tmp_path):
-    clean = normalize.normalize(raw(spark, *[{"line": "ev", "source_platform": "s", "source_id": str(i), "price_raw": "5万", "new_car_price_raw": "9万"} for i in range(4)]), "2024-01-01")
-    batch = lambda ids: upsert.prepare(clean.filter(F.col("source_id").isin(ids)), "2024-01-01")
-    table = upsert.Snapshots(spark, str(tmp_path / "t"), batch(["0"]).schema, keep=2)
-    state = lambda: sorted((r["source_id"], r["missing_count"], r["is_deleted"]) for r in table.read().collect())
-    table.apply(batch(["0", "1"]), "one", delete_after=2)
-    table.apply(batch(["1", "2"]), "two", delete_after=2)
-    table.apply(batch(["1", "2"]), "two", delete_after=2)  # the same run again
-    assert state() == [("0", 1, False), ("1", 0, False), ("2", 0, False)]
-    table.apply(batch([]), "three", delete_after=2)  # nothing accepted: nothing ages
-    assert state() == [("0", 1, False), ("1", 0, False), ("2", 0, False)]
-    table.apply(batch(["2"]), "four", delete_after=2)
-    assert state() == [("0", 2, True), ("1", 1, False), ("2", 0, False)]
-    table.apply(batch(["0"]), "five", delete_after=2)
-    assert state() == [("0", 0, False), ("1", 2, True), ("2", 1, False)]
-    assert len(list((tmp_path / "t").iterdir())) == 2
+def listings(spark, n, line="ev"):
+    clean = normalize.normalize(raw(spark, *[{"line": line, "source_platform": "s", "source_id": f"{line}{i}", "price_raw": "5万", "new_car_price_raw": "9万"} for i in range(n)]), "2024-01-01")
+    return lambda ids: upsert.prepare(clean.filter(F.col("source_id").isin([f"{line}{i}" for i in ids])), "2024-01-01")
+
+
+def state(table, delete_after=2):
+    return sorted((r["source_id"], r["missing_count"], r["is_deleted"]) for r in table.read(delete_after).collect())
+
+
+def test_runs_age_only_their_line_and_are_idempotent(spark, tmp_path):
+    ev, fuel = listings(spark, 4), listings(spark, 2, "fuel")
+    table = ledger.RunTable(spark, str(tmp_path / "t"), ev([]).schema, buckets=4)
+    assert table.apply(ev([0, 1]).unionByName(fuel([0, 1])), "one") == {"rows": 4, "inserted_ev": 2, "updated_ev": 0, "inserted_fuel": 2, "updated_fuel": 0}
+    assert table.apply(ev([1, 2]), "two") == {"rows": 2, "inserted_ev": 1, "updated_ev": 1, "inserted_fuel": 0, "updated_fuel": 0}
+    assert table.apply(ev([1, 2]), "two") == {}  # the same run again
+    want = [("ev0", 1, False), ("ev1", 0, False), ("ev2", 0, False), ("fuel0", 0, False), ("fuel1", 0, False)]
+    assert state(table) == want
+    assert table.apply(ev([]), "three")["rows"] == 0  # nothing accepted: nothing ages
+    assert state(table) == want
+    table._write(ev([3]).withColumn("_run", F.lit("broken")), *table._current())  # a run that broke off before its ledger row
+    assert state(table) == want
+    table.apply(ev([2]), "four")
+    table.compact()
+    table.compact()
+    assert state(table) == [("ev0", 2, True), ("ev1", 1, False), ("ev2", 0, False), ("fuel0", 0, False), ("fuel1", 0, False)]
+    again = ledger.RunTable(spark.newSession(), str(tmp_path / "t"), ev([]).schema, buckets=16)  # the files know their buckets
+    again.apply(ev([0]), "five")
+    assert state(table) == state(again) == [("ev0", 0, False), ("ev1", 2, True), ("ev2", 1, False), ("fuel0", 0, False), ("fuel1", 0, False)]
+
+
+def test_empty_table(spark, tmp_path):
+    table = ledger.RunTable(spark, str(tmp_path / "t"), listings(spark, 1)([]).schema)
+    table.compact()
+    assert table.read().count() == 0 and not table.has_run("x")
+
+
+def test_a_run_writes_what_it_saw_and_no_plan_shuffles_the_table(spark, tmp_path):
+    clean = spark.range(50_000).select(F.lit("ev").alias("line"), F.format_string("key%08d", "id").alias("vehicle_key"), F.sha2(F.col("id").cast("string").cast("binary"), 256).alias("text"), F.lit(0).alias("missing_count"), F.lit(False).alias("is_deleted"))
+    table = ledger.RunTable(spark, str(tmp_path / "t"), clean.schema, buckets=4)
+    size = lambda: sum(f.stat().st_size for f in (tmp_path / "t").rglob("*.parquet"))
+    table.apply(clean, "all")
+    whole = size()
+    few = clean.filter("vehicle_key < 'key00000500'")
+    assert table.apply(few, "few")["updated_ev"] == 500
+    assert size() - whole < 0.04 * whole
+    plan = table.read()._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange hashpartitioning(vehicle_key" not in plan and "SelectedBucketsCount" in plan
+    merged = upsert.merge(table.read(), few, ran=True)._jdf.queryExecution().executedPlan().toString()
+    assert merged.count("Exchange hashpartitioning(_k") + merged.count("Exchange hashpartitioning(vehicle_key") <= 1  # of the batch
+    assert table.read().filter("missing_count = 1").count() == 49_500
 
 
 def test_run_log_keeps_known_columns(spark, tmp_path):
