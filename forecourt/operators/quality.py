@@ -126,3 +126,51 @@ def reconcile_counts(clean: DataFrame, raw: DataFrame, key: str) -> DataFrame:
     wrong = sum((F.when(F.col(f"_{f}").isNotNull() & ~F.col(f"_{f}").eqNullSafe(F.col(f)), 1).otherwise(0) for f in fields), F.lit(0))
     there = F.col("_key").isNotNull()
     return both.agg(F.count_if(there).alias("checked"), F.count_if(~there).alias("missing_raw"), F.sum(F.when(there, wrong).otherwise(0)).alias("mismatches"))
+
+
+# What a page itself says, read apart from the parser.
+PAGE_FACTS = {
+    "price_wan": r"full_payment\s*:\s*(\d+)\s*元",
+    "new_car_price_wan": r"guide_price\s*:\s*(\d+)\s*元",
+    "mileage_km": r"mileage\s*:\s*(\d+)\s*公里",
+    "brand": r"(?m)^brand\s*:\s*(\S+)",
+    "reg_date": r"first_register\s*:\s*(\d{4}-\d{2})",
+}
+
+
+def page_facts(pages: DataFrame) -> DataFrame:
+    """pages(raw_ref, body) -> raw_ref and, for each field of PAGE_FACTS, what the page says of it as text, NULL if it is silent."""
+    said = {c: F.nullif(F.regexp_extract("body", p, 1), F.lit("")) for c, p in PAGE_FACTS.items()}
+    wan = lambda c: F.bround(said[c].try_cast("decimal(18,0)") / 10_000, 2).cast("decimal(18,2)").cast("string")
+    said |= {"price_wan": wan("price_wan"), "new_car_price_wan": wan("new_car_price_wan"), "mileage_km": said["mileage_km"].try_cast("long").cast("string"), "brand": classify.normalize_brand(said["brand"])}
+    return pages.select("raw_ref", *[c.alias(name) for name, c in said.items()])
+
+
+def reconcile_pages(clean: DataFrame, pages: DataFrame) -> DataFrame:
+    """Stored rows against the stored pages they came from: line, vehicle_key, raw_ref, kind and, of mismatches, field, expected and actual.
+
+    kind is no_ref (a row names no page), missing_file (the page isn't there), mismatch, or checked: one such row for every row
+    whose page was read. What a page doesn't say is passed over; a stored NULL against it is a mismatch. Only what pages say is joined, not
+    their text; rows without a page's name don't take part in the join.
+    """
+    facts = page_facts(pages).withColumnsRenamed({c: f"_{c}" for c in PAGE_FACTS}).withColumn("_there", F.lit(True))
+    date = F.when(F.col("reg_year").isNotNull() | F.col("reg_month").isNotNull(), F.concat(F.coalesce(F.col("reg_year").cast("string"), F.lit("?")), F.lit("-"), F.coalesce(F.lpad(F.col("reg_month").cast("string"), 2, "0"), F.lit("?"))))
+    stored = {"price_wan": F.col("price_wan").cast("decimal(18,2)").cast("string"), "new_car_price_wan": F.col("new_car_price_wan").cast("decimal(18,2)").cast("string"), "mileage_km": F.col("mileage_km").cast("string"), "brand": F.col("brand"), "reg_date": date}
+    rows = clean.select("line", "vehicle_key", F.nullif("raw_ref", F.lit("")).alias("raw_ref"), *[c.alias(name) for name, c in stored.items()])
+    named, bare = rows.filter("raw_ref is not null").join(facts, "raw_ref", "left"), rows.filter("raw_ref is null")
+    one = lambda kind, field=None, expected=None, actual=None: F.struct(F.lit(kind).alias("kind"), F.lit(field).cast("string").alias("field"), (F.lit(None) if expected is None else F.col(expected)).cast("string").alias("expected"), (F.lit(None) if actual is None else F.col(actual)).cast("string").alias("actual"))
+    wrong = [F.when(F.col(f"_{c}").isNotNull() & ~F.col(f"_{c}").eqNullSafe(F.col(c)), one("mismatch", c, f"_{c}", c)) for c in PAGE_FACTS]
+    told = F.when(F.col("_there"), F.array_compact(F.array(one("checked"), *wrong))).otherwise(F.array(one("missing_file")))
+    found = named.select("line", "vehicle_key", "raw_ref", F.inline(told))
+    return found.unionByName(bare.select("line", "vehicle_key", "raw_ref", F.inline(F.array(one("no_ref")))))
+
+
+def reconcile_page_counts(found: DataFrame) -> DataFrame:
+    """One row of reconcile_pages(): checked, mismatches, no_ref, missing_file."""
+    kinds = {"checked": "checked", "mismatch": "mismatches", "no_ref": "no_ref", "missing_file": "missing_file"}
+    return found.agg(*[F.count_if(F.col("kind") == kind).alias(name) for kind, name in kinds.items()])
+
+
+def reconcile_page_samples(found: DataFrame, n: int = 20) -> DataFrame:
+    """The first n rows that are wrong, by line, key and field."""
+    return found.filter(F.col("kind").isin("mismatch", "missing_file")).orderBy("line", "vehicle_key", F.col("field").asc_nulls_first()).limit(n)

@@ -5,10 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators import frontier, ledger, normalize, read, upsert
+from ..operators import frontier, ingest, ledger, normalize, quality, read, upsert
 from ..sources import cards, detail, pages
 from ..streaming import jobs
-from .catalog import AS_OF, doubles, query
+from .catalog import _YUAN, _brand, _txt, AS_OF, doubles, query
 from .listings import LAST, TABLES, listings_of, listings_raw
 from .store import new_path
 
@@ -106,6 +106,71 @@ def detail_parse(spark, sf_dir):
     return found.select("source_id", ref[0].cast("bigint").alias("part_no"), ref[1].cast("double").alias("asked"), "line", "title_raw", "brand_raw", "model_raw", "price_raw", "mileage_raw", "detail_url", "battery_health_raw", "range_raw", "gearbox_raw")
 
 
+_REF = "concat(source_id, '~', CAST(part_no AS string), '~', CAST(supp_no AS string), '~', CAST(CAST(round(asked * 100) AS bigint) AS string))"
+_PAGE_STATUS = "CASE part_no % 11 WHEN 0 THEN 404 WHEN 1 THEN 403 WHEN 2 THEN 500 ELSE 200 END"
+_BROKEN = "supp_no % 7 = 3"
+
+
+def _crawled(spark, sf_dir):
+    """Pages as fetched: some are gone, blocked or failed, some are no detail pages. Dates are written with a dash."""
+    body = F.expr(f"CASE WHEN {_BROKEN} THEN 'not a page' ELSE replace({_DETAIL}, concat('first_register:', reg_date_raw), concat('first_register:', date_format(fetched_at, 'yyyy-MM'))) END")
+    return listings_raw(spark, sf_dir).select(F.expr(_REF).alias("raw_ref"), body.alias("body"), "fetched_at", F.expr(_PAGE_STATUS).alias("status"))
+
+
+def _ingested(spark, sf_dir):
+    """A table and run log made of two runs: half of the pages, then all of them."""
+    found = _crawled(spark, sf_dir)
+    table = ledger.RunTable(spark, new_path(spark, "ingested"), ingest.batch_schema(found))
+    half = found.filter("pmod(xxhash64(raw_ref), 2) >= 0 AND length(raw_ref) % 2 = 0")
+    logs = ingest.ingest_pages(half, table, "src", "half", AS_OF, "2002-01-01") + ingest.ingest_pages(found, table, "src", "whole", AS_OF, "2002-01-02")
+    return table, logs
+
+
+_CRAWL_SQL = f""", pg AS (SELECT *, {_REF} AS raw_ref, {_PAGE_STATUS} AS status, {_BROKEN} AS broken FROM m JOIN (SELECT source_id AS sid0, part_no AS p0, supp_no AS s0, asked AS a0, price_raw, new_car_price_raw, mileage_raw, brand_raw, title_raw AS t0 FROM lr) r ON source_id = sid0 AND part_no = p0 AND supp_no = s0 AND asked = a0),
+ok AS (SELECT *, row_number() OVER (PARTITION BY source_id ORDER BY raw_ref DESC) AS place FROM pg WHERE status = 200 AND NOT broken),
+halves AS (SELECT *, row_number() OVER (PARTITION BY source_id ORDER BY raw_ref DESC) AS hplace FROM pg WHERE status = 200 AND NOT broken AND length(raw_ref) % 2 = 0),
+tab AS (SELECT * FROM ok WHERE place = 1 AND price_wan > 0),
+hkeys AS (SELECT source_id FROM halves WHERE hplace = 1 AND price_wan > 0)"""
+
+
+@query(_CRAWL_SQL + """, c AS (SELECT count(*) AS pages, count(*) FILTER (status = 200 AND NOT broken) AS fetched, count(*) FILTER (status = 404) AS gone, count(*) FILTER (status = 403) AS blocked, count(*) FILTER (status = 500) AS failed, count(*) FILTER (status = 200 AND broken) AS unread,
+  min(raw_ref) FILTER (status = 200 AND broken) AS e1, max(raw_ref) FILTER (status = 200 AND broken) AS e2, count(*) FILTER (status = 200 AND NOT broken AND mileage_raw IS NULL) AS bare FROM pg),
+p AS (SELECT line, count(*) AS records, count(*) FILTER (place = 1) AS parsed, count(*) FILTER (place = 1 AND NOT coalesce(price_wan > 0, false)) AS rejected, count(*) FILTER (place = 1 AND price_wan > 0 AND source_id NOT IN (FROM hkeys)) AS inserted, count(*) FILTER (place = 1 AND price_wan > 0 AND source_id IN (FROM hkeys)) AS updated,
+  min(trim(t0)) FILTER (place = 1 AND NOT coalesce(price_wan > 0, false)) AS r1, max(trim(t0)) FILTER (place = 1 AND NOT coalesce(price_wan > 0, false)) AS r2 FROM ok GROUP BY line)
+SELECT line AS business_line, 'partial' AS status, pages AS pages_fetched, fetched AS fetched_count, parsed AS parsed_count, inserted AS inserted_count, updated AS updated_count, records - parsed AS dup_count, gone + failed + unread + rejected AS error_count, round(bare / fetched::DOUBLE, 4) AS missing_ratio,
+  '详情页成功 ' || fetched || '; 已下架(404) ' || gone || '; 风控拦截 ' || blocked || '; 解析失败 ' || unread || '; 校验拒收 ' || rejected || '; 拒收样例: ' || CASE WHEN r1 = r2 THEN r1 || ' -> price_wan' ELSE r1 || ' -> price_wan | ' || r2 || ' -> price_wan' END || '; 错误: ' || CASE WHEN e1 = e2 THEN e1 || ': not a detail page' ELSE e1 || ': not a detail page | ' || e2 || ': not a detail page' END AS error_detail FROM p, c""")
+def ingest_log(spark, sf_dir):
+    """What the second run's one pass counted, as the run log has it after a round through its files."""
+    _, logs = _ingested(spark, sf_dir)
+    path = new_path(spark, "ingest-log")
+    upsert.append_run_log(spark.createDataFrame(logs).withColumn("started_at", F.to_timestamp("started_at")), path)
+    whole = upsert.read_run_log(spark, path).filter("run_id = 'whole'")
+    longs = [F.col(c).cast("long").alias(c) for c in ("pages_fetched", "fetched_count", "parsed_count", "inserted_count", "updated_count", "dup_count", "error_count")]
+    return whole.select("business_line", "status", *longs, F.col("missing_ratio").cast("double").alias("missing_ratio"), "error_detail")
+
+
+def _as_wan(yuan: str) -> str:
+    return f"({yuan} // 100 + CASE WHEN {yuan} % 100 > 50 OR ({yuan} % 100 = 50 AND {yuan} // 100 % 2 = 1) THEN 1 ELSE 0 END) / 100.0::DOUBLE"
+
+
+_PAGE_CHECK_SQL = _CRAWL_SQL + f""", s AS (SELECT *, part_no % 13 = 4 AS bare, part_no % 13 = 5 AS lost, {_as_wan(_YUAN)} AS said_price, {_as_wan(_YUAN.replace('price_raw', 'new_car_price_raw'))} AS said_guide, TRY_CAST(nullif(regexp_extract(mileage_raw, '^([0-9]+)公里', 1), '') AS BIGINT) AS said_km, {_brand(f"({_txt('brand_raw')})")} AS said_brand FROM tab),
+w AS (SELECT *, CAST(said_price IS NOT NULL AND said_price IS DISTINCT FROM price_wan AS INTEGER) + CAST(said_guide IS NOT NULL AND said_guide IS DISTINCT FROM new_car_price_wan AS INTEGER) + CAST(said_km IS NOT NULL AND said_km IS DISTINCT FROM mileage_km AS INTEGER) + CAST(said_brand IS DISTINCT FROM brand AS INTEGER) AS wrong FROM s)
+SELECT count(*) FILTER (NOT bare AND NOT lost) AS checked, CAST(coalesce(sum(wrong) FILTER (NOT bare AND NOT lost), 0) AS BIGINT) AS mismatches, count(*) FILTER (bare) AS no_ref, count(*) FILTER (lost) AS missing_file FROM w"""
+
+
+def _checked(spark, sf_dir):
+    """The ingested rows against the pages; some rows have lost their page's name, some pages are gone."""
+    table, _ = _ingested(spark, sf_dir)
+    part = F.split("raw_ref", "~")[1].cast("int") % 13
+    rows = table.read().withColumn("raw_ref", F.when(part != 4, F.col("raw_ref")))
+    return quality.reconcile_pages(rows, _crawled(spark, sf_dir).filter(part != 5))
+
+
+@query(_PAGE_CHECK_SQL)
+def reconcile_pages(spark, sf_dir):
+    return quality.reconcile_page_counts(_checked(spark, sf_dir))
+
+
 _PROSE = (
     ("'增程版 CLTC 综合续航 ' || km || 'km'", "NULL", "NULL"),
     ("'增程 纯电续航约' || km || '公里 综合续航1625km'", "km", "'纯电'"),
