@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..sources import detail, pages
 from . import normalize, quality, upsert
-from .ledger import RunTable, counters
+from .ledger import RunTable, counters, told
 
 #: Fields whose missing share tells of a change of the pages.
 DRIFT_FIELDS = ("title_raw", "price_raw", "reg_date_raw", "mileage_raw")
@@ -18,11 +18,12 @@ KEPT = ["fetched_at", "raw_ref"]
 
 def batch_schema(pages_of: DataFrame):
     """The schema of the rows that a run of these pages writes."""
-    return _rows(pages_of, "source", "2000-01-01", "2000-01-01")[0].schema
+    return _rows(pages_of, "source", "2000-01-01", "2000-01-01")[0][0].schema
 
 
-def _rows(found: DataFrame, source: str, as_of: str, started_at: str, base_url: str = "", lines: Sequence[str] = ("ev", "fuel")) -> tuple[DataFrame, list[Observation]]:
-    """Prepared rows and what is observed on the way to them: pages by class, parsed records and missing fields, rows after dedupe, rejects."""
+def _rows(found: DataFrame, source: str, as_of: str, started_at: str, base_url: str = "", lines: Sequence[str] = ("ev", "fuel")) -> tuple[list[DataFrame], list[Observation]]:
+    """Prepared rows, the validated and the parsed rows they come from, and what is observed on the way: pages by class, parsed records and
+    missing fields, rows after dedupe, rejects."""
     seen = [Observation() for _ in range(4)]
     by_line = lambda name, condition: [F.count_if((F.col("line") == line) & condition).alias(f"{name}_{line}") for line in lines]
     status = pages.response_class("status") if "status" in found.columns else F.lit("ok")
@@ -37,7 +38,7 @@ def _rows(found: DataFrame, source: str, as_of: str, started_at: str, base_url:
     bad, sample = F.size("violations") > 0, F.concat_ws(" -> ", "title_raw", F.array_join("violations", ","))
     shown = [f(F.when(bad & (F.col("line") == line), sample)).alias(f"{name}_reject_{line}") for line in lines for name, f in (("first", F.min), ("last", F.max))]
     validated = validated.observe(seen[3], *by_line("rejected", bad), *shown)
-    return upsert.prepare(normalize.accepted(validated), started_at), seen
+    return [upsert.prepare(normalize.accepted(validated), started_at), validated, judged], seen
 
 
 def ingest_pages(found: DataFrame, table: RunTable, source: str, run_id: str, as_of: str, started_at: str, base_url: str = "", lines: Sequence[str] = ("ev", "fuel"), skipped: int = 0, circuit_broken: bool = False, threshold: float = quality.DRIFT) -> list[dict]:
@@ -50,12 +51,18 @@ def ingest_pages(found: DataFrame, table: RunTable, source: str, run_id: str, as
     """
     if table.has_run(run_id):
         return []
-    rows, seen = _rows(found, source, as_of, started_at, base_url, lines)
-    written = table.apply(rows, run_id)
-    told: dict = {}
-    for observed in seen:
-        told |= observed.get
-    n = lambda name: told.get(name) or 0
+    found_out: dict = {}
+    for stage in range(3):
+        stages, seen = _rows(found, source, as_of, started_at, base_url, lines)
+        if stage == 0:
+            written = table.apply(stages[0], run_id)
+        else:  # nothing was accepted, or parsed: a plan that comes to nothing drops what it observed, so count what there is
+            stages[stage].write.format("noop").mode("overwrite").save()
+        for observed in seen[: 4 if stage < 2 else 2]:
+            found_out |= told(observed)
+        if "pages" in found_out:
+            break
+    n = lambda name: found_out.get(name) or 0
     missing = max(n(c) for c in DRIFT_FIELDS) / n("fetched") if n("fetched") else 0.0
     log = []
     for line in lines:
@@ -65,15 +72,15 @@ def ingest_pages(found: DataFrame, table: RunTable, source: str, run_id: str, as
         log.append({
             "run_id": run_id, "business_line": line, "source_platform": source, "status": status, "pages_fetched": n("pages"), "fetched_count": n("fetched"), "parsed_count": parsed, **counters(written, line),
             "dup_count": n(f"records_{line}") - parsed, "error_count": n("not_found") + n("parse_error") + n("error") + rejected, "missing_ratio": round(missing, 4), "started_at": started_at,
-            "error_detail": error_detail(told, line, skipped, circuit_broken),
+            "error_detail": error_detail(found_out, line, skipped, circuit_broken),
         })
     return log
 
 
-def error_detail(told: dict, line: str, skipped: int = 0, circuit_broken: bool = False) -> str:
+def error_detail(counted: dict, line: str, skipped: int = 0, circuit_broken: bool = False) -> str:
     """What the run log says of a run, 2000 characters at most."""
-    n = lambda name: told.get(name) or 0
-    both = lambda a, b: " | ".join(dict.fromkeys(x for x in (told.get(a), told.get(b)) if x))
+    n = lambda name: counted.get(name) or 0
+    both = lambda a, b: " | ".join(dict.fromkeys(x for x in (counted.get(a), counted.get(b)) if x))
     rejected, samples, errors = n(f"rejected_{line}"), both(f"first_reject_{line}", f"last_reject_{line}"), both("first_error", "last_error")
     # The words of the log.
     parts = [f"详情页成功 {n('fetched')}", f"已下架(404) {n('not_found')}", f"风控拦截 {n('blocked')}", f"解析失败 {n('parse_error')}"]

@@ -14,12 +14,15 @@ from pyspark.sql import Column, DataFrame, Observation, Row, SparkSession, Windo
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from .upsert import STATE
-
 #: Up to so many ledger rows (of some 100 bytes) go to every task; a longer ledger is joined as any table.
 LEDGER_ROWS = 100_000
 
 
+def told(seen: Observation) -> dict:
+    """What was observed. Nothing, where the node went: a running plan leaves out what stands above a shuffle that turned out empty."""
+    return dict(seen.get) if seen._jo.getRow().length() else {}
+
+
 class RunTable:
     """One table under a folder. ``schema``: the columns of prepared batches. Runs are written one after the other.
 
@@ -84,10 +87,11 @@ class RunTable:
     def apply(self, batch: DataFrame, run_id: str) -> dict[str, int]:
         """Writes a run: prepared rows, one a key. Returns what the write itself counted: rows and, for each of ``lines``, inserted_LINE and
         updated_LINE. A run without rows, or one that has been written before, changes nothing; it ages no row."""
-        if self.has_run(run_id):
+        last = self.ledger().agg(F.max("seq").alias("seq"), F.count_if(F.col("run_id") == run_id).alias("done"), F.count("*").alias("n")).first()
+        if last["done"]:
             return {}
         name, buckets = self._current()
-        known = self._rows().select(self.key).distinct().withColumn("_known", F.lit(True))
+        known = self._rows(last["n"]).select(self.key).distinct().withColumn("_known", F.lit(True))
         dealt = batch.select(*self.schema.names).repartition(buckets, self.key).join(known, self.key, "left")
         new, counts = F.col("_known").isNull(), {"rows": F.count(F.lit(1)), "scopes": F.collect_set(F.struct(*self.scope))}
         if "line" in self.schema.names:
@@ -97,20 +101,19 @@ class RunTable:
         seen = Observation()
         dealt = dealt.observe(seen, *[c.alias(n) for n, c in counts.items()])
         self._write(dealt.select(*self.schema.names, F.lit(run_id).alias("_run")), name, buckets)
-        told = dict(seen.get)
-        scopes: list[Row] = told.pop("scopes")  # the lines, or sources, of one run
+        counted = {"rows": 0} | told(seen)
+        scopes: list[Row] = counted.pop("scopes", [])  # the lines, or sources, of one run
         if scopes:
-            seq = (self.ledger().agg(F.max("seq")).first()[0] or 0) + 1
-            rows = self.spark.createDataFrame([(seq, run_id, *s) for s in scopes], self.ledger_schema)
+            rows = self.spark.createDataFrame([((last["seq"] or 0) + 1, run_id, *s) for s in scopes], self.ledger_schema)
             rows.coalesce(1).write.mode("append").parquet(f"{self.path}/ledger")
-        return told
+        return counted
 
     # ---- reading
 
-    def _rows(self) -> DataFrame:
+    def _rows(self, ledger_rows: int | None = None) -> DataFrame:
         """All rows of runs that count, with seq and behind of their run."""
         rows, runs = self.spark.table(self._current()[0]), self.ledger().withColumnsRenamed({"run_id": "_run", **{c: f"_{c}" for c in self.scope}})
-        if runs.count() <= LEDGER_ROWS:
+        if (runs.count() if ledger_rows is None else ledger_rows) <= LEDGER_ROWS:
             runs = F.broadcast(runs)
         return rows.join(runs, [rows["_run"] == runs["_run"], *[rows[c].eqNullSafe(runs[f"_{c}"]) for c in self.scope]]).select(rows["*"], "seq", "behind")
 
@@ -145,9 +148,7 @@ class RunTable:
                 fs.delete(at, True)
 
 
-def counters(told: dict[str, int], line: str) -> dict[str, int]:
+def counters(counted: dict[str, int], line: str) -> dict[str, int]:
     """What apply() counted for one line, as the run log names it."""
-    return {f"{k}_count": told.get(f"{k}_{line}", 0) for k in ("inserted", "updated")}
-
+    return {f"{k}_count": counted.get(f"{k}_{line}", 0) for k in ("inserted", "updated")}
 
-__all__ = ["RunTable", "STATE", "counters"]

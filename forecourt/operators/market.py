@@ -36,8 +36,13 @@ def mean(c: Column | str, scale: int, digits: int = 4) -> Column:
     """The mean of values from 0 on with ``scale`` decimals, rounded half up to ``digits``. Sums and the division are of whole
     numbers, so the result doesn't depend on the order of the rows; NULL without a value."""
     c = F.col(c) if isinstance(c, str) else c
+    return mean_of(F.sum(F.round(c.cast(f"decimal(18,{scale})") * 10**scale).cast("decimal(18,0)")), F.count(c), scale, digits)
+
+
+def mean_of(total: Column, n: Column, scale: int, digits: int) -> Column:
+    """mean() from the sum of the values times 10**scale and their number; NULL for none."""
+    n = F.nullif(n, F.lit(0))
     whole = lambda x: x.cast("decimal(38,0)")
-    total, n = F.sum(F.round(c.cast(f"decimal(18,{scale})") * 10**scale).cast("decimal(18,0)")), F.count(c)
     up, down = 10 ** max(digits - scale, 0), 10 ** max(scale - digits, 0)
     return (_quotient(whole(total * 2 * up + n * down), whole(n * 2 * down)) / 10**digits).cast("double")
 
@@ -85,8 +90,12 @@ def top_counts(table: DataFrame, column: str, n: int = 10, strict: bool = False)
 
 def distribution(table: DataFrame, value: Column, edges: Sequence[tuple[float, float, str]]) -> DataFrame:
     """Every label with its count, zeros included, numbered in order of the edges."""
-    labels = table.sparkSession.createDataFrame([(i, e[2]) for i, e in enumerate(edges)], "place int, label string")
-    counts = table.groupBy(bucket(value, edges).alias("label")).agg(F.count("*").alias("n"))
+    return labelled(table.groupBy(bucket(value, edges).alias("label")).agg(F.count("*").alias("n")), edges)
+
+
+def labelled(counts: DataFrame, edges: Sequence[tuple[float, float, str]]) -> DataFrame:
+    """counts(label, n) with a row for every label."""
+    labels = counts.sparkSession.createDataFrame([(i, e[2]) for i, e in enumerate(edges)], "place int, label string")
     return labels.join(counts, "label", "left").select("place", "label", F.coalesce("n", F.lit(0)).alias("n"))
 
 

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import classify, keys, numbers, text
-from ..operators import ledger, market, normalize, quality, read, upsert
+from ..operators import ledger, market, market_state, normalize, quality, read, upsert
 from .listings import LAST, LISTINGS_SQL, TABLES, listings_raw
 from .store import new_path, written
 
@@ -361,6 +361,33 @@ def line_scalars(spark, sf_dir):
     return market.line_scalars(live_table(spark, sf_dir), AS_OF)
 
 
+_STATE_SQL = f""", b AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY vehicle_key, run {_LAST_FIRST}) AS place FROM (SELECT *, year(fetched_at) % 4 AS run FROM a)) WHERE place = 1),
+k AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY vehicle_key ORDER BY run DESC) AS nth FROM b) WHERE nth = 1),
+live2 AS (SELECT * FROM (SELECT *, (SELECT count(DISTINCT run) FROM b WHERE b.run > k.run AND b.line = k.line) AS missed FROM k) WHERE missed < 2)"""
+
+
+def _states(spark, sf_dir):
+    """States after four runs, each of every fourth year."""
+    rows = accepted(spark, sf_dir)
+    states = market_state.MarketStates(_run_table(spark, sf_dir, "states", []))
+    for run in range(4):
+        states.apply(_batch(rows.filter(F.year("fetched_at") % 4 == run), 2000 + run), f"run{run}")
+    return states
+
+
+@query(_STATE_SQL + f", s AS (SELECT line, count(*) AS n, count(DISTINCT brand) AS brands, count(DISTINCT location_city) AS cities, {_mean("price_wan", 2)} AS avg_price, {_mean("retention_rate", 4)} AS avg_retention, {_mean(AGE_SQL, 1)} AS avg_age, CAST({_mean("mileage_km", 0, 0)} AS BIGINT) AS avg_mileage, min(price_wan) AS min_price, max(price_wan) AS max_price FROM live2 GROUP BY line) SELECT s.*, median_price FROM s JOIN (SELECT line, list_sort(list(price_wan))[len(list(price_wan)) // 2 + 1] AS median_price FROM live2 WHERE price_wan > 0 GROUP BY line) USING (line)")
+def state_scalars(spark, sf_dir):
+    """line_scalars and upper_median of the rows live after four runs, from the runs' states."""
+    states = _states(spark, sf_dir)
+    cells, values = states.cells(2), states.values(2)
+    return market_state.line_scalars(cells, values, AS_OF).join(market_state.upper_median(values), "line")
+
+
+@query(_STATE_SQL + f"SELECT brand, {_mean("price_wan", 2, 2)} AS avg_price, count(*) AS n FROM live2 WHERE brand != '' AND price_wan > 0 GROUP BY brand HAVING count(*) >= 3 ORDER BY avg_price DESC, brand LIMIT 10")
+def state_brand_rank(spark, sf_dir):
+    return market_state.brand_price_rank(_states(spark, sf_dir).cells(2))
+
+
 @query("SELECT line, list_sort(list(price_wan))[len(list(price_wan)) // 2 + 1] AS median_price FROM live WHERE price_wan > 0 GROUP BY line")
 def upper_median(spark, sf_dir):
     return market.upper_median(live_table(spark, sf_dir))

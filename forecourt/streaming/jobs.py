@@ -25,9 +25,18 @@ def replay(raw: DataFrame, table: ledger.RunTable, checkpoint: str, as_of: str,
     return raw.writeStream.foreachBatch(step).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
-def first_seen(rows: DataFrame, key: str, at: str, delay: str = "1 hour") -> DataFrame:
-    """The first row of each key within the watermark."""
-    return rows.withColumn(at, F.col(at).cast("timestamp")).withWatermark(at, delay).dropDuplicatesWithinWatermark([key])
+def first_rows(rows: DataFrame, key: str, at: str, order: Sequence[str], gap: str = "1 hour", delay: str = "1 hour") -> DataFrame:
+    """The first row of each run of repeats: rows of a key of which each comes at most ``gap`` after the one before. With ``repeats``, how many
+    rows the run has, and ``until``, its last row's time plus the gap.
+
+    First is the earliest by time, then by ``order``, whatever order rows arrive in. A run is told once the watermark (``delay`` behind the newest
+    row) has passed its end, and then its state goes; rows later than the watermark are left out. State is one row a key and open run, whatever
+    the stream's length. Rows without a key are left out.
+    """
+    timed = rows.filter(F.col(key).isNotNull()).withColumn(at, F.col(at).cast("timestamp")).withWatermark(at, delay)
+    rest = [c for c in rows.columns if c not in (at, *order)]
+    found = timed.groupBy(F.session_window(at, gap).alias("run"), key).agg(F.min(F.struct(at, *order, *rest)).alias("first"), F.count("*").alias("repeats"))
+    return found.select("first.*", "repeats", F.col("run.end").alias("until"))
 
 
 def drift(rows: DataFrame, fields: Sequence[str], by: str, at: str, window: str = "1 hour", delay: str = "2 hours", threshold: float = 0.3) -> DataFrame:

@@ -6,9 +6,10 @@ import pytest
 from pyspark.sql import functions as F
 
 from forecourt.functions import classify, keys, numbers
-from forecourt.operators import frontier, ledger, market, normalize, quality, read, upsert
+from forecourt.operators import frontier, ingest, ledger, market, market_state, normalize, quality, read, upsert
 from forecourt.plans import store
 from forecourt.sources import cards, detail, pages
+from forecourt.streaming import jobs
 
 RAW = ["source_platform", "source_id", "title_raw", "brand_raw", "model_raw", "price_raw", "new_car_price_raw", "mileage_raw", "reg_date_raw", "transfer_raw", "city_raw", "detail_url",
     "battery_raw", "range_raw", "battery_health_raw", "fast_charge_raw", "displacement_raw", "gearbox_raw", "emission_raw"]
@@ -185,3 +186,73 @@ def test_written_tables_follow_their_inputs(spark, tmp_path):
     assert made() == 3
     spark.range(5).write.mode("overwrite").parquet(path)
     assert made() == 5
+
+
+def test_states_follow_what_runs_change(spark, tmp_path):
+    def batch(*rows):
+        made = spark.createDataFrame([(line, key, brand, price, km) for line, key, brand, price, km in rows], "line string, vehicle_key string, brand string, price string, mileage_km int")
+        made = made.withColumns({"price_wan": F.col("price").cast("decimal(10,2)"), "new_car_price_wan": F.lit("10").cast("decimal(10,2)"), "location_city": F.col("brand"), "reg_year": F.lit(2000), "reg_month": F.lit(None).cast("int")})
+        return upsert.prepare(made.drop("price"), "2001-01-01")
+
+    table = ledger.RunTable(spark, str(tmp_path / "t"), batch().schema, buckets=2)
+    states = market_state.MarketStates(table)
+    assert states.cells().count() == states.values().count() == 0
+
+    def same():
+        live = table.read(2).filter("not is_deleted")
+        rows = lambda df: sorted(map(str, df.collect()))
+        scalars = market_state.line_scalars(states.cells(2), states.values(2), "2002-01-01")
+        assert rows(scalars) == rows(market.line_scalars(live, "2002-01-01").select(scalars.columns))
+        assert rows(market_state.upper_median(states.values(2))) == rows(market.upper_median(live))
+        assert rows(market_state.price_distribution(states.values(2))) == rows(market.distribution(live, F.col("price_wan").cast("double"), market.PRICE_EDGES))
+        assert rows(market_state.top_counts(states.cells(2), "brand")) == rows(market.top_counts(live, "brand"))
+        assert rows(market_state.brand_price_rank(states.cells(2), 1)) == rows(market.brand_price_rank(live, 1))
+        return live.count()
+
+    first = [("ev", "a", "x", "1.00", 10), ("ev", "b", "x", "3.10", None), ("ev", "c", "y", "2.00", 5), ("fuel", "d", None, "9.99", 7)]
+    states.apply(batch(*first), "one")
+    assert states.apply(batch(*first), "one") == {} and same() == 4
+    states.apply(batch(("ev", "a", "y", "1.50", 11), ("ev", "e", "", None, 1)), "two")  # another brand and price, a new row
+    assert same() == 5
+    states.apply(batch(("ev", "c", "y", "2.00", 5)), "three")  # b falls away
+    assert same() == 4
+    table.compact()
+    states.apply(batch(("ev", "b", "z", "0.00", 5)), "four")  # and comes back; a and e go
+    assert same() == 3
+
+
+def test_pages_that_give_nothing_are_counted(spark, tmp_path):
+    given = spark.createDataFrame([("a", None, 404), ("b", "x", 200), ("c", None, 200), ("d", None, None)], "raw_ref string, body string, status int").withColumn("fetched_at", F.lit("2001-01-01").cast("timestamp"))
+    table = ledger.RunTable(spark, str(tmp_path / "t"), ingest.batch_schema(given))
+    log = ingest.ingest_pages(given, table, "s", "one", "2002-01-01", "2002-01-01")
+    assert [(r["business_line"], r["status"], r["pages_fetched"], r["fetched_count"], r["parsed_count"], r["error_count"]) for r in log] == [("ev", "failed", 4, 0, 0, 4), ("fuel", "failed", 4, 0, 0, 4)]
+    assert log[0]["error_detail"] == "详情页成功 0; 已下架(404) 1; 风控拦截 0; 解析失败 2; 错误: b: not a detail page | c: not a detail page"
+    empty = ingest.ingest_pages(given.limit(0), table, "s", "two", "2002-01-01", "2002-01-01", skipped=3, circuit_broken=True)
+    assert [(r["status"], r["pages_fetched"]) for r in empty] == [("partial", 0)] * 2 and "续爬跳过 3; 已触发熔断" in empty[0]["error_detail"]
+    assert table.read().count() == 0
+
+
+def test_stored_rows_against_their_pages(spark):
+    clean = spark.createDataFrame([("ev", "k1", "p1", "byd", 9.01, None, 10, 2001, 3), ("ev", "k2", "", "x", 1.0, 1.0, 1, None, None), ("ev", "k3", "gone", "x", 1.0, 1.0, 1, None, None), ("ev", "k4", None, "x", 1.0, 1.0, 1, None, None)], "line string, vehicle_key string, raw_ref string, brand string, price_wan double, new_car_price_wan double, mileage_km int, reg_year int, reg_month int")
+    stored = spark.createDataFrame([("p1", "brand:BYD\nfull_payment:90100元\nguide_price: 120000元\nmileage:11公里\nfirst_register:2001-03"), ("p2", None)], "raw_ref string, body string")
+    found = quality.reconcile_pages(clean, stored)
+    assert quality.reconcile_page_counts(found).first().asDict() == {"checked": 1, "mismatches": 3, "no_ref": 2, "missing_file": 1}
+    assert [(r["vehicle_key"], r["field"], r["expected"], r["actual"]) for r in quality.reconcile_page_samples(found).collect()] == [("k1", "brand", "比亚迪", "byd"), ("k1", "mileage_km", "11", "10"), ("k1", "new_car_price_wan", "12.00", None), ("k3", None, None, None)]
+
+
+def test_repeats_late_rows_and_open_runs_in_a_stream(spark, tmp_path):
+    def put(*rows):
+        spark.createDataFrame(list(rows), "k string, ts string, id int").withColumn("ts", F.to_timestamp("ts")).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+
+    at = lambda hm: f"2024-01-01 {hm}:00"
+    put(("a", at("10:00"), 2), ("a", at("10:00"), 1), ("b", at("10:10"), 3), (None, at("10:00"), 9))
+    put(("a", at("10:30"), 4), ("a", at("09:40"), 5))  # the second is late, but within the delay, and the first of its run
+    put(("a", at("15:00"), 6))
+    put(("a", at("15:30"), 10))  # a file later the watermark holds for what comes
+    put(("b", at("10:20"), 7), ("a", at("20:00"), 8))  # too late: its run has been told
+    stream = spark.readStream.schema("k string, ts timestamp, id int").option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in"))
+    job = jobs.write_each(jobs.first_rows(stream, "k", "ts", ["id"], "1 hour", "2 hours"), lambda n: str(tmp_path / "out" / f"batch={n}"), str(tmp_path / "checkpoint"), "append")
+    job.awaitTermination()
+    found = spark.read.option("recursiveFileLookup", True).parquet(str(tmp_path / "out")).select("k", F.date_format("ts", "HH:mm").alias("ts"), "id", "repeats").collect()
+    assert sorted(map(tuple, found)) == [("a", "09:40", 5, 4), ("a", "15:00", 6, 2), ("b", "10:10", 3, 1)]  # the last run is still open
+    assert job.lastProgress.stateOperators[0].numRowsTotal == 1
