@@ -302,8 +302,8 @@ def _listings_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 _REPLAY_SQL = """, b AS (SELECT *, 2 * (year(fetched_at) % 3) + CASE line WHEN 'ev' THEN 0 ELSE 1 END AS run FROM a),
 r AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY vehicle_key ORDER BY run DESC, fetched_at DESC, part_no DESC, supp_no DESC, asked DESC) AS place FROM b) WHERE place = 1),
-n AS (SELECT DISTINCT line, run FROM b)
-SELECT vehicle_key, line, price_wan, CAST((SELECT count(*) FROM n WHERE n.line = r.line AND n.run > r.run) AS INTEGER) AS missing_count, (SELECT count(*) FROM n WHERE n.line = r.line AND n.run > r.run) >= 2 AS is_deleted FROM r"""
+u AS (SELECT DISTINCT line, run FROM b)
+SELECT vehicle_key, line, price_wan, CAST((SELECT count(*) FROM u WHERE u.line = r.line AND u.run > r.run) AS INTEGER) AS missing_count, (SELECT count(*) FROM u WHERE u.line = r.line AND u.run > r.run) >= 2 AS is_deleted FROM r"""
 
 
 @query(_REPLAY_SQL)

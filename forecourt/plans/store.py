@@ -33,10 +33,22 @@ def _status(spark: SparkSession, path: str):
     return fs.getFileStatus(at) if fs.exists(at) else None
 
 
+def _files(spark: SparkSession, path: str) -> list[tuple]:
+    """Name, time and size of every file of an input: a folder's own time need not change with them."""
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    fs = at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(at):
+        return []
+    files, found = fs.listFiles(at, True), []
+    while files.hasNext():
+        f = files.next()
+        found.append((f.getPath().toString(), f.getModificationTime(), f.getLen()))
+    return sorted(found)
+
+
 def stamp(spark: SparkSession, paths: Sequence[str]) -> tuple:
     """What changes when one of the inputs does."""
-    found = [_status(spark, p) for p in paths]
-    return tuple((p, s.getModificationTime(), s.getLen()) if s else (p,) for p, s in zip(paths, found))
+    return tuple((p, *_files(spark, p)) for p in paths)
 
 
 def written(spark: SparkSession, name: str, paths: Sequence[str], build: Callable[[], DataFrame]) -> DataFrame:
