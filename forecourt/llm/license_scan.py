@@ -27,10 +27,15 @@ from .common import text_or_empty
 _WORD = re.compile(rb"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 
 
+#: Of so few words, most occur together by chance, or in another notice.
+SHORT = 12
+
+
 @dataclass(frozen=True)
 class Template:
     """kind "phrase": the words must stand consecutively, anywhere in the document (block: the whole document, containment 1).
-    kind "notice": a window that holds at least ``least`` of the distinct words."""
+    kind "notice": a window that holds at least ``least`` of the distinct words, among them all that tell it from its rivals: numbers, and words
+    that a similar notice lacks. A notice of fewer than SHORT words must stand in the window word for word."""
 
     label: str
     text: str
@@ -68,6 +73,10 @@ NOTICES = (
     Template("gpl-notice", "This work is licensed under the GNU General Public License, version 3"),
     Template("apache-2.0", "Licensed under the Apache License, Version 2.0"),
     Template("cc-by-nc", "Licensed under CC BY-NC 4.0"),
+    Template("cc-by-nc", "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License"),
+    Template("cc-by-nd", "This work is licensed under a Creative Commons Attribution-NoDerivatives 4.0 International License"),
+    Template("cc-by-nc-sa", "This work is licensed under a Creative Commons Attribution-NonCommercial-ShareAlike 4.0 International License"),
+    Template("cc-by-nc-nd", "This work is licensed under a Creative Commons Attribution-NonCommercial-NoDerivatives 4.0 International License"),
     Template("unlicense", "This is free and unencumbered software released into the public domain"),
 )
 
@@ -94,7 +103,8 @@ class SimilarityIndex:
         self.templates = list(templates)
         self.place = {w: i for i, w in enumerate(sorted(counts, key=lambda w: (counts[w], w)))}
         self.sets = [sorted({self.place[w] for w in t.words}) for t in self.templates]
-        self.need = [math.ceil(t.least * len(s) - 1e-9) for t, s in zip(self.templates, self.sets)]
+        self.short = [t.kind == "notice" and len(t.words) < SHORT for t in self.templates]
+        self.need = [len(s) if short else math.ceil(t.least * len(s) - 1e-9) for t, s, short in zip(self.templates, self.sets, self.short)]
         self.prefix: dict[int, list[tuple[int, int]]] = defaultdict(list)
         for k, s in enumerate(self.sets):
             for i, token in enumerate(s[: len(s) - self.need[k] + 1]):
@@ -104,6 +114,9 @@ class SimilarityIndex:
         self.widths = {token: sorted({self.width[k] for k, _ in of if self.templates[k].kind == "notice"}) for token, of in self.prefix.items()}
         near = lambda a, b: len({*a} & {*b}) >= 0.8 * min(len(a), len(b))
         self.rivals = [[j for j, b in enumerate(self.sets) if j != k and self.templates[j].kind == "notice" and near(a, b)] for k, a in enumerate(self.sets)]
+        numbers = {self.place[w] for w in self.place if w.isdigit()}
+        self.telling = [{t for t in a if t in numbers or any(t not in self.sets[j] for j in self.rivals[k] if self.templates[j].label != self.templates[k].label)} if self.templates[k].kind == "notice" else set() for k, a in enumerate(self.sets)]
+        self.rarest = [min(range(len(t.words)), key=lambda i: self.place[t.words[i]]) for t in self.templates]
 
     def notices(self, words: list[bytes]) -> list[tuple[int, int, int, float]]:
         """(template, block number, first word, containment) of the blocks of a document's words that meet a notice. A template is looked
@@ -113,7 +126,10 @@ class SimilarityIndex:
         blocks = sorted({(width, b) for i, token in spots for width in self.widths.get(token, ()) for b in (i // width, i // width - 1) if b >= 0})
         for width, b in blocks:
             held = {t for _, t in spots[bisect_left(starts, b * width) : bisect_left(starts, (b + 2) * width)]}
-            found += [(k, b, b * width, c) for k, c in self.join_places(held, "notice") if self.width[k] == width]
+            for k, c in self.join_places(held, "notice"):
+                block = words[b * width : (b + 2) * width]
+                if self.width[k] == width and self.telling[k] <= held and (not self.short[k] or _places(block, self.templates[k].words, self.rarest[k])):
+                    found.append((k, b, b * width, c))
         best = lambda m: (m[3], len(self.sets[m[0]]), -m[0])
         meet = lambda m, o: m[2] < o[2] + 2 * self.width[o[0]] and o[2] < m[2] + 2 * self.width[m[0]]
         return [m for m in found if not any(o[0] in self.rivals[m[0]] and meet(m, o) and best(o) > best(m) for o in found)]

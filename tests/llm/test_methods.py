@@ -326,21 +326,36 @@ def test_wrapped_notices_are_found_wherever_they_stand(spark):
     assert labels == {1: ["cc-by"], 2: [], 3: []}
 
 
+@pytest.mark.parametrize("text,labels", [
+    ("Licensed under CC BY 4.0", {"cc-by"}), ("Licensed under CC BY-NC 4.0", {"cc-by", "cc-by-nc"}),
+    ("This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License.", {"cc-by-nc"}), ("This work is licensed under a Creative Commons Attribution-NoDerivatives 4.0 International License.", {"cc-by-nd"}),
+    ("This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License.", {"cc-by-sa"}), ("This work is licensed under a Creative Commons Attribution-NonCommercial-ShareAlike 4.0 International License.", {"cc-by-nc-sa"}),
+    ("Licensed under the Apache License, Version 1.0", {"apache"}), ("Licensed under the Apache License, Version 2.0", {"apache", "apache-2.0"}), ("We nc by 4 cc 0 licensed words under here", set()),
+    ("This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation", {"lgpl"}),
+])
+def test_no_label_of_another_license(spark, text, labels):
+    """The phrase `cc by` is a base label wherever it stands."""
+    found = license_scan.scan_licenses(table(spark, [(1, text), (2, "some words before " + text + " and behind")])).collect()
+    assert [{m["label"] for m in r["matches"]} for r in found] == [labels, labels]
+
+
 def test_blocks_against_counting_every_window():
     rng = random.Random(9)
     templates = [license_scan.Template(f"t{k}", " ".join(rng.sample([f"v{i}" for i in range(60)], n)), "notice", 0.7) for k, n in enumerate((3, 8, 9, 20, 30))]
     vocabulary = [f"v{i}".encode() for i in range(60)] + [b"other"] * 60
     index = license_scan.SimilarityIndex(templates, {w: rng.randrange(100) for t in templates for w in t.words})
-    index.rivals = [[] for _ in templates]
-    for _ in range(40):
+    index.rivals, index.telling = [[] for _ in templates], [set() for _ in templates]
+    for n in range(60):
         words = rng.choices(vocabulary, k=rng.randrange(0, 150))
-        words[10:10] = templates[rng.randrange(5)].words[:-1]
+        words[10:10] = templates[rng.randrange(5)].words[: None if n % 3 else -1]
         expected = set()
         for k, t in enumerate(templates):
             width, whole = index.width[k], set(t.words)
             for b in range(len(words) // width + 1):
-                shared = len(whole & set(words[b * width : (b + 2) * width]))
-                if shared >= 0.7 * len(whole) - 1e-9:
+                block = words[b * width : (b + 2) * width]
+                shared = len(whole & set(block))
+                stands = any(block[i : i + len(t.words)] == t.words for i in range(len(block)))
+                if stands if len(t.words) < license_scan.SHORT else shared >= 0.7 * len(whole) - 1e-9:
                     expected.add((k, b, b * width, shared / len(whole)))
         assert set(index.notices(words)) == expected
 
