@@ -8,10 +8,13 @@ cut-out part is encoded once a task, and the record of sources turns the pieces'
 from __future__ import annotations
 
 import re
+from collections.abc import Iterator
 from functools import cached_property
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import sentencepiece
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -19,8 +22,9 @@ from pyspark.sql import functions as F
 from .common import in_slices, text_or_empty
 
 MARK = "▁"
-#: Parts remembered by a task; at this many the memo starts anew. Longer parts aren't remembered, so it stays under some 100 MB.
-MEMO, MEMO_CHARS = 300_000, 48
+#: Parts remembered: at this many those not used since the last such time are forgotten. Longer parts aren't remembered, so all stay
+#: under some 250 MB.
+MEMO, MEMO_CHARS = 500_000, 48
 _PART = re.compile(f"\n[^{MARK}\n]*|{MARK}+[^{MARK}\n]*|[^{MARK}\n]+")
 
 
@@ -148,10 +152,10 @@ class PieceCodec:
         self.cut = self.escape and not trained.treat_whitespace_as_suffix and not any(p.type == kinds.NORMAL and crossing.search(p.piece) for p in proto.pieces)
         self.library = sentencepiece.SentencePieceProcessor(model_proto=model)
         self.end_id = self.library.eos_id()
-        self.bytes_of = np.array([-1 if p.type == kinds.BYTE else len(p.piece.encode()) for p in proto.pieces], np.int32)
+        bytes_of = [-1 if p.type == kinds.BYTE else len(p.piece.encode()) for p in proto.pieces]
         norm.Clear()  # the same pieces over text that is normalised already
         norm.name, norm.add_dummy_prefix, norm.remove_extra_whitespaces, norm.escape_whitespaces = "identity", False, False, False
-        self.memo = _Memo(sentencepiece.SentencePieceProcessor(model_proto=proto.SerializeToString()), self.bytes_of)
+        self.memo = _Memo(sentencepiece.SentencePieceProcessor(model_proto=proto.SerializeToString()), bytes_of, self.cut)
 
     def normalise(self, text: str) -> tuple[str, np.ndarray]:
         """The normalised text and, for each of its bytes and its end, the byte of the text it came from."""
@@ -169,44 +173,83 @@ class PieceCodec:
         source = np.concatenate([np.full(len(self.prefix), begin, np.int32), source[:-1], np.full(len(self.suffix) + 1, source[-1], np.int32)])
         return (self.prefix + data + self.suffix).decode(), source
 
+    def encode_all(self, texts: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """encode() of each; parts that aren't remembered are encoded together."""
+        normalised = [self.normalise(text) for text in texts]
+        parts = [_PART.findall(text) if self.cut else [text] if text else [] for text, _ in normalised]
+        pairs = self.memo.of(list(chain.from_iterable(parts)))
+        at = 0
+        for found, (_, source) in zip(parts, normalised):
+            both = np.frombuffer(b"".join(pairs[at : at + len(found)]), np.int32).reshape(-1, 2)
+            at += len(found)
+            stop = np.cumsum(both[:, 1], dtype=np.int64)
+            yield both[:, 0], source[stop - both[:, 1]], source[stop]
+
     def encode(self, text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Ids, and where in the text's bytes each piece begins and ends. Of the pieces of a character that is spelt in bytes the last
         spans it, those before are empty."""
-        text, source = self.normalise(text)
-        parts = _PART.findall(text) if self.cut else [text] if text else []
-        found = np.frombuffer(b"".join(map(self.memo.__getitem__, parts)), np.int32).reshape(-1, 2)
-        if len(self.memo) > MEMO:
-            self.memo.clear()
-        stop = np.cumsum(found[:, 1], dtype=np.int64)
-        return found[:, 0], source[stop - found[:, 1]], source[stop]
+        return next(self.encode_all([text]))
 
     def decode(self, ids: list[int]) -> str:
         return self.library.decode(ids)
 
 
-class _Memo(dict):
+class _Memo:
     """A part of a normalised text -> its ids, each with the bytes it covers, as pairs of four-byte numbers."""
 
-    def __init__(self, pieces: sentencepiece.SentencePieceProcessor, bytes_of: np.ndarray):
-        super().__init__()
-        self.pieces, self.bytes_of = pieces, bytes_of
+    def __init__(self, pieces: sentencepiece.SentencePieceProcessor, bytes_of: list[int], cut: bool):
+        self.pieces, self.bytes_of, self.cut = pieces, np.array(bytes_of, np.int32), cut
+        self.used: dict[str, bytes] = {}
+        self.before: dict[str, bytes] = {}
+
+    def of(self, parts: list[str]) -> list[bytes]:
+        """The pairs of each of these parts."""
+        if len(self.used) > MEMO:
+            self.before, self.used = self.used, {}
+        found = list(map(self.used.get, parts))
+        at = [i for i, pairs in enumerate(found) if pairs is None]
+        if at:
+            missing = set(map(parts.__getitem__, at))
+            kept = {p: self.before[p] for p in missing & self.before.keys()}
+            new = list(missing - kept.keys())
+            if new:
+                kept.update(zip(new, self._encoded(new)))
+            for i in at:
+                found[i] = kept[parts[i]]
+            for long in [p for p in new if len(p) > MEMO_CHARS]:
+                del kept[long]
+            self.used |= kept
+        return found
 
-    def __missing__(self, part: str) -> bytes:
-        ids = np.array(self.pieces.encode(part), np.int32)
+    def _encoded(self, parts: list[str]) -> list[bytes]:
+        """The parts of a model that can be cut are encoded in one go with line feeds between them, which join with nothing."""
+        if not self.cut:
+            return [self._pairs(p).tobytes() for p in parts]
+        pairs = self._pairs("\n".join(parts))
+        ends = np.cumsum([len(p.encode()) + 1 for p in parts]) - 1
+        stops = np.searchsorted(np.cumsum(pairs[:, 1]), ends) + 1
+        whole, stops = pairs.tobytes(), (8 * stops).tolist()
+        return [whole[a:b] for a, b in zip([0, *[b + 8 for b in stops]], stops)]
+
+    def _pairs(self, text: str) -> np.ndarray:
+        ids = np.array(self.pieces.encode(text), np.int32)
         sizes = self.bytes_of[ids]
         if (sizes < 0).any():
-            data, at, i = part.encode(), 0, 0
-            while i < len(sizes):
-                if sizes[i] < 0:  # a character in bytes
-                    n = 1 + sum(data[at] >= low for low in (0xC0, 0xE0, 0xF0))
-                    sizes[i : i + n] = [0] * (n - 1) + [n]
-                    at, i = at + n, i + n
-                else:
-                    at, i = at + int(sizes[i]), i + 1
-        pairs = np.stack([ids, sizes], 1).tobytes()
-        if len(part) <= MEMO_CHARS:
-            self[part] = pairs
-        return pairs
+            self._spell(text.encode(), sizes)
+        return np.stack([ids, sizes], 1)
+
+    @staticmethod
+    def _spell(data: bytes, sizes: np.ndarray) -> None:
+        """Gives the pieces of a character in bytes their sizes: its last one all of it, the others none."""
+        at = done = 0  # bytes, pieces
+        for i in np.flatnonzero(sizes < 0).tolist():
+            if i < done:
+                continue
+            at += int(sizes[done:i].sum())
+            n = 1 + sum(data[at] >= low for low in (0xC0, 0xE0, 0xF0))
+            sizes[i : i + n] = 0
+            sizes[i + n - 1] = n
+            at, done = at + n, i + n
 
 
 def _squeezed(data: bytes, source: np.ndarray) -> tuple[bytes, np.ndarray]:
@@ -250,9 +293,8 @@ def encode_documents(docs: DataFrame, model_path: str, end: bool = True, decoded
     def step(batch: pa.RecordBatch) -> pa.RecordBatch:
         pieces = codec(model_path)
         ids, begins, ends, texts = [], [], [], []
-        for text in map(pa.StringScalar.as_py, batch.column(1)):
-            n = len(text.encode())
-            found = [*pieces.encode(text)]
+        whole = batch.column(1).to_pylist()
+        for n, found in zip(pc.binary_length(batch.column(1)).to_pylist(), pieces.encode_all(whole)):
             if end:
                 found = [np.append(a, b).astype(np.int32) for a, b in zip(found, (pieces.end_id, n, n))]
             for kept, array in zip((ids, begins, ends), found):
