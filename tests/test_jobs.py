@@ -256,3 +256,30 @@ def test_repeats_late_rows_and_open_runs_in_a_stream(spark, tmp_path):
     found = spark.read.option("recursiveFileLookup", True).parquet(str(tmp_path / "out")).select("k", F.date_format("ts", "HH:mm").alias("ts"), "id", "repeats").collect()
     assert sorted(map(tuple, found)) == [("a", "09:40", 5, 4), ("a", "15:00", 6, 2), ("b", "10:10", 3, 1)]  # the last run is still open
     assert job.lastProgress.stateOperators[0].numRowsTotal == 1
+
+
+def test_rules_of_hosts(spark):
+    many = [("a.org", "*", 100 + i, f"/p{i}/", False) for i in range(500)]
+    rules = spark.createDataFrame([("a.org", "*", 2, "/", True), ("a.org", "*", 1, "/no", False), ("a.org", "*", 3, "/no/but", True), ("a.org", "*", 0, "/no/but/yes", True), ("a.org", "*", 9, "/no", True), ("a.org", "bot", 0, "/", False), ("b.org", "*", 1, "/x", False), *many], "host string, agent string, ord int, prefix string, allow boolean")
+    urls = ["https://a.org", "https://a.org/no?x", "http://a.org/no/but", "https://a.org/no/but/yes/x", "https://a.org/p77/q", "https://b.org/y", "https://b.org/x", "https://b.org/x", "https://c.org/x", "ftp://a.org/no", None]
+    found = frontier.apply_rules(spark.createDataFrame([(i, u) for i, u in enumerate(urls)], "i int, url string"), rules)
+    assert [r["allowed"] for r in found.orderBy("i").collect()] == [True, False, False, True, True, True, False, False, True, True, True]
+    assert [r["allowed"] for r in frontier.apply_rules(found.select("i", "url"), rules, open_without_rules=False).filter("i = 8").collect()] == [False]
+    assert frontier.apply_rules(found.select("i", "url"), rules.limit(0)).filter("not allowed").count() == 0
+
+
+def test_reject_samples_are_cut_before_the_shuffle(spark):
+    rows = spark.range(1000).select((F.col("id") % 2).alias("g"), "id", F.lit("t").alias("title_raw"), F.array(F.lit("rule")).alias("violations"))
+    rows = rows.unionByName(spark.createDataFrame([(None, 5, "x", ["a", "b"]), (7, 1, "fine", [])], "g long, id long, title_raw string, violations array<string>"))
+    found = normalize.reject_samples(rows, ["g"], ["id"])
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "WindowGroupLimit" in plan and plan.index("Final") < plan.index("Partial")
+    got = {(r["g"], r["place"]): (r["rejects"], r["sample"]) for r in found.collect()}
+    assert len(got) == 11 and got[None, 1] == (1, "x -> a,b") and got[0, 5] == (500, "t -> rule")
+
+
+def test_a_missing_day_is_a_drop(spark):
+    counts = spark.createDataFrame([("2024-01-01", "a", 10, 2), ("2024-01-03", "a", 10, 0), ("2024-01-02", "b", 9, 0)], "day string, s string, n long, errors long").withColumn("day", F.to_date("day"))
+    found = {(r["day"].day, r["s"]): (r["n"], r["change"], r["share"], r["jumped"], r["dominant"], r["failing"]) for r in quality.volume_check(counts, "day", "s").collect()}
+    assert found == {(1, "a"): (10, None, 1.0, False, True, True), (2, "a"): (0, -1.0, 0.0, True, False, False), (3, "a"): (10, None, 1.0, False, True, False), (1, "b"): (0, None, 0.0, False, False, False), (2, "b"): (9, None, 1.0, False, True, False), (3, "b"): (0, -1.0, 0.0, True, False, False)}
+    assert quality.volume_check(counts.limit(0), "day", "s").count() == 0
