@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from forecourt.llm import ann, decontaminate, language_id, license_scan, line_dedup, mixing, near_dedup, quality, token_counts, toxicity
+from forecourt.llm import ann, decontaminate, language_id, license_scan, line_dedup, merkle, mixing, near_dedup, piece_codec, quality, token_counts, toxicity
 
 SMALL = "/root/testdata/sf0.001"
 #: Names that operators use for columns of their own.
@@ -43,6 +43,8 @@ OPERATORS = {
     "near": lambda s, d: near_dedup.near_duplicates(d),
     "licenses": lambda s, d: license_scan.scan_licenses(d),
     "lines": lambda s, d: line_dedup.dedup_lines(d),
+    "pieces": lambda s, d: piece_codec.encode_documents(d, tokenizer(), decoded=True),
+    "merkle": lambda s, d: merkle.verify(d, merkle.without_line_feeds(F.col("text"))),
 }
 
 
