@@ -121,13 +121,13 @@ def _known(docs: DataFrame, learned) -> tuple[DataFrame, DataFrame]:
 
 def learn(docs: DataFrame, learned, languages: int = LANGUAGES) -> Model:
     """docs(doc_id, text, lang, ...); ``learned`` is the condition on rows to learn from. All of them are counted; the bits' weights
-    are measured on WEIGHT_ROWS of them, about. More than ``languages`` labels are refused, for their counts meet on the driver."""
+    are measured on WEIGHT_ROWS of them, about. Labels' counts meet on the driver: the ``languages`` labels of most rows (of equal
+    ones, the first by code point) are learned, and rows of others are not learned from."""
     known, sample = _known(docs, learned)
-    labels = sorted(r[0] for r in known.select("lang").distinct().limit(languages + 1).collect())
-    if len(labels) > languages:
-        raise ValueError(f"more than {languages} languages")
+    labels = sorted(r[0] for r in known.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(languages).collect())
     if not labels:
         return Model([], np.zeros((0, 0)))
+    known, sample = (rows.filter(F.col("lang").isin(labels)) for rows in (known, sample))
     number = {label: i for i, label in enumerate(labels)}
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
