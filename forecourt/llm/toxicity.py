@@ -1,13 +1,13 @@
-"""Toxicity by nearest labelled examples under exact TF-IDF cosine over all terms of the examples.
-
-Examples lie in a block-max inverted index: blocks of similar examples, and for every term that many examples have the
-largest weight in each block. Postings of the other terms are added up exactly; what they give an example of a block at most, and the
-sum over the frequent terms of weight times block maximum, together bound the similarity to any example of the block.
-Blocks with the best bounds are scored first, and then only those whose bound reaches the k-th best similarity found. Every
-similarity that decides is exact and every term counts; how much a term's presence says about the label adds to its weight
-but is never a reason to leave it out.
-The k nearest vote by squared similarity, classes weighed as they stand among all labels; isotonic regression on leave-one-out
-votes of the examples calibrates the votes.
+"""Toxicity by nearest labelled examples under exact TF-IDF cosine of whole texts.
+
+Examples lie in a block-max inverted index: blocks of similar examples, and for every term its postings cut by block, each cut with its
+largest weight. The sum of weight times block maximum over a text's terms bounds its similarity to any example of a block.
+Blocks with the best bounds are scored first, and then only those whose bound reaches the k-th best similarity found; the postings
+of all others are never read. Every similarity that decides is exact. Lengths are those of the whole text: terms that no
+example has count in them, too.
+The k nearest vote, classes weighed as they stand among all labels. A neighbour's vote is the square of what its similarity
+owes to terms that tell the classes apart: each term's share of the cosine times its relevance. Relevance has no part in
+who is near. Isotonic regression on leave-one-out votes of the examples calibrates the votes.
 """
 
 from __future__ import annotations
@@ -15,32 +15,38 @@ from __future__ import annotations
 from collections import Counter
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
+from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import crc_rest, labelled_sample, materialize, text_or_empty
-from .license_scan import _WORD
+from .common import crc_rest, labelled_sample, materialize, text_or_empty, text_slices
 
-#: Labelled documents of each class among the examples at most.
-PER_CLASS = 3_000
+#: Labelled documents of each class among the examples at most, the bytes of their texts together, and those of one text.
+PER_CLASS, BYTES, LONGEST = 3_000, 64_000_000, 1_000_000
 #: Terms kept as dense rows (the most frequent ones; layout only), and texts that are compared at once.
-DENSE, TEXTS = 512, 256
+DENSE, TEXTS = 512, 128
+#: Cells in which the documents of terms that no example has are counted: 2 ** 18.
+CELLS = 1 << 18
 #: Examples in a block, about, and blocks that are scored before bounds are compared.
-BLOCK, FIRST = 128, 4
+BLOCK, FIRST = 128, 8
 NEIGHBOURS, EVIDENCE = 25, 5
-#: Weight of a term that says nothing about the label, where one that tells the classes apart without fail has 1 more.
-FLOOR = 0.02
+#: What is added to the neighbours' votes and falls as all labels stand, of the median of examples' votes.
+PRIOR = 0.1
+
+
+#: ASCII letters in lower case, digits and all bytes from 0x80 on as they are, blanks for the rest.
+_FOLD = bytes(b if b > 127 or chr(b).isalnum() else 32 for b in bytes(range(256)).lower())
 
 
 def terms_of(text: bytes) -> list[bytes]:
-    return _WORD.findall(text.lower())
+    return text.translate(_FOLD).split()
 
 
 def vocabulary(sample: DataFrame) -> dict[bytes, float]:
-    """All terms of the examples, each with its relevance: the absolute correlation (0 to 1) of its presence with the label."""
+    """All terms of the examples, each with its relevance: the squared correlation (0 to 1) of its presence with the label."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -55,40 +61,65 @@ def vocabulary(sample: DataFrame) -> dict[bytes, float]:
     found = sample.select("label", "text").mapInArrow(count, "term binary, label int, n long").groupBy("term").agg(F.sum(F.when(F.col("label") == 1, F.col("n")).otherwise(0)).alias("a"), F.sum(F.when(F.col("label") == 0, F.col("n")).otherwise(0)).alias("b")).orderBy("term").toArrow()
     a, b = found["a"].to_numpy().astype(float), found["b"].to_numpy().astype(float)
     phi = np.abs(a * fine - b * bad) / np.sqrt(np.maximum(bad * fine * (a + b) * (bad + fine - a - b), 1.0))
-    return dict(zip(found["term"].to_pylist(), np.minimum(phi, 1.0).tolist()))
+    return dict(zip(found["term"].to_pylist(), (np.minimum(phi, 1.0) ** 2).tolist()))
 
 
-def document_counts(docs: DataFrame, terms: Iterable[bytes]) -> tuple[dict[bytes, int], int]:
-    """In how many of all documents each term stands, and how many documents there are."""
+def document_counts(docs: DataFrame, terms: Iterable[bytes]) -> tuple[dict[bytes, int], np.ndarray, int]:
+    """In how many of all documents each term stands; for all other terms, counts by cell of their hash; the number of documents."""
     wanted = docs.sparkSession.sparkContext.broadcast(frozenset(terms))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen, n = Counter(), 0
+        seen, cells, n = Counter(), np.zeros(CELLS, np.int64), 0
         for batch in batches:
             n += len(batch)
             for text in batch.column(0):
-                seen.update(wanted.value.intersection(terms_of(text.as_buffer().to_pybytes())))
-        yield pa.RecordBatch.from_arrays([pa.array([*seen, None], pa.binary()), pa.array([*seen.values(), n], pa.int64())], ["term", "n"])
+                found = set(terms_of(text.as_buffer().to_pybytes()))
+                known = found & wanted.value
+                seen.update(known)
+                np.add.at(cells, _cells(found - known), 1)
+        held = np.flatnonzero(cells)
+        yield pa.RecordBatch.from_arrays([pa.array([*seen, *[None] * (len(held) + 1)], pa.binary()), pa.array([*[-1] * (len(seen) + 1), *held], pa.int32()), pa.array([*seen.values(), n, *cells[held]], pa.int64())], ["term", "cell", "n"])
+
+    # one row for each term of the examples, and CELLS at most
+    rows = docs.select(text_or_empty().alias("text")).mapInArrow(count, "term binary, cell int, n long").groupBy("term", "cell").agg(F.sum("n").alias("n")).toArrow()
+    term, cell, n = rows["term"].to_pylist(), rows["cell"].to_numpy(), rows["n"].to_numpy()
+    found, cells = {t: c for t, c in zip(term, n.tolist()) if t is not None}, np.zeros(CELLS, np.int64)
+    cells[cell[cell >= 0]] = n[cell >= 0]
+    return {t: found.get(t, 0) for t in terms}, cells, int(n[(cell < 0) & ~np.array(rows["term"].is_valid())].sum())
+
+
+def _cells(terms: Iterable[bytes]) -> np.ndarray:
+    return np.array([crc32(t) & (CELLS - 1) for t in terms], np.int64)
 
-    rows = docs.select(text_or_empty().alias("text")).mapInArrow(count, "term binary, n long").groupBy("term").agg(F.sum("n").alias("n")).toArrow()
-    found = dict(zip(rows["term"].to_pylist(), rows["n"].to_pylist()))
-    return {t: found.get(t, 0) for t in terms}, found.get(None, 0)
+
+def rarity(counts: np.ndarray, n: int) -> np.ndarray:
+    """Smoothed inverse document frequency."""
+    return np.log((1 + n) / (1 + counts)) + 1
 
 
 @dataclass
 class Model:
-    weights: dict[bytes, float]  # of every term of the examples: idf and relevance together
+    weights: dict[bytes, float]  # of every term of the examples: its idf
+    unknown: np.ndarray = field(default_factory=lambda: np.ones(CELLS, np.float32))  # idf of all other terms, by cell
     ids: np.ndarray = field(default_factory=lambda: np.zeros(0, np.int64))  # of examples, in index order
     labels: np.ndarray = field(default_factory=lambda: np.zeros(0))
     class_weight: tuple[float, float] = (1.0, 1.0)
-    block: np.ndarray = field(default_factory=lambda: np.zeros(0, np.int64))  # of each example
-    # postings of the terms that aren't dense: where a term's begin, example, weight
+    # posting blocks: where a term's begin; of each one its block, largest weight and first posting; of postings example and weight
     starts: np.ndarray = field(default_factory=lambda: np.zeros(1, np.int64))
+    block: np.ndarray = field(default_factory=lambda: np.zeros(0, np.int32))
+    most: np.ndarray = field(default_factory=lambda: np.zeros(0))
+    first: np.ndarray = field(default_factory=lambda: np.zeros(1, np.int64))
     examples: np.ndarray = field(default_factory=lambda: np.zeros(0, np.int32))
     values: np.ndarray = field(default_factory=lambda: np.zeros(0))
+    # the same of frequent terms, as matrices
     row: np.ndarray = field(default_factory=lambda: np.zeros(0, np.int32))  # of each term: its row in dense, or -1
     dense: np.ndarray = field(default_factory=lambda: np.zeros((0, 0)))  # frequent terms x examples
     dense_most: np.ndarray = field(default_factory=lambda: np.zeros((0, 0)))  # frequent terms x blocks
+    # terms of each example, in index order, and their weights times relevance
+    own: np.ndarray = field(default_factory=lambda: np.zeros(1, np.int64))
+    own_terms: np.ndarray = field(default_factory=lambda: np.zeros(0, np.int32))
+    own_values: np.ndarray = field(default_factory=lambda: np.zeros(0, np.float32))
+    prior: float = 1e-12  # vote that is added to the neighbours' and falls as all labels stand
     base: float = 0.0  # share of toxic ones among the examples without a term
     steps: tuple[np.ndarray, np.ndarray] | None = None  # calibration
 
@@ -97,34 +128,41 @@ class Model:
         self.weight = np.array(list(self.weights.values()), float)
         self.weights = {}  # held once
 
-    def vectors(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(text, term, value) of TF-IDF, (1 + log tf) * weight, of unit length; nothing where a text has no term. Terms
-        that no example has meet nothing; they are left out of the length as well, alike for all neighbours."""
-        owner, term, count = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+    def vectors(self, texts: Iterable[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(text, term, value) of TF-IDF, (1 + log tf) * idf, over the length of the whole text's vector; rows of the terms that
+        examples have. Nothing where a text has none."""
+        owner, term, count, texts = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], list(texts)
         for i, text in enumerate(texts):
-            seen = Counter(filter(self.number.__contains__, terms_of(text)))
+            seen = Counter(terms_of(text))
+            number, terms = np.array([self.number.get(t, -1) for t in seen], np.int64), list(seen)
+            other = np.flatnonzero(number < 0)
+            number[other] = -1 - _cells(terms[j] for j in other.tolist())
             owner.append(np.full(len(seen), i))
-            term.append(np.fromiter((self.number[t] for t in seen), np.int64, len(seen)))
+            term.append(number)
             count.append(np.fromiter(seen.values(), np.int64, len(seen)))
         owner, term, count = np.concatenate(owner), np.concatenate(term), np.concatenate(count)
-        value = (1 + np.log(np.maximum(count, 1))) * self.weight[term]
+        known = term >= 0
+        idf = np.empty(len(term))
+        idf[known], idf[~known] = self.weight[term[known]], self.unknown[-1 - term[~known]]
+        value = (1 + np.log(np.maximum(count, 1))) * idf
         norm = np.sqrt(np.bincount(owner, value**2, minlength=len(texts)))
-        return owner, term, value / np.maximum(norm[owner], 1e-12)
+        return owner[known], term[known], (value / np.maximum(norm[owner], 1e-12))[known]
 
-    def index(self, ids: np.ndarray, x: tuple[np.ndarray, np.ndarray, np.ndarray], labels: np.ndarray) -> None:
+    def index(self, ids: np.ndarray, x: tuple[np.ndarray, np.ndarray, np.ndarray], labels: np.ndarray, relevance: np.ndarray | None = None) -> None:
         owner, term, value = x
         some = np.bincount(owner, minlength=len(ids)) > 0
         ratio = np.where(labels == 1, self.class_weight[1], self.class_weight[0])
         self.base = float((ratio * labels)[~some].sum() + self.share()) / float(ratio[~some].sum() + 1)
-        keys = (owner, term, value)
         order = np.flatnonzero(some)
         if len(order):
-            order = order[np.lexsort((ids[order], _alike(keys, len(ids))[order]))]  # similar ones together: layout only
+            order = order[np.lexsort((ids[order], _alike(x, len(ids))[order]))]  # similar ones together: layout only
         place = np.full(len(ids), -1)
         place[order] = np.arange(len(order))
         self.ids, self.labels, owner = ids[order], labels[order], place[owner]
-        self.block = np.arange(len(order)) // BLOCK
-        blocks = int(self.block[-1]) + 1 if len(order) else 0
+        by = np.argsort(owner, kind="stable")
+        self.own, self.own_terms = np.concatenate([[0], np.cumsum(np.bincount(owner, minlength=len(order)))]), term[by].astype(np.int32)
+        self.own_values = (value if relevance is None else value * relevance[term])[by].astype(np.float32)
+        blocks = -(-len(order) // BLOCK)
         held = np.bincount(term, minlength=len(self.weight))
         often = np.argsort(-held, kind="stable")[:DENSE]
         often = often[held[often] > len(order) / 32]
@@ -133,11 +171,16 @@ class Model:
         self.dense, full = np.zeros((len(often), len(order))), self.row[term] >= 0
         self.dense[self.row[term[full]], owner[full]] = value[full]
         self.dense_most = np.zeros((len(often), blocks))
-        np.maximum.at(self.dense_most, (self.row[term[full]], self.block[owner[full]]), value[full])
+        np.maximum.at(self.dense_most, (self.row[term[full]], owner[full] // BLOCK), value[full])
         owner, term, value = owner[~full], term[~full], value[~full]
-        by = np.argsort(term, kind="stable")
-        self.examples, self.values = owner[by].astype(np.int32), value[by]
-        self.starts = np.concatenate([[0], np.cumsum(np.bincount(term, minlength=len(held)))])
+        by = np.lexsort((owner, term))
+        owner, term, self.values = owner[by], term[by], value[by]
+        self.examples = owner.astype(np.int32)
+        key = term * max(blocks, 1) + owner // BLOCK
+        at = np.flatnonzero(np.diff(key, prepend=-1))
+        self.first, self.block = np.append(at, len(key)), (owner[at] // BLOCK).astype(np.int32)
+        self.most = np.maximum.reduceat(self.values, at) if len(at) else np.zeros(0)
+        self.starts = np.concatenate([[0], np.cumsum(np.bincount(term[at], minlength=len(held)))])
 
     def share(self) -> float:
         return self.class_weight[1] / (self.class_weight[0] + self.class_weight[1]) if sum(self.class_weight) else 0.0
@@ -153,15 +196,17 @@ class Model:
         table = np.zeros((texts, len(self.dense)))
         table[owner[frequent], self.row[term[frequent]]] = value[frequent]
         owner, term, value = owner[~frequent], term[~frequent], value[~frequent]
-        of, posting = _expanded(self.starts[term], self.starts[term + 1])
-        rare = np.bincount(owner[of] * n + self.examples[posting], self.values[posting] * value[of], texts * n).reshape(texts, n)
-        blocks = self.dense_most.shape[1]
-        bound = table @ self.dense_most + np.maximum.reduceat(rare, np.arange(blocks) * BLOCK, axis=1)
+        of, cut = _expanded(self.starts[term], self.starts[term + 1])
+        owner, value, blocks = owner[of], value[of], self.dense_most.shape[1]
+        bound = table @ self.dense_most + np.bincount(owner * blocks + self.block[cut], value * self.most[cut], texts * blocks).reshape(texts, blocks)
         bound = bound * (1 + 1e-9) + 1e-9
         sims, few = np.full((texts, n), -1.0), min(k + (skip is not None), n)
         wanted = np.zeros((texts, blocks), bool)
         np.put_along_axis(wanted, np.argpartition(-bound, min(FIRST, blocks) - 1, 1)[:, : min(FIRST, blocks)], True, 1)
         for again in (False, True):
+            read = wanted[owner, self.block[cut]]
+            of, posting = _expanded(self.first[cut[read]], self.first[cut[read] + 1])
+            rare = np.bincount(owner[read][of] * n + self.examples[posting], self.values[posting] * value[read][of], texts * n).reshape(texts, n)
             for b in np.flatnonzero(wanted.any(0)):
                 rows, part = np.flatnonzero(wanted[:, b]), slice(b * BLOCK, min((b + 1) * BLOCK, n))
                 sims[rows, part] = np.round(table[rows] @ self.dense[:, part] + rare[rows, part], 12)
@@ -180,13 +225,23 @@ class Model:
         best[text, rank], place[text, rank] = score, near
         return best, place
 
-    def votes(self, best: np.ndarray, place: np.ndarray) -> np.ndarray:
-        """Share of toxic neighbours by squared similarity, with one neighbour's weight of what holds without any."""
-        weight = np.where(place >= 0, best, 0) ** 2
+    def weights_of(self, x: tuple[np.ndarray, np.ndarray, np.ndarray], place: np.ndarray) -> np.ndarray:
+        """Each neighbour's vote: the square of the sum of shared terms' products times relevance."""
+        owner, term, value = x
+        found, row = np.zeros(place.shape), np.zeros(len(self.weight))
+        ends = np.searchsorted(owner, np.arange(len(place) + 1))
+        for i, near in enumerate(place):
+            near, mine = near[near >= 0], slice(ends[i], ends[i + 1])
+            row[term[mine]] = value[mine]
+            of, at = _expanded(self.own[near], self.own[near + 1])
+            found[i, : len(near)] = np.bincount(of, self.own_values[at] * row[self.own_terms[at]], len(near))
+            row[term[mine]] = 0
+        return found**2 * np.where(self.labels[place] == 1, self.class_weight[1], self.class_weight[0]) if len(self.labels) else found
+
+    def votes(self, weight: np.ndarray, place: np.ndarray) -> np.ndarray:
+        """Share of toxic neighbours by their votes, and of ``prior`` by all labels."""
         label = self.labels[place] if len(self.labels) else np.zeros(place.shape)
-        weight = weight * np.where(label == 1, self.class_weight[1], self.class_weight[0])
-        empty = ~(place >= 0).any(1)
-        return np.where(empty, self.base, ((weight * label).sum(1) + 0.25 * self.share()) / (weight.sum(1) + 0.25))
+        return np.where((place < 0).all(1), self.base, ((weight * label).sum(1) + self.prior * self.share()) / (weight.sum(1) + self.prior))
 
     def calibrated(self, votes: np.ndarray) -> np.ndarray:
         if self.steps is None:
@@ -219,10 +274,11 @@ def _alike(x: tuple[np.ndarray, np.ndarray, np.ndarray], texts: int) -> np.ndarr
 
 def isotonic(votes: np.ndarray, labels: np.ndarray, weights: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Points of the best non-decreasing fit of label on vote (pool adjacent violators), to be joined by lines."""
-    order = np.argsort(votes, kind="stable")
+    points, own = np.unique(votes, return_inverse=True)  # equal votes are one point
+    weight, mean = np.bincount(own, weights), np.bincount(own, weights * labels)
     pools: list[list[float]] = []  # weight, weighted vote, weighted label
-    for v, y, w in zip(votes[order], labels[order], weights[order]):
-        pools.append([w, w * v, w * y])
+    for v, w, y in zip(points, weight, mean):
+        pools.append([w, w * v, y])
         while len(pools) > 1 and pools[-2][2] * pools[-1][0] >= pools[-1][2] * pools[-2][0]:
             last = pools.pop()
             pools[-1] = [a + b for a, b in zip(pools[-1], last)]
@@ -230,29 +286,41 @@ def isotonic(votes: np.ndarray, labels: np.ndarray, weights: np.ndarray) -> tupl
     return v / w, y / w
 
 
+def examples(docs: DataFrame, labels: DataFrame, learned, per_class: int) -> DataFrame:
+    """doc_id, label, text of at most ``per_class`` labelled documents of each class in order of a hash of the id, without those
+    over LONGEST bytes, and only up to BYTES of a class."""
+    sample = materialize(labelled_sample(docs, labels, "toxic", learned, per_class), "toxic-examples").filter(F.octet_length("text") <= LONGEST)
+    ordered = Window.partitionBy("label").orderBy("h", "doc_id")  # per_class numbers each
+    sizes = sample.groupBy("doc_id", "label").agg(F.sum(F.octet_length("text")).alias("bytes")).withColumn("h", F.xxhash64("doc_id"))
+    few = sizes.withColumn("upto", F.sum("bytes").over(ordered)).filter(F.col("upto") <= BYTES).select("doc_id")
+    return sample.join(F.broadcast(few), "doc_id")
+
+
 def learn(docs: DataFrame, labels: DataFrame, learned, per_class: int = PER_CLASS, k: int = NEIGHBOURS) -> Model:
-    """Examples: at most ``per_class`` labelled documents of each class, with all their terms. Document frequencies are counted
-    over all documents."""
-    sample = materialize(labelled_sample(docs, labels, "toxic", learned, per_class), "toxic-examples")
+    """Examples (see examples()), with all their terms. Document frequencies are counted over all documents."""
+    sample = examples(docs, labels, learned, per_class)
     relevance = vocabulary(sample)
-    counts, n = document_counts(docs, relevance)
-    model = Model({t: float(np.log((1 + n) / (1 + c)) + 1) * (FLOOR + relevance[t]) for t, c in counts.items()})
-    del counts, relevance
+    counts, cells, n = document_counts(docs, relevance)
+    model = Model(dict(zip(counts, rarity(np.array(list(counts.values())), n).tolist())), rarity(np.minimum(cells, n), n).astype(np.float32))
+    del counts
     sizes = {r[0]: r[1] for r in labels.filter(learned & F.col("toxic").isin(0, 1)).groupBy(F.col("toxic").cast("int")).count().collect()}
     drawn = {r[0]: r[1] for r in sample.groupBy("label").count().collect()}
     whole = max(sum(sizes.values()), 1)
     model.class_weight = tuple(sizes.get(c, 0) / whole * (sum(drawn.values()) / drawn[c]) if drawn.get(c) else 0.0 for c in (0, 1))
-    rows = sample.select("doc_id", "label", "text").toArrow()  # 2 * per_class rows, or as many more as ids are repeated
+    rows = sample.select("doc_id", "label", "text").orderBy("doc_id", "text").toArrow()  # 2 * BYTES at most
     ids, label = rows["doc_id"].to_numpy(), rows["label"].to_numpy().astype(float)
-    x = model.vectors([t.as_buffer().to_pybytes() for t in rows["text"]])
-    model.index(ids, x, label)
+    x = model.vectors(t.as_buffer().to_pybytes() for t in rows["text"])
+    model.index(ids, x, label, np.array(list(relevance.values())))
     if len(set(label)) == 2:
         found = []
         for i in range(0, len(ids), TEXTS):
             a, b = np.searchsorted(x[0], [i, i + TEXTS])
             part, number = (x[0][a:b] - i, x[1][a:b], x[2][a:b]), len(ids[i : i + TEXTS])
-            found.append(model.votes(*model.nearest(number, part, k, ids[i : i + TEXTS])))
-        model.steps = isotonic(np.concatenate(found), label, np.where(label == 1, model.class_weight[1], model.class_weight[0]))
+            near = model.nearest(number, part, k, ids[i : i + TEXTS])[1]
+            found.append((model.weights_of(part, near), near))
+        weight, near = (np.concatenate(v) for v in zip(*found))
+        model.prior = max(PRIOR * float(np.median(weight.sum(1))), 1e-12)
+        model.steps = isotonic(model.votes(weight, near), label, np.where(label == 1, model.class_weight[1], model.class_weight[0]))
     return model
 
 
@@ -265,17 +333,19 @@ def score_toxicity(docs: DataFrame, model: Model, k: int = NEIGHBOURS) -> DataFr
     Texts without a term of any example, null and empty ones among them, have no neighbours: their score is the share of toxic ones
     among such examples. Equally similar examples count in order of their ids. Repeated rows and null ids pass; other columns are
     ignored. Without examples every score is 0; with those of one class, it is that class's share of the votes, uncalibrated.
-    TEXTS texts at once, each of them whole.
+    Texts are compared whole, slices of them at once: TEXTS of them or 2 million bytes, a longer text alone.
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = shared.value
         for batch in batches:
-            for a in range(0, len(batch), TEXTS):
-                part = batch.slice(a, TEXTS)
-                best, place = m.nearest(len(part), m.vectors([t.as_buffer().to_pybytes() for t in part.column(1)]), k)
-                score = m.calibrated(m.votes(best, place))
+            texts = [t.as_buffer().to_pybytes() for t in batch.column(1)]
+            for a, b in text_slices(texts, max_texts=TEXTS):
+                part = batch.slice(a, b - a)
+                x = m.vectors(texts[a:b])
+                best, place = m.nearest(b - a, x, k)
+                score = m.calibrated(m.votes(m.weights_of(x, place), place))
                 shown = place[:, :EVIDENCE] >= 0
                 at = place[:, :EVIDENCE][shown]
                 items = pa.StructArray.from_arrays([pa.array(m.ids[at]), pa.array(best[:, :EVIDENCE][shown]), pa.array(m.labels[at].astype(np.int32))], ["doc_id", "similarity", "toxic"])

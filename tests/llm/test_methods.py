@@ -123,6 +123,7 @@ def test_nearest_examples_against_all_products():
     words = [f"w{i}".encode() for i in range(400)]
     texts = [b" ".join(rng.choice(words, size=rng.integers(1, 60), p=np.arange(400, 0, -1) / 80200)) for _ in range(700)] + [b"", b"unknown terms"]
     texts[5] = texts[9] = texts[300]  # equal examples: ties by id
+    texts[7] += b" " + b" ".join(b"unknown%d" % i for i in range(50))
     model = toxicity.Model({w: 1 + i / 100 for i, w in enumerate(words)})
     ids, labels = rng.permutation(10_000)[: len(texts)], (np.arange(len(texts)) % 7 == 0).astype(float)
     model.class_weight = (1.0, 1.0)
@@ -130,6 +131,13 @@ def test_nearest_examples_against_all_products():
     model.index(ids, x, labels)
     dense = np.zeros((len(texts), 400))
     dense[x[0], x[1]] = x[2]
+    for i, text in enumerate(texts):  # lengths are those of whole texts; terms that the index lacks weigh 1
+        counts = Counter(text.split())
+        whole = {w: (1 + np.log(c)) * (1 + words.index(w) / 100 if w in words else 1) for w, c in counts.items()}
+        length = np.sqrt(sum(v * v for v in whole.values()))
+        for w in whole.keys() & set(words):
+            assert dense[i, words.index(w)] == pytest.approx(whole[w] / length)
+    assert (dense[7] ** 2).sum() < 0.999
     asked = slice(0, 128)
     part = tuple(v[x[0] < 128] for v in x)
     for skip in (None, ids[asked]):
@@ -143,6 +151,65 @@ def test_nearest_examples_against_all_products():
             assert best[i][place[i] >= 0] == pytest.approx(sims[order], abs=1e-8)
 
 
+def test_votes_against_products():
+    rng = np.random.default_rng(6)
+    words = [b"w%d" % i for i in range(80)]
+    texts = [b" ".join(rng.choice(words, 12)) for _ in range(200)] + [b"", b"nothing known"]
+    relevance, labels = rng.random(80), (rng.random(202) < 0.3).astype(float)
+    model = toxicity.Model({w: 1.5 for w in words})
+    model.class_weight = (0.5, 2.0)
+    x = model.vectors(texts)
+    model.index(np.arange(202), x, labels, relevance)
+    dense = np.zeros((202, 80))
+    dense[x[0], x[1]] = x[2]
+    place = model.nearest(202, x, 7)[1]
+    weight = model.weights_of(x, place)
+    for i in range(200):
+        near = model.ids[place[i]]
+        assert weight[i] == pytest.approx(((dense[near] * dense[i]) @ relevance) ** 2 * np.where(labels[near] == 1, 2.0, 0.5), rel=1e-5)
+    votes = model.votes(weight, place)
+    assert votes[:200] == pytest.approx((weight * labels[model.ids[place]]).sum(1)[:200] / weight.sum(1)[:200], abs=1e-6)
+    assert votes[200] == votes[201] == model.base
+
+
+def test_equal_votes_are_one_point_whatever_their_order():
+    votes, labels = np.array([0.1, 0.5, 0.5, 0.5, 0.9, 0.9]), np.array([0.0, 1.0, 0.0, 0.0, 1.0, 1.0])
+    points = toxicity.isotonic(votes, labels, np.ones(6))
+    assert [v.tolist() for v in points] == [[0.1, 0.5, 0.9], [0.0, pytest.approx(1 / 3), 1.0]]
+    for order in ([5, 3, 1, 0, 2, 4], [2, 1, 3, 4, 5, 0]):
+        assert all(np.array_equal(a, b) for a, b in zip(points, toxicity.isotonic(votes[order], labels[order], np.ones(6))))
+
+
+def test_blocks_under_the_bound_are_not_read(monkeypatch):
+    rng = np.random.default_rng(5)
+    monkeypatch.setattr(toxicity, "BLOCK", 32)
+    monkeypatch.setattr(toxicity, "DENSE", 0)
+    topics, pool = [[b"t%dw%d" % (g, i) for i in range(25)] for g in range(20)], [b"w%d" % i for i in range(40)]
+    texts = [b" ".join([*rng.choice(topics[i % 20], 20, replace=False), *rng.choice(pool, 6)]) for i in range(2_000)]
+    model = toxicity.Model({w: 2.0 for g in [*topics, pool] for w in g})
+    x = model.vectors(texts)
+    model.index(np.arange(2_000), x, np.zeros(2_000))
+    read = []
+    expanded = toxicity._expanded
+    monkeypatch.setattr(toxicity, "FIRST", 1)
+    monkeypatch.setattr(toxicity, "_expanded", lambda a, b: read.append(int((b - a).sum())) or expanded(a, b))
+    best, place = model.nearest(64, tuple(v[x[0] < 64] for v in x), 10)
+    dense = np.zeros((2_000, 540))
+    dense[x[0], x[1]] = x[2]
+    full = dense[:64] @ dense.T
+    assert best[:, 9] == pytest.approx(np.sort(full, 1)[:, -10])
+    assert sum(read[1:]) < 0.8 * (((dense[:64] > 0) * (dense > 0).sum(0)).sum(0) * (model.row < 0)).sum()
+
+
+def test_example_bytes_are_bounded(spark, monkeypatch):
+    monkeypatch.setattr(toxicity, "LONGEST", 1_000)
+    monkeypatch.setattr(toxicity, "BYTES", 500)
+    docs = table(spark, [(i, "word " * (1_000 if i == 3 else 20)) for i in range(40)])
+    told = spark.createDataFrame([(i, i % 2) for i in range(40)], "doc_id long, toxic int")
+    rows = toxicity.examples(docs, told, F.lit(True), 100).collect()
+    assert [sum(r["label"] == c for r in rows) for c in (0, 1)] == [5, 5] and 3 not in {r["doc_id"] for r in rows}
+
+
 @pytest.mark.parametrize("labels", [[], [(1, 1), (2, 1)], [(1, 0), (2, 0)], [(1, None), (2, 3)], [(4, 0), (5, 1)]])
 def test_toxicity_without_usable_examples(spark, labels):
     docs = table(spark, [(1, "some text"), (2, "other text"), (3, None), (4, ""), (5, "..."), (None, "text")])
