@@ -176,7 +176,7 @@ class Model:
         by = np.lexsort((owner, term))
         owner, term, self.values = owner[by], term[by], value[by]
         self.examples = owner.astype(np.int32)
-        key = term * max(blocks, 1) + owner // BLOCK
+        key = term.astype(np.int64) * max(blocks, 1) + owner // BLOCK
         at = np.flatnonzero(np.diff(key, prepend=-1))
         self.first, self.block = np.append(at, len(key)), (owner[at] // BLOCK).astype(np.int32)
         self.most = np.maximum.reduceat(self.values, at) if len(at) else np.zeros(0)
@@ -198,7 +198,7 @@ class Model:
         owner, term, value = owner[~frequent], term[~frequent], value[~frequent]
         of, cut = _expanded(self.starts[term], self.starts[term + 1])
         owner, value, blocks = owner[of], value[of], self.dense_most.shape[1]
-        bound = table @ self.dense_most + np.bincount(owner * blocks + self.block[cut], value * self.most[cut], texts * blocks).reshape(texts, blocks)
+        bound = table @ self.dense_most + np.bincount(owner.astype(np.int64) * blocks + self.block[cut], value * self.most[cut], texts * blocks).reshape(texts, blocks)
         bound = bound * (1 + 1e-9) + 1e-9
         sims, few = np.full((texts, n), -1.0), min(k + (skip is not None), n)
         wanted = np.zeros((texts, blocks), bool)
@@ -206,7 +206,7 @@ class Model:
         for again in (False, True):
             read = wanted[owner, self.block[cut]]
             of, posting = _expanded(self.first[cut[read]], self.first[cut[read] + 1])
-            rare = np.bincount(owner[read][of] * n + self.examples[posting], self.values[posting] * value[read][of], texts * n).reshape(texts, n)
+            rare = np.bincount(owner[read][of].astype(np.int64) * n + self.examples[posting], self.values[posting] * value[read][of], texts * n).reshape(texts, n)
             for b in np.flatnonzero(wanted.any(0)):
                 rows, part = np.flatnonzero(wanted[:, b]), slice(b * BLOCK, min((b + 1) * BLOCK, n))
                 sims[rows, part] = np.round(table[rows] @ self.dense[:, part] + rare[rows, part], 12)
@@ -301,6 +301,7 @@ def learn(docs: DataFrame, labels: DataFrame, learned, per_class: int = PER_CLAS
     sample = examples(docs, labels, learned, per_class)
     relevance = vocabulary(sample)
     counts, cells, n = document_counts(docs, relevance)
+    relevance = np.array(list(relevance.values()))
     model = Model(dict(zip(counts, rarity(np.array(list(counts.values())), n).tolist())), rarity(np.minimum(cells, n), n).astype(np.float32))
     del counts
     sizes = {r[0]: r[1] for r in labels.filter(learned & F.col("toxic").isin(0, 1)).groupBy(F.col("toxic").cast("int")).count().collect()}
@@ -309,8 +310,13 @@ def learn(docs: DataFrame, labels: DataFrame, learned, per_class: int = PER_CLAS
     model.class_weight = tuple(sizes.get(c, 0) / whole * (sum(drawn.values()) / drawn[c]) if drawn.get(c) else 0.0 for c in (0, 1))
     rows = sample.select("doc_id", "label", "text").orderBy("doc_id", "text").toArrow()  # 2 * BYTES at most
     ids, label = rows["doc_id"].to_numpy(), rows["label"].to_numpy().astype(float)
-    x = model.vectors(t.as_buffer().to_pybytes() for t in rows["text"])
-    model.index(ids, x, label, np.array(list(relevance.values())))
+    parts = []  # a few at once and in short numbers, for the driver's memory
+    for i in range(0, len(ids), TEXTS):
+        owner, term, value = model.vectors(t.as_buffer().to_pybytes() for t in rows["text"][i : i + TEXTS])
+        parts.append(((owner + i).astype(np.int32), term.astype(np.int32), value))
+    x = tuple(np.concatenate(v) for v in zip(*parts)) if parts else model.vectors([])
+    del parts, rows
+    model.index(ids, x, label, relevance)
     if len(set(label)) == 2:
         found = []
         for i in range(0, len(ids), TEXTS):
