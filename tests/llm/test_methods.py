@@ -115,6 +115,14 @@ def test_forward_backward_against_all_label_sequences():
     assert log_z == pytest.approx(total)
 
 
+def test_of_too_many_languages_those_of_most_rows_are_learned(spark):
+    langs = ["aa"] * 5 + ["bb"] * 3 + ["cc"] * 3 + ["dd"]
+    docs = table(spark, [(i, f"words of {lang} number {i}") for i, lang in enumerate(langs)], lang=("string", lambda i: langs[i]))
+    model = language_id.learn(docs, F.lit(True), languages=2)
+    assert model.labels == ["aa", "bb"]
+    assert {r["lang_pred"] for r in language_id.predict(docs, model).collect()} <= {"aa", "bb"}
+
+
 # ---- toxicity
 
 
