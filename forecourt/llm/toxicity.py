@@ -15,6 +15,7 @@ from __future__ import annotations
 from collections import Counter
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
+from itertools import repeat
 from zlib import crc32
 
 import numpy as np
@@ -26,12 +27,13 @@ from .common import crc_rest, labelled_sample, materialize, text_or_empty, text_
 
 #: Labelled documents of each class among the examples at most, the bytes of their texts together, and those of one text.
 PER_CLASS, BYTES, LONGEST = 3_000, 64_000_000, 1_000_000
-#: Terms kept as dense rows (the most frequent ones; layout only), and texts that are compared at once.
-DENSE, TEXTS = 512, 128
+#: Terms kept as dense rows at most, the most frequent ones, and the share of examples that such a term has at least (layout only: a
+#: dense row costs every text, postings only those with the term); texts that are compared at once.
+DENSE, OFTEN, TEXTS = 512, 1 / 10, 128
 #: Cells in which the documents of terms that no example has are counted: 2 ** 18.
 CELLS = 1 << 18
 #: Examples in a block, about, and blocks that are scored before bounds are compared.
-BLOCK, FIRST = 128, 8
+BLOCK, FIRST = 512, 2
 NEIGHBOURS, EVIDENCE = 25, 5
 #: What is added to the neighbours' votes and falls as all labels stand, of the median of examples' votes.
 PRIOR = 0.1
@@ -64,34 +66,41 @@ def vocabulary(sample: DataFrame) -> dict[bytes, float]:
     return dict(zip(found["term"].to_pylist(), (np.minimum(phi, 1.0) ** 2).tolist()))
 
 
-def document_counts(docs: DataFrame, terms: Iterable[bytes]) -> tuple[dict[bytes, int], np.ndarray, int]:
+def document_counts(docs: DataFrame, terms: Iterable[bytes]) -> tuple[np.ndarray, np.ndarray, int]:
     """In how many of all documents each term stands; for all other terms, counts by cell of their hash; the number of documents."""
-    wanted = docs.sparkSession.sparkContext.broadcast(frozenset(terms))
+    number = {t: i for i, t in enumerate(terms)}
+    known, wanted = len(number), docs.sparkSession.sparkContext.broadcast(number)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen, cells, n = Counter(), np.zeros(CELLS, np.int64), 0
+        # the terms by number, then the cells, then the documents
+        seen = np.zeros(known + CELLS + 1, np.int64)
         for batch in batches:
-            n += len(batch)
+            seen[-1] += len(batch)
             for text in batch.column(0):
-                found = set(terms_of(text.as_buffer().to_pybytes()))
-                known = found & wanted.value
-                seen.update(known)
-                np.add.at(cells, _cells(found - known), 1)
-        held = np.flatnonzero(cells)
-        yield pa.RecordBatch.from_arrays([pa.array([*seen, *[None] * (len(held) + 1)], pa.binary()), pa.array([*[-1] * (len(seen) + 1), *held], pa.int32()), pa.array([*seen.values(), n, *cells[held]], pa.int64())], ["term", "cell", "n"])
+                at = _numbered(wanted.value, list(set(terms_of(text.as_buffer().to_pybytes()))))
+                np.add.at(seen, np.where(at < 0, known - 1 - at, at), 1)
+        held = np.flatnonzero(seen)
+        yield pa.RecordBatch.from_arrays([pa.array(held.astype(np.int32)), pa.array(seen[held])], ["at", "n"])
 
     # one row for each term of the examples, and CELLS at most
-    rows = docs.select(text_or_empty().alias("text")).mapInArrow(count, "term binary, cell int, n long").groupBy("term", "cell").agg(F.sum("n").alias("n")).toArrow()
-    term, cell, n = rows["term"].to_pylist(), rows["cell"].to_numpy(), rows["n"].to_numpy()
-    found, cells = {t: c for t, c in zip(term, n.tolist()) if t is not None}, np.zeros(CELLS, np.int64)
-    cells[cell[cell >= 0]] = n[cell >= 0]
-    return {t: found.get(t, 0) for t in terms}, cells, int(n[(cell < 0) & ~np.array(rows["term"].is_valid())].sum())
+    rows = docs.select(text_or_empty().alias("text")).mapInArrow(count, "at int, n long").groupBy("at").agg(F.sum("n").alias("n")).toArrow()
+    counts = np.zeros(known + CELLS + 1, np.int64)
+    counts[rows["at"].to_numpy()] = rows["n"].to_numpy()
+    return counts[:known], counts[known:-1], int(counts[-1])
 
 
 def _cells(terms: Iterable[bytes]) -> np.ndarray:
     return np.array([crc32(t) & (CELLS - 1) for t in terms], np.int64)
 
 
+def _numbered(number: dict[bytes, int], terms: list[bytes]) -> np.ndarray:
+    """The number of each term, or -1 - cell of those without."""
+    at = np.fromiter(map(number.get, terms, repeat(-1)), np.int64, len(terms))
+    other = np.flatnonzero(at < 0)
+    at[other] = -1 - _cells(map(terms.__getitem__, other.tolist()))
+    return at
+
+
 def rarity(counts: np.ndarray, n: int) -> np.ndarray:
     """Smoothed inverse document frequency."""
     return np.log((1 + n) / (1 + counts)) + 1
@@ -134,11 +143,8 @@ class Model:
         owner, term, count, texts = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], list(texts)
         for i, text in enumerate(texts):
             seen = Counter(terms_of(text))
-            number, terms = np.array([self.number.get(t, -1) for t in seen], np.int64), list(seen)
-            other = np.flatnonzero(number < 0)
-            number[other] = -1 - _cells(terms[j] for j in other.tolist())
             owner.append(np.full(len(seen), i))
-            term.append(number)
+            term.append(_numbered(self.number, list(seen)))
             count.append(np.fromiter(seen.values(), np.int64, len(seen)))
         owner, term, count = np.concatenate(owner), np.concatenate(term), np.concatenate(count)
         known = term >= 0
@@ -165,7 +171,7 @@ class Model:
         blocks = -(-len(order) // BLOCK)
         held = np.bincount(term, minlength=len(self.weight))
         often = np.argsort(-held, kind="stable")[:DENSE]
-        often = often[held[often] > len(order) / 32]
+        often = often[held[often] > len(order) * OFTEN]
         self.row = np.full(len(held), -1, np.int32)
         self.row[often] = np.arange(len(often))
         self.dense, full = np.zeros((len(often), len(order))), self.row[term] >= 0
@@ -196,17 +202,18 @@ class Model:
         table = np.zeros((texts, len(self.dense)))
         table[owner[frequent], self.row[term[frequent]]] = value[frequent]
         owner, term, value = owner[~frequent], term[~frequent], value[~frequent]
-        of, cut = _expanded(self.starts[term], self.starts[term + 1])
-        owner, value, blocks = owner[of], value[of], self.dense_most.shape[1]
-        bound = table @ self.dense_most + np.bincount(owner.astype(np.int64) * blocks + self.block[cut], value * self.most[cut], texts * blocks).reshape(texts, blocks)
+        cut, size = _expanded(self.starts[term], self.starts[term + 1])
+        owner, value, blocks = np.repeat(owner.astype(np.int64), size), np.repeat(value, size), self.dense_most.shape[1]
+        meets = owner * blocks + self.block[cut]
+        bound = table @ self.dense_most + np.bincount(meets, value * self.most[cut], texts * blocks).reshape(texts, blocks)
         bound = bound * (1 + 1e-9) + 1e-9
         sims, few = np.full((texts, n), -1.0), min(k + (skip is not None), n)
         wanted = np.zeros((texts, blocks), bool)
         np.put_along_axis(wanted, np.argpartition(-bound, min(FIRST, blocks) - 1, 1)[:, : min(FIRST, blocks)], True, 1)
         for again in (False, True):
-            read = wanted[owner, self.block[cut]]
-            of, posting = _expanded(self.first[cut[read]], self.first[cut[read] + 1])
-            rare = np.bincount(owner[read][of].astype(np.int64) * n + self.examples[posting], self.values[posting] * value[read][of], texts * n).reshape(texts, n)
+            read = np.flatnonzero(wanted.ravel()[meets])
+            posting, size = _expanded(self.first[cut[read]], self.first[cut[read] + 1])
+            rare = np.bincount(np.repeat(owner[read] * n, size) + self.examples[posting], self.values[posting] * np.repeat(value[read], size), texts * n).reshape(texts, n)
             for b in np.flatnonzero(wanted.any(0)):
                 rows, part = np.flatnonzero(wanted[:, b]), slice(b * BLOCK, min((b + 1) * BLOCK, n))
                 sims[rows, part] = np.round(table[rows] @ self.dense[:, part] + rare[rows, part], 12)
@@ -233,8 +240,8 @@ class Model:
         for i, near in enumerate(place):
             near, mine = near[near >= 0], slice(ends[i], ends[i + 1])
             row[term[mine]] = value[mine]
-            of, at = _expanded(self.own[near], self.own[near + 1])
-            found[i, : len(near)] = np.bincount(of, self.own_values[at] * row[self.own_terms[at]], len(near))
+            for j, (a, b) in enumerate(zip(self.own[near].tolist(), self.own[near + 1].tolist())):
+                found[i, j] = np.dot(row.take(self.own_terms[a:b]), self.own_values[a:b])
             row[term[mine]] = 0
         return found**2 * np.where(self.labels[place] == 1, self.class_weight[1], self.class_weight[0]) if len(self.labels) else found
 
@@ -250,9 +257,9 @@ class Model:
 
 
 def _expanded(start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """All numbers of the ranges start[i] to end[i], with i."""
+    """All numbers of the ranges start[i] to end[i], and how many there are in each."""
     size = end - start
-    return np.repeat(np.arange(len(size)), size), np.arange(size.sum()) + np.repeat(start - np.cumsum(size) + size, size)
+    return np.arange(size.sum()) + np.repeat(start - np.cumsum(size) + size, size), size
 
 
 def _alike(x: tuple[np.ndarray, np.ndarray, np.ndarray], texts: int) -> np.ndarray:
@@ -301,9 +308,8 @@ def learn(docs: DataFrame, labels: DataFrame, learned, per_class: int = PER_CLAS
     sample = examples(docs, labels, learned, per_class)
     relevance = vocabulary(sample)
     counts, cells, n = document_counts(docs, relevance)
+    model = Model(dict(zip(relevance, rarity(counts, n).tolist())), rarity(np.minimum(cells, n), n).astype(np.float32))
     relevance = np.array(list(relevance.values()))
-    model = Model(dict(zip(counts, rarity(np.array(list(counts.values())), n).tolist())), rarity(np.minimum(cells, n), n).astype(np.float32))
-    del counts
     sizes = {r[0]: r[1] for r in labels.filter(learned & F.col("toxic").isin(0, 1)).groupBy(F.col("toxic").cast("int")).count().collect()}
     drawn = {r[0]: r[1] for r in sample.groupBy("label").count().collect()}
     whole = max(sum(sizes.values()), 1)
