@@ -2,7 +2,13 @@
 
 import re
 
+from pyspark.sql import functions as F
+
+from forecourt.functions import numbers, text
 from forecourt.operators import normalize
+from forecourt.plans import catalog, store
+
+SF = "/root/testdata/sf0.001"
 
 TEXTS = ["line", "source_platform", "source_id", "title_raw", "brand_raw", "model_raw", "price_raw", "new_car_price_raw", "mileage_raw", "reg_date_raw", "transfer_raw", "city_raw", "detail_url",
     "battery_raw", "range_raw", "battery_health_raw", "fast_charge_raw", "displacement_raw", "gearbox_raw", "emission_raw", "fetched_at"]
@@ -24,3 +30,32 @@ def test_dedupe_reads_only_what_is_asked_of_it(spark, tmp_path):
     read = re.search(r"ReadSchema: (.*)", _plan(last.select("k", "a"))).group(1)
     assert "b:" not in read and "a:" in read
     assert sorted(r.at for r in last.collect()) == [7, 8, 9]
+
+
+def test_first_query_of_a_shared_table_makes_only_what_it_reads(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(store, "_asked", set())
+    path = str(tmp_path / "in")
+    spark.range(3).write.parquet(path)
+    ask = lambda: store.shared(spark, "once", [path], lambda: spark.read.parquet(path).selectExpr("id * 2 AS twice", "id AS unread")).select("twice")
+    first = ask()
+    assert not store.is_written(spark, "once", [path]) and "unread" not in first._jdf.queryExecution().optimizedPlan().toString()
+    second = ask()
+    assert store.is_written(spark, "once", [path]) and sorted(map(tuple, first.collect())) == sorted(map(tuple, second.collect()))
+
+
+def test_normalising_uses_few_lambdas(spark):
+    plan = catalog.normalized(spark, SF)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("transform(") < 20  # 34 before, each of them outside compiled code
+
+
+def test_squeezed_texts_are_cleaned_texts(spark):
+    spaces = [chr(i) for i in range(0x10000) if not 0xD800 <= i < 0xE000]
+    rows = spark.createDataFrame([(f"a{c}b",) for c in spaces] + [(f"{c}甲 {c}",) for c in spaces] + [(t,) for t in (None, "", " - ", "  ", "甲 乙", "nan")], "t string")
+    both = rows.select("t", text.clean_text("t").alias("want"), text.squeeze("t").alias("s")).withColumn("got", text.known("s"))
+    assert both.filter("not (want <=> got)").count() == 0
+
+
+def test_whole_parts_of_numbers(spark):
+    rows = spark.createDataFrame([(t,) for t in ("", "0", "-0.5", "1.9", "-12.7", "99999999", "2147483647", "2147483648", "12345678.99999999", "1" * 40)], "t string")
+    exact = F.when(F.col("t") != "", F.col("t").try_cast("decimal(38,8)").try_cast("bigint").try_cast("int"))
+    assert rows.filter(~numbers.int_value(F.col("t")).eqNullSafe(exact)).count() == 0
