@@ -221,6 +221,21 @@ def test_states_follow_what_runs_change(spark, tmp_path):
     assert same() == 3
 
 
+def test_a_run_with_states_computes_its_batch_once(spark, tmp_path):
+    seen = spark.sparkContext.accumulator(0)
+
+    def tell(key):
+        seen.add(1)
+        return key
+
+    rows = spark.range(40).select(F.lit("ev").alias("line"), F.udf(tell, "string")(F.col("id").cast("string")).alias("vehicle_key"), F.lit("x").alias("brand"), F.lit("y").alias("location_city"), F.lit("1.50").cast("decimal(10,2)").alias("price_wan"),
+        F.lit("10").cast("decimal(10,2)").alias("new_car_price_wan"), F.lit(7).alias("mileage_km"), F.lit(2000).alias("reg_year"), F.lit(5).alias("reg_month"))
+    batch = upsert.prepare(rows, "2001-01-01")
+    states = market_state.MarketStates(ledger.RunTable(spark, str(tmp_path / "t"), batch.schema, buckets=2))
+    assert states.apply(batch, "one")["rows"] == 40 and seen.value == 40
+    assert sorted(map(tuple, states.values().select("what", "value", "n").collect())) == [("month", 24005, 40), ("price", 150, 40)]
+
+
 def test_pages_that_give_nothing_are_counted(spark, tmp_path):
     given = spark.createDataFrame([("a", None, 404), ("b", "x", 200), ("c", None, 200), ("d", None, None)], "raw_ref string, body string, status int").withColumn("fetched_at", F.lit("2001-01-01").cast("timestamp"))
     table = ledger.RunTable(spark, str(tmp_path / "t"), ingest.batch_schema(given))
