@@ -95,12 +95,10 @@ def reconcile(clean: DataFrame, raw: DataFrame, key: str) -> DataFrame:
     kept apart from the cleaning functions on purpose.
     """
     fields = ["price", "guide", "mileage", "year", "month", "brand"]
-    met = _turned(_said(raw, key), key, fields, "expected").filter("expected is not null").join(_turned(_stored(clean, key), key, fields, "actual"), [key, "field"])
-    return met.filter(~F.col("expected").eqNullSafe(F.col("actual")))
-
-
-def _turned(rows: DataFrame, key: str, fields: list[str], name: str) -> DataFrame:
-    return rows.unpivot([key], fields, "field", name)
+    said = _said(raw, key).withColumnsRenamed({f: f"_{f}" for f in fields})
+    met = _stored(clean, key).join(said, key)  # whole rows meet: they are told apart by field only where they differ
+    wrong = [F.when(F.col(f"_{f}").isNotNull() & ~F.col(f"_{f}").eqNullSafe(F.col(f)), F.struct(F.lit(f).alias("field"), F.col(f"_{f}").alias("expected"), F.col(f).alias("actual"))) for f in fields]
+    return met.select(key, F.inline(F.array_compact(F.array(*wrong))))
 
 
 def _said(raw: DataFrame, key: str) -> DataFrame:

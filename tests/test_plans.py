@@ -5,7 +5,7 @@ import re
 from pyspark.sql import functions as F
 
 from forecourt.functions import numbers, text
-from forecourt.operators import normalize
+from forecourt.operators import normalize, quality
 from forecourt.plans import catalog, store
 
 SF = "/root/testdata/sf0.001"
@@ -59,3 +59,17 @@ def test_whole_parts_of_numbers(spark):
     rows = spark.createDataFrame([(t,) for t in ("", "0", "-0.5", "1.9", "-12.7", "99999999", "2147483647", "2147483648", "12345678.99999999", "1" * 40)], "t string")
     exact = F.when(F.col("t") != "", F.col("t").try_cast("decimal(38,8)").try_cast("bigint").try_cast("int"))
     assert rows.filter(~numbers.int_value(F.col("t")).eqNullSafe(exact)).count() == 0
+
+
+def test_reconcile_joins_rows_not_fields(spark, monkeypatch):
+    monkeypatch.setattr(store, "_made", {})
+    plan = catalog.reconcile(spark, SF)._jdf.queryExecution().optimizedPlan().toString()
+    assert not store._made  # writes no table of columns that it doesn't read
+    assert "Expand" not in plan  # fields were turned into rows before the join
+
+
+def test_reconcile_finds_what_differs(spark):
+    raw = spark.createDataFrame([("a", "9万", "1元", "3万公里", "2000年5月", "甲"), ("b", None, None, None, "2001款", None)], "k string, price_raw string, new_car_price_raw string, mileage_raw string, reg_date_raw string, brand_raw string")
+    clean = spark.createDataFrame([("a", 9.0, 0.5, None, 2000, 5, "乙"), ("b", 1.0, 1.0, 1, 2001, 1, "丙"), ("c", 1.0, 1.0, 1, 2001, 1, "丙")], "k string, price_wan double, new_car_price_wan double, mileage_km int, reg_year int, reg_month int, brand string")
+    found = sorted(map(tuple, quality.reconcile(clean, raw, "k").select("k", "field", "expected", "actual").collect()), key=str)
+    assert found == [("a", "brand", "甲", "乙"), ("a", "guide", "0.0", "0.5"), ("a", "mileage", "30000", None)]
