@@ -73,3 +73,20 @@ def test_reconcile_finds_what_differs(spark):
     clean = spark.createDataFrame([("a", 9.0, 0.5, None, 2000, 5, "乙"), ("b", 1.0, 1.0, 1, 2001, 1, "丙"), ("c", 1.0, 1.0, 1, 2001, 1, "丙")], "k string, price_wan double, new_car_price_wan double, mileage_km int, reg_year int, reg_month int, brand string")
     found = sorted(map(tuple, quality.reconcile(clean, raw, "k").select("k", "field", "expected", "actual").collect()), key=str)
     assert found == [("a", "brand", "甲", "乙"), ("a", "guide", "0.0", "0.5"), ("a", "mileage", "30000", None)]
+
+
+def test_titles_are_cleaned_only_where_they_are_read(spark):
+    df = catalog.normalized(spark, SF).select("line", "vehicle_key", "brand", "price_wan")
+    assert "regexp_replace(title_raw" not in df._jdf.queryExecution().optimizedPlan().toString()
+    fields = {t: "x" for t in TEXTS} | {"line": "ev", "title_raw": " 比亚迪　 秦PLUS 2021款 "}
+    told = [("BYD", "秦"), (None, "秦"), ("byd", None), (" - ", "秦"), ("别 克", " \t")]
+    raw = spark.createDataFrame([tuple((fields | {"brand_raw": b, "model_raw": m})[t] for t in TEXTS) for b, m in told], ", ".join(f"{t} string" for t in TEXTS))
+    rows = normalize.normalize(raw, "2002-01-01").select("brand", "model", "title_raw").collect()
+    assert [tuple(r) for r in rows] == [("比亚迪", m, "比亚迪 秦PLUS 2021款") for m in ("秦", *["秦PLUS"] * 4)]
+
+
+def test_texts_with_single_blanks_need_no_squeezing(spark):
+    rows = spark.createDataFrame([(t,) for t in ("a b c", "United States市", "", None, " a", "a ", "a  b", "a\tb", "甲 乙", "a\u3000b")], "t string")
+    both = rows.select("t", text.clean_text("t").alias("want"), text.squeeze("t").alias("s")).withColumn("got", text.known("s"))
+    assert both.filter("not (want <=> got)").count() == 0
+    assert rows.filter(F.col("t").isin("a b c", "United States市", "甲 乙") & F.col("t").rlike(text.UNEVEN)).count() == 0
